@@ -14,13 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from vigil.config import EVENTS_SPEC, LINEITEM_SPEC
+from vigil.config import EVENTS_SPEC, EXPECTED_ASSETS, EXPECTED_COLS, EXPECTED_ROWS, LINEITEM_SPEC
+from vigil.operators import evaluate as ev
 from vigil.operators import features as fe
+from vigil.operators import profile as pr
 from vigil.operators import wrangle as wr
 from vigil.operators.cluster import kmeans_fixed_init, lowest_key_centres, stable
 from vigil.operators.scale import fit_scaler
-from vigil.operators.score import add_score, fit_threshold, threshold_predict
-from vigil.operators.split import SPLIT, cutoff_of, with_split
+from vigil.operators.score import (add_score, fit_threshold, grouped_threshold, only_anomalies,
+                                   predict_grouped, score_summary, threshold_3sigma, threshold_predict)
+from vigil.operators.split import SPLIT, cutoff_of, split_summary, with_split
+from vigil.plans.order_stats import grouped_percentiles, percentiles
 from vigil.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EV = EVENTS_SPEC
 LI = LINEITEM_SPEC
 EV_TRAIN_DAYS = 21      # 70/30 split of the events fixture (as the reference's 7 of 10 days)
+EXPECTED_SAMPLES_PER_ASSET = 14_400   # reference contract: 10 days of 1-minute samples
 
 
 def query(name: str):
@@ -58,8 +63,8 @@ def events_model_input(spark: SparkSession, sf: str):
     return stable(feats), cols
 
 
-@query("detect_anomalies")
-def flagship(spark: SparkSession, sf: str, k: int = 3, steps: int = 5, p: float = 99.0) -> DataFrame:
+def events_scored(spark: SparkSession, sf: str, k: int = 3, steps: int = 5, p: float = 99.0) -> DataFrame:
+    """F1 rows with cluster, anomaly_score and anomaly_pred under the flagship model."""
     feats, cols = events_model_input(spark, sf)
     is_train = F.col(SPLIT) == "train"
     scaler = fit_scaler(feats.filter(is_train), cols)
@@ -67,9 +72,14 @@ def flagship(spark: SparkSession, sf: str, k: int = 3, steps: int = 5, p: float
     train = scaled.filter(is_train).select("event_id", *cols)
     init = lowest_key_centres(train, cols, "event_id", k)
     model, _ = kmeans_fixed_init(train, cols, init, steps)
-    scored = add_score(scaled, model)
+    scored = add_score(scaled, model, cluster_col="cluster")
     thr = fit_threshold(scored.filter(is_train), p)
-    out = threshold_predict(scored, thr)
+    return threshold_predict(scored, thr)
+
+
+@query("detect_anomalies")
+def flagship(spark: SparkSession, sf: str, k: int = 3, steps: int = 5, p: float = 99.0) -> DataFrame:
+    out = events_scored(spark, sf, k, steps, p)
     return r6(out.select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
 
 
@@ -154,3 +164,244 @@ def q_ts_features(spark, sf):
 @query("ts_features_lineitem")
 def q_ts_features_li(spark, sf):
     return r6(fe.wrangle_and_features(fx.telemetry_lineitem(spark, sf), LI))
+
+
+# ---------------------------------------------------------------------------
+# Split, projections, predicates
+# ---------------------------------------------------------------------------
+
+def events_split(spark, sf):
+    f1 = fx.telemetry_events(spark, sf)
+    return with_split(f1, EV, cutoff_of(f1, EV, EV_TRAIN_DAYS))
+
+
+@query("time_split")
+def q_time_split(spark, sf):
+    return r6(events_split(spark, sf))
+
+
+@query("split_summary")
+def q_split_summary(spark, sf):
+    f1 = fx.telemetry_events(spark, sf)
+    return split_summary(f1, EV, cutoff_of(f1, EV, EV_TRAIN_DAYS))
+
+
+@query("select_features")
+def q_select_features(spark, sf):
+    feats = fe.wrangle_and_features(fx.telemetry_events(spark, sf), EV)
+    return r6(feats.select("event_id", *fe.select_features(feats.columns, EV)))
+
+
+def eval_input(spark, sf, rounded: bool = True) -> DataFrame:
+    """F4 (score = rounded s1, pred = s1 >= 150) plus regime and the 21-day split."""
+    f1 = events_split(spark, sf)
+    s = F.coalesce(F.col("s1"), F.lit(0.0))
+    return f1.select("event_id", "asset_id", "timestamp", "regime", SPLIT,
+                     (F.round(s, 0) if rounded else s).alias("anomaly_score"),
+                     "anomaly_label", "fault_code_true",
+                     F.when(s >= 150, 1).otherwise(0).alias("anomaly_pred"))
+
+
+@query("threshold_predict")
+def q_threshold_predict(spark, sf):
+    df = eval_input(spark, sf, rounded=False)
+    thr = fit_threshold(df, 99.0)
+    return r6(threshold_predict(df, thr, pred_col="pred_p99").select("event_id", "anomaly_score", "pred_p99"))
+
+
+@query("only_anomalies")
+def q_only_anomalies(spark, sf):
+    return r6(only_anomalies(eval_input(spark, sf)))
+
+
+@query("asset_slice")
+def q_asset_slice(spark, sf):
+    f1 = fx.telemetry_events(spark, sf)
+    first = f1.agg(F.min("asset_id").alias("a")).first()["a"]
+    return r6(pr.asset_slice(f1, EV, first, label="anomaly_label"))
+
+
+@query("asset_time_order")
+def q_asset_time_order(spark, sf):
+    return r6(pr.ordered(fx.telemetry_events(spark, sf), EV))
+
+
+@query("preview")
+def q_preview(spark, sf):
+    return r6(pr.preview(fx.telemetry_events(spark, sf), EV, 20))
+
+
+@query("seeded_sample")
+def q_seeded_sample(spark, sf):
+    return r6(pr.seeded_sample(fx.telemetry_events(spark, sf), "event_id", 100, seed=42))
+
+
+@query("top_anomalies")
+def q_top_anomalies(spark, sf):
+    return r6(pr.top_anomalies(eval_input(spark, sf, rounded=False), 20))
+
+
+# ---------------------------------------------------------------------------
+# Profiling aggregates
+# ---------------------------------------------------------------------------
+
+@query("period_summary")
+def q_period_summary(spark, sf):
+    return pr.period_summary(fx.telemetry_events(spark, sf), EV)
+
+
+@query("input_contract")
+def q_input_contract(spark, sf):
+    return pr.input_contract(fx.telemetry_events(spark, sf), EV, EXPECTED_ROWS, EXPECTED_COLS, EXPECTED_ASSETS)
+
+
+@query("missing_profile")
+def q_missing_profile(spark, sf):
+    return r6(pr.missing_profile(fx.telemetry_events(spark, sf), EV.fill_columns))
+
+
+@query("asset_coverage")
+def q_asset_coverage(spark, sf):
+    return r6(pr.asset_coverage(fx.telemetry_events(spark, sf), EV, expected=EXPECTED_SAMPLES_PER_ASSET))
+
+
+@query("value_counts")
+def q_value_counts(spark, sf):
+    f1 = fx.telemetry_events(spark, sf)
+    return pr.value_counts(f1, {"regime": F.col("regime"), "anomaly_label": F.col("anomaly_label"),
+                                "fault": F.col("fault_code_true") != 0})
+
+
+@query("prevalence")
+def q_prevalence(spark, sf):
+    return r6(pr.prevalence(events_split(spark, sf), "anomaly_label", "fault_code_true", keys=[SPLIT]))
+
+
+@query("score_percentile")
+def q_score_percentile(spark, sf):
+    return r6(grouped_percentiles(eval_input(spark, sf), "anomaly_score", [0.5, 0.9, 0.99]))
+
+
+@query("score_summary")
+def q_score_summary(spark, sf):
+    df = eval_input(spark, sf, rounded=False).filter(F.col(SPLIT) == "train")
+    return r6(score_summary(df, fit_threshold(df, 99.0)))
+
+
+@query("cluster_regime_crosstab")
+def q_crosstab(spark, sf):
+    return r6(pr.crosstab(events_scored(spark, sf), "cluster", "regime"))
+
+
+@query("anomaly_map")
+def q_anomaly_map(spark, sf):
+    return pr.anomaly_map(events_scored(spark, sf), EV)
+
+
+# ---------------------------------------------------------------------------
+# Evaluation (E1–E9, M15) and thresholds
+# ---------------------------------------------------------------------------
+
+@query("confusion_matrix")
+def q_confusion(spark, sf):
+    return ev.confusion(eval_input(spark, sf))
+
+
+@query("precision_recall_f1")
+def q_prf(spark, sf):
+    return r6(ev.precision_recall_f1(eval_input(spark, sf)))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf):
+    return r6(ev.rank_metrics(eval_input(spark, sf)).select("roc_auc"))
+
+
+@query("average_precision")
+def q_ap(spark, sf):
+    return r6(ev.rank_metrics(eval_input(spark, sf)).select("pr_auc"))
+
+
+@query("roc_auc_unrounded")
+def q_roc_auc_raw(spark, sf):
+    return r6(ev.rank_metrics(eval_input(spark, sf, rounded=False)))
+
+
+@query("fault_recall")
+def q_fault_recall(spark, sf):
+    return r6(ev.fault_recall(eval_input(spark, sf)))
+
+
+@query("pr_curve")
+def q_pr_curve(spark, sf):
+    return r6(ev.pr_curve(eval_input(spark, sf)))
+
+
+@query("score_histogram")
+def q_histogram(spark, sf):
+    return r6(ev.score_histogram(eval_input(spark, sf), keys=[SPLIT]))
+
+
+@query("evaluate")
+def q_evaluate(spark, sf):
+    return r6(ev.evaluate(eval_input(spark, sf)))
+
+
+@query("metrics_by_split")
+def q_metrics_by_split(spark, sf):
+    return r6(ev.evaluate(eval_input(spark, sf), keys=[SPLIT]))
+
+
+@query("metrics_by_regime")
+def q_metrics_by_regime(spark, sf):
+    return r6(ev.evaluate(eval_input(spark, sf), keys=["regime"]))
+
+
+SWEEP = (90.0, 95.0, 97.5, 99.0, 99.5)
+
+
+@query("threshold_sweep")
+def q_threshold_sweep(spark, sf):
+    df = eval_input(spark, sf, rounded=False)
+    ts = percentiles(df, "anomaly_score", [p / 100 for p in SWEEP])
+    return r6(ev.threshold_sweep(df, list(zip(SWEEP, ts))))
+
+
+@query("threshold_3sigma")
+def q_threshold_3sigma(spark, sf):
+    df = eval_input(spark, sf, rounded=False)
+    t = threshold_3sigma(df.filter(F.col(SPLIT) == "train"))
+    flagged = threshold_predict(df, t, pred_col="pred")
+    return r6(flagged.groupBy(SPLIT).agg(F.first(F.lit(t)).alias("threshold"),
+                                         F.sum("pred").cast("long").alias("n_pred")))
+
+
+@query("threshold_max_f1")
+def q_threshold_max_f1(spark, sf):
+    return r6(ev.best_threshold(eval_input(spark, sf, rounded=False), objective="f1"))
+
+
+@query("threshold_min_cost")
+def q_threshold_min_cost(spark, sf):
+    return r6(ev.best_threshold(eval_input(spark, sf, rounded=False), objective="cost", c_fp=1.0, c_fn=10.0))
+
+
+def _grouped_pred(df, keys):
+    thr = grouped_threshold(df.filter(F.col(SPLIT) == "train"), keys, 99.0)
+    out = predict_grouped(df, thr, keys, pred_col="pred_group")
+    return r6(out.select("event_id", *keys, "threshold", "pred_group"))
+
+
+@query("threshold_per_asset")
+def q_threshold_per_asset(spark, sf):
+    return _grouped_pred(eval_input(spark, sf, rounded=False), ["asset_id"])
+
+
+@query("threshold_per_regime")
+def q_threshold_per_regime(spark, sf):
+    return _grouped_pred(eval_input(spark, sf, rounded=False), ["regime"])
+
+
+@query("threshold_per_cluster")
+def q_threshold_per_cluster(spark, sf):
+    return _grouped_pred(events_scored(spark, sf), ["cluster"])

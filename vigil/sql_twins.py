@@ -26,15 +26,16 @@ def flags(spec):
 
 # --- flagship ------------------------------------------------------------------------
 
-def _flagship(k: int = 3, steps: int = 5, p: float = 0.99) -> str:
+def scored_ctes(k: int = 3, steps: int = 5, p: float = 0.99) -> list[str]:
+    """CTEs ending in ``scored`` (F1 columns + split, cluster, anomaly_score, anomaly_pred)."""
     feats = o.feature_list(EV)
     fl = ", ".join(feats)
     ctes = [
         f"feats AS ({o.split_sql(o.events_features_sql(), EV, 21)})",
         f"scaled AS ({o.scaled_sql('SELECT * FROM feats', feats)})",
-        f"allpts AS (SELECT row_number() OVER (ORDER BY event_id) AS _rid, * FROM scaled)",
+        "allpts AS (SELECT row_number() OVER (ORDER BY event_id) AS _rid, * FROM scaled)",
         f"pts AS (SELECT _rid, event_id, {fl} FROM allpts WHERE split = 'train')",
-        "centres0 AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS cid, "
+        "centres0 AS (SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS INTEGER) AS cid, "
         + ", ".join(f"{c} AS c_{c}" for c in feats)
         + f" FROM (SELECT * FROM pts ORDER BY event_id LIMIT {k}) z)",
     ]
@@ -42,13 +43,17 @@ def _flagship(k: int = 3, steps: int = 5, p: float = 0.99) -> str:
     ctes += lloyd
     ctes += [
         f"near AS ({o.nearest_sql('allpts', final, feats)})",
-        "scored AS (SELECT a.event_id, a.asset_id, a.timestamp, a.split, sqrt(n.d2) AS anomaly_score "
-        "FROM allpts a JOIN near n USING (_rid))",
-        f"thr AS (SELECT quantile_cont(anomaly_score, {p}) AS t FROM scored WHERE split = 'train')",
+        "dist AS (SELECT a.event_id, a.asset_id, a.timestamp, a.split, a.regime, a.anomaly_label, "
+        "a.fault_code_true, n.cid AS cluster, sqrt(n.d2) AS anomaly_score FROM allpts a JOIN near n USING (_rid))",
+        f"thr AS (SELECT quantile_cont(anomaly_score, {p}) AS t FROM dist WHERE split = 'train')",
+        "scored AS (SELECT dist.*, CAST(anomaly_score >= t AS INT) AS anomaly_pred FROM dist, thr)",
     ]
-    return ("WITH " + ",\n".join(ctes) + "\nSELECT event_id, asset_id, timestamp, split, "
-            "round(anomaly_score, 6) + 0.0 AS anomaly_score, CAST(anomaly_score >= t AS INT) AS anomaly_pred "
-            "FROM scored, thr")
+    return ctes
+
+
+def _flagship(k: int = 3, steps: int = 5, p: float = 0.99) -> str:
+    return ("WITH " + ",\n".join(scored_ctes(k, steps, p)) + "\nSELECT event_id, asset_id, timestamp, split, "
+            "round(anomaly_score, 6) + 0.0 AS anomaly_score, anomaly_pred FROM scored")
 
 
 SQL["detect_anomalies"] = _flagship()
@@ -113,3 +118,205 @@ SQL["first_diff"] = out(
 SQL["ts_features"] = out(o.events_features_sql(), F1_OTHERS + flags(EV), F1_DOUBLES + o.derived_sql(EV))
 SQL["ts_features_lineitem"] = out(o.features_sql(o.filled_sql(o.F2_SQL, LI), LI), F2_OTHERS + flags(LI),
                                   F2_DOUBLES + o.derived_sql(LI))
+
+# --- split, projections, predicates ----------------------------------------------------
+F1S = o.split_sql(o.F1_SQL, EV, 21)
+
+
+def eval_sql(rounded: bool = True) -> str:
+    s = "round(coalesce(s1, 0.0), 0)" if rounded else "coalesce(s1, 0.0)"
+    return (f"SELECT event_id, asset_id, timestamp, regime, split, {s} AS anomaly_score, anomaly_label, "
+            f"fault_code_true, CASE WHEN coalesce(s1, 0.0) >= 150 THEN 1 ELSE 0 END AS anomaly_pred FROM ({F1S}) f")
+
+
+EVAL_OTHERS = ["event_id", "asset_id", "timestamp", "regime", "split", "anomaly_label", "fault_code_true", "anomaly_pred"]
+E_R = eval_sql(True)
+E_RAW = eval_sql(False)
+
+SQL["time_split"] = out(F1S, F1_OTHERS + ["split"], F1_DOUBLES)
+SQL["split_summary"] = (f"SELECT split, count(*) AS n_rows, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) + 0.0 "
+                        f"AS pct_rows, count(DISTINCT asset_id) AS n_assets FROM ({F1S}) f GROUP BY split")
+SQL["select_features"] = out(o.events_features_sql(), ["event_id"], o.feature_list(EV))
+SQL["threshold_predict"] = (f"WITH e AS ({E_RAW}), t AS (SELECT quantile_cont(anomaly_score, 0.99) AS t FROM e) "
+                            "SELECT event_id, round(anomaly_score, 6) + 0.0 AS anomaly_score, "
+                            "CAST(anomaly_score >= t AS INTEGER) AS pred_p99 FROM e, t")
+SQL["only_anomalies"] = out(f"SELECT * FROM ({E_R}) e WHERE anomaly_pred = 1", EVAL_OTHERS, ["anomaly_score"])
+SQL["asset_slice"] = out(f"SELECT *, CAST(anomaly_label = 1 AS INTEGER) AS is_labelled FROM ({o.F1_SQL}) f "
+                         f"WHERE asset_id = (SELECT min(asset_id) FROM ({o.F1_SQL}) g)",
+                         F1_OTHERS + ["is_labelled"], F1_DOUBLES)
+SQL["asset_time_order"] = out(o.F1_SQL, F1_OTHERS, F1_DOUBLES)
+SQL["preview"] = out(f"SELECT * FROM ({o.F1_SQL}) f ORDER BY asset_id, timestamp, event_id LIMIT 20",
+                     F1_OTHERS, F1_DOUBLES)
+SQL["seeded_sample"] = out(f"SELECT * FROM ({o.F1_SQL}) f ORDER BY md5('42:' || CAST(event_id AS VARCHAR)), "
+                           "event_id LIMIT 100", F1_OTHERS, F1_DOUBLES)
+SQL["top_anomalies"] = out(f"SELECT * FROM ({E_RAW}) e ORDER BY anomaly_score DESC, event_id LIMIT 20",
+                           EVAL_OTHERS, ["anomaly_score"])
+
+# --- profiling -------------------------------------------------------------------------
+SQL["period_summary"] = (f"SELECT count(*) AS n_rows, CAST(10 AS INTEGER) AS n_cols, min(timestamp) AS ts_min, "
+                         f"max(timestamp) AS ts_max, count(DISTINCT asset_id) AS n_assets, "
+                         f"count(DISTINCT regime) AS n_regimes FROM ({o.F1_SQL}) f")
+SQL["input_contract"] = f"""WITH a AS (SELECT count(*) AS r, count(DISTINCT asset_id) AS k,
+  CAST(sum(CASE WHEN asset_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nk FROM ({o.F1_SQL}) f)
+SELECT 'rows' AS "check", CAST(230400 AS BIGINT) AS expected, r AS actual, r = 230400 AS ok FROM a
+UNION ALL SELECT 'columns', CAST(19 AS BIGINT), CAST(10 AS BIGINT), false FROM a
+UNION ALL SELECT 'assets', CAST(16 AS BIGINT), k, k = 16 FROM a
+UNION ALL SELECT 'null_asset_ids', CAST(0 AS BIGINT), nk, nk = 0 FROM a"""
+SQL["missing_profile"] = ("SELECT column_name, round(frac * 100.0, 6) + 0.0 AS pct_missing FROM ("
+                          + " UNION ALL ".join(f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) "
+                                               f"AS frac FROM ({o.F1_SQL}) f" for c in EV.fill_columns)
+                          + ") m WHERE frac > 0")
+SQL["asset_coverage"] = f"""WITH per AS (SELECT asset_id, count(*) AS n FROM ({o.F1_SQL}) f GROUP BY asset_id)
+SELECT count(*) AS n_assets, round(avg(n), 6) + 0.0 AS mean, round(stddev_samp(n), 6) + 0.0 AS std,
+  CAST(min(n) AS BIGINT) AS min, CAST(max(n) AS BIGINT) AS max,
+  CAST(sum(CASE WHEN n <> 14400 THEN 1 ELSE 0 END) AS BIGINT) AS n_off_expected,
+  round(quantile_cont(n, 0.25), 6) + 0.0 AS p25, round(quantile_cont(n, 0.5), 6) + 0.0 AS p50,
+  round(quantile_cont(n, 0.75), 6) + 0.0 AS p75 FROM per"""
+SQL["value_counts"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS variable, CAST({expr} AS VARCHAR) AS value, count(*) AS n FROM ({o.F1_SQL}) f "
+    f"GROUP BY CAST({expr} AS VARCHAR)"
+    for name, expr in [("regime", "regime"), ("anomaly_label", "anomaly_label"), ("fault", "fault_code_true <> 0")])
+SQL["prevalence"] = (f"SELECT split, count(*) AS n_rows, round(avg(CAST(anomaly_label AS DOUBLE)), 6) + 0.0 AS label_rate, "
+                     f"round(avg(CASE WHEN fault_code_true <> 0 THEN 1.0 ELSE 0.0 END), 6) + 0.0 AS fault_rate "
+                     f"FROM ({F1S}) f GROUP BY split")
+SQL["score_percentile"] = " UNION ALL ".join(
+    f"SELECT CAST({p} AS DOUBLE) AS p, round(quantile_cont(anomaly_score, {p}), 6) + 0.0 AS percentile FROM ({E_R}) e"
+    for p in (0.5, 0.9, 0.99))
+SQL["score_summary"] = (f"SELECT round(min(anomaly_score), 6) + 0.0 AS score_min, "
+                        f"round(quantile_cont(anomaly_score, 0.5), 6) + 0.0 AS score_p50, "
+                        f"round(quantile_cont(anomaly_score, 0.9), 6) + 0.0 AS score_p90, "
+                        f"round(max(anomaly_score), 6) + 0.0 AS score_max, "
+                        f"round(quantile_cont(anomaly_score, 0.99), 6) + 0.0 AS threshold "
+                        f"FROM ({E_RAW}) e WHERE split = 'train'")
+_SC = "WITH " + ",\n".join(scored_ctes()) + "\n"
+SQL["cluster_regime_crosstab"] = (_SC + "SELECT cluster, regime, count(*) AS n, round(round(count(*) * 100.0 / "
+                                  "sum(count(*)) OVER (PARTITION BY cluster), 1), 6) + 0.0 AS pct_row "
+                                  "FROM scored GROUP BY cluster, regime")
+SQL["anomaly_map"] = (_SC + "SELECT asset_id, date_trunc('hour', timestamp) AS bucket, max(anomaly_pred) AS max_pred, "
+                      "count(*) AS n_rows FROM scored GROUP BY asset_id, date_trunc('hour', timestamp)")
+
+# --- evaluation --------------------------------------------------------------------------
+
+
+def conf_cols() -> str:
+    return ("CAST(sum(CASE WHEN anomaly_label = 0 AND anomaly_pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn, "
+            "CAST(sum(CASE WHEN anomaly_label = 0 AND anomaly_pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp, "
+            "CAST(sum(CASE WHEN anomaly_label = 1 AND anomaly_pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn, "
+            "CAST(sum(CASE WHEN anomaly_label = 1 AND anomaly_pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp")
+
+
+def ratio(n: str, d: str) -> str:
+    return f"CASE WHEN ({d}) = 0 THEN 0.0 ELSE CAST({n} AS DOUBLE) / ({d}) END"
+
+
+def rank_sql(src: str, keys: list[str]) -> str:
+    """(keys, roc_auc, pr_auc): AUC from average ranks, AP from descending cumulative counts."""
+    k = ", ".join(keys)
+    kc = (k + ", ") if keys else ""
+    part = f"PARTITION BY {k}" if keys else ""
+    return f"""SELECT {kc}CASE WHEN max(P) > 0 AND max(N) > 0 THEN (sum(pos * avg_rank) - max(P) * (max(P) + 1) / 2.0)
+                    / (max(P) * max(N)) END AS roc_auc,
+       CASE WHEN max(P) > 0 THEN sum(pos * cum_tp / (cum_tp + cum_fp)) / max(P) END AS pr_auc
+FROM (SELECT *, sum(cnt) OVER ({part} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cnt
+                 + (cnt + 1) / 2.0 AS avg_rank,
+             sum(pos) OVER ({part} ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tp,
+             sum(cnt - pos) OVER ({part} ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_fp,
+             sum(pos) OVER ({part}) AS P, sum(cnt - pos) OVER ({part}) AS N
+      FROM (SELECT {kc}anomaly_score + 0.0 AS s, count(*) AS cnt,
+                   sum(CASE WHEN anomaly_label = 1 THEN 1 ELSE 0 END) AS pos
+            FROM ({src}) e GROUP BY {kc}anomaly_score + 0.0) g) r
+{('GROUP BY ' + k) if keys else ''}"""
+
+
+def evaluate_sql(src: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    kc = (k + ", ") if keys else ""
+    base = (f"SELECT {kc}{conf_cols()}, avg(CASE WHEN fault_code_true <> 0 THEN CAST(anomaly_pred AS DOUBLE) END) AS fr "
+            f"FROM ({src}) e {('GROUP BY ' + k) if keys else ''}")
+    join = f"JOIN ({rank_sql(src, keys)}) r USING ({k})" if keys else f", ({rank_sql(src, keys)}) r"
+    g = "tp + fn > 0"
+    cols = [
+        f"CASE WHEN {g} THEN {ratio('tp', 'tp + fp')} END", f"CASE WHEN {g} THEN {ratio('tp', 'tp + fn')} END",
+        f"CASE WHEN {g} THEN {ratio('2 * tp', '2 * tp + fp + fn')} END", f"CASE WHEN {g} THEN roc_auc END",
+        f"CASE WHEN {g} THEN pr_auc END"]
+    names = ["precision", "recall", "f1", "roc_auc", "pr_auc"]
+    sel = ", ".join(o.r6(c, n) for c, n in zip(cols, names))
+    return (f"SELECT {kc}{sel}, tp + fp AS n_anomalies_predicted, tp + fn AS n_anomalies_true, "
+            f"{o.r6(f'CASE WHEN {g} THEN fr END', 'fault_code_recall')}, tn, fp, fn, tp "
+            f"FROM ({base}) b {join}")
+
+
+SQL["confusion_matrix"] = f"SELECT {conf_cols()} FROM ({E_R}) e"
+SQL["precision_recall_f1"] = (f"SELECT {o.r6(ratio('tp', 'tp + fp'), 'precision')}, {o.r6(ratio('tp', 'tp + fn'), 'recall')}, "
+                              f"{o.r6(ratio('2 * tp', '2 * tp + fp + fn'), 'f1')} FROM (SELECT {conf_cols()} FROM ({E_R}) e) c")
+SQL["roc_auc"] = f"SELECT {o.r6('roc_auc', 'roc_auc')} FROM ({rank_sql(E_R, [])}) r"
+SQL["average_precision"] = f"SELECT {o.r6('pr_auc', 'pr_auc')} FROM ({rank_sql(E_R, [])}) r"
+SQL["roc_auc_unrounded"] = f"SELECT {o.r6('roc_auc', 'roc_auc')}, {o.r6('pr_auc', 'pr_auc')} FROM ({rank_sql(E_RAW, [])}) r"
+SQL["fault_recall"] = (f"SELECT {o.r6('avg(CASE WHEN fault_code_true <> 0 THEN CAST(anomaly_pred AS DOUBLE) END)', 'fault_code_recall')} "
+                       f"FROM ({E_R}) e")
+SQL["pr_curve"] = f"""WITH g AS (SELECT anomaly_score + 0.0 AS s, sum(CASE WHEN anomaly_label = 1 THEN 1 ELSE 0 END) AS pos,
+     sum(CASE WHEN anomaly_label = 1 THEN 0 ELSE 1 END) AS neg FROM ({E_R}) e GROUP BY anomaly_score + 0.0),
+c AS (SELECT s, sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+      sum(neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+      sum(pos) OVER () AS P FROM g)
+SELECT {o.r6('s', 'threshold')}, {o.r6('tp / (tp + fp)', 'precision')},
+       {o.r6('CASE WHEN P > 0 THEN tp / P ELSE 1.0 END', 'recall')} FROM c
+UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0, 0.0"""
+SQL["score_histogram"] = f"""WITH e AS ({E_R}),
+st AS (SELECT split, count(anomaly_score + 0.0) AS n,
+  CASE WHEN max(anomaly_score + 0.0) > min(anomaly_score + 0.0) THEN min(anomaly_score + 0.0) ELSE min(anomaly_score + 0.0) - 0.5 END AS lo,
+  CASE WHEN max(anomaly_score + 0.0) > min(anomaly_score + 0.0) THEN max(anomaly_score + 0.0) ELSE max(anomaly_score + 0.0) + 0.5 END AS hi
+  FROM e GROUP BY split),
+cnt AS (SELECT e.split, CAST(least(floor((e.anomaly_score + 0.0 - st.lo) * 80 / (st.hi - st.lo)), 79) AS INTEGER) AS bin,
+        count(*) AS c FROM e JOIN st USING (split) GROUP BY ALL),
+grid AS (SELECT st.*, CAST(b.range AS INTEGER) AS bin FROM st, range(80) b)
+SELECT grid.split, grid.bin, {o.r6('lo + bin * ((hi - lo) / 80)', 'bin_lo')}, {o.r6('lo + (bin + 1) * ((hi - lo) / 80)', 'bin_hi')},
+  CAST(coalesce(c, 0) AS BIGINT) AS count, {o.r6('coalesce(c, 0) / (n * ((hi - lo) / 80))', 'density')}
+FROM grid LEFT JOIN cnt USING (split, bin)"""
+SQL["evaluate"] = evaluate_sql(E_R, [])
+SQL["metrics_by_split"] = evaluate_sql(E_R, ["split"])
+SQL["metrics_by_regime"] = evaluate_sql(E_R, ["regime"])
+
+SWEEP = (90.0, 95.0, 97.5, 99.0, 99.5)
+SQL["threshold_sweep"] = f"""WITH e AS ({E_RAW}),
+t AS ({" UNION ALL ".join(f"SELECT CAST({p} AS DOUBLE) AS percentile, quantile_cont(anomaly_score, {p / 100}) AS threshold FROM e" for p in SWEEP)}),
+c AS (SELECT percentile, threshold,
+  sum(CASE WHEN anomaly_score >= threshold AND anomaly_label = 1 THEN 1 ELSE 0 END) AS tp,
+  sum(CASE WHEN anomaly_score >= threshold AND anomaly_label <> 1 THEN 1 ELSE 0 END) AS fp,
+  sum(CASE WHEN anomaly_score < threshold AND anomaly_label = 1 THEN 1 ELSE 0 END) AS fn FROM t, e GROUP BY ALL)
+SELECT {o.r6('percentile', 'percentile')}, {o.r6('threshold', 'threshold')}, {o.r6(ratio('tp', 'tp + fp'), 'precision')},
+  {o.r6(ratio('tp', 'tp + fn'), 'recall')}, {o.r6(ratio('2 * tp', '2 * tp + fp + fn'), 'f1')}, CAST(tp + fp AS BIGINT) AS n_pred FROM c"""
+SQL["threshold_3sigma"] = f"""WITH e AS ({E_RAW}),
+t AS (SELECT avg(anomaly_score) + 3.0 * stddev_pop(anomaly_score) AS t FROM e WHERE split = 'train')
+SELECT split, {o.r6('max(t)', 'threshold')}, CAST(sum(CASE WHEN anomaly_score >= t THEN 1 ELSE 0 END) AS BIGINT) AS n_pred
+FROM e, t GROUP BY split"""
+
+
+def best_sql(objective: str) -> str:
+    val = ratio("2 * tp", "2 * tp + fp + fn") if objective == "f1" else "1.0 * fp + 10.0 * fn"
+    order = "value DESC, threshold DESC" if objective == "f1" else "value ASC, threshold DESC"
+    return f"""WITH g AS (SELECT anomaly_score + 0.0 AS s, sum(CASE WHEN anomaly_label = 1 THEN 1 ELSE 0 END) AS pos,
+     sum(CASE WHEN anomaly_label = 1 THEN 0 ELSE 1 END) AS neg FROM ({E_RAW}) e GROUP BY anomaly_score + 0.0),
+c AS (SELECT s, CAST(sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS tp,
+      CAST(sum(neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fp,
+      CAST(sum(pos) OVER () AS BIGINT) AS P FROM g),
+d AS (SELECT s AS threshold, tp, fp, P - tp AS fn FROM c),
+v AS (SELECT *, {val} AS value FROM d)
+SELECT {o.r6('threshold', 'threshold')}, {o.r6('value', 'value')}, tp, fp, fn FROM v ORDER BY {order} LIMIT 1"""
+
+
+SQL["threshold_max_f1"] = best_sql("f1")
+SQL["threshold_min_cost"] = best_sql("cost")
+
+
+def grouped_pred_sql(src_ctes: str, src: str, key: str) -> str:
+    return f"""{src_ctes}, th AS (SELECT {key}, quantile_cont(anomaly_score, 0.99) AS threshold FROM {src}
+  WHERE split = 'train' GROUP BY {key})
+SELECT x.event_id, x.{key}, {o.r6('th.threshold', 'threshold')},
+  coalesce(CAST(x.anomaly_score >= th.threshold AS INTEGER), 0) AS pred_group
+FROM {src} x LEFT JOIN th USING ({key})"""
+
+
+SQL["threshold_per_asset"] = grouped_pred_sql(f"WITH e AS ({E_RAW})", "e", "asset_id")
+SQL["threshold_per_regime"] = grouped_pred_sql(f"WITH e AS ({E_RAW})", "e", "regime")
+SQL["threshold_per_cluster"] = grouped_pred_sql(_SC.rstrip(), "scored", "cluster")
