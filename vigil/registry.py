@@ -19,9 +19,14 @@ from vigil.operators import evaluate as ev
 from vigil.operators import features as fe
 from vigil.operators import profile as pr
 from vigil.operators import wrangle as wr
-from vigil.operators.cluster import kmeans_fixed_init, lowest_key_centres, stable
+from vigil.config import SILHOUETTE_SAMPLE
+from vigil.functions.vector import nearest
+from vigil.operators.cluster import (davies_bouldin, elbow_table, fit_gmm, fit_kmeans, fit_minibatch_kmeans,
+                                     gmm_information, hash_sample, kmeans_fixed_init, lowest_key_centres,
+                                     select_k, silhouette, stable)
+from vigil.operators.scale import fit_pca
 from vigil.operators.scale import fit_scaler
-from vigil.operators.score import (add_score, fit_threshold, grouped_threshold, only_anomalies,
+from vigil.operators.score import (MixtureModel, add_score, assign_cluster, fit_threshold, grouped_threshold, only_anomalies,
                                    predict_grouped, score_summary, threshold_3sigma, threshold_predict)
 from vigil.operators.split import SPLIT, cutoff_of, split_summary, with_split
 from vigil.plans.order_stats import grouped_percentiles, percentiles
@@ -405,3 +410,145 @@ def q_threshold_per_regime(spark, sf):
 @query("threshold_per_cluster")
 def q_threshold_per_cluster(spark, sf):
     return _grouped_pred(events_scored(spark, sf), ["cluster"])
+
+
+# ---------------------------------------------------------------------------
+# Clustering (M2–M11, D7, D8) on the vectors fixture
+# ---------------------------------------------------------------------------
+VEC_K, VEC_STEPS = 4, 4
+
+
+def vec_model(spark, sf):
+    v = fx.vectors(spark, sf)
+    cols = fx.vector_columns()
+    init = lowest_key_centres(v, cols, "vec_id", VEC_K)
+    model, costs = kmeans_fixed_init(v, cols, init, VEC_STEPS)
+    return v, cols, model, costs
+
+
+def _one_row(spark, values: dict, schema: str) -> DataFrame:
+    return spark.createDataFrame([tuple(values.values())], schema)
+
+
+@query("kmeans_fixed_init")
+def q_kmeans_fixed_init(spark, sf):
+    _, cols, model, _ = vec_model(spark, sf)
+    rows = [(i, *c) for i, c in enumerate(model.centres)]
+    return r6(spark.createDataFrame(rows, "cid int, " + ", ".join(f"{c} double" for c in cols)))
+
+
+@query("assign_cluster")
+def q_assign_cluster(spark, sf):
+    v, _, model, _ = vec_model(spark, sf)
+    return assign_cluster(v, model).select("vec_id", "cluster")
+
+
+@query("nearest_centroid_score")
+def q_nearest_centroid_score(spark, sf):
+    v, _, model, _ = vec_model(spark, sf)
+    return r6(add_score(v, model).select("vec_id", "anomaly_score"))
+
+
+@query("inertia")
+def q_inertia(spark, sf):
+    v, _, model, _ = vec_model(spark, sf)
+    d2 = nearest(model.columns, model.centres).getField("d2")
+    return r6(v.agg(F.sum(d2).alias("inertia")))
+
+
+@query("silhouette_sample")
+def q_silhouette(spark, sf):
+    v = fx.vectors(spark, sf)
+    cols = fx.vector_columns()
+    sample = hash_sample(v, "vec_id", SILHOUETTE_SAMPLE, 42)
+    return r6(_one_row(spark, {"silhouette": silhouette(sample, cols, "label", "vec_id")}, "silhouette double"))
+
+
+@query("silhouette_kmeans")
+def q_silhouette_kmeans(spark, sf):
+    v, cols, model, _ = vec_model(spark, sf)
+    sample = assign_cluster(hash_sample(v, "vec_id", SILHOUETTE_SAMPLE, 42), model)
+    return r6(_one_row(spark, {"silhouette": silhouette(sample, cols, "cluster", "vec_id")}, "silhouette double"))
+
+
+@query("davies_bouldin")
+def q_davies_bouldin(spark, sf):
+    v, _, model, _ = vec_model(spark, sf)
+    return r6(_one_row(spark, {"davies_bouldin": davies_bouldin(v, model)}, "davies_bouldin double"))
+
+
+def label_mixture(v: DataFrame, cols, label: str = "label", ridge: float = 1e-6) -> MixtureModel:
+    """Diagonal Gaussian per label group (weights = group shares): fixed-parameter mixture."""
+    rows = (v.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"m_{c}") for c in cols],
+                                 *[F.var_pop(c).alias(f"v_{c}") for c in cols]).orderBy(label).collect())
+    n = sum(r["_n"] for r in rows)
+    covs = tuple(tuple(tuple(float(r[f"v_{c}"]) if i == j else 0.0 for j, c in enumerate(cols))
+                       for i in range(len(cols))) for r in rows)
+    return MixtureModel(tuple(cols), tuple(r["_n"] / n for r in rows),
+                        tuple(tuple(float(r[f"m_{c}"]) for c in cols) for r in rows), covs, ridge=ridge)
+
+
+@query("gmm_score")
+def q_gmm_score(spark, sf):
+    v = fx.vectors(spark, sf)
+    model = label_mixture(v, fx.vector_columns())
+    return r6(add_score(v, model).select("vec_id", "anomaly_score"))
+
+
+@query("gmm_score_batches")
+def q_gmm_score_batches(spark, sf):
+    """Same mixture, scored on Arrow batches (the path used when K·d² is too large for codegen)."""
+    from vigil.operators.score import _score_batches
+    v = fx.vectors(spark, sf)
+    model = label_mixture(v, fx.vector_columns())
+    return r6(_score_batches(v, model, "anomaly_score", None).select("vec_id", "anomaly_score"))
+
+
+# Fitted models (MLlib / iterative): property-checked in tests, rows-only at the driver.
+
+@query("kmeans")
+def q_kmeans(spark, sf):
+    v = fx.vectors(spark, sf)
+    model, _ = fit_kmeans(v, fx.vector_columns(), 4, seed=42, max_iter=50, n_init=2)
+    return assign_cluster(v, model).select("vec_id", "cluster")
+
+
+@query("minibatch_kmeans")
+def q_minibatch(spark, sf):
+    v = fx.vectors(spark, sf)
+    model, _ = fit_minibatch_kmeans(v, fx.vector_columns(), 4, seed=42, batch_size=256, max_iter=10)
+    return assign_cluster(v, model).select("vec_id", "cluster")
+
+
+@query("gmm")
+def q_gmm(spark, sf):
+    v = fx.vectors(spark, sf)
+    model, _ = fit_gmm(v, fx.vector_columns(4), 3, seed=42, max_iter=30, n_init=1)
+    return r6(add_score(v, model, cluster_col="cluster").select("vec_id", "cluster", "anomaly_score"))
+
+
+@query("pca")
+def q_pca(spark, sf):
+    v = fx.vectors(spark, sf)
+    proj = fit_pca(v, fx.vector_columns(), 3)
+    return r6(proj.transform(v, keep=["vec_id"]))
+
+
+@query("elbow_table")
+def q_elbow(spark, sf):
+    v = fx.vectors(spark, sf)
+    _, res = select_k(v, fx.vector_columns(), "vec_id", (2, 3, 4),
+                      fit=lambda d, c, k: fit_kmeans(d, c, k, seed=42, max_iter=30, n_init=1))
+    return r6(elbow_table(spark, res))
+
+
+@query("gmm_bic")
+def q_gmm_bic(spark, sf):
+    v = fx.vectors(spark, sf)
+    cols = fx.vector_columns(4)
+    rows = []
+    for k in (2, 3):
+        model, _ = fit_gmm(v, cols, k, seed=42, max_iter=30, n_init=1)
+        info = gmm_information(v.select(*cols), model)
+        rows.append((k, info["log_likelihood"], info["n_params"], info["bic"], info["aic"]))
+    return r6(spark.createDataFrame(rows, "k int, log_likelihood double, n_params int, bic double, aic double"))

@@ -320,3 +320,62 @@ FROM {src} x LEFT JOIN th USING ({key})"""
 SQL["threshold_per_asset"] = grouped_pred_sql(f"WITH e AS ({E_RAW})", "e", "asset_id")
 SQL["threshold_per_regime"] = grouped_pred_sql(f"WITH e AS ({E_RAW})", "e", "regime")
 SQL["threshold_per_cluster"] = grouped_pred_sql(_SC.rstrip(), "scored", "cluster")
+
+# --- clustering on F3 ------------------------------------------------------------------
+VCOLS = [f"x{i}" for i in range(8)]
+
+
+def vec_ctes(k: int = 4, steps: int = 4) -> tuple[list[str], str]:
+    ctes = [f"v AS ({o.f3_sql(8)})",
+            f"pts AS (SELECT vec_id AS _rid, {', '.join(VCOLS)} FROM v)",
+            "centres0 AS (SELECT CAST(row_number() OVER (ORDER BY _rid) - 1 AS INTEGER) AS cid, "
+            + ", ".join(f"{c} AS c_{c}" for c in VCOLS) + f" FROM (SELECT * FROM pts ORDER BY _rid LIMIT {k}) z)"]
+    lloyd, final = o.lloyd_sql("pts", "centres0", VCOLS, k, steps)
+    ctes += lloyd
+    ctes.append(f"near AS ({o.nearest_sql('pts', final, VCOLS)})")
+    return ctes, final
+
+
+_VC, _VFINAL = vec_ctes()
+_VW = "WITH " + ",\n".join(_VC) + "\n"
+SQL["kmeans_fixed_init"] = _VW + f"SELECT cid, {', '.join(o.r6('c_' + c, c) for c in VCOLS)} FROM {_VFINAL}"
+SQL["assign_cluster"] = _VW + "SELECT _rid AS vec_id, cid AS cluster FROM near"
+SQL["nearest_centroid_score"] = _VW + f"SELECT _rid AS vec_id, {o.r6('sqrt(d2)', 'anomaly_score')} FROM near"
+SQL["inertia"] = _VW + f"SELECT {o.r6('sum(d2)', 'inertia')} FROM near"
+
+
+def silhouette_sql(label_cte: str, label_col: str) -> str:
+    dist = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in VCOLS)
+    return f"""{label_cte},
+d AS (SELECT a.vec_id AS i, a.{label_col} AS li, b.{label_col} AS lj, sqrt({dist}) AS dist
+      FROM lv a JOIN lv b ON a.vec_id <> b.vec_id),
+m AS (SELECT i, li, lj, avg(dist) AS m FROM d GROUP BY i, li, lj),
+ab AS (SELECT i, max(CASE WHEN li = lj THEN m END) AS a, min(CASE WHEN li <> lj THEN m END) AS b FROM m GROUP BY i)
+SELECT {o.r6('sum(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) / (SELECT count(*) FROM lv)', 'silhouette')}
+FROM ab"""
+
+
+SQL["silhouette_sample"] = silhouette_sql(f"WITH lv AS ({o.f3_sql(8)})", "label")
+SQL["silhouette_kmeans"] = silhouette_sql(
+    _VW.rstrip() + ", lv AS (SELECT v.*, near.cid AS cluster FROM v JOIN near ON v.vec_id = near._rid)", "cluster")
+SQL["davies_bouldin"] = _VW + f""", s AS (SELECT cid, avg(sqrt(d2)) AS s FROM near GROUP BY cid),
+cc AS (SELECT f.*, s.s FROM {_VFINAL} f JOIN s USING (cid)),
+r AS (SELECT a.cid, max((a.s + b.s) / sqrt({' + '.join(f'(a.c_{c} - b.c_{c}) * (a.c_{c} - b.c_{c})' for c in VCOLS)})) AS r
+      FROM cc a JOIN cc b ON a.cid <> b.cid GROUP BY a.cid)
+SELECT {o.r6('avg(r)', 'davies_bouldin')} FROM r"""
+
+
+def gmm_label_sql() -> str:
+    params = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) + 1e-6 AS v_{c}" for c in VCOLS)
+    lp = (" - 0.5 * (" + " + ".join(f"ln(p.v_{c})" for c in VCOLS) + f" + {len(VCOLS)} * ln(2 * pi()))"
+          + " - 0.5 * (" + " + ".join(f"(v.{c} - p.m_{c}) * (v.{c} - p.m_{c}) / p.v_{c}" for c in VCOLS) + ")")
+    return f"""WITH v AS ({o.f3_sql(8)}),
+p AS (SELECT label, count(*) * 1.0 / (SELECT count(*) FROM v) AS w, {params} FROM v GROUP BY label),
+lp AS (SELECT v.vec_id, ln(p.w){lp} AS lp FROM v, p),
+mx AS (SELECT vec_id, max(lp) AS m FROM lp GROUP BY vec_id)
+SELECT lp.vec_id, {o.r6('-(mx.m + ln(sum(exp(lp.lp - mx.m))))', 'anomaly_score')}
+FROM lp JOIN mx USING (vec_id) GROUP BY lp.vec_id, mx.m"""
+
+
+SQL["gmm_score"] = gmm_label_sql()
+SQL["gmm_score_batches"] = gmm_label_sql()
