@@ -18,13 +18,12 @@ from pyspark.sql import functions as F
 
 from vigil.functions.vector import nearest
 from vigil.operators.score import CentroidModel, MixtureModel
-from vigil.session import ensure_checkpoint_dir
+from vigil.session import checkpointed
 
 
 def stable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (cuts lineage for iterative fits)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def lowest_key_centres(df: DataFrame, cols: Sequence[str], key: str, k: int) -> list[list[float]]:

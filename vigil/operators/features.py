@@ -148,6 +148,10 @@ def rolling_cross_corr(df: DataFrame, spec: TelemetrySpec, pairs: Sequence[tuple
         for a, b in pairs:
             const = ((F.max(a).over(frame) == F.min(a).over(frame))
                      | (F.max(b).over(frame) == F.min(b).over(frame)))
-            out.append(F.when(~const, F.corr(a, b).over(frame)).alias(f"corr_{a}_{b}"))
+            # covar / (std · std) with try_divide: ANSI mode would raise inside ``corr`` on
+            # constant frames before the guard could mask them
+            r = F.try_divide(F.covar_pop(a, b).over(frame),
+                             F.stddev_pop(a).over(frame) * F.stddev_pop(b).over(frame))
+            out.append(F.when(~const, r).alias(f"corr_{a}_{b}"))
         return d.select("*", *out)
     return apply_series(df, spec.asset, spec.order, window - 1, 0, build, **plan_kw)

@@ -23,6 +23,8 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.session import checkpointed
+
 POS = "_vg_pos"
 CHUNK = "_vg_chunk"
 HOME = "_vg_home"
@@ -59,8 +61,10 @@ def positional_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     n = _n_parts(df, n_parts)
     sort_cols = [*keys, *order]
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-    # Ids follow the sorted order inside each partition: (partition << 33) + rank.
-    tagged = ranged.withColumn(_MID, F.monotonically_increasing_id()).withColumn(
+    # Ids follow the sorted order inside each partition: (partition << 33) + rank. The range
+    # bounds come from a sample whose order after a shuffle is not deterministic, so the
+    # tagged rows are materialised once and both the counts and the rows read that copy.
+    tagged = checkpointed(ranged.withColumn(_MID, F.monotonically_increasing_id())).withColumn(
         _PID, F.shiftright(F.col(_MID), 33))
     stats = tagged.groupBy(*keys, _PID).agg(F.count(F.lit(1)).alias("_n"), F.min(_MID).alias("_m0"))
     before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from vigil.config import EVENTS_SPEC, EXPECTED_ASSETS, EXPECTED_COLS, EXPECTED_ROWS, LINEITEM_SPEC
+from vigil.operators import drift as dr
 from vigil.operators import evaluate as ev
 from vigil.operators import features as fe
 from vigil.operators import profile as pr
@@ -28,7 +29,7 @@ from vigil.operators.scale import fit_pca
 from vigil.operators.scale import fit_scaler
 from vigil.operators.score import (MixtureModel, add_score, assign_cluster, fit_threshold, grouped_threshold, only_anomalies,
                                    predict_grouped, score_summary, threshold_3sigma, threshold_predict)
-from vigil.operators.split import SPLIT, cutoff_of, split_summary, with_split
+from vigil.operators.split import SPLIT, cutoff_of, split_summary, temporal_folds, with_split
 from vigil.plans.order_stats import grouped_percentiles, percentiles
 from vigil.sources import fixtures as fx
 
@@ -552,3 +553,71 @@ def q_gmm_bic(spark, sf):
         info = gmm_information(v.select(*cols), model)
         rows.append((k, info["log_likelihood"], info["n_params"], info["bic"], info["aic"]))
     return r6(spark.createDataFrame(rows, "k int, log_likelihood double, n_params int, bic double, aic double"))
+
+
+# ---------------------------------------------------------------------------
+# Documented extensions (T3): drift, folds, extra features, imputation, votes
+# ---------------------------------------------------------------------------
+
+def events_filled_split(spark, sf):
+    return wr.wrangle(events_split(spark, sf), EV)
+
+
+@query("drift_ks")
+def q_drift_ks(spark, sf):
+    return r6(dr.drift_ks(events_filled_split(spark, sf), EV.fill_columns))
+
+
+@query("drift_psi")
+def q_drift_psi(spark, sf):
+    return r6(dr.drift_psi(events_filled_split(spark, sf), EV.fill_columns))
+
+
+@query("drift_anomaly_rate")
+def q_drift_rate(spark, sf):
+    return r6(dr.anomaly_rate(eval_input(spark, sf), "timestamp", keys=["asset_id"]))
+
+
+@query("training_sanity")
+def q_training_sanity(spark, sf):
+    return r6(dr.training_sanity(eval_input(spark, sf).filter(F.col(SPLIT) == "train")))
+
+
+@query("temporal_cv")
+def q_temporal_cv(spark, sf):
+    folds = temporal_folds(fx.telemetry_events(spark, sf), EV, first_train_days=14, fold_days=4, n_folds=3)
+    return folds.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("n_rows"), F.min("timestamp").alias("ts_min"),
+                                             F.max("timestamp").alias("ts_max"))
+
+
+@query("smoothed_diff")
+def q_smoothed_diff(spark, sf):
+    return r6(fe.smoothed_diff(wr.wrangle(fx.telemetry_events(spark, sf), EV), EV))
+
+
+@query("lag_features")
+def q_lag_features(spark, sf):
+    return r6(fe.lag_features(wr.wrangle(fx.telemetry_events(spark, sf), EV), EV, lags=(1, 5, 15)))
+
+
+CORR_PAIRS = (("s1", "s2"), ("s1", "s3"), ("s2", "s3"))
+
+
+@query("rolling_cross_corr")
+def q_rolling_cross_corr(spark, sf):
+    return r6(fe.rolling_cross_corr(wr.wrangle(fx.telemetry_events(spark, sf), EV), EV, CORR_PAIRS))
+
+
+@query("asset_median_impute")
+def q_asset_median_impute(spark, sf):
+    return r6(dr.asset_median_impute(fx.telemetry_events(spark, sf), "asset_id", ["s1", "s2"]))
+
+
+@query("ensemble_vote")
+def q_ensemble_vote(spark, sf):
+    """k-means distance flag OR a per-regime threshold flag of the same scores."""
+    scored = events_scored(spark, sf)
+    thr = grouped_threshold(scored.filter(F.col(SPLIT) == "train"), ["regime"], 99.0)
+    both = predict_grouped(scored, thr, ["regime"], pred_col="pred_regime")
+    voted = dr.ensemble_vote(both, ["anomaly_pred", "pred_regime"], rule="or", out="pred_vote")
+    return r6(voted.select("event_id", "anomaly_pred", "pred_regime", "pred_vote"))

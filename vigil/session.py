@@ -50,3 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
+
+
+def checkpointed(df):
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Used where one physical result must be read twice consistently (positional index) and
+    before iterative fits; a lost executor re-reads the files instead of recomputing.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -379,3 +379,63 @@ FROM lp JOIN mx USING (vec_id) GROUP BY lp.vec_id, mx.m"""
 
 SQL["gmm_score"] = gmm_label_sql()
 SQL["gmm_score_batches"] = gmm_label_sql()
+
+# --- documented extensions -----------------------------------------------------------
+_FILLED_SPLIT = o.filled_sql(F1S, EV)
+
+
+def _long_sql() -> str:
+    parts = [f"SELECT split, '{c}' AS sensor, CAST({c} AS DOUBLE) AS value FROM w" for c in EV.fill_columns]
+    return f"w AS ({_FILLED_SPLIT}), long AS (SELECT * FROM ({' UNION ALL '.join(parts)}) u WHERE value IS NOT NULL)"
+
+
+SQL["drift_ks"] = f"""WITH {_long_sql()},
+g AS (SELECT sensor, value + 0.0 AS value, sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS a,
+      sum(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS b FROM long GROUP BY sensor, value + 0.0),
+c AS (SELECT sensor, sum(a) OVER (PARTITION BY sensor ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ca,
+      sum(b) OVER (PARTITION BY sensor ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cb,
+      sum(a) OVER (PARTITION BY sensor) AS A, sum(b) OVER (PARTITION BY sensor) AS B FROM g)
+SELECT sensor, {o.r6('max(abs(ca / A - cb / B))', 'ks_stat')}, CAST(max(A) AS BIGINT) AS n_ref, CAST(max(B) AS BIGINT) AS n_cur
+FROM c GROUP BY sensor"""
+_QS = ", ".join(str(round(i / 10, 12)) for i in range(1, 10))
+SQL["drift_psi"] = f"""WITH {_long_sql()},
+e AS (SELECT sensor, quantile_cont(value, [{_QS}]) AS q FROM long WHERE split = 'train' GROUP BY sensor),
+bk AS (SELECT l.sensor, l.split, ({' + '.join(f'CAST(l.value > e.q[{i}] AS INTEGER)' for i in range(1, 10))}) AS bucket
+       FROM long l JOIN e USING (sensor) WHERE l.split IN ('train', 'test')),
+cnt AS (SELECT sensor, bucket, sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS a,
+        sum(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS b FROM bk GROUP BY sensor, bucket),
+tot AS (SELECT sensor, sum(a) AS A, sum(b) AS B FROM cnt GROUP BY sensor),
+grid AS (SELECT tot.*, CAST(r.range AS INTEGER) AS bucket FROM tot, range(10) r),
+j AS (SELECT grid.sensor, greatest(coalesce(cnt.a, 0) / grid.A, 1e-6) AS p, greatest(coalesce(cnt.b, 0) / grid.B, 1e-6) AS q
+      FROM grid LEFT JOIN cnt USING (sensor, bucket))
+SELECT sensor, {o.r6('sum((q - p) * ln(q / p))', 'psi')} FROM j GROUP BY sensor"""
+SQL["drift_anomaly_rate"] = (f"SELECT date_trunc('day', timestamp) AS period, asset_id, count(*) AS n_rows, "
+                             f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE))', 'rate')}, {o.r6('0.01', 'expected_rate')}, "
+                             f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE)) - 0.010000000000000009', 'excess')} "
+                             f"FROM ({E_R}) e GROUP BY date_trunc('day', timestamp), asset_id")
+SQL["training_sanity"] = (f"SELECT count(*) AS n_train, {o.r6('avg(CASE WHEN fault_code_true <> 0 THEN 1.0 ELSE 0.0 END)', 'fault_share')}, "
+                          f"avg(CASE WHEN fault_code_true <> 0 THEN 1.0 ELSE 0.0 END) > 0.05 AS alert "
+                          f"FROM ({E_R}) e WHERE split = 'train'")
+SQL["temporal_cv"] = f"""WITH f AS ({o.F1_SQL}), m AS (SELECT min(timestamp) AS m FROM f),
+d AS (SELECT f.*, CAST(floor(((epoch_us(f.timestamp) / 1e6 - epoch_us(m.m) / 1e6) / 86400.0 - 14) / 4) AS INTEGER) AS v FROM f, m),
+x AS (SELECT d.*, CAST(r.range AS INTEGER) AS fold FROM d, range(3) r WHERE r.range >= d.v)
+SELECT fold, CASE WHEN fold = v THEN 'validate' ELSE 'train' END AS role, count(*) AS n_rows,
+       min(timestamp) AS ts_min, max(timestamp) AS ts_max FROM x GROUP BY ALL"""
+_W15 = o.win(EV, "14 PRECEDING AND CURRENT ROW")
+SQL["smoothed_diff"] = out(
+    "SELECT *, " + ", ".join(f"avg(_d_{s}) OVER {_W15} AS {s}_diff_smooth" for s in EV.sensors)
+    + " FROM (SELECT *, " + ", ".join(f"coalesce({s} - lag({s}) OVER {o.win(EV)}, 0.0) AS _d_{s}" for s in EV.sensors)
+    + f" FROM ({_filled_ev}) f) g", F1_OTHERS + flags(EV), F1_DOUBLES + [f"{s}_diff_smooth" for s in EV.sensors])
+SQL["lag_features"] = out(
+    "SELECT *, " + ", ".join(f"lag({s}, {k}) OVER {o.win(EV)} AS {s}_lag{k}" for s in EV.sensors for k in (1, 5, 15))
+    + f" FROM ({_filled_ev}) f", F1_OTHERS + flags(EV), F1_DOUBLES + [f"{s}_lag{k}" for s in EV.sensors for k in (1, 5, 15)])
+SQL["rolling_cross_corr"] = out(
+    "SELECT *, " + ", ".join(
+        f"CASE WHEN NOT (max({a}) OVER {_W15} = min({a}) OVER {_W15} OR max({b}) OVER {_W15} = min({b}) OVER {_W15}) "
+        f"THEN corr({a}, {b}) OVER {_W15} END AS corr_{a}_{b}" for a, b in (("s1", "s2"), ("s1", "s3"), ("s2", "s3")))
+    + f" FROM ({_filled_ev}) f", F1_OTHERS + flags(EV),
+    F1_DOUBLES + [f"corr_{a}_{b}" for a, b in (("s1", "s2"), ("s1", "s3"), ("s2", "s3"))])
+SQL["asset_median_impute"] = out(
+    f"SELECT f.* EXCLUDE (s1, s2), coalesce(f.s1, m.m1) AS s1, coalesce(f.s2, m.m2) AS s2 FROM ({o.F1_SQL}) f "
+    f"LEFT JOIN (SELECT asset_id, quantile_cont(s1, 0.5) AS m1, quantile_cont(s2, 0.5) AS m2 FROM ({o.F1_SQL}) g "
+    f"GROUP BY asset_id) m USING (asset_id)", F1_OTHERS, F1_DOUBLES)
