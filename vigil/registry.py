@@ -20,7 +20,7 @@ from vigil.operators import evaluate as ev
 from vigil.operators import features as fe
 from vigil.operators import profile as pr
 from vigil.operators import wrangle as wr
-from vigil.config import SILHOUETTE_SAMPLE
+from vigil.config import SILHOUETTE_SAMPLE, PipelineConfig
 from vigil.functions.vector import nearest
 from vigil.operators.cluster import (davies_bouldin, elbow_table, fit_gmm, fit_kmeans, fit_minibatch_kmeans,
                                      gmm_information, hash_sample, kmeans_fixed_init, lowest_key_centres,
@@ -31,7 +31,10 @@ from vigil.operators.score import (MixtureModel, add_score, assign_cluster, fit_
                                    predict_grouped, score_summary, threshold_3sigma, threshold_predict)
 from vigil.operators.split import SPLIT, cutoff_of, split_summary, temporal_folds, with_split
 from vigil.plans.order_stats import grouped_percentiles, percentiles
+from vigil.plans import jobs
 from vigil.sources import fixtures as fx
+from vigil.sources.store import load_model, write_scored
+from vigil.sources.telemetry import read_telemetry, write_telemetry_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -621,3 +624,76 @@ def q_ensemble_vote(spark, sf):
     both = predict_grouped(scored, thr, ["regime"], pred_col="pred_regime")
     voted = dr.ensemble_vote(both, ["anomaly_pred", "pred_regime"], rule="or", out="pred_vote")
     return r6(voted.select("event_id", "anomaly_pred", "pred_regime", "pred_vote"))
+
+
+# ---------------------------------------------------------------------------
+# Jobs, sources and sinks
+# ---------------------------------------------------------------------------
+
+def scratch_path(spark, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint directory."""
+    import uuid
+    from vigil.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+JOB_CONFIG = PipelineConfig(train_days=EV_TRAIN_DAYS, kmeans_n_clusters=3, model="lloyd", extra={"lloyd_steps": 5})
+
+
+@query("detect_anomalies_job")
+def q_detect_job(spark, sf):
+    """Train job (Lloyd, K=3) → model saved → loaded → score job; equals the flagship."""
+    f1 = fx.telemetry_events(spark, sf)
+    out = scratch_path(spark, "model")
+    jobs.train(f1, EV, JOB_CONFIG, key="event_id", out_dir=out)
+    model = load_model(spark, f"{out}/model")
+    scored = jobs.detect_anomalies(f1, model)
+    return r6(with_split(scored, EV, cutoff_of(f1, EV, EV_TRAIN_DAYS)).select(
+        "event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
+
+
+@query("only_anomalies_job")
+def q_only_anomalies_job(spark, sf):
+    f1 = fx.telemetry_events(spark, sf)
+    rep = jobs.train(f1, EV, JOB_CONFIG, key="event_id")
+    return r6(jobs.detect_anomalies(f1, rep.model, return_only_anomalies=True).select(
+        "event_id", "asset_id", "timestamp", "anomaly_score", "anomaly_pred"))
+
+
+@query("train_pipeline")
+def q_train_pipeline(spark, sf):
+    """Quick train (MLlib k-means, K = 5) with metrics per split (rows-only check)."""
+    f1 = fx.telemetry_events(spark, sf)
+    cfg = PipelineConfig(train_days=EV_TRAIN_DAYS, kmeans_n_init=2, kmeans_max_iter=50)
+    rep = jobs.train(f1, EV, cfg, quick=True, key="event_id")
+    return r6(rep.metrics)
+
+
+@query("metrics_sink")
+def q_metrics_sink(spark, sf):
+    f1 = fx.telemetry_events(spark, sf)
+    out = scratch_path(spark, "run")
+    jobs.train(f1, EV, JOB_CONFIG, key="event_id", out_dir=out)
+    return spark.read.json(f"{out}/metrics")
+
+
+@query("scored_tables")
+def q_scored_tables(spark, sf):
+    """Scored rows written partitioned by (split, date) and read back."""
+    f1 = fx.telemetry_events(spark, sf)
+    rep = jobs.train(f1, EV, JOB_CONFIG, key="event_id")
+    out = scratch_path(spark, "scored")
+    write_scored(rep.scored.select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"),
+                 out, "timestamp")
+    back = spark.read.parquet(out)
+    return r6(back.select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
+
+
+@query("telemetry_csv")
+def q_telemetry_csv(spark, sf):
+    """F1 written as CSV and read back through the typed telemetry reader (by column name)."""
+    f1 = fx.telemetry_events(spark, sf)
+    out = scratch_path(spark, "csv")
+    write_telemetry_csv(f1.select(*reversed(f1.columns)), out)   # any column order
+    back = read_telemetry(spark, out, "csv", schema=f1.schema)
+    return r6(back)

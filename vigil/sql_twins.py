@@ -439,3 +439,10 @@ SQL["asset_median_impute"] = out(
     f"SELECT f.* EXCLUDE (s1, s2), coalesce(f.s1, m.m1) AS s1, coalesce(f.s2, m.m2) AS s2 FROM ({o.F1_SQL}) f "
     f"LEFT JOIN (SELECT asset_id, quantile_cont(s1, 0.5) AS m1, quantile_cont(s2, 0.5) AS m2 FROM ({o.F1_SQL}) g "
     f"GROUP BY asset_id) m USING (asset_id)", F1_OTHERS, F1_DOUBLES)
+
+# --- jobs, sources, sinks --------------------------------------------------------------
+SQL["detect_anomalies_job"] = _flagship()
+SQL["only_anomalies_job"] = ("WITH " + ",\n".join(scored_ctes()) + "\nSELECT event_id, asset_id, timestamp, "
+                             "round(anomaly_score, 6) + 0.0 AS anomaly_score, anomaly_pred FROM scored WHERE anomaly_pred = 1")
+SQL["scored_tables"] = _flagship()
+SQL["telemetry_csv"] = out(o.F1_SQL, F1_OTHERS, F1_DOUBLES)
