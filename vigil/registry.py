@@ -35,6 +35,7 @@ from vigil.plans import jobs
 from vigil.sources import fixtures as fx
 from vigil.sources.store import load_model, write_scored
 from vigil.sources.telemetry import read_telemetry, write_telemetry_csv
+from vigil.streaming import replay, stream_anomaly_rate, stream_score
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -697,3 +698,44 @@ def q_telemetry_csv(spark, sf):
     write_telemetry_csv(f1.select(*reversed(f1.columns)), out)   # any column order
     back = read_telemetry(spark, out, "csv", schema=f1.schema)
     return r6(back)
+
+
+# ---------------------------------------------------------------------------
+# Structured Streaming (ST1, ST2)
+# ---------------------------------------------------------------------------
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """Causal model trained in batch; F1 replayed as a stream in 6 event-time slices."""
+    f1 = fx.telemetry_events(spark, sf)
+    rep = jobs.train(f1, EV, JOB_CONFIG.with_(causal_fill=True), key="event_id")
+    src, sink = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-out")
+    f1.limit(0).write.parquet(src)
+    stream = spark.readStream.schema(f1.schema).parquet(src)
+    scored = stream_score(stream, rep.model, out_columns=["event_id", "asset_id", "timestamp"])
+    q = (scored.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", sink + "-ckpt").outputMode("append").start())
+    try:
+        replay(spark, f1, "timestamp", 6, src, q.processAllAvailable)
+    finally:
+        q.stop()
+    out = with_split(spark.read.parquet(sink), EV, rep.cutoff)
+    return r6(out.select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
+
+
+@query("stream_anomaly_rate")
+def q_stream_anomaly_rate(spark, sf):
+    """Hourly anomaly rate per asset over the evaluation rows replayed as a stream."""
+    import uuid
+    rows = eval_input(spark, sf).select("event_id", "asset_id", "timestamp", "anomaly_pred")
+    src = scratch_path(spark, "rate-src")
+    rows.limit(0).write.parquet(src)
+    stream = spark.readStream.schema(rows.schema).parquet(src)
+    name = f"rate_{uuid.uuid4().hex[:10]}"
+    agg = stream_anomaly_rate(stream, "timestamp", "asset_id")
+    q = agg.writeStream.format("memory").queryName(name).outputMode("complete").start()
+    try:
+        replay(spark, rows, "timestamp", 3, src, q.processAllAvailable)
+    finally:
+        q.stop()
+    return r6(spark.table(name))

@@ -26,12 +26,12 @@ def flags(spec):
 
 # --- flagship ------------------------------------------------------------------------
 
-def scored_ctes(k: int = 3, steps: int = 5, p: float = 0.99) -> list[str]:
+def scored_ctes(k: int = 3, steps: int = 5, p: float = 0.99, causal: bool = False) -> list[str]:
     """CTEs ending in ``scored`` (F1 columns + split, cluster, anomaly_score, anomaly_pred)."""
     feats = o.feature_list(EV)
     fl = ", ".join(feats)
     ctes = [
-        f"feats AS ({o.split_sql(o.events_features_sql(), EV, 21)})",
+        f"feats AS ({o.split_sql(o.events_features_sql(causal=causal), EV, 21)})",
         f"scaled AS ({o.scaled_sql('SELECT * FROM feats', feats)})",
         "allpts AS (SELECT row_number() OVER (ORDER BY event_id) AS _rid, * FROM scaled)",
         f"pts AS (SELECT _rid, event_id, {fl} FROM allpts WHERE split = 'train')",
@@ -51,8 +51,8 @@ def scored_ctes(k: int = 3, steps: int = 5, p: float = 0.99) -> list[str]:
     return ctes
 
 
-def _flagship(k: int = 3, steps: int = 5, p: float = 0.99) -> str:
-    return ("WITH " + ",\n".join(scored_ctes(k, steps, p)) + "\nSELECT event_id, asset_id, timestamp, split, "
+def _flagship(k: int = 3, steps: int = 5, p: float = 0.99, causal: bool = False) -> str:
+    return ("WITH " + ",\n".join(scored_ctes(k, steps, p, causal)) + "\nSELECT event_id, asset_id, timestamp, split, "
             "round(anomaly_score, 6) + 0.0 AS anomaly_score, anomaly_pred FROM scored")
 
 
@@ -446,3 +446,11 @@ SQL["only_anomalies_job"] = ("WITH " + ",\n".join(scored_ctes()) + "\nSELECT eve
                              "round(anomaly_score, 6) + 0.0 AS anomaly_score, anomaly_pred FROM scored WHERE anomaly_pred = 1")
 SQL["scored_tables"] = _flagship()
 SQL["telemetry_csv"] = out(o.F1_SQL, F1_OTHERS, F1_DOUBLES)
+
+# --- streaming -------------------------------------------------------------------------
+SQL["stream_score"] = _flagship(causal=True)
+SQL["stream_anomaly_rate"] = (f"SELECT date_trunc('hour', timestamp) AS window_start, "
+                              f"date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS window_end, asset_id, count(*) AS n_rows, "
+                              f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE))', 'rate')}, "
+                              f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE)) - 0.010000000000000009', 'excess')} "
+                              f"FROM ({E_R}) e GROUP BY ALL")
