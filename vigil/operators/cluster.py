@@ -64,6 +64,21 @@ def inertia(points: DataFrame, model: CentroidModel) -> float:
     return float(points.agg(F.sum(d2).alias("i")).first()["i"] or 0.0)
 
 
+ROWS_PER_FIT_PARTITION = 250_000
+
+
+def fit_input(df: DataFrame, cols: Sequence[str], n_parts: int | None = None) -> DataFrame:
+    """Assembled vectors, checkpointed, in a partition count fixed by the row count (MLlib's
+    result for a seed depends on the partitioning, so it must not drift with AQE)."""
+    if n_parts is None:
+        spark = df.sparkSession
+        cap = max(spark.sparkContext.defaultParallelism,
+                  int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows = df.count()
+        n_parts = max(1, min(cap, -(-rows // ROWS_PER_FIT_PARTITION)))
+    return stable(_assemble(df, cols).repartition(n_parts))
+
+
 def _assemble(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(df.select(*cols))
@@ -78,8 +93,7 @@ def fit_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, ma
     """
     from pyspark.ml.clustering import KMeans
 
-    n = n_parts or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    vec = stable(_assemble(train, cols).repartition(n))
+    vec = fit_input(train, cols, n_parts)
     best = None
     for i in range(n_init):
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)
@@ -129,7 +143,7 @@ def fit_gmm(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, max_i
     log-likelihood recomputed from our own log-density (MLlib floors small densities)."""
     from pyspark.ml.clustering import GaussianMixture
 
-    vec = stable(_assemble(train, cols))
+    vec = fit_input(train, cols)
     best = None
     for i in range(n_init):
         m = GaussianMixture(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)

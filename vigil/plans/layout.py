@@ -72,7 +72,7 @@ def positional_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column
                                        - F.col("_m0")).alias("_delta"))
     bound = None if (keys and n_keys is None) else (n_keys or 0) + n
     out = join_small(tagged, delta, [*keys, _PID], bound)
-    return out.withColumn(pos_col, F.col(_MID) + F.col("_delta")).drop(_MID, _PID, "_delta")
+    return out.select(*df.columns, (F.col(_MID) + F.col("_delta")).alias(pos_col))
 
 
 @dataclass(frozen=True)
@@ -137,14 +137,32 @@ def plan_series(df: DataFrame, asset: str, order: Sequence[str], back: int, ahea
     return out, SeriesLayout((asset, CHUNK), (POS,), True)
 
 
+# Groups up to this many rows may be handled by one task (one window partition, one exact
+# percentile buffer): the size is measured first, like a broadcast threshold.
+LOCAL_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the largest group (one aggregate; 0 for an empty input)."""
+    if keys:
+        row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    else:
+        row = df.agg(F.count(F.lit(1)).alias("m")).first()
+    return int(row["m"] or 0)
+
+
 def running_totals(df: DataFrame, order: Sequence[Column | str], values: Sequence[str],
                    keys: Sequence[str] = (), suffix: str = "_cum", chunk_rows: int = 1_000_000,
-                   n_parts: int | None = None) -> DataFrame:
+                   n_parts: int | None = None, local_rows: int | None = LOCAL_GROUP_ROWS) -> DataFrame:
     """Inclusive running sums of ``values`` along ``order`` (total order) inside ``keys``.
 
-    No task ever holds more than ``chunk_rows`` rows of one key, whatever the skew.
+    If every group is measured at ≤ ``local_rows`` rows, one ordered window per group does
+    it; otherwise no task ever holds more than ``chunk_rows`` rows of one key.
     """
     keys = list(keys)
+    if local_rows and largest_group(df, keys) <= local_rows:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(v).over(w).alias(f"{v}{suffix}") for v in values])
     idx = positional_index(df, keys, order, n_parts=n_parts)
     idx = idx.withColumn(CHUNK, F.floor(F.col(POS) / F.lit(chunk_rows)).cast("bigint"))
     totals = idx.groupBy(*keys, CHUNK).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])

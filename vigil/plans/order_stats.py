@@ -14,12 +14,12 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.plans.layout import POS, join_small, positional_index
+from vigil.plans.layout import LOCAL_GROUP_ROWS, POS, join_small, largest_group, positional_index
 
 
 def grouped_percentiles(df: DataFrame, value: str, ps: Sequence[float], keys: Sequence[str] = (),
                         approx: bool = False, accuracy: int = 100_000,
-                        n_keys: int | None = None) -> DataFrame:
+                        n_keys: int | None = None, local_rows: int | None = LOCAL_GROUP_ROWS) -> DataFrame:
     """One row per (keys, p) with ``percentile`` = the p-quantile (p in [0, 1]) of ``value``.
 
     Nulls are ignored. Output columns: *keys, p, percentile.
@@ -33,6 +33,12 @@ def grouped_percentiles(df: DataFrame, value: str, ps: Sequence[float], keys: Se
         agg = vals.groupBy(*keys).agg(F.percentile_approx("_v", ps_col, accuracy).alias("_q"))
         return agg.select(*keys, F.posexplode("_q").alias("_i", "percentile")).select(
             *keys, ps_col[F.col("_i")].alias("p"), "percentile")
+    if local_rows and largest_group(vals, keys) <= local_rows:
+        # measured bound: Spark's exact percentile (same interpolation) in one buffer per group
+        agg = vals.groupBy(*keys).agg(F.percentile("_v", ps_col).alias("_q"))
+        return agg.filter(F.col("_q").isNotNull()).select(
+            *keys, F.posexplode("_q").alias("_i", "percentile")).select(
+            *keys, ps_col[F.col("_i")].alias("p"), "percentile")
     counts = vals.groupBy(*keys).agg(F.count("_v").alias("_n"),
                                      (F.count(F.lit(1)) - F.count("_v")).alias("_nulls"))
     wanted = (counts.filter(F.col("_n") > 0)
