@@ -739,3 +739,70 @@ def q_stream_anomaly_rate(spark, sf):
     finally:
         q.stop()
     return r6(spark.table(name))
+
+
+# ---------------------------------------------------------------------------
+# Single-operator forms of W6, W8, M1, M9, M12, S4, S5
+# ---------------------------------------------------------------------------
+
+@query("local_zscore")
+def q_local_zscore(spark, sf):
+    feats = fe.wrangle_and_features(fx.telemetry_events(spark, sf), EV)
+    return r6(feats.select("event_id", *[f"{s}_zscore" for s in EV.sensors]))
+
+
+@query("lookahead_check")
+def q_lookahead_check(spark, sf):
+    """Causal features of rows up to t are identical whether or not later rows exist:
+    (rows compared, rows that differ) with t = the 60th-percentile timestamp."""
+    f1 = fx.telemetry_events(spark, sf)
+    t = f1.select(F.percentile(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.6).alias("t")).first()["t"]
+    cut = F.unix_micros(F.col("timestamp").cast("timestamp")) <= F.lit(int(t))
+    names = fe.derived_names(EV.sensors)
+    full = fe.wrangle_and_features(f1, EV, causal=True).filter(cut).select("event_id", *names)
+    trunc = fe.wrangle_and_features(f1.filter(cut), EV, causal=True).select(
+        "event_id", *[F.col(n).alias(f"t_{n}") for n in names])
+    j = full.join(trunc, "event_id", "full")
+    differs = None
+    for n in names:
+        d = ~F.col(n).eqNullSafe(F.col(f"t_{n}"))
+        differs = d if differs is None else differs | d
+    return j.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(differs.cast("long")).alias("n_differ"))
+
+
+@query("standardize")
+def q_standardize(spark, sf):
+    feats, cols = events_model_input(spark, sf)
+    scaler = fit_scaler(feats.filter(F.col(SPLIT) == "train"), cols)
+    return r6(scaler.transform(feats).select("event_id", SPLIT, *cols))
+
+
+@query("fit_threshold")
+def q_fit_threshold(spark, sf):
+    """p99 of the flagship model's train scores (one row)."""
+    scored = events_scored(spark, sf)
+    t = fit_threshold(scored.filter(F.col(SPLIT) == "train"), 99.0)
+    n = scored.groupBy(SPLIT).agg(F.sum("anomaly_pred").cast("long").alias("n_pred"),
+                                  F.count(F.lit(1)).alias("n_rows"))
+    return r6(n.withColumn("threshold", F.lit(t)))
+
+
+@query("select_k")
+def q_select_k(spark, sf):
+    """K search with the sampled Euclidean silhouette: best K and the table (rows-only)."""
+    v = fx.vectors(spark, sf)
+    best, res = select_k(v, fx.vector_columns(), "vec_id", (2, 3, 4, 5),
+                         fit=lambda d, c, k: fit_kmeans(d, c, k, seed=42, max_iter=30, n_init=1))
+    return r6(elbow_table(spark, res).withColumn("best", (F.col("k") == best).cast("int")))
+
+
+@query("model_sink")
+def q_model_sink(spark, sf):
+    """Train, persist, and read the persisted centre table back (rows-only)."""
+    f1 = fx.telemetry_events(spark, sf)
+    out = scratch_path(spark, "model")
+    jobs.train(f1, EV, JOB_CONFIG, key="event_id", out_dir=out)
+    return r6(spark.read.parquet(f"{out}/model/centres"))
+
+
+QUERIES["model_source"] = q_detect_job

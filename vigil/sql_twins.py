@@ -454,3 +454,13 @@ SQL["stream_anomaly_rate"] = (f"SELECT date_trunc('hour', timestamp) AS window_s
                               f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE))', 'rate')}, "
                               f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE)) - 0.010000000000000009', 'excess')} "
                               f"FROM ({E_R}) e GROUP BY ALL")
+
+# --- single-operator forms ------------------------------------------------------------
+SQL["local_zscore"] = out(o.events_features_sql(), ["event_id"], [f"{s}_zscore" for s in EV.sensors])
+SQL["lookahead_check"] = (f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differ FROM ({o.F1_SQL}) f "
+                          f"WHERE epoch_us(timestamp) <= (SELECT quantile_cont(epoch_us(timestamp), 0.6) FROM ({o.F1_SQL}) g)")
+_FEATS = o.feature_list(EV)
+SQL["standardize"] = out(o.scaled_sql(o.split_sql(o.events_features_sql(), EV, 21), _FEATS), ["event_id", "split"], _FEATS)
+SQL["fit_threshold"] = (_SC + "SELECT split, CAST(sum(anomaly_pred) AS BIGINT) AS n_pred, count(*) AS n_rows, "
+                        f"{o.r6('max(t)', 'threshold')} FROM scored, thr GROUP BY split")
+SQL["model_source"] = _flagship()
