@@ -107,20 +107,30 @@ def fit_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, ma
 def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42,
                          batch_size: int = 4096, max_iter: int = 300, tol: float = 0.0,
                          key: str | None = None) -> tuple[CentroidModel, float]:
-    """Mini-batch k-means: each step draws ~``batch_size`` rows by hash sampling, assigns
-    them, and moves each centre toward its batch mean with per-centre learning rate
-    1 / (points seen so far). Initial centres: k-means|| from MLlib on one small batch."""
-    pts = stable(train.select(*cols, *( [key] if key else [])))
-    n = pts.count()
+    """Mini-batch k-means. Rows are hashed once into ``n_batches`` slices, written to the
+    shared checkpoint folder partitioned by slice, so each step reads one slice by partition
+    pruning (never a scan of all rows). A step assigns its slice and moves each centre
+    toward the slice mean with per-centre learning rate 1 / (points seen so far).
+    Initial centres: MLlib k-means|| on the first slice."""
+    import uuid
+
+    from vigil.session import ensure_checkpoint_dir
+
+    spark = train.sparkSession
+    hashed = F.xxhash64(*([F.col(key)] if key else [F.col(c) for c in cols]), F.lit(seed))
+    n = train.count()
     if n == 0:
         raise ValueError("no train rows")
-    frac = min(1.0, batch_size / n)
-    init_batch = pts.sample(False, min(1.0, max(frac, k * 10 / n)), seed)
-    model0, _ = fit_kmeans(init_batch, cols, k, seed=seed, max_iter=20, n_init=1)
+    n_batches = max(1, min(max_iter, -(-n // batch_size)))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/minibatch-{uuid.uuid4().hex[:12]}"
+    (train.select(*cols, F.pmod(hashed, F.lit(n_batches)).cast("int").alias("_b"))
+     .repartition("_b").write.partitionBy("_b").parquet(path))
+    slices = spark.read.parquet(path)
+    model0, _ = fit_kmeans(slices.filter(F.col("_b") == 0), cols, k, seed=seed, max_iter=20, n_init=1)
     centres = [list(c) for c in model0.centres]
     counts = [0] * k
     for step in range(max_iter):
-        batch = pts.sample(False, frac, seed + 1 + step)
+        batch = slices.filter(F.col("_b") == step % n_batches)
         near = nearest(cols, centres)
         rows = (batch.select(near.getField("cluster").alias("_c"), *cols).groupBy("_c")
                 .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in cols]).collect())
@@ -134,7 +144,7 @@ def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: in
         if tol and shift < tol:
             break
     model = CentroidModel(tuple(cols), tuple(tuple(c) for c in centres), kind="minibatch")
-    return model, inertia(pts, model)
+    return model, inertia(slices, model)
 
 
 def fit_gmm(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, max_iter: int = 200,
