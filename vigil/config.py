@@ -106,7 +106,7 @@ class PipelineConfig:
     k_default: int = K_DEFAULT
     model: str = "kmeans"                 # "kmeans" | "minibatch" | "gmm"
     kmeans_max_iter: int = 500
-    kmeans_n_init: int = 10
+    kmeans_n_init: int = 1                # the reference pipeline's default fit is one init
     gmm_max_iter: int = 200
     gmm_n_init: int = 3
     silhouette_sample: int = SILHOUETTE_SAMPLE

@@ -85,7 +85,8 @@ def _assemble(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fit_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, max_iter: int = 500,
-               n_init: int = 10, tol: float = 1e-4, n_parts: int | None = None) -> tuple[CentroidModel, float]:
+               n_init: int = 10, tol: float = 1e-4, n_parts: int | None = None,
+               vec: DataFrame | None = None) -> tuple[CentroidModel, float]:
     """Distributed Lloyd (MLlib, k-means|| init) over ``n_init`` seeds; keeps the lowest cost.
 
     The input is repartitioned to a fixed count first: MLlib's result depends on the
@@ -93,7 +94,7 @@ def fit_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, ma
     """
     from pyspark.ml.clustering import KMeans
 
-    vec = fit_input(train, cols, n_parts)
+    vec = vec if vec is not None else fit_input(train, cols, n_parts)
     best = None
     for i in range(n_init):
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)
@@ -267,12 +268,19 @@ def select_k(train: DataFrame, cols: Sequence[str], key: str, k_range: Sequence[
              fit: Callable[[DataFrame, Sequence[str], int], tuple] | None = None,
              sample_size: int = 5000, seed: int = 42) -> tuple[int, list[KResult]]:
     """Fit each K, score it by the sampled Euclidean silhouette; best = first maximum."""
-    fit = fit or (lambda d, c, k: fit_kmeans(d, c, k, seed=seed))
+    from concurrent.futures import ThreadPoolExecutor
+
     base = stable(train.select(key, *cols))
+    if fit is None:
+        vec = fit_input(base, cols)
+        fit = (lambda d, c, k: fit_kmeans(d, c, k, seed=seed, vec=vec))
     sample = stable(hash_sample(base, key, sample_size, seed))
+    # The fits are independent jobs: submit them concurrently so small fits share the cores
+    # (on a cluster they interleave under the fair scheduler).
+    with ThreadPoolExecutor(max_workers=max(1, min(len(k_range), 8))) as pool:
+        fitted = list(pool.map(lambda k: (k, fit(base, cols, k)), k_range))
     results, labelled = [], sample
-    for k in k_range:
-        model, cost = fit(base, cols, k)
+    for k, (model, cost) in fitted:
         labelled = labelled.withColumn(f"_k{k}", model.assign_expr())
         results.append(KResult(k, float("nan"), cost if isinstance(model, CentroidModel) else None, model))
     sils = silhouette_by_label(labelled, cols, [f"_k{k}" for k in k_range], key)

@@ -102,7 +102,7 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
         mcols = projection.output_columns
     pts = checkpointed(space.filter(is_train).select(key, *mcols))
 
-    fit = _fitter(config, key)
+    fit = _fitter(config, key, cl.fit_input(pts, mcols) if config.model == "kmeans" else None)
     k_results = []
     if config.kmeans_n_clusters is not None:
         best_k = config.kmeans_n_clusters
@@ -111,8 +111,12 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
     else:
         best_k, k_results = cl.select_k(pts, mcols, key, config.k_range, fit=fit,
                                         sample_size=config.silhouette_sample, seed=config.random_state)
-    clusterer, cost = fit(pts, mcols, best_k)
-    sil = next((r.silhouette for r in k_results if r.k == best_k), None)
+    chosen = next((r for r in k_results if r.k == best_k), None)
+    if chosen is not None:      # same seed and partitioning: a refit would return this model
+        clusterer, cost = chosen.model, chosen.inertia
+    else:
+        clusterer, cost = fit(pts, mcols, best_k)
+    sil = chosen.silhouette if chosen is not None else None
 
     scored = add_score(space, clusterer, cluster_col="cluster")
     threshold = fit_threshold(scored.filter(is_train), config.threshold_percentile,
@@ -140,11 +144,12 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
     return report
 
 
-def _fitter(config: PipelineConfig, key: str):
+def _fitter(config: PipelineConfig, key: str, vec: DataFrame | None = None):
+    """Fit function (train rows, columns, K) → (model, cost); ``vec`` = shared MLlib input."""
     seed = config.random_state
     if config.model == "kmeans":
         return lambda d, c, k: cl.fit_kmeans(d, c, k, seed=seed, max_iter=config.kmeans_max_iter,
-                                             n_init=config.kmeans_n_init)
+                                             n_init=config.kmeans_n_init, vec=vec)
     if config.model == "minibatch":
         return lambda d, c, k: cl.fit_minibatch_kmeans(d, c, k, seed=seed)
     if config.model == "gmm":
