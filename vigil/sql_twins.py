@@ -464,3 +464,11 @@ SQL["standardize"] = out(o.scaled_sql(o.split_sql(o.events_features_sql(), EV, 2
 SQL["fit_threshold"] = (_SC + "SELECT split, CAST(sum(anomaly_pred) AS BIGINT) AS n_pred, count(*) AS n_rows, "
                         f"{o.r6('max(t)', 'threshold')} FROM scored, thr GROUP BY split")
 SQL["model_source"] = _flagship()
+SQL["ensemble_vote"] = (_SC.rstrip() + """, th AS (SELECT regime, quantile_cont(anomaly_score, 0.99) AS threshold
+  FROM scored WHERE split = 'train' GROUP BY regime),
+v AS (SELECT s.event_id, s.anomaly_pred, coalesce(CAST(s.anomaly_score >= th.threshold AS INTEGER), 0) AS pred_regime
+  FROM scored s LEFT JOIN th USING (regime))
+SELECT event_id, anomaly_pred, pred_regime, CAST(anomaly_pred + pred_regime > 0 AS INTEGER) AS pred_vote FROM v""")
+SQL["model_sink"] = (_SC + " UNION ALL ".join(
+    f"SELECT cid, CAST({i} AS INTEGER) AS idx, {o.r6('c_' + c, 'value')} FROM centres5"
+    for i, c in enumerate(o.feature_list(EV))))
