@@ -85,3 +85,21 @@ def test_percentiles_both_paths_equal_numpy(spark, local_rows):
     for (g, p), row in got.set_index(["g", "p"]).iterrows():
         x = pdf.loc[pdf.g == g, "x"].dropna().to_numpy()
         assert abs(row["percentile"] - np.percentile(x, p * 100)) < 1e-12
+
+
+def test_only_hot_assets_are_chunked(spark):
+    f1 = fx.telemetry_events(spark, SF_SMALL)
+    counts = sorted(r[0] for r in f1.groupBy("asset_id").count().select("count").collect())
+    limit = counts[len(counts) // 2]          # about half the assets are "hot"
+    mixed = wrangle_and_features(f1, EVENTS_SPEC, max_series_rows=limit, chunk_rows=30)
+    plain = wrangle_and_features(f1, EVENTS_SPEC, force_chunks=False)
+    a, b = _frame(mixed, "event_id"), _frame(plain, "event_id")
+    assert len(a) == len(b)
+    num = a.select_dtypes("number").columns
+    assert np.allclose(a[num].to_numpy(float), b[num].to_numpy(float), atol=1e-9, equal_nan=True)
+
+
+def test_fixture_row_numbers_with_hot_keys(spark):
+    plain = fx.telemetry_events(spark, SF_SMALL).toPandas().sort_values("event_id").reset_index(drop=True)
+    hot = fx.telemetry_events(spark, SF_SMALL, max_series_rows=60).toPandas().sort_values("event_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(plain, hot[plain.columns])

@@ -103,24 +103,17 @@ def series_stats(df: DataFrame, asset: str) -> tuple[int, int]:
     return int(row["mx"] or 0), int(row["k"] or 0)
 
 
-def plan_series(df: DataFrame, asset: str, order: Sequence[str], back: int, ahead: int,
-                max_series_rows: int | None = 4_000_000, chunk_rows: int = 1_000_000,
-                force_chunks: bool | None = None) -> tuple[DataFrame, SeriesLayout]:
-    """Choose the layout for series windows reaching ``back`` rows back, ``ahead`` ahead.
+def hot_keys(df: DataFrame, asset: str, max_series_rows: int) -> tuple[DataFrame, int]:
+    """Assets with more than ``max_series_rows`` rows, and how many there are. The table has
+    at most rows / max_series_rows entries, so it is a bounded broadcast side."""
+    hot = (df.groupBy(asset).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > max_series_rows).select(asset))
+    hot = checkpointed(hot)
+    return hot, hot.count()
 
-    ``force_chunks=None`` measures the longest series first (cheap, one column) and chunks
-    only when it exceeds ``max_series_rows``; ``True``/``False`` skip the measurement.
-    """
-    n_keys = None
-    chunk = force_chunks
-    if chunk is None:
-        if max_series_rows is None:
-            chunk = False
-        else:
-            longest, n_keys = series_stats(df, asset)
-            chunk = longest > max_series_rows
-    if not chunk:
-        return df, SeriesLayout((asset,), tuple(order), False)
+
+def _chunk(df: DataFrame, asset: str, order: Sequence[str], back: int, ahead: int, chunk_rows: int,
+           n_keys: int | None = None) -> tuple[DataFrame, SeriesLayout]:
     if chunk_rows < back + ahead + 1:
         raise ValueError("chunk_rows must exceed the halo (back + ahead)")
     idx = positional_index(df, [asset], list(order), n_keys=n_keys)
@@ -137,6 +130,28 @@ def plan_series(df: DataFrame, asset: str, order: Sequence[str], back: int, ahea
     return out, SeriesLayout((asset, CHUNK), (POS,), True)
 
 
+def plan_series(df: DataFrame, asset: str, order: Sequence[str], back: int, ahead: int,
+                max_series_rows: int | None = 4_000_000, chunk_rows: int = 1_000_000,
+                force_chunks: bool | None = None) -> list[tuple[DataFrame, SeriesLayout]]:
+    """Split ``df`` into parts, each with the layout its series windows run under.
+
+    ``force_chunks=None`` measures series lengths first (one aggregate on the asset column).
+    Only assets longer than ``max_series_rows`` are chunked (with a halo of ``back`` rows
+    before and ``ahead`` after); all other assets keep the plain one-shuffle layout.
+    """
+    plain = SeriesLayout((asset,), tuple(order), False)
+    if force_chunks is True:
+        return [_chunk(df, asset, order, back, ahead, chunk_rows)]
+    if force_chunks is False or max_series_rows is None:
+        return [(df, plain)]
+    hot, n_hot = hot_keys(df, asset, max_series_rows)
+    if n_hot == 0:
+        return [(df, plain)]
+    cold_part = join_small(df, hot, asset, n_hot, "left_anti")
+    hot_part = join_small(df, hot, asset, n_hot, "left_semi")
+    return [(cold_part, plain), _chunk(hot_part, asset, order, back, ahead, chunk_rows, n_keys=n_hot)]
+
+
 # Groups up to this many rows may be handled by one task (one window partition, one exact
 # percentile buffer): the size is measured first, like a broadcast threshold.
 LOCAL_GROUP_ROWS = 2_000_000
@@ -178,6 +193,9 @@ def running_totals(df: DataFrame, order: Sequence[Column | str], values: Sequenc
 
 def apply_series(df: DataFrame, asset: str, order: Sequence[str], back: int, ahead: int,
                  build: Callable[[DataFrame, SeriesLayout], DataFrame], **plan_kw) -> DataFrame:
-    """Run ``build(df, layout)`` (window expressions) under the chosen layout."""
-    laid, layout = plan_series(df, asset, order, back, ahead, **plan_kw)
-    return layout.finish(build(laid, layout))
+    """Run ``build(df, layout)`` (window expressions) under the chosen layout(s)."""
+    out = None
+    for part, layout in plan_series(df, asset, order, back, ahead, **plan_kw):
+        res = layout.finish(build(part, layout))
+        out = res if out is None else out.unionByName(res)
+    return out

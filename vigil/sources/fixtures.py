@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.plans.layout import POS, positional_index, series_stats
+from vigil.plans.layout import POS, hot_keys, join_small, positional_index
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,21 +25,25 @@ def with_row_numbers(df: DataFrame, key: str, order: list, max_series_rows: int
                      rn: str = "rn", n: str = "_n") -> DataFrame:
     """Add 1-based ``rn`` along ``order`` inside ``key`` and the series length ``n``.
 
-    Uses one per-key window when series are short; otherwise the range-partitioned
-    positional index, so a hot key is spread over many tasks.
+    Keys up to ``max_series_rows`` rows use one per-key window; longer (hot) keys use the
+    range-partitioned positional index, so a hot key is spread over many tasks.
     """
-    hot = False
-    n_keys = None
-    if max_series_rows is not None:
-        longest, n_keys = series_stats(df, key)
-        hot = longest > max_series_rows
-    if not hot:
+    def plain(d):
         w = Window.partitionBy(key).orderBy(*order)
-        return (df.withColumn(rn, F.row_number().over(w).cast("bigint"))
+        return (d.withColumn(rn, F.row_number().over(w).cast("bigint"))
                 .withColumn(n, F.count(F.lit(1)).over(Window.partitionBy(key))))
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(n))
-    idx = positional_index(df, [key], order, n_keys=n_keys)
-    return idx.withColumn(rn, F.col(POS) + 1).drop(POS).join(counts, key)
+
+    if max_series_rows is None:
+        return plain(df)
+    hot, n_hot = hot_keys(df, key, max_series_rows)
+    if n_hot == 0:
+        return plain(df)
+    cold = plain(join_small(df, hot, key, n_hot, "left_anti"))
+    hot_rows = join_small(df, hot, key, n_hot, "left_semi")
+    counts = hot_rows.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+    idx = positional_index(hot_rows, [key], order, n_keys=n_hot)
+    hot_out = join_small(idx.withColumn(rn, F.col(POS) + 1).drop(POS), counts, key, n_hot)
+    return cold.unionByName(hot_out.select(*cold.columns))
 
 
 def telemetry_events(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
