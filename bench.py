@@ -17,7 +17,6 @@ sys.path.insert(0, ROOT)
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    from pyspark.sql import functions as F
 
     from vigil.config import EVENTS_SPEC as EV, LINEITEM_SPEC as LI, PipelineConfig
     from vigil.operators import evaluate as ev

@@ -6,14 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from vigil.config import EVENTS_SPEC, PipelineConfig
+from vigil.config import EVENTS_SPEC
 from vigil.operators.features import wrangle_and_features
 from vigil.operators.profile import assert_contract, column_contract, input_contract
 from vigil.plans import jobs
 from vigil.plans.order_stats import grouped_percentiles
 from vigil.registry import JOB_CONFIG, scratch_path
 from vigil.sources import fixtures as fx
-from vigil.sources.telemetry import read_telemetry, write_telemetry_csv
+from vigil.sources.telemetry import read_telemetry
 
 
 def plan_of(df) -> str:

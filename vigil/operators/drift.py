@@ -8,7 +8,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.plans.layout import running_totals
+from vigil.plans.layout import join_small, running_totals
+from vigil.session import checkpointed
 from vigil.plans.order_stats import grouped_percentiles
 
 
@@ -101,7 +102,7 @@ def asset_median_impute(df: DataFrame, asset: str, columns: Sequence[str]) -> Da
         [asset], list(columns), "sensor", "value")
     med = grouped_percentiles(long, "value", [0.5], keys=[asset, "sensor"])
     wide = med.groupBy(asset).pivot("sensor", list(columns)).agg(F.first("percentile"))
-    wide = wide.select(asset, *[F.col(c).alias(f"_med_{c}") for c in columns])
-    j = df.join(wide, asset, "left")
+    wide = checkpointed(wide.select(asset, *[F.col(c).alias(f"_med_{c}") for c in columns]))
+    j = join_small(df, wide, asset, wide.count(), "left")
     return j.select(*[F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) if c in columns else F.col(c)
                       for c in df.columns])

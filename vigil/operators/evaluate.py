@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.plans.layout import running_totals
+from vigil.plans.layout import join_small, running_totals
+from vigil.session import checkpointed
 
 METRICS = ["precision", "recall", "f1", "roc_auc", "pr_auc", "n_anomalies_predicted",
            "n_anomalies_true", "fault_code_recall", "tn", "fp", "fn", "tp"]
@@ -24,13 +25,6 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(num.cast("double") / den)
 
 
-def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Group keys for the joins of 1-row-per-group tables; a constant key when ungrouped."""
-    if keys:
-        return df, list(keys)
-    return df.withColumn("_all", F.lit(1)), ["_all"]
-
-
 def confusion(df: DataFrame, label: str = "anomaly_label", pred: str = "anomaly_pred",
               keys: Sequence[str] = ()) -> DataFrame:
     """tn, fp, fn, tp per group (always all four)."""
@@ -151,9 +145,11 @@ def score_histogram(df: DataFrame, score: str = "anomaly_score", keys: Sequence[
                          F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
                          F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi"))
     if keys:
-        j = df.select(*keys, s.alias("_s")).join(stats, list(keys))
+        stats = checkpointed(stats)          # one row per group: counted, broadcast under the bound
+        j = join_small(df.select(*keys, s.alias("_s")), stats, list(keys), stats.count())
     else:
-        j = df.select(F.lit(1).alias("_all"), s.alias("_s")).join(stats.withColumn("_all", F.lit(1)), "_all")
+        j = join_small(df.select(F.lit(1).alias("_all"), s.alias("_s")), stats.withColumn("_all", F.lit(1)),
+                       "_all", 1)
     b = F.least(F.floor((F.col("_s") - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))),
                  F.lit(bins - 1)).cast("int")
     gk = list(keys) if keys else ["_all"]

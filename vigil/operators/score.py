@@ -10,7 +10,7 @@ Thresholds are percentiles of train scores (exact, via the distributed order sta
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Sequence
 
 import numpy as np
@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.vector import gaussian_log_terms, logsumexp, nearest, nearest_distance
+from vigil.plans.layout import join_small
 from vigil.plans.order_stats import grouped_percentiles, percentile, percentiles
+from vigil.session import checkpointed
 
 SCORE = "anomaly_score"
 PRED = "anomaly_pred"
@@ -54,7 +56,6 @@ class MixtureModel:
     covs: tuple[tuple[tuple[float, ...], ...], ...]
     ridge: float = 1e-6
     kind: str = "gmm"
-    _chol: tuple = field(default=(), compare=False, repr=False)
 
     @property
     def k(self) -> int:
@@ -87,7 +88,8 @@ class MixtureModel:
         cands = [F.struct((-t).alias("nl"), F.lit(k).alias("cluster")) for k, t in enumerate(terms)]
         return (cands[0] if len(cands) == 1 else F.least(*cands)).getField("cluster")
 
-    def log_density_np(self, X: np.ndarray) -> np.ndarray:
+    def log_density_np(self, X: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log p(x), most likely component) for a NumPy batch (Arrow-batch scoring path)."""
         precs, dets = self.factors()
         d = X.shape[1]
         parts = []
@@ -168,9 +170,10 @@ def grouped_threshold(scored: DataFrame, keys: Sequence[str], p: float = 99.0, s
 
 def predict_grouped(scored: DataFrame, thresholds: DataFrame, keys: Sequence[str],
                     score_col: str = SCORE, pred_col: str = PRED) -> DataFrame:
-    """Join per-group thresholds (one row per group; AQE broadcasts when small) and predict.
-    Groups without a threshold (unseen in training) are never flagged."""
-    j = scored.join(thresholds, list(keys), "left")
+    """Join per-group thresholds (one row per group, counted first: broadcast only under the
+    bound) and predict. Groups without a threshold (unseen in training) are never flagged."""
+    thresholds = checkpointed(thresholds)
+    j = join_small(scored, thresholds, list(keys), thresholds.count(), "left")
     return j.withColumn(pred_col, F.coalesce((F.col(score_col) >= F.col("threshold")).cast("int"), F.lit(0)))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from vigil.config import EVENTS_SPEC, LINEITEM_SPEC, TelemetrySpec
+from vigil.config import EVENTS_SPEC, TelemetrySpec
 
 F1_SQL = """
 SELECT event_id, asset_id, timestamp, regime, load_pct,

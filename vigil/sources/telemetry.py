@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DataType, DoubleType, IntegerType, StringType, StructField, StructType,
+from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField, StructType,
                                TimestampNTZType)
 
 from vigil.config import REFERENCE_SPEC, TelemetrySpec
@@ -50,10 +50,6 @@ def read_telemetry(spark: SparkSession, path: str, fmt: str = "csv", schema: Str
     return nan_to_null(df, doubles)
 
 
-def field_types(df: DataFrame) -> dict[str, DataType]:
-    return {f.name: f.dataType for f in df.schema.fields}
-
-
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
