@@ -64,7 +64,7 @@ def inertia(points: DataFrame, model: CentroidModel) -> float:
     return float(points.agg(F.sum(d2).alias("i")).first()["i"] or 0.0)
 
 
-ROWS_PER_FIT_PARTITION = 250_000
+ROWS_PER_FIT_PARTITION = 50_000
 
 
 def fit_input(df: DataFrame, cols: Sequence[str], n_parts: int | None = None) -> DataFrame:
