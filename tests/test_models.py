@@ -130,3 +130,16 @@ def test_train_save_load_score_roundtrip(spark, tmp_path, model):
 def test_missing_model_raises(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_model(spark, str(tmp_path / "nothing"))
+
+
+def test_train_contract_and_metrics_sink(spark, tmp_path):
+    f1 = fx.telemetry_events(spark, SF_SMALL)
+    cfg = PipelineConfig(train_days=21, kmeans_n_clusters=3, model="lloyd", extra={"lloyd_steps": 2})
+    with pytest.raises(ValueError):
+        jobs.train(f1, EVENTS_SPEC, cfg, key="event_id", expect={"rows": 230_400, "cols": 19, "assets": 16})
+    out = str(tmp_path / "run")
+    jobs.train(f1, EVENTS_SPEC, cfg, key="event_id", out_dir=out,
+               expect={"rows": f1.count(), "cols": len(f1.columns), "assets": 15})
+    m = spark.read.json(f"{out}/metrics")
+    assert "silhouette" in m.columns                       # null fields are kept
+    assert sum(r["n_rows"] for r in m.collect()) == f1.count()

@@ -79,14 +79,19 @@ class TrainReport:
 
 
 def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_CONFIG, quick: bool = False,
-          key: str | None = None, out_dir: str | None = None, **plan_kw) -> TrainReport:
+          key: str | None = None, out_dir: str | None = None, expect: dict | None = None,
+          **plan_kw) -> TrainReport:
     """Fit the detector on rows before ``min(ts) + train_days`` and evaluate both splits.
 
     K precedence: ``config.kmeans_n_clusters`` > ``quick`` (``k_default``) > silhouette search.
+    ``expect`` checks the input contract (rows / columns / assets) first and raises on a mismatch.
     ``config.model``: ``kmeans`` (MLlib k-means||, best of n_init), ``minibatch``, ``gmm``,
     or ``lloyd`` (Lloyd steps from the K lowest-``key`` train rows; deterministic).
     """
     key = key or (spec.tiebreak[0] if spec.tiebreak else spec.ts)
+    if expect is not None:     # e.g. {"rows": 230_400, "cols": 19, "assets": 16}
+        from vigil.operators.profile import assert_contract, input_contract
+        assert_contract(input_contract(df, spec, expect.get("rows"), expect.get("cols"), expect.get("assets")))
     cut = cutoff_of(df, spec, config.train_days)
     feats = checkpointed(with_split(featurize(df, spec, config, **plan_kw), spec, cut))
     cols = select_features(feats.columns, spec, config.include_context, config.add_diff, config.add_zscore,
@@ -139,7 +144,8 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
                 F.lit(best_k).alias("best_k"), F.lit(sil).cast("double").alias("silhouette"),
                 F.lit(report.inertia).cast("double").alias("inertia"), F.lit(threshold).alias("threshold"),
                 F.lit(config.threshold_percentile).alias("threshold_percentile"),
-                F.lit(str(cut)).alias("cutoff"), "*")
+                F.lit(str(cut)).alias("cutoff"),
+                (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n_rows"), "*")
             write_metrics(run, f"{out_dir}/metrics")
     return report
 
