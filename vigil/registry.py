@@ -704,19 +704,30 @@ def q_telemetry_csv(spark, sf):
 # Structured Streaming (ST1, ST2)
 # ---------------------------------------------------------------------------
 
+def _start(writer, spark, state_partitions: int = 8):
+    """Start a streaming query whose state store uses few partitions (the count is fixed
+    at first start); the session setting is restored right after."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(old), state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 @query("stream_score")
 def q_stream_score(spark, sf):
-    """Causal model trained in batch; F1 replayed as a stream in 6 event-time slices."""
+    """Causal model trained in batch; F1 replayed as a stream in 3 event-time slices."""
     f1 = fx.telemetry_events(spark, sf)
     rep = jobs.train(f1, EV, JOB_CONFIG.with_(causal_fill=True), key="event_id")
     src, sink = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-out")
     f1.limit(0).write.parquet(src)
     stream = spark.readStream.schema(f1.schema).parquet(src)
     scored = stream_score(stream, rep.model, out_columns=["event_id", "asset_id", "timestamp"])
-    q = (scored.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", sink + "-ckpt").outputMode("append").start())
+    q = _start(scored.writeStream.format("parquet").option("path", sink)
+               .option("checkpointLocation", sink + "-ckpt").outputMode("append"), spark)
     try:
-        replay(spark, f1, "timestamp", 6, src, q.processAllAvailable)
+        replay(spark, f1, "timestamp", 3, src, q.processAllAvailable)
     finally:
         q.stop()
     out = with_split(spark.read.parquet(sink), EV, rep.cutoff)
@@ -733,7 +744,7 @@ def q_stream_anomaly_rate(spark, sf):
     stream = spark.readStream.schema(rows.schema).parquet(src)
     name = f"rate_{uuid.uuid4().hex[:10]}"
     agg = stream_anomaly_rate(stream, "timestamp", "asset_id")
-    q = agg.writeStream.format("memory").queryName(name).outputMode("complete").start()
+    q = _start(agg.writeStream.format("memory").queryName(name).outputMode("complete"), spark)
     try:
         replay(spark, rows, "timestamp", 3, src, q.processAllAvailable)
     finally:
