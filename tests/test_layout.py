@@ -103,3 +103,24 @@ def test_fixture_row_numbers_with_hot_keys(spark):
     plain = fx.telemetry_events(spark, SF_SMALL).toPandas().sort_values("event_id").reset_index(drop=True)
     hot = fx.telemetry_events(spark, SF_SMALL, max_series_rows=60).toPandas().sort_values("event_id").reset_index(drop=True)
     pd.testing.assert_frame_equal(plain, hot[plain.columns])
+
+
+def test_one_asset_with_a_third_of_all_rows(spark):
+    """Skew assumption: one key holds a third of all rows. The hot asset is detected, spread
+    over several range partitions, and the features equal the plain per-asset windows."""
+    f2 = fx.telemetry_lineitem(spark, SF_MID)
+    # the original supplier id joins the tiebreak, so the merged series keeps a total order
+    skewed = (f2.withColumn("rn", F.col("rn") * 100_000 + F.col("asset_id"))
+              .withColumn("asset_id", F.when(F.col("asset_id") % 3 == 0, F.lit(0)).otherwise(F.col("asset_id"))))
+    skewed = skewed.checkpoint(eager=True)
+    sizes = dict(skewed.groupBy("asset_id").count().collect())
+    assert sizes[0] * 3 >= skewed.count() * 0.9
+    auto = wrangle_and_features(skewed, LINEITEM_SPEC, max_series_rows=5_000, chunk_rows=2_000)
+    plain = wrangle_and_features(skewed, LINEITEM_SPEC, force_chunks=False)
+    a, b = _frame(auto, ["asset_id", "timestamp", "rn"]), _frame(plain, ["asset_id", "timestamp", "rn"])
+    assert len(a) == len(b) == skewed.count()
+    num = a.select_dtypes("number").columns
+    assert np.allclose(a[num].to_numpy(float), b[num].to_numpy(float), atol=1e-9, equal_nan=True)
+    hot = skewed.filter(F.col("asset_id") == 0)
+    idx = positional_index(hot, ["asset_id"], ["timestamp", "rn"], n_parts=8)
+    assert idx.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
