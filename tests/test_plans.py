@@ -105,3 +105,20 @@ def test_ml_transformer_in_pipeline_roundtrip(spark, events_table, tmp_path):
     b = back.transform(t).orderBy("event_id").select("event_id", "s1_zscore").collect()
     direct = wrangle_and_features(t, EVENTS_SPEC).orderBy("event_id").select("event_id", "s1_zscore").collect()
     assert a == b == direct
+
+
+def test_split_independent_of_session_time_zone(spark, events_table):
+    from vigil.operators.split import cutoff_of, with_split
+    t = spark.read.parquet(events_table)
+
+    def counts():
+        cut = cutoff_of(t, EVENTS_SPEC, 21)
+        return cut, sorted(tuple(r) for r in with_split(t, EVENTS_SPEC, cut).groupBy("split").count().collect())
+
+    base = counts()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        other = counts()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert base == other

@@ -12,24 +12,41 @@ from vigil.config import TRAIN_DAYS, TelemetrySpec
 SPLIT = "split"
 
 
-def cutoff_of(df: DataFrame, spec: TelemetrySpec, train_days: int = TRAIN_DAYS) -> dt.datetime:
-    """The cutoff as a driver literal (one aggregate reading only the time column)."""
-    if spec.ts not in df.columns:
-        raise KeyError(f"column `{spec.ts}` missing")
-    row = df.agg(F.min(spec.ts).alias("m")).first()
+_FMT_SPARK = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+_FMT_PY = "%Y-%m-%d %H:%M:%S.%f"
+
+
+def first_time(df: DataFrame, ts: str) -> dt.datetime:
+    """min(ts) as a wall-clock value, formatted by Spark in the session time zone (so the
+    Python process time zone never enters)."""
+    if ts not in df.columns:
+        raise KeyError(f"column `{ts}` missing")
+    row = df.agg(F.date_format(F.min(ts), _FMT_SPARK).alias("m")).first()
     if row["m"] is None:
         raise ValueError("empty input: no cutoff")
-    return row["m"] + dt.timedelta(days=train_days)
+    return dt.datetime.strptime(row["m"], _FMT_PY)
+
+
+def ts_lit(df: DataFrame, ts: str, value: dt.datetime):
+    """A literal of the time column's own type (with or without zone) for wall-clock ``value``."""
+    return F.lit(value.strftime(_FMT_PY)).cast(df.schema[ts].dataType)
+
+
+def cutoff_of(df: DataFrame, spec: TelemetrySpec, train_days: int = TRAIN_DAYS) -> dt.datetime:
+    """min(ts) + train_days (one aggregate reading only the time column)."""
+    return first_time(df, spec.ts) + dt.timedelta(days=train_days)
 
 
 def with_split(df: DataFrame, spec: TelemetrySpec, cutoff) -> DataFrame:
-    return df.withColumn(SPLIT, F.when(F.col(spec.ts) < F.lit(cutoff), "train").otherwise("test"))
+    cut = ts_lit(df, spec.ts, cutoff)
+    return df.withColumn(SPLIT, F.when(F.col(spec.ts) < cut, "train").otherwise("test"))
 
 
 def time_split(df: DataFrame, spec: TelemetrySpec, train_days: int = TRAIN_DAYS):
     """(train, test, cutoff). Literal cutoff so both filters can reach the file scan."""
     cut = cutoff_of(df, spec, train_days)
-    return df.filter(F.col(spec.ts) < F.lit(cut)), df.filter(F.col(spec.ts) >= F.lit(cut)), cut
+    lit = ts_lit(df, spec.ts, cut)
+    return df.filter(F.col(spec.ts) < lit), df.filter(F.col(spec.ts) >= lit), cut
 
 
 def split_summary(df: DataFrame, spec: TelemetrySpec, cutoff) -> DataFrame:
@@ -47,8 +64,8 @@ def temporal_folds(df: DataFrame, spec: TelemetrySpec, first_train_days: int, fo
                    n_folds: int) -> DataFrame:
     """Expanding-window folds: fold f trains on [min, min + first + f*step) and validates
     on the next ``fold_days``. Rows are tagged (fold, role); rows outside a fold are dropped."""
-    start = df.agg(F.min(spec.ts).alias("m")).first()["m"]
-    days = (epoch_seconds(F.col(spec.ts)) - epoch_seconds(F.lit(start))) / 86400.0
+    start = first_time(df, spec.ts)
+    days = (epoch_seconds(F.col(spec.ts)) - epoch_seconds(ts_lit(df, spec.ts, start))) / 86400.0
     # fold whose validation window holds the row; the row trains every later fold
     v = F.floor((days - first_train_days) / fold_days).cast("int")
     lo = F.greatest(v, F.lit(0))

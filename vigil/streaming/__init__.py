@@ -8,14 +8,18 @@ def replay(spark, df, ts: str, n_slices: int, folder: str, consume) -> None:
     """Feed ``df`` into a file-source stream in event-time order: slice by time, append one
     slice at a time to ``folder`` and let ``consume()`` (e.g. ``processAllAvailable``) drain
     each before the next (test and backfill harness)."""
+    import datetime as dt
+
     from pyspark.sql import functions as F
-    row = df.agg(F.min(ts).alias("a"), F.max(ts).alias("b")).first()
-    lo, hi = row["a"], row["b"]
+
+    from vigil.operators.split import first_time, ts_lit
+    lo = first_time(df, ts)
+    hi = dt.datetime.strptime(df.agg(F.date_format(F.max(ts), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0],
+                              "%Y-%m-%d %H:%M:%S.%f")
     step = (hi - lo) / n_slices
     for i in range(n_slices):
-        a = lo + step * i
-        cond = F.col(ts) >= F.lit(a)
+        cond = F.col(ts) >= ts_lit(df, ts, lo + step * i)
         if i < n_slices - 1:
-            cond = cond & (F.col(ts) < F.lit(lo + step * (i + 1)))
+            cond = cond & (F.col(ts) < ts_lit(df, ts, lo + step * (i + 1)))
         df.filter(cond).coalesce(1).write.mode("append").parquet(folder)
         consume()
