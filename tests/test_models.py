@@ -143,3 +143,20 @@ def test_train_contract_and_metrics_sink(spark, tmp_path):
     m = spark.read.json(f"{out}/metrics")
     assert "silhouette" in m.columns                       # null fields are kept
     assert sum(r["n_rows"] for r in m.collect()) == f1.count()
+
+
+def test_reference_layout_end_to_end(spark):
+    """19 columns, 16 assets, 43 features; contract, K search and the Arrow-batch mixture path."""
+    from vigil.config import REFERENCE_SPEC
+    from vigil.operators.score import MixtureModel
+    df = fx.telemetry_reference(spark, SF_SMALL)
+    assert len(df.columns) == 19
+    rep = jobs.train(df, REFERENCE_SPEC, PipelineConfig(train_days=21, k_range=(3, 4)),
+                     expect={"cols": 19, "assets": 16})
+    assert len(rep.model.features) == 43 and rep.best_k in (3, 4)
+    assert rep.metrics.count() == 2
+    gmm = PipelineConfig(train_days=21, kmeans_n_clusters=4, model="gmm", gmm_max_iter=10, gmm_n_init=1)
+    rep2 = jobs.train(df, REFERENCE_SPEC, gmm)
+    assert isinstance(rep2.model.clusterer, MixtureModel) and not rep2.model.clusterer.native()
+    out = jobs.detect_anomalies(df, rep2.model).toPandas()
+    assert len(out) == df.count() and np.isfinite(out["anomaly_score"]).all()

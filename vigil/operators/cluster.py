@@ -204,39 +204,41 @@ def silhouette(sample: DataFrame, cols: Sequence[str], label: str, key: str) ->
 
 
 def silhouette_by_label(sample: DataFrame, cols: Sequence[str], labels: Sequence[str], key: str) -> dict:
-    """Silhouettes of several labelings of the same bounded sample.
+    """Silhouettes of several labelings (columns of a bounded sample DataFrame)."""
+    cols, labels = list(cols), list(labels)
+    local = sample.select(*labels, *cols).toPandas()      # bounded: ≤ the sample size
+    if len(local) == 0:
+        return {l: float("nan") for l in labels}
+    X = local[cols].to_numpy(dtype=float)
+    return silhouette_scores(sample.sparkSession, X, {l: local[l].to_numpy() for l in labels})
 
-    The sample matrix (≤ sample_size × d, a proven bound) is broadcast; each task takes a
-    slice of the sample rows and computes its distances to all sample points with NumPy
-    in blocks, so no pair rows are ever materialised.
+
+def silhouette_scores(spark, X: np.ndarray, label_sets: dict) -> dict:
+    """Mean Euclidean silhouette of the bounded sample ``X`` under each labeling.
+
+    ``X`` and the labels are broadcast (a proven bound: the sample size); tasks take slices
+    of row indices and compute their distances to all sample points with NumPy in blocks,
+    so no pair rows are ever materialised and no expression grows with K or d.
     """
     import pandas as pd
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+    from pyspark.sql.types import DoubleType, StructField, StructType
 
-    cols, labels = list(cols), list(labels)
-    local = sample.select(key, *labels, *cols).toPandas()
-    n = len(local)
-    if n == 0:
-        return {l: float("nan") for l in labels}
-    X = local[cols].to_numpy(dtype=float)
-    lab = {l: local[l].to_numpy() for l in labels}
-    bc = sample.sparkSession.sparkContext.broadcast((X, lab))
-    names = [f"_s{j}" for j in range(len(labels))]
+    n = len(X)
+    names = list(label_sets)
+    bc = spark.sparkContext.broadcast((X, [np.asarray(label_sets[l]) for l in names]))
 
     def run(batches):
         Xs, labs = bc.value
         sq = (Xs * Xs).sum(axis=1)
         for pdf in batches:
-            Q = pdf[cols].to_numpy(dtype=float)
-            out = {key: pdf[key].to_numpy()}
-            res = {nm: np.zeros(len(pdf)) for nm in names}
-            for lo in range(0, len(pdf), 512):
-                q = Q[lo:lo + 512]
-                d2 = (q * q).sum(axis=1)[:, None] + sq[None, :] - 2.0 * q @ Xs.T
-                d = np.sqrt(np.clip(d2, 0.0, None))
-                for nm, l in zip(names, labels):
-                    ys = labs[l]
-                    own = pdf[l].to_numpy()[lo:lo + 512]
+            idx = pdf["id"].to_numpy()
+            res = np.zeros((len(idx), len(labs)))
+            for lo in range(0, len(idx), 512):
+                ii = idx[lo:lo + 512]
+                q = Xs[ii]
+                d = np.sqrt(np.clip((q * q).sum(axis=1)[:, None] + sq[None, :] - 2.0 * q @ Xs.T, 0.0, None))
+                for j, ys in enumerate(labs):
+                    own = ys[ii]
                     ks = np.unique(ys)
                     sums = np.stack([d[:, ys == c].sum(axis=1) for c in ks], axis=1)
                     cnt = np.array([(ys == c).sum() for c in ks], dtype=float)
@@ -244,16 +246,25 @@ def silhouette_by_label(sample: DataFrame, cols: Sequence[str], labels: Sequence
                     n_own = (cnt[None, :] * mine).sum(axis=1)
                     a = np.where(n_own > 1, (sums * mine).sum(axis=1) / np.maximum(n_own - 1, 1), 0.0)
                     other = np.where(mine, np.inf, sums / cnt[None, :])
-                    b = other.min(axis=1) if len(ks) > 1 else np.full(len(q), np.inf)
-                    s = np.where((n_own > 1) & np.isfinite(b), (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
-                    res[nm][lo:lo + 512] = s
-            out.update(res)
-            yield pd.DataFrame(out)
+                    b = other.min(axis=1) if len(ks) > 1 else np.full(len(ii), np.inf)
+                    res[lo:lo + 512, j] = np.where((n_own > 1) & np.isfinite(b),
+                                                   (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
+            yield pd.DataFrame({f"_s{j}": res[:, j] for j in range(len(labs))})
+
+    schema = StructType([StructField(f"_s{j}", DoubleType(), True) for j in range(len(names))])
+    parts = max(1, min(spark.sparkContext.defaultParallelism, -(-n // 512)))
+    scores = spark.range(n).repartition(parts).mapInPandas(run, schema)
+    row = scores.agg(*[F.avg(f"_s{j}").alias(f"_s{j}") for j in range(len(names))]).first()
+    return {l: float(row[f"_s{j}"]) for j, l in enumerate(names)}
+
 
-    schema = StructType([StructField(key, LongType(), True)] + [StructField(nm, DoubleType(), True) for nm in names])
-    scores = sample.select(F.col(key).cast("long").alias(key), *labels, *cols).mapInPandas(run, schema)
-    row = scores.agg(*[F.avg(nm).alias(nm) for nm in names]).first()
-    return {l: float(row[nm]) for nm, l in zip(names, labels)}
+def assign_np(X: np.ndarray, model) -> np.ndarray:
+    """Cluster of each sample row under a fitted model (NumPy; the sample is bounded)."""
+    if isinstance(model, CentroidModel):
+        C = np.asarray(model.centres)
+        d2 = (X * X).sum(axis=1)[:, None] + (C * C).sum(axis=1)[None, :] - 2.0 * X @ C.T
+        return np.argmin(d2, axis=1)
+    return model.log_density_np(X)[1]
 
 
 @dataclass
@@ -274,18 +285,17 @@ def select_k(train: DataFrame, cols: Sequence[str], key: str, k_range: Sequence[
     if fit is None:
         vec = fit_input(base, cols)
         fit = (lambda d, c, k: fit_kmeans(d, c, k, seed=seed, vec=vec))
-    sample = stable(hash_sample(base, key, sample_size, seed))
+    # bounded sample (≤ sample_size rows) collected once; labels per K come from NumPy
+    X = hash_sample(base, key, sample_size, seed).select(*cols).toPandas().to_numpy(dtype=float)
     # The fits are independent jobs: submit them concurrently so small fits share the cores
     # (on a cluster they interleave under the fair scheduler).
     with ThreadPoolExecutor(max_workers=max(1, min(len(k_range), 8))) as pool:
         fitted = list(pool.map(lambda k: (k, fit(base, cols, k)), k_range))
-    results, labelled = [], sample
-    for k, (model, cost) in fitted:
-        labelled = labelled.withColumn(f"_k{k}", model.assign_expr())
-        results.append(KResult(k, float("nan"), cost if isinstance(model, CentroidModel) else None, model))
-    sils = silhouette_by_label(labelled, cols, [f"_k{k}" for k in k_range], key)
+    results = [KResult(k, float("nan"), cost if isinstance(model, CentroidModel) else None, model)
+               for k, (model, cost) in fitted]
+    sils = silhouette_scores(train.sparkSession, X, {r.k: assign_np(X, r.model) for r in results})
     for r in results:
-        r.silhouette = sils[f"_k{r.k}"]
+        r.silhouette = sils[r.k]
     best = max(results, key=lambda r: (r.silhouette, -r.k))
     return best.k, results
 

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.vector import gaussian_log_terms, logsumexp, nearest, nearest_distance
+from vigil.functions.vector import gaussian_log_terms, logsumexp, nearest, nearest_distance, sq_dist
 from vigil.plans.layout import join_small
 from vigil.plans.order_stats import grouped_percentiles, percentile, percentiles
 from vigil.session import checkpointed
@@ -105,6 +105,15 @@ def add_score(df: DataFrame, model, score_col: str = SCORE, cluster_col: str | N
     """Append the anomaly score (and optionally the assigned cluster)."""
     if isinstance(model, MixtureModel) and not model.native():
         return _score_batches(df, model, score_col, cluster_col)
+    if isinstance(model, CentroidModel) and cluster_col:
+        # one column per centre distance, then least / argmin over those columns: keeps each
+        # generated method small (K·d terms once, not twice) for wide models
+        d2 = [sq_dist(model.columns, c).alias(f"_vg_d2_{k}") for k, c in enumerate(model.centres)]
+        names = [f"_vg_d2_{k}" for k in range(model.k)]
+        near = (F.struct(F.col(names[0]).alias("d2"), F.lit(0).alias("cluster")) if model.k == 1 else
+                F.least(*[F.struct(F.col(n).alias("d2"), F.lit(k).alias("cluster")) for k, n in enumerate(names)]))
+        return df.select("*", *d2).select(*df.columns, F.sqrt(near.getField("d2")).alias(score_col),
+                                          near.getField("cluster").alias(cluster_col))
     extra = [model.score_expr().alias(score_col)]
     if cluster_col:
         extra.append(model.assign_expr().alias(cluster_col))

@@ -85,15 +85,20 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
 
     K precedence: ``config.kmeans_n_clusters`` > ``quick`` (``k_default``) > silhouette search.
     ``expect`` checks the input contract (rows / columns / assets) first and raises on a mismatch.
+    ``key`` names a unique row key (sampling, lowest-key init); by default the
+    ``(asset, ts, tiebreak...)`` struct.
     ``config.model``: ``kmeans`` (MLlib k-means||, best of n_init), ``minibatch``, ``gmm``,
     or ``lloyd`` (Lloyd steps from the K lowest-``key`` train rows; deterministic).
     """
-    key = key or (spec.tiebreak[0] if spec.tiebreak else spec.ts)
     if expect is not None:     # e.g. {"rows": 230_400, "cols": 19, "assets": 16}
         from vigil.operators.profile import assert_contract, input_contract
         assert_contract(input_contract(df, spec, expect.get("rows"), expect.get("cols"), expect.get("assets")))
     cut = cutoff_of(df, spec, config.train_days)
-    feats = checkpointed(with_split(featurize(df, spec, config, **plan_kw), spec, cut))
+    feats = with_split(featurize(df, spec, config, **plan_kw), spec, cut)
+    if key is None:            # unique row key by the total-order contract: (asset, ts, tiebreak...)
+        key = "_vg_key"
+        feats = feats.withColumn(key, F.struct(spec.asset, *spec.order))
+    feats = checkpointed(feats)
     cols = select_features(feats.columns, spec, config.include_context, config.add_diff, config.add_zscore,
                            config.include_missing_flags)
     is_train = F.col(SPLIT) == "train"

@@ -20,7 +20,7 @@ from vigil.operators import evaluate as ev
 from vigil.operators import features as fe
 from vigil.operators import profile as pr
 from vigil.operators import wrangle as wr
-from vigil.config import SILHOUETTE_SAMPLE, PipelineConfig
+from vigil.config import REFERENCE_SPEC, SILHOUETTE_SAMPLE, PipelineConfig
 from vigil.functions.vector import nearest
 from vigil.operators.cluster import (davies_bouldin, elbow_table, fit_gmm, fit_kmeans, fit_minibatch_kmeans,
                                      gmm_information, hash_sample, kmeans_fixed_init, lowest_key_centres,
@@ -817,3 +817,16 @@ def q_model_sink(spark, sf):
 
 
 QUERIES["model_source"] = q_detect_job
+
+
+# ---------------------------------------------------------------------------
+# The reference's own layout (19 columns, 16 assets, 43 modelling features)
+# ---------------------------------------------------------------------------
+
+@query("reference_layout_train")
+def q_reference_layout(spark, sf):
+    """Quick train (K = 5, MLlib k-means) on the reference-shaped table; metrics per split."""
+    df = fx.telemetry_reference(spark, sf)
+    rep = jobs.train(df, REFERENCE_SPEC, PipelineConfig(train_days=21), quick=True,
+                     expect={"cols": 19, "assets": 16})
+    return r6(rep.metrics)

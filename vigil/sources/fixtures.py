@@ -116,3 +116,38 @@ def scored(spark: SparkSession, sf_dir: str, rounded: bool = True) -> DataFrame:
     return f1.select("event_id", "asset_id", "timestamp", score.alias("anomaly_score"),
                      "anomaly_label", "fault_code_true",
                      F.when(s >= 150, 1).otherwise(0).alias("anomaly_pred"))
+
+
+def telemetry_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the reference's 19-column layout derived from ``events`` by fixed rules —
+    16 assets (event_id mod 16), 8 sensors and 3 numeric context columns built from the
+    event value, its ``k`` property, the hour and the id; ~4 % missing per sensor."""
+    ev = table(spark, sf_dir, "events")
+    v, eid = F.col("value"), F.col("event_id")
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("double")
+    hour = F.hour("ts").cast("double")
+
+    def gappy(expr, i):
+        return F.when((eid + 7 * i) % 25 == 0, F.lit(None).cast("double")).otherwise(expr.cast("double"))
+
+    sensors = [
+        ("rpm", 1500 + v * 3 + k), ("current_a", 10 + v / 20 + k / 50), ("pressure_bar", 5 + k / 20),
+        ("flow_lpm", 100 + v / 2 - k / 10), ("temp_c", 40 + v / 10 + hour / 2),
+        ("vib_rms", 1 + (eid % 17) / 10 + v / 100), ("vib_crest", 3 + (eid % 7) / 5),
+        ("vib_kurtosis", 3 + (k % 13) / 4),
+        ("ambient_temp_c", 15 + hour / 2), ("humidity_pct", 40 + (eid % 30).cast("double")),
+        ("load_pct", hour * 4),
+    ]
+    fault = (F.when(v >= 200, 2).when((F.col("event_type") == "error") & (v >= 100), 1).otherwise(0))
+    return ev.select(
+        F.col("ts").alias("timestamp"),
+        (eid % 16).cast("int").alias("asset_id"),
+        F.concat(F.lit("S"), (F.col("user_id") % 4).cast("string")).alias("site_id"),
+        F.concat(F.lit("L"), (F.col("user_id") % 8).cast("string")).alias("line_id"),
+        *[gappy(e, i).alias(name) for i, (name, e) in enumerate(sensors)],
+        F.when(F.col("event_type").isin("view", "click"), 0)
+         .when(F.col("event_type") == "signup", 1).otherwise(2).alias("regime"),
+        fault.alias("fault_code_true"),
+        F.when(fault == 2, "overload").when(fault == 1, "sensor_error").alias("fault_type_true"),
+        F.when((v >= 150) & (eid % 3 != 0), 1).otherwise(0).alias("anomaly_label"),
+    )
