@@ -66,7 +66,7 @@ def anomaly_rate(df: DataFrame, ts: str, keys: Sequence[str] = (), pred: str = "
                  period: str = "day", percentile: float = 99.0) -> DataFrame:
     """Predicted-anomaly rate per period (and keys) against the expected 1 − p/100."""
     expected = 1.0 - percentile / 100.0
-    b = F.date_trunc(period, F.col(ts).cast("timestamp")).alias("period")
+    b = F.date_trunc(period, F.col(ts).cast("timestamp")).cast("timestamp_ntz").alias("period")
     g = df.groupBy(b, *keys).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.col(pred).cast("double")).alias("rate"))
     return g.select("period", *keys, "n_rows", "rate", F.lit(expected).alias("expected_rate"),
                     (F.col("rate") - F.lit(expected)).alias("excess"))

@@ -117,7 +117,7 @@ def crosstab(df: DataFrame, row: str, col: str) -> DataFrame:
 def anomaly_map(df: DataFrame, spec: TelemetrySpec, pred: str = "anomaly_pred", bucket: str = "hour") -> DataFrame:
     """max(pred) per (asset, time bucket), sparse long form: cells never observed are 0 by
     definition and not materialised (a dense asset × time grid grows as their product)."""
-    b = F.date_trunc(bucket, F.col(spec.ts).cast("timestamp"))
+    b = F.date_trunc(bucket, F.col(spec.ts).cast("timestamp")).cast("timestamp_ntz")
     return df.groupBy(spec.asset, b.alias("bucket")).agg(F.max(F.col(pred).cast("int")).alias("max_pred"),
                                                          F.count(F.lit(1)).alias("n_rows"))
 

@@ -14,5 +14,6 @@ def stream_anomaly_rate(scored: DataFrame, ts: str, asset: str, pred: str = "ano
     agg = (scored.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
            .groupBy(F.window("_ts", window).alias("w"), asset)
            .agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.col(pred).cast("double")).alias("rate")))
-    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), asset,
+    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), asset,
                       "n_rows", "rate", (F.col("rate") - F.lit(expected)).alias("excess"))
