@@ -293,7 +293,8 @@ FROM e, t GROUP BY split"""
 
 
 def best_sql(objective: str) -> str:
-    val = ratio("2 * tp", "2 * tp + fp + fn") if objective == "f1" else "1.0 * fp + 10.0 * fn"
+    val = (ratio("2 * tp", "2 * tp + fp + fn") if objective == "f1"
+           else "CAST(1.0 AS DOUBLE) * fp + CAST(10.0 AS DOUBLE) * fn")
     order = "value DESC, threshold DESC" if objective == "f1" else "value ASC, threshold DESC"
     return f"""WITH g AS (SELECT anomaly_score + 0.0 AS s, sum(CASE WHEN anomaly_label = 1 THEN 1 ELSE 0 END) AS pos,
      sum(CASE WHEN anomaly_label = 1 THEN 0 ELSE 1 END) AS neg FROM ({E_RAW}) e GROUP BY anomaly_score + 0.0),
@@ -410,7 +411,7 @@ j AS (SELECT grid.sensor, greatest(coalesce(cnt.a, 0) / grid.A, 1e-6) AS p, grea
       FROM grid LEFT JOIN cnt USING (sensor, bucket))
 SELECT sensor, {o.r6('sum((q - p) * ln(q / p))', 'psi')} FROM j GROUP BY sensor"""
 SQL["drift_anomaly_rate"] = (f"SELECT date_trunc('day', timestamp) AS period, asset_id, count(*) AS n_rows, "
-                             f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE))', 'rate')}, {o.r6('0.01', 'expected_rate')}, "
+                             f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE))', 'rate')}, {o.r6('CAST(0.01 AS DOUBLE)', 'expected_rate')}, "
                              f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE)) - 0.010000000000000009', 'excess')} "
                              f"FROM ({E_R}) e GROUP BY date_trunc('day', timestamp), asset_id")
 SQL["training_sanity"] = (f"SELECT count(*) AS n_train, {o.r6('avg(CASE WHEN fault_code_true <> 0 THEN 1.0 ELSE 0.0 END)', 'fault_share')}, "
