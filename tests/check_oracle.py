@@ -52,11 +52,21 @@ def frame_rows(pdf: pd.DataFrame):
     return cols, sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "TimestampNTZType": "TIMESTAMP", "TimestampType": "TIMESTAMP WITH TIME ZONE",
+                 "BooleanType": "BOOLEAN", "DateType": "DATE", "FloatType": "FLOAT"}
+
+
 def compare(spark, con, key, fn, sql, sf_dir):
     t0 = time.time()
-    s_pdf = fn(spark, sf_dir).toPandas()
+    sdf = fn(spark, sf_dir)
+    s_types = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+               for f in sdf.schema.fields}
+    s_pdf = sdf.toPandas()
     t1 = time.time()
-    d_pdf = con.execute(sql).df()
+    rel = con.sql(sql)
+    d_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    d_pdf = rel.df()
     t2 = time.time()
     sc, sr = frame_rows(s_pdf)
     dc, dr = frame_rows(d_pdf)
@@ -65,6 +75,9 @@ def compare(spark, con, key, fn, sql, sf_dir):
         return False, msg + f" COLUMNS differ: spark-only {set(sc) - set(dc)} duck-only {set(dc) - set(sc)}"
     if len(sr) != len(dr):
         return False, msg + " ROWCOUNT differs"
+    types = {c: (s_types[c], d_types[c]) for c in s_types if s_types[c] != d_types.get(c)}
+    if types:
+        return False, msg + f" TYPES differ: {types}"
     bad = [(a, b) for a, b in zip(sr, dr) if a != b]
     if bad:
         a, b = bad[0]
