@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontaminate, line_dedup, packing, sharding, simhash
+from vigil.llm import decontaminate, line_dedup, packing, quality_classifier, quality_rules, secret_scan, sharding, simhash
 from vigil.llm.common import fold, read, text_or_empty
 from vigil.llm.twins import SQL  # noqa: F401
 
@@ -16,11 +16,21 @@ def _hex(fp: str):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
+                                       fold("doc_id", 5, 0), threshold=0.3)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
     return found.select("doc_id", _hex("fp").alias("fingerprint"), "component_id")
@@ -45,14 +55,29 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), F.col("row").cast("long").alias("row"))
 
 
+def _spelled(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "opaque")
+    many = lambda v: F.size(F.filter("spans", lambda s: s["verdict"] == v)).cast("long")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(_spelled(base), 256).alias("base_sha256"),
+                        _spelled(F.col("spans")).alias("spans"), many("live").alias("n_live"), many("example").alias("n_example"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), max_tokens=2048)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op9_secret_scans": op9_secret_scans,
     "op10_packing": op10_packing,
 }
