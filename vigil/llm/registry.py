@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontaminate, line_dedup, packing, quality_classifier, quality_rules, secret_scan, sharding, simhash
+from vigil.llm import decontaminate, language_id, line_dedup, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, sharding, simhash
 from vigil.llm.common import fold, read, text_or_empty
 from vigil.llm.twins import SQL  # noqa: F401
 
@@ -26,6 +26,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"), fold("doc_id", 3, 1))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
                                        fold("doc_id", 5, 0), threshold=0.3)
@@ -55,6 +59,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), F.col("row").cast("long").alias("row"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_texts(read(spark, sf_dir, "documents"), fold("doc_id", 5, 1))
+
+
 def _spelled(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -74,10 +82,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
+    "op3_language_id": op3_language_id,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_secret_scans": op9_secret_scans,
     "op10_packing": op10_packing,
 }
