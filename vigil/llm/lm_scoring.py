@@ -8,6 +8,8 @@ fixed share of the training rows, averaged by Spark after each round.
 
     P(id | context) = P(class | attention over the window) * P(id | class, id before it in the word)
 
+A word's path through its subwords is mixed with its unigram probability from the corpus-wide counts.
+
 A text is scored in windows of two blocks, each overlapping the next by one: a window's queries are
 its second block, its keys both blocks up to the query, so each id is scored exactly once, with at
 least a block of context where the text has one. Windows go through the attention in batches.
@@ -41,6 +43,7 @@ SYMBOLS = 50257
 END = 50256
 EDGE = SYMBOLS  # stands before a word's first id and after its last
 KAPPA = 8.0
+UNIGRAM = 0.25
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -135,32 +138,36 @@ def _attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, r: np.ndarray, there: n
     return a, a @ v
 
 
-def class_scores(model: Model, before: list[np.ndarray], target: list[np.ndarray], batch: int = 1024) -> np.ndarray:
-    """Sum over each sequence of log P(class of target | inputs up to ``before``), natural logarithm."""
+def class_scores(model: Model, before: list[np.ndarray], target: list[np.ndarray], batch: int = 512) -> list[np.ndarray]:
+    """log P(class of each target | the inputs up to the one before it), natural logarithm, per sequence."""
     w = model.weights
     x, starts = blocks(before)
     y, _ = blocks(target)
-    owner = np.cumsum(starts) - 1
     second = np.flatnonzero(~starts)
-    qt, kt, vt = model.features @ w["q"], model.features @ w["k"], model.features @ w["v"]
-    out = np.zeros(len(before))
-    logits0 = model.bigram + w["b"]
+    # One layer: queries, keys and values are tables over the input symbols.
+    qt = model.features @ (w["q"] * np.float32(DIM ** -0.5))
+    kt, vt = model.features @ w["k"], model.features @ w["v"]
+    prior = np.exp(np.minimum(w["r"][_NEAR], 30)) * (_DISTANCE >= 0)
+    first_logits = model.bigram + w["b"]
+    parts = [np.zeros(0)]
     for at in range(0, len(second), batch):
         i = second[at: at + batch]
         ids = np.concatenate((x[i - 1], x[i]), axis=1)
-        there = ids >= 0
+        real = ids[:, BLOCK:] >= 0  # padding at the end lies ahead of every query that counts
         ids = np.maximum(ids, 0)
-        a, h = _attend(qt[ids[:, BLOCK:]], kt[ids], vt[ids], w["r"], there)
-        real = there[:, BLOCK:]
-        logits = (h[real] @ w["u"])
-        logits += logits0[ids[:, BLOCK:][real]]
-        c = y[i][real]
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-        gold = logits[np.arange(len(c)), c]
+        a = qt[ids[:, BLOCK:]] @ kt[ids].transpose(0, 2, 1)
+        np.minimum(a, np.float32(40), out=a)
+        np.exp(a, out=a)
+        a *= prior
+        a[starts[i - 1], :, :BLOCK] = 0
+        h = a @ vt[ids]
+        h /= a.sum(axis=2)[..., None]
+        logits = np.clip(h[real] @ w["u"], -40, 40)
+        logits += first_logits[ids[:, BLOCK:][real]]
+        gold = logits[np.arange(len(logits)), y[i][real]]
         np.exp(logits, out=logits)
-        out += np.bincount(np.repeat(owner[i], real.sum(axis=1)), weights=(gold - np.log(logits.sum(axis=1))).astype(np.float64), minlength=len(out))
-    return out
+        parts.append(gold - np.log(logits.sum(axis=1)))
+    return np.split(np.concatenate(parts).astype(np.float64), np.cumsum([len(s) for s in before])[:-1])
 
 
 def gradients(model: Model, w: dict[str, np.ndarray], ids: np.ndarray, there: np.ndarray, c: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -247,12 +254,21 @@ class Scorer:
     def sequence(self, words: list[bytes]) -> np.ndarray:
         return np.array([*chain.from_iterable(map(self.ids.__getitem__, words)), END], np.int64)
 
-    def score(self, texts: list[list[bytes]]) -> np.ndarray:
-        """log10 P of each text, given as words."""
+    def score(self, texts: list[list[bytes]], base_of: dict[bytes, float]) -> np.ndarray:
+        """log10 P of each text, given as words; ``base_of`` has log10 unigram probabilities of known words.
+
+        A word's probability is the share UNIGRAM of its unigram's and the rest of its path's through its subwords.
+        """
         self.learn(set(chain.from_iterable(texts)))
         pairs = [_sequences(self.model, self.sequence(w)) for w in texts]
-        inside = np.array([sum(map(self.const.__getitem__, w)) + self.end for w in texts])
-        return (class_scores(self.model, [p[0] for p in pairs], [p[1] for p in pairs]) + inside) / np.log(10)
+        out = []
+        for words, by_id in zip(texts, class_scores(self.model, [p[0] for p in pairs], [p[1] for p in pairs])):
+            sizes = np.fromiter((len(self.ids[w]) for w in words), np.int64, len(words))
+            starts = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
+            path = np.add.reduceat(by_id, starts) + np.fromiter(chain(map(self.const.__getitem__, words), (self.end,)), np.float64, len(words) + 1)
+            base = np.fromiter((base_of.get(w, -400.0) for w in chain(words, (b"",))), np.float64, len(words) + 1) * np.log(10)
+            out.append(np.logaddexp(path + np.log(1 - UNIGRAM), base + np.log(UNIGRAM)).sum() / np.log(10))
+        return np.array(out)
 
 
 def word_counts(training: DataFrame, text_col: str = "text") -> DataFrame:
@@ -460,7 +476,7 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
                             base += k * lp
                     out.append((n, base, rare))
                 yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "held_out": some["held_out"].to_numpy(), "n_tokens": [len(w) + 1 for w in texts],
-                                    "n_known": [o[0] for o in out], "base": [o[1] for o in out], "score": scorer.score(texts),
+                                    "n_known": [o[0] for o in out], "base": [o[1] for o in out], "score": scorer.score(texts, base_of),
                                     "rare": [[{"h": h, "k": k} for h, k in o[2]] for o in out]})
 
     scored = checkpointed(rows.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"), "held_out")

@@ -44,14 +44,11 @@ def document_vector(text: bytes) -> np.ndarray:
     return np.concatenate((np.log(shares + 0.002), rest))
 
 
-def vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Column | None = None) -> DataFrame:
-    """(doc_id, x) and the carried column if one is given."""
-
+def _vector_column(text_col: str) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([document_vector(b"" if t is None else bytes(t)) for t in texts])
 
-    x = F.pandas_udf(run, "array<double>")(F.col(text_col).cast("binary")).alias("x")
-    return docs.select(F.col(id_col).alias("doc_id"), x, *([carry] if carry is not None else []))
+    return F.pandas_udf(run, "array<double>")(F.col(text_col).cast("binary"))
 
 
 @dataclass
@@ -132,28 +129,45 @@ def _logistic(t: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> tuple[float, flo
     return float(max(a[0], 1e-6)), float(a[1])
 
 
-def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, threshold: float = 0.3, id_col: str = "doc_id",
-             text_col: str = "text", label_id_col: str = "doc_id", label_col: str = "quality", carry: Column | None = None) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs`` (and the carried column).
+def learn(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
+          label_id_col: str = "doc_id", label_col: str = "quality") -> tuple[Discriminant | None, DataFrame]:
+    """The model fitted to the labelled rows that are not held out, and the vectors (doc_id, held_out, x) of all rows."""
+    held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
+    at = checkpointed(docs.select(F.col(id_col).alias("doc_id"), held.alias("held_out"), _vector_column(text_col).alias("x")))
+    one = (labels.select(F.col(label_id_col).alias("doc_id"), F.col(label_col).alias("y")).filter("y IS NOT NULL")
+           .groupBy("doc_id").agg(F.min("y").alias("y")))
+    return fit(checkpointed(at.filter(~F.col("held_out")).join(one, "doc_id").select("x", "y"))), at
+
+
+def score_of(model: Discriminant | None, x: Column) -> Column:
+    """The score of a vector column; 0.5 without a model."""
+
+    def run(rows: pd.Series) -> pd.Series:
+        if model is None or not len(rows):
+            return pd.Series(np.full(len(rows), 0.5))
+        return pd.Series(model.score(np.stack(rows.to_list())))
+
+    return F.pandas_udf(run, "double")(x)
+
+
+def accepted(docs: DataFrame, model: Discriminant | None, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches ``threshold``; nothing is shuffled."""
+    def run(texts: pd.Series) -> pd.Series:
+        if model is None or not len(texts):
+            return pd.Series(np.full(len(texts), 0.5))
+        return pd.Series(model.score(np.stack([document_vector(b"" if t is None else bytes(t)) for t in texts])))
+
+    return docs.filter(F.pandas_udf(run, "double")(F.col(text_col).cast("binary")) >= threshold)
+
+
+def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, threshold: float = 0.3, **names) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
     Rows where ``held_out`` is true are scored but not learnt from. Defined cases: a null text is
     empty; null ids match no label, and are not held out unless the column says so; of several labels
     of an id the lowest counts, null labels are none; repeated rows are scored each; if a class has no
     labelled rows all scores are 0.5; empty tables give an empty one; other columns are not read.
     """
-    held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
-    rows = docs.withColumn("_held", held)
-    kept = F.struct(F.col("_held").alias("held_out"), *([carry.alias("carry")] if carry is not None else [])).alias("k")
-    at = checkpointed(vectors(rows, id_col, text_col, kept))
-    one = (labels.select(F.col(label_id_col).alias("doc_id"), F.col(label_col).alias("y")).filter("y IS NOT NULL")
-           .groupBy("doc_id").agg(F.min("y").alias("y")))
-    model = fit(checkpointed(at.filter(~F.col("k.held_out")).join(one, "doc_id").select("x", "y")))
-
-    def score(x: pd.Series) -> pd.Series:
-        if model is None or not len(x):
-            return pd.Series(np.full(len(x), 0.5))
-        return pd.Series(model.score(np.stack(x.to_list())))
-
-    out = at.withColumn("score", F.pandas_udf(score, "double")("x"))
-    return out.select("doc_id", F.col("k.held_out").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
-                      *([F.col("k.carry").alias("carry")] if carry is not None else []))
+    model, at = learn(docs, labels, held_out, **names)
+    out = at.withColumn("score", score_of(model, F.col("x")))
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

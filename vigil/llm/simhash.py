@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import checkpointed
+from vigil.llm.common import carried, checkpointed, unpacked
 
 SEED = 42
 SMALL = 8
@@ -46,14 +46,14 @@ def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long; a null text has no word."""
+    """(doc_id, text_hash, fp): a hash of the text that tells rows apart, and the fingerprint as a signed long."""
 
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(b"" if t is None else bytes(t), words_per_shingle) for t in texts],
                                   np.uint64).view(np.int64))
 
     fp = F.pandas_udf(run, "long")
-    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col).cast("binary")).alias("fp"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), fp(F.col(text_col).cast("binary")).alias("fp"))
 
 
 def masks(blocks: int, max_bits: int) -> list[int]:
@@ -188,7 +188,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
                     text_col: str = "text", blocks: int | None = None, bucket_rows: int = 2000) -> DataFrame:
-    """(doc_id, fp, root, component_id) per row of ``docs``: fp and root signed longs, component_id the
+    """(doc_id, text_hash, fp, root, component_id) per row: fp and root (a component's name) signed longs, component_id the
     smallest id among all rows whose fingerprints can be reached over links of at most ``max_bits`` bits.
 
     Defined cases: a null, empty or blank text has fingerprint 0 and links like any other; a text of
@@ -206,4 +206,23 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, max_bits: int =
     rooted = checkpointed(rooted)
     least = checkpointed(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")))
     named = checkpointed(rooted.select("fp", "root").join(least, "root"))
-    return fps.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+    return fps.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay if each component keeps one: the smallest id, null ids
+    last, then the smallest text hash; of equal rows any one.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    # A repeated row is counted, so that repetitions are looked for only where there are any.
+    first = checkpointed(found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+                         .groupBy("root").agg(F.min_by(F.struct("doc_id", "text_hash", "n"), rank).alias("f"))
+                         .select(F.col("f.doc_id").alias("_id"), F.col("f.text_hash").alias("_h"), F.col("f.n").alias("_n")))
+    rows = docs.select(F.col(id_col).alias("_own_id"), F.xxhash64(text_col).alias("_own_h"), F.col(text_col).alias("_text"),
+                       carried(docs, [id_col, text_col]).alias("_rest"))
+    same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_h") == F.col("_h"))
+    kept = rows.join(first, same, "left_semi")
+    if not first.filter("_n > 1").isEmpty():
+        kept = kept.dropDuplicates(["_own_id", "_own_h"])
+    return kept.select(*unpacked(kept, "_rest", docs.columns, {id_col: F.col("_own_id"), text_col: F.col("_text")}))
