@@ -17,11 +17,9 @@ least a block of context where the text has one. Windows go through the attentio
 
 from __future__ import annotations
 
-import os
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from itertools import chain
 from math import log
 
@@ -31,8 +29,8 @@ import public_tokenizers
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from vigil.llm.bpe import byte_pairs
 from vigil.llm.common import checkpointed
 
 BLOCK = 16
@@ -51,19 +49,10 @@ def words_of(text: bytes | None) -> list[bytes]:
     return [] if text is None else bytes(text).lower().split()
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str) -> Tokenizer:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return t
-
-
 def subwords(path: str, words: list[bytes]) -> list[list[int]]:
-    t, out = _tokenizer(path), []
-    for at in range(0, len(words), 20_000):
-        out += [e.ids for e in t.encode_batch([" " + w.decode("utf-8", "replace") for w in words[at: at + 20_000]], add_special_tokens=False)]
-    return out
+    """Subword ids of each word as it stands after a space; special tokens' strings are ordinary text."""
+    encode = byte_pairs(path).encode
+    return [encode(" " + w.decode("utf-8", "replace"), False) for w in words]
 
 
 @dataclass
