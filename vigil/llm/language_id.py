@@ -43,9 +43,10 @@ def grams(text: str | None) -> np.ndarray:
     letter = _letters()[points]
     if not letter.any():
         return np.zeros(0, np.uint64)
-    clean = np.where(letter, points, 32)
-    keep = letter | np.concatenate(([False], letter[:-1]))
-    clean = np.concatenate(([32], clean[keep], [32])).astype(np.uint64)
+    # What follows a letter is kept, as a space unless it is a letter; so is the end of the text.
+    after = np.concatenate(([False], letter[:-1]))
+    body = np.where(letter, points, 32)[letter | after]
+    clean = np.concatenate(([32], body, [32] * int(body[-1] != 32))).astype(np.uint64)
     out = []
     for n in ORDERS:
         k = len(clean) - n + 1

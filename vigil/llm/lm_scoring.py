@@ -437,14 +437,15 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out"))
     training = rows.filter(~F.col("held_out"))
     counts = checkpointed(word_counts(training))
-    sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                      F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("n"))), F.lit(0)).alias("ends")).first()
     total, floor = int(sums["n"]), float(np.log10(sums["n"] + 0.5 * (sums["v"] + 1)))
     model = train(build(above(pair_counts(counts, path), max_pairs).toPandas(), path), training)
     top = above(counts, known_words).toPandas()
     known = {bytes(w): float(np.log10(c + 0.5)) - floor for w, c in zip(top["word"], top["n"])}
+    end_known, end_base = int(sums["ends"] > 0), float(np.log10(sums["ends"] + 0.5)) - floor
+    known[b""] = end_base
     sent = docs.sparkSession.sparkContext.broadcast((model, known))  # bounded by the model's size and known_words
-    # The end token is always known if anything is.
-    end_known, end_base = (1, known[b""]) if b"" in known else (0, float(np.log10(0.5)) - floor)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, base_of = sent.value
