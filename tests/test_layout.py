@@ -58,33 +58,49 @@ def test_positional_index_contiguous_under_skew(spark):
         assert list(g[POS]) == list(range(len(g)))
 
 
-@pytest.mark.parametrize("local_rows", [None, 10**9])
-def test_running_totals_both_paths(spark, local_rows):
+def test_running_totals_with_null_keys(spark):
     rng = np.random.default_rng(1)
-    pdf = pd.DataFrame({"k": rng.integers(0, 3, 3000), "s": rng.normal(size=3000).round(2),
-                        "v": rng.integers(0, 5, 3000)})
+    pdf = pd.DataFrame({"k": rng.integers(0, 3, 3000), "s": rng.normal(size=3000).round(2), "v": rng.integers(0, 5, 3000)})
     pdf = pdf.drop_duplicates(["k", "s"])
-    df = spark.createDataFrame(pdf)
-    out = running_totals(df, [F.desc("s")], ["v"], keys=["k"], local_rows=local_rows, chunk_rows=100).toPandas()
+    df = spark.createDataFrame(pdf).withColumn("k", F.when(F.col("k") > 0, F.col("k")))      # key 0 becomes null
+    out = running_totals(df, [F.desc("s")], ["v"], keys=["k"], n_parts=7).toPandas()
+    out["k"] = out["k"].fillna(0).astype(int)
     exp = pdf.sort_values(["k", "s"], ascending=[True, False])
     exp["v_cum"] = exp.groupby("k")["v"].cumsum()
+    exp["v_all"] = exp.groupby("k")["v"].transform("sum")
     m = out.merge(exp, on=["k", "s"], suffixes=("", "_e"))
     assert len(m) == len(pdf)
-    assert (m["v_cum"] == m["v_cum_e"]).all()
+    assert (m["v_cum"] == m["v_cum_e"]).all() and (m["v_all"] == m["v_all_e"]).all()
 
 
-@pytest.mark.parametrize("local_rows", [None, 10**9])
-def test_percentiles_both_paths_equal_numpy(spark, local_rows):
+@pytest.mark.parametrize("tied", [0.0, 0.5, 0.95])
+def test_percentiles_equal_numpy_with_null_group_nulls_and_ties(spark, tied):
     rng = np.random.default_rng(2)
     vals = rng.normal(size=2001)
-    vals[::17] = np.nan
+    vals[rng.random(len(vals)) < tied] = 1.25
+    vals[rng.random(len(vals)) < 0.4] = np.nan
     pdf = pd.DataFrame({"g": rng.integers(0, 4, len(vals)), "x": vals})
-    df = spark.createDataFrame(pdf).withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+    df = (spark.createDataFrame(pdf).withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+          .withColumn("g", F.when(F.col("g") > 0, F.col("g"))))
     ps = [0.0, 0.25, 0.5, 0.9, 0.99, 1.0]
-    got = grouped_percentiles(df, "x", ps, keys=["g"], local_rows=local_rows).toPandas()
-    for (g, p), row in got.set_index(["g", "p"]).iterrows():
-        x = pdf.loc[pdf.g == g, "x"].dropna().to_numpy()
-        assert abs(row["percentile"] - np.percentile(x, p * 100)) < 1e-12
+    got = grouped_percentiles(df, "x", ps, keys=["g"]).collect()
+    assert len(got) == 4 * len(ps)
+    for r in got:
+        x = pdf.loc[pdf.g == (r["g"] or 0), "x"].dropna().to_numpy()
+        assert abs(r["percentile"] - np.percentile(x, r["p"] * 100)) < 1e-12
+    assert grouped_percentiles(df.filter("x IS NULL"), "x", ps).count() == 0
+
+
+def test_null_asset_rows_survive_chunking(spark):
+    f1 = fx.telemetry_events(spark, SF_SMALL).withColumn(
+        "asset_id", F.when(F.col("asset_id") % 5 != 0, F.col("asset_id")))
+    plain = wrangle_and_features(f1, EVENTS_SPEC, force_chunks=False)
+    for how in ({"force_chunks": True}, {"max_series_rows": 50}):
+        other = wrangle_and_features(f1, EVENTS_SPEC, chunk_rows=40, **how)
+        a, b = _frame(plain, "event_id"), _frame(other, "event_id")
+        assert len(a) == len(b) and a["asset_id"].isna().sum() == b["asset_id"].isna().sum() > 50
+        num = a.select_dtypes("number").columns
+        assert np.allclose(a[num].to_numpy(float), b[num].to_numpy(float), atol=1e-9, equal_nan=True)
 
 
 def test_only_hot_assets_are_chunked(spark):

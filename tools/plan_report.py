@@ -52,10 +52,8 @@ def main() -> None:
         ("Feature pass, skew path (every asset chunked with a halo)",
          wrangle_and_features(t, EV, force_chunks=True, chunk_rows=1000).select("event_id", "s1_zscore")),
         ("Score job: detect_anomalies with a trained model", jobs.detect_anomalies(t, rep.model)),
-        ("Per-asset exact p99 threshold (size-checked local path)",
+        ("Per-asset exact p99 threshold",
          grouped_percentiles(evin, "anomaly_score", [0.99], keys=["asset_id"])),
-        ("Per-asset exact p99 threshold (distributed path, forced)",
-         grouped_percentiles(evin, "anomaly_score", [0.99], keys=["asset_id"], local_rows=None)),
         ("Evaluation per split (confusion, P/R/F1, ROC-AUC, AP, fault recall)",
          ev.evaluate(evin, keys=["split"])),
     ]

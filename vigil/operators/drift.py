@@ -29,8 +29,7 @@ def drift_ks(df: DataFrame, columns: Sequence[str], split: str = "split", ref: s
         F.sum((F.col(split) == ref).cast("long")).alias("k_ref"),
         F.sum((F.col(split) == cur).cast("long")).alias("k_cur"))
     cum = running_totals(g, ["value"], ["k_ref", "k_cur"], keys=["sensor"])
-    tot = g.groupBy("sensor").agg(F.sum("k_ref").alias("n_ref"), F.sum("k_cur").alias("n_cur"))
-    d = cum.join(tot, "sensor").select(
+    d = cum.withColumnsRenamed({"k_ref_all": "n_ref", "k_cur_all": "n_cur"}).select(
         "sensor", "n_ref", "n_cur",
         F.abs(F.col("k_ref_cum") / F.col("n_ref") - F.col("k_cur_cum") / F.col("n_cur")).alias("_d"))
     return d.groupBy("sensor").agg(F.max("_d").alias("ks_stat"), F.first("n_ref").alias("n_ref"),

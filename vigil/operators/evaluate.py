@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from vigil.plans.layout import join_small, running_totals
 from vigil.session import checkpointed
 
-METRICS = ["precision", "recall", "f1", "roc_auc", "pr_auc", "n_anomalies_predicted",
-           "n_anomalies_true", "fault_code_recall", "tn", "fp", "fn", "tp"]
-
-
 def _ratio(num: Column, den: Column) -> Column:
     """num / den, 0 when den = 0 (zero_division = 0)."""
     return F.when(den == 0, F.lit(0.0)).otherwise(num.cast("double") / den)
@@ -46,28 +42,25 @@ def precision_recall_f1(df: DataFrame, label: str = "anomaly_label", pred: str =
 
 def score_table(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
     """Distinct scores (−0.0 folded into 0.0) with positive / negative counts, descending
-    running totals ``pos_cum`` / ``neg_cum`` (rows with score >= s)."""
+    running totals ``pos_cum`` / ``neg_cum`` (rows with score >= s) and the group's ``pos_all`` /
+    ``neg_all``."""
     y = F.col(label).cast("int")
     g = (df.select(*keys, (F.col(score) + F.lit(0.0)).alias("s"), y.alias("_y"))
-         .groupBy(*keys, "s").agg(F.sum((F.col("_y") == 1).cast("long")).alias("pos"),
-                                  F.sum((F.col("_y") != 1).cast("long")).alias("neg")))
+         .groupBy(*keys, "s").agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg")))
     return running_totals(g, [F.desc("s")], ["pos", "neg"], keys=keys)
 
 
 def rank_metrics(df: DataFrame, label: str = "anomaly_label", score: str = "anomaly_score",
                  keys: Sequence[str] = ()) -> DataFrame:
-    """ROC-AUC (Mann–Whitney, ties count 1/2) and average precision per group."""
+    """ROC-AUC (Mann–Whitney, ties count 1/2) and average precision per group. Products of
+    counts are taken in double: a long overflows at a few billion rows of each class."""
     t = score_table(df, label, score, keys)
-    tot = t.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    if keys:
-        j = t.join(tot, list(keys))
-    else:
-        j = t.withColumn("_all", F.lit(1)).join(tot.withColumn("_all", F.lit(1)), "_all")
-    below = F.col("N") - F.col("neg_cum")                     # negatives strictly below s
-    auc_term = F.col("pos") * (below + F.col("neg") / 2.0)
-    ap_term = F.col("pos") * (F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum")))
-    agg = j.groupBy(*keys).agg(F.sum(auc_term).alias("_auc"), F.sum(ap_term).alias("_ap"),
-                               F.first("P").alias("P"), F.first("N").alias("N"))
+    P, N = F.col("pos_all").cast("double"), F.col("neg_all").cast("double")
+    below = (F.col("neg_all") - F.col("neg_cum")).cast("double")              # negatives strictly below s
+    auc_term = F.col("pos").cast("double") * (below + F.col("neg") / 2.0)
+    ap_term = F.when(F.col("pos") > 0, F.col("pos") * (F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum")))).otherwise(0.0)
+    agg = t.groupBy(*keys).agg(F.sum(auc_term).alias("_auc"), F.sum(ap_term).alias("_ap"),
+                               F.max(P).alias("P"), F.max(N).alias("N"))
     return agg.select(*keys,
                       F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_auc") / (F.col("P") * F.col("N")))
                       .alias("roc_auc"),
@@ -79,14 +72,11 @@ def pr_curve(df: DataFrame, label: str = "anomaly_label", score: str = "anomaly_
     """(threshold, precision, recall) at every distinct score, plus the closing point
     (recall 0, precision 1, no threshold)."""
     t = score_table(df, label, score, keys)
-    tot = t.groupBy(*keys).agg(F.sum("pos").alias("P"))
-    j = t.join(tot, list(keys)) if keys else t.withColumn("_all", F.lit(1)).join(
-        tot.withColumn("_all", F.lit(1)), "_all").drop("_all")
-    pts = j.select(*keys, F.col("s").alias("threshold"),
+    pts = t.select(*keys, F.col("s").alias("threshold"),
                    (F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum"))).alias("precision"),
-                   F.when(F.col("P") > 0, F.col("pos_cum") / F.col("P")).otherwise(F.lit(1.0)).alias("recall"))
-    close = tot.select(*keys, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
-                       F.lit(0.0).alias("recall"))
+                   F.when(F.col("pos_all") > 0, F.col("pos_cum") / F.col("pos_all")).otherwise(F.lit(1.0)).alias("recall"))
+    close = t.groupBy(*keys).agg(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
+                                 F.lit(0.0).alias("recall"))
     return pts.unionByName(close)
 
 
@@ -111,10 +101,9 @@ def evaluate(df: DataFrame, label: str = "anomaly_label", pred: str = "anomaly_p
         F.sum(((y == 1) & (p == 1)).cast("long")).alias("tp"),
         F.avg(F.when(is_fault, p.cast("double"))).alias("_fr"))
     ranks = rank_metrics(df, label, score, keys)
-    if keys:
-        j = base.join(ranks, list(keys))
-    else:
-        j = base.withColumn("_all", F.lit(1)).join(ranks.withColumn("_all", F.lit(1)), "_all")
+    # One row per group on either side: put one below the other and merge, null groups included.
+    names = [c for c in [*base.columns, *ranks.columns] if c not in keys]
+    j = base.unionByName(ranks, allowMissingColumns=True).groupBy(*keys).agg(*[F.max(c).alias(c) for c in names])
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     has_pos = (tp + fn) > 0
 
@@ -145,19 +134,20 @@ def score_histogram(df: DataFrame, score: str = "anomaly_score", keys: Sequence[
                          F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
                          F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi"))
     if keys:
+        gk = list(keys)
         stats = checkpointed(stats)          # one row per group: counted, broadcast under the bound
-        j = join_small(df.select(*keys, s.alias("_s")), stats, list(keys), stats.count())
-    else:
-        j = join_small(df.select(F.lit(1).alias("_all"), s.alias("_s")), stats.withColumn("_all", F.lit(1)),
-                       "_all", 1)
+        j = join_small(df.select(*keys, s.alias("_s")), stats, gk, stats.count())
+    else:                                    # one row: its values become literals
+        gk = []
+        row = stats.first()
+        stats = df.sparkSession.createDataFrame([tuple(row)], stats.schema)
+        j = df.select(s.alias("_s"), F.lit(row["_lo"]).alias("_lo"), F.lit(row["_hi"]).alias("_hi"))
     b = F.least(F.floor((F.col("_s") - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))),
                  F.lit(bins - 1)).cast("int")
-    gk = list(keys) if keys else ["_all"]
     counts = j.filter(F.col("_s").isNotNull()).groupBy(*gk, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = (stats if keys else stats.withColumn("_all", F.lit(1))).select(
-        *gk, "_n", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    grid = stats.select(*gk, "_n", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    out = grid.join(counts, [*gk, "bin"], "left").select(
+    out = join_small(grid, counts, [*gk, "bin"], None, "left").select(
         *keys, "bin",
         (F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
         (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
@@ -192,15 +182,13 @@ def best_threshold(df: DataFrame, label: str = "anomaly_label", score: str = "an
     """Threshold (a distinct score, flag = score >= t) maximising F1 or minimising
     c_fp·FP + c_fn·FN, from the running-total table; ties → the higher threshold."""
     t = score_table(df, label, score)
-    tot = t.agg(F.sum("pos").alias("P"))
-    j = t.withColumn("_all", F.lit(1)).join(tot.withColumn("_all", F.lit(1)), "_all")
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
-    fn = F.col("P") - tp
+    fn = F.col("pos_all") - tp
     if objective == "f1":
         val = _ratio(2 * tp, 2 * tp + fp + fn)
         order = [F.desc("value"), F.desc("threshold")]
     else:
         val = F.lit(float(c_fp)) * fp + F.lit(float(c_fn)) * fn
         order = [F.asc("value"), F.desc("threshold")]
-    scored = j.select(F.col("s").alias("threshold"), val.alias("value"), tp.alias("tp"), fp.alias("fp"), fn.alias("fn"))
+    scored = t.select(F.col("s").alias("threshold"), val.alias("value"), tp.alias("tp"), fp.alias("fp"), fn.alias("fn"))
     return scored.orderBy(*order).limit(1)

@@ -78,24 +78,21 @@ def asset_coverage(df: DataFrame, spec: TelemetrySpec, expected: int | None = No
     """Distribution of samples per asset: count, mean, sample std, min, quartiles, max, and
     how many assets differ from ``expected``. Quartiles by the distributed order statistic."""
     per = df.groupBy(spec.asset).agg(F.count(F.lit(1)).alias("n"))
-    q = grouped_percentiles(per, "n", [0.25, 0.5, 0.75]).groupBy().pivot("p", [0.25, 0.5, 0.75]).agg(
-        F.first("percentile"))
-    q = q.toDF("p25", "p50", "p75")
-    stats = per.agg(F.count(F.lit(1)).alias("n_assets"), F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"),
-                    F.min("n").cast("long").alias("min"), F.max("n").cast("long").alias("max"),
-                    F.sum((F.col("n") != F.lit(expected)).cast("long") if expected is not None
-                          else F.lit(0).cast("long")).alias("n_off_expected"))
-    return stats.withColumn("_k", F.lit(1)).join(q.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    q = {r["p"]: r["percentile"] for r in grouped_percentiles(per, "n", [0.25, 0.5, 0.75]).collect()}
+    quarter = lambda p: F.lit(q.get(p)).cast("double")
+    return per.agg(F.count(F.lit(1)).alias("n_assets"), F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"),
+                   F.min("n").cast("long").alias("min"), F.max("n").cast("long").alias("max"),
+                   F.sum((F.col("n") != F.lit(expected)).cast("long") if expected is not None
+                         else F.lit(0).cast("long")).alias("n_off_expected"),
+                   quarter(0.25).alias("p25"), quarter(0.5).alias("p50"), quarter(0.75).alias("p75"))
 
 
 def value_counts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Frequencies of several categorical expressions, long form (variable, value, n)."""
-    parts = None
-    for name, expr in columns.items():
-        g = (df.select(expr.cast("string").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(name).alias("variable"), "value", "n"))
-        parts = g if parts is None else parts.unionByName(g)
-    return parts
+    """Frequencies of several categorical expressions, long form (variable, value, n): one scan,
+    one aggregation over (variable, value)."""
+    each = F.array(*[F.struct(F.lit(name).alias("variable"), expr.cast("string").alias("value"))
+                     for name, expr in columns.items()])
+    return df.select(F.explode(each).alias("x")).groupBy("x.variable", "x.value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def prevalence(df: DataFrame, label: str, fault: str, keys: Sequence[str] = ()) -> DataFrame:

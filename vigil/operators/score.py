@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from typing import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +27,8 @@ SCORE = "anomaly_score"
 PRED = "anomaly_pred"
 CLUSTER = "cluster"
 
-# Native expressions up to this many terms (K * d * d for mixtures); above it the
-# density is computed on Arrow batches with NumPy (mapInPandas).
+# Native expressions up to this many terms (K * d * d for mixtures); above it the same
+# density is computed by NumPy on the feature columns.
 MAX_NATIVE_TERMS = 6000
 
 
@@ -121,24 +122,18 @@ def add_score(df: DataFrame, model, score_col: str = SCORE, cluster_col: str | N
 
 
 def _score_batches(df: DataFrame, model: "MixtureModel", score_col: str, cluster_col: str | None) -> DataFrame:
-    """Mixture density on Arrow batches: for large K·d² the literal expression would not fit
-    into generated code; NumPy does the K triangular products per batch."""
-    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-
-    cols = list(model.columns)
-    fields = list(df.schema.fields) + [StructField(score_col, DoubleType(), True)]
+    """Mixture density by NumPy: for large K·d² the literal expression would not fit into
+    generated code. Only the features go to Python; all other columns stay as they are."""
+    def run(x: pd.DataFrame) -> pd.DataFrame:
+        ld, arg = model.log_density_np(x.to_numpy(dtype=float))
+        return pd.DataFrame({"score": -ld, "cluster": arg.astype("int32")})
+
+    density = F.pandas_udf(run, "score double, cluster int")
+    out = df.withColumn("_vg_density", density(F.struct(*[F.col(c).cast("double").alias(c) for c in model.columns])))
+    extra = [F.col("_vg_density.score").alias(score_col)]
     if cluster_col:
-        fields.append(StructField(cluster_col, IntegerType(), True))
-
-    def run(batches):
-        for pdf in batches:
-            ld, arg = model.log_density_np(pdf[cols].to_numpy(dtype=float))
-            pdf[score_col] = -ld
-            if cluster_col:
-                pdf[cluster_col] = arg.astype("int32")
-            yield pdf
-
-    return df.mapInPandas(run, StructType(fields))
+        extra.append(F.col("_vg_density.cluster").alias(cluster_col))
+    return out.select(*df.columns, *extra)
 
 
 def assign_cluster(df: DataFrame, model, cluster_col: str = CLUSTER) -> DataFrame:

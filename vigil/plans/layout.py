@@ -43,10 +43,16 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
 
 
 def join_small(big: DataFrame, small: DataFrame, on, rows_bound: int | None, how: str = "inner") -> DataFrame:
-    """Join a helper table; broadcast it only when its row count is provably bounded."""
+    """Join a helper table on equal keys, null keys included; broadcast it only when its row
+    count is provably bounded. Columns of ``big`` come first, in their order."""
+    on = [on] if isinstance(on, str) else list(on)
+    small = small.withColumnsRenamed({c: f"_js_{c}" for c in on})
     if rows_bound is not None and rows_bound <= BROADCAST_ROWS:
         small = F.broadcast(small)
-    return big.join(small, on, how)
+    same = F.col(on[0]).eqNullSafe(F.col(f"_js_{on[0]}"))
+    for c in on[1:]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_js_{c}"))
+    return big.join(small, same, how).drop(*[f"_js_{c}" for c in on])
 
 
 def positional_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -96,13 +102,6 @@ class SeriesLayout:
         return df.filter(F.col(HOME)).drop(POS, CHUNK, HOME)
 
 
-def series_stats(df: DataFrame, asset: str) -> tuple[int, int]:
-    """(longest series length, number of assets) — one aggregate reading only ``asset``."""
-    row = (df.groupBy(asset).agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.max("n").alias("mx"), F.count(F.lit(1)).alias("k")).first())
-    return int(row["mx"] or 0), int(row["k"] or 0)
-
-
 def hot_keys(df: DataFrame, asset: str, max_series_rows: int) -> tuple[DataFrame, int]:
     """Assets with more than ``max_series_rows`` rows, and how many there are. The table has
     at most rows / max_series_rows entries, so it is a bounded broadcast side."""
@@ -152,43 +151,32 @@ def plan_series(df: DataFrame, asset: str, order: Sequence[str], back: int, ahea
     return [(cold_part, plain), _chunk(hot_part, asset, order, back, ahead, chunk_rows, n_keys=n_hot)]
 
 
-# Groups up to this many rows may be handled by one task (one window partition, one exact
-# percentile buffer): the size is measured first, like a broadcast threshold.
-LOCAL_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest group (one aggregate; 0 for an empty input)."""
-    if keys:
-        row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    else:
-        row = df.agg(F.count(F.lit(1)).alias("m")).first()
-    return int(row["m"] or 0)
-
-
 def running_totals(df: DataFrame, order: Sequence[Column | str], values: Sequence[str],
-                   keys: Sequence[str] = (), suffix: str = "_cum", chunk_rows: int = 1_000_000,
-                   n_parts: int | None = None, local_rows: int | None = LOCAL_GROUP_ROWS) -> DataFrame:
-    """Inclusive running sums of ``values`` along ``order`` (total order) inside ``keys``.
-
-    If every group is measured at ≤ ``local_rows`` rows, one ordered window per group does
-    it; otherwise no task ever holds more than ``chunk_rows`` rows of one key.
+                   keys: Sequence[str] = (), suffix: str = "_cum", total_suffix: str = "_all",
+                   n_parts: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``values`` along ``order`` (total order) inside ``keys``, and the
+    key's totals (``total_suffix``).
+
+    One path for every size: range partitions of (keys, order) are summed, the sums are turned
+    into offsets (a table of at most keys + partitions rows), and each partition adds its own
+    prefix. A key that holds most rows is spread over many partitions; null keys are keys.
     """
     keys = list(keys)
-    if local_rows and largest_group(df, keys) <= local_rows:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(v).over(w).alias(f"{v}{suffix}") for v in values])
-    idx = positional_index(df, keys, order, n_parts=n_parts)
-    idx = idx.withColumn(CHUNK, F.floor(F.col(POS) / F.lit(chunk_rows)).cast("bigint"))
-    totals = idx.groupBy(*keys, CHUNK).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, CHUNK, *[
-        F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values])
-    joined = idx.join(offsets, [*keys, CHUNK])   # AQE broadcasts it when measured small
-    w = Window.partitionBy(*keys, CHUNK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    out = joined.select("*", *[(F.sum(v).over(w) + F.col(f"_o_{v}")).alias(f"{v}{suffix}")
-                               for v in values])
-    return out.drop(CHUNK, *[f"_o_{v}" for v in values])
+    n = _n_parts(df, n_parts)
+    sort_cols = [*keys, *order]
+    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    tagged = checkpointed(ranged.withColumn(_MID, F.monotonically_increasing_id())).withColumn(
+        _PID, F.shiftright(F.col(_MID), 33))
+    sums = tagged.groupBy(*keys, _PID).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    offsets = sums.select(
+        *keys, _PID, *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values],
+        *[F.sum(f"_t_{v}").over(whole).alias(f"{v}{total_suffix}") for v in values])
+    joined = join_small(tagged, offsets, [*keys, _PID], None if keys else n)
+    inside = Window.partitionBy(*keys, _PID).orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
+    return joined.select(*df.columns, *[(F.sum(v).over(inside) + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in values],
+                         *[f"{v}{total_suffix}" for v in values])
 
 
 def apply_series(df: DataFrame, asset: str, order: Sequence[str], back: int, ahead: int,

@@ -1,10 +1,11 @@
 """Exact order statistics without gathering a group into one task.
 
 Spark's exact ``percentile`` keeps every value of a group in one aggregation buffer; a
-global percentile over 100 TB would put all scores in one task. Here the values are
-range-partitioned and indexed (``positional_index``); only the two neighbours of each
-requested rank are kept, then interpolated linearly (numpy's default, DuckDB's
-``quantile_cont``). ``approx=True`` uses ``percentile_approx`` (one pass, bounded memory).
+global percentile over 100 TB would put all scores in one task. Here equal values are counted
+first, so ties become one row, and the distinct values get running counts (``running_totals``,
+spread over range partitions). Only the two neighbours of each requested rank are kept, then
+interpolated linearly (numpy's default, DuckDB's ``quantile_cont``). ``approx=True`` uses
+``percentile_approx`` (one pass, bounded memory).
 """
 
 from __future__ import annotations
@@ -14,15 +15,14 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.plans.layout import LOCAL_GROUP_ROWS, POS, join_small, largest_group, positional_index
+from vigil.plans.layout import running_totals
 
 
 def grouped_percentiles(df: DataFrame, value: str, ps: Sequence[float], keys: Sequence[str] = (),
-                        approx: bool = False, accuracy: int = 100_000,
-                        n_keys: int | None = None, local_rows: int | None = LOCAL_GROUP_ROWS) -> DataFrame:
+                        approx: bool = False, accuracy: int = 100_000) -> DataFrame:
     """One row per (keys, p) with ``percentile`` = the p-quantile (p in [0, 1]) of ``value``.
 
-    Nulls are ignored. Output columns: *keys, p, percentile.
+    Null values are ignored, null keys are a group like any other. Output columns: *keys, p, percentile.
     """
     keys = list(keys)
     # No null filter here: a filter on a derived score is pushed through (and inlines) the
@@ -33,31 +33,22 @@ def grouped_percentiles(df: DataFrame, value: str, ps: Sequence[float], keys: Se
         agg = vals.groupBy(*keys).agg(F.percentile_approx("_v", ps_col, accuracy).alias("_q"))
         return agg.select(*keys, F.posexplode("_q").alias("_i", "percentile")).select(
             *keys, ps_col[F.col("_i")].alias("p"), "percentile")
-    if local_rows and largest_group(vals, keys) <= local_rows:
-        # measured bound: Spark's exact percentile (same interpolation) in one buffer per group
-        agg = vals.groupBy(*keys).agg(F.percentile("_v", ps_col).alias("_q"))
-        return agg.filter(F.col("_q").isNotNull()).select(
-            *keys, F.posexplode("_q").alias("_i", "percentile")).select(
-            *keys, ps_col[F.col("_i")].alias("p"), "percentile")
-    counts = vals.groupBy(*keys).agg(F.count("_v").alias("_n"),
-                                     (F.count(F.lit(1)) - F.count("_v")).alias("_nulls"))
-    wanted = (counts.filter(F.col("_n") > 0)
-              .select(*keys, "_n", "_nulls", F.explode(ps_col).alias("p"))
-              .select(*keys, "p", "_nulls", ((F.col("_n") - 1) * F.col("p")).alias("_h")))
-    wanted = wanted.select(*keys, "p", "_h", "_nulls", F.floor("_h").cast("long").alias("_lo"))
-    # Ascending order puts nulls first, so value rank r sits at position r + nulls.
-    need = wanted.select(*keys, "p", "_h", "_lo",
-                         F.explode(F.array(F.col("_lo"), F.col("_lo") + 1)).alias("_r"),
-                         (F.col("_nulls")).alias("_nulls"))
-    need = need.select(*keys, "p", "_h", "_lo", "_r", (F.col("_r") + F.col("_nulls")).alias(POS))
-    bound = None if keys else 2 * len(ps)
-    indexed = positional_index(vals, keys, ["_v"], n_keys=n_keys)
-    picked = join_small(indexed, need, [*keys, POS], bound)      # ≤ 2 rows per (key, p)
-    return picked.groupBy(*keys, "p").agg(
-        F.first("_h").alias("_h"), F.first("_lo").alias("_lo"),
-        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_r") == F.col("_lo") + 1, F.col("_v"))).alias("_vhi"),
-    ).select(*keys, "p", (F.col("_vlo") + (F.col("_h") - F.col("_lo"))
+    counted = vals.groupBy(*keys, "_v").agg(F.count("_v").alias("_n"))      # the row of nulls counts 0
+    ranked = running_totals(counted, ["_v"], ["_n"], keys=keys).filter(F.col("_v").isNotNull())
+    first, last = F.col("_n_cum") - F.col("_n"), F.col("_n_cum") - 1        # ranks that hold the value
+
+    def holds(rank):
+        return (rank >= first) & (rank <= last)
+
+    wanted = F.transform(ps_col, lambda p: F.struct(p.alias("p"), ((F.col("_n_all") - 1) * p).alias("h")))
+    near = F.filter(wanted, lambda x: holds(F.floor(x["h"])) | holds(F.floor(x["h"]) + 1))
+    picked = ranked.select(*keys, "_v", first.alias("_first"), last.alias("_last"), F.explode(near).alias("_x"))
+    low = F.floor("_x.h")
+    return picked.groupBy(*keys, F.col("_x.p").alias("p")).agg(             # at most 2 rows per (keys, p)
+        F.max("_x.h").alias("_h"),
+        F.max(F.when((low >= F.col("_first")) & (low <= F.col("_last")), F.col("_v"))).alias("_vlo"),
+        F.max(F.when((low + 1 >= F.col("_first")) & (low + 1 <= F.col("_last")), F.col("_v"))).alias("_vhi"),
+    ).select(*keys, "p", (F.col("_vlo") + (F.col("_h") - F.floor("_h"))
                           * (F.coalesce(F.col("_vhi"), F.col("_vlo")) - F.col("_vlo"))).alias("percentile"))
 
 

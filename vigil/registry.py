@@ -704,17 +704,6 @@ def q_telemetry_csv(spark, sf):
 # Structured Streaming (ST1, ST2)
 # ---------------------------------------------------------------------------
 
-def _start(writer, spark, state_partitions: int = 8):
-    """Start a streaming query whose state store uses few partitions (the count is fixed
-    at first start); the session setting is restored right after."""
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(old), state_partitions)))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-
-
 @query("stream_score")
 def q_stream_score(spark, sf):
     """Causal model trained in batch; F1 replayed as a stream in 3 event-time slices."""
@@ -724,8 +713,8 @@ def q_stream_score(spark, sf):
     f1.limit(0).write.parquet(src)
     stream = spark.readStream.schema(f1.schema).parquet(src)
     scored = stream_score(stream, rep.model, out_columns=["event_id", "asset_id", "timestamp"])
-    q = _start(scored.writeStream.format("parquet").option("path", sink)
-               .option("checkpointLocation", sink + "-ckpt").outputMode("append"), spark)
+    q = (scored.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", sink + "-ckpt").outputMode("append").start())
     try:
         replay(spark, f1, "timestamp", 3, src, q.processAllAvailable)
     finally:
@@ -736,20 +725,24 @@ def q_stream_score(spark, sf):
 
 @query("stream_anomaly_rate")
 def q_stream_anomaly_rate(spark, sf):
-    """Hourly anomaly rate per asset over the evaluation rows replayed as a stream."""
-    import uuid
+    """Hourly anomaly rate per asset over the evaluation rows replayed as a stream. A window is
+    written once, when the watermark has passed it; a last row far ahead (no asset) closes all."""
     rows = eval_input(spark, sf).select("event_id", "asset_id", "timestamp", "anomaly_pred")
-    src = scratch_path(spark, "rate-src")
+    src, sink = scratch_path(spark, "rate-src"), scratch_path(spark, "rate-out")
     rows.limit(0).write.parquet(src)
-    stream = spark.readStream.schema(rows.schema).parquet(src)
-    name = f"rate_{uuid.uuid4().hex[:10]}"
-    agg = stream_anomaly_rate(stream, "timestamp", "asset_id")
-    q = _start(agg.writeStream.format("memory").queryName(name).outputMode("complete"), spark)
+    agg = stream_anomaly_rate(spark.readStream.schema(rows.schema).parquet(src), "timestamp", "asset_id")
+    q = (agg.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", sink + "-ckpt").outputMode("append").start())
     try:
         replay(spark, rows, "timestamp", 3, src, q.processAllAvailable)
+        end = rows.agg(F.max("timestamp").alias("timestamp")).select(
+            F.lit(None).alias("event_id"), F.lit(None).alias("asset_id"),
+            (F.col("timestamp") + F.expr("INTERVAL 2 DAYS")).alias("timestamp"), F.lit(None).alias("anomaly_pred"))
+        end.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema.fields]).write.mode("append").parquet(src)
+        q.processAllAvailable()
     finally:
         q.stop()
-    return r6(spark.table(name))
+    return r6(spark.read.parquet(sink))
 
 
 # ---------------------------------------------------------------------------

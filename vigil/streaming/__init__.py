@@ -21,5 +21,5 @@ def replay(spark, df, ts: str, n_slices: int, folder: str, consume) -> None:
         cond = F.col(ts) >= ts_lit(df, ts, lo + step * i)
         if i < n_slices - 1:
             cond = cond & (F.col(ts) < ts_lit(df, ts, lo + step * (i + 1)))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(folder)
+        df.filter(cond).write.mode("append").parquet(folder)
         consume()
