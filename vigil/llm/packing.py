@@ -10,76 +10,27 @@ lengths, which need no padding.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from vigil.llm.bpe import byte_pairs
 from vigil.llm.common import checkpointed
 
-SPACE_AFTER_SPACE = re.compile(r"\s ")
 SCHEMA = ("doc_id string, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, "
           "part int, bin long, offset long, bin_length long")
 
 
-class WordCache:
-    """Ids of whole texts by byte-level BPE, with the ids of each word kept.
-
-    The pre-tokenizer never joins across a space that follows a character other than white space, so
-    a text may be cut before such spaces and its pieces encoded apart. Texts where some space follows
-    white space are encoded whole.
-    """
-
-    def __init__(self, path: str, most: int = 400_000) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.most = most
-        self.known: dict[str, list[int]] = {}
-
-    def _learn(self, words: set[str], also: set[str]) -> None:
-        """Keep the ids of ``words``; when the cache is full it is emptied and ``also`` is learnt again."""
-        if len(self.known) + len(words) > self.most:
-            self.known.clear()
-            words = also
-        todo = list(words)
-        for at in range(0, len(todo), 50_000):
-            some = todo[at: at + 50_000]
-            found = self.tokenizer.encode_batch([" " + w for w in some], add_special_tokens=False)
-            self.known.update((w, e.ids) for w, e in zip(some, found))
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [None if "<|" in t or SPACE_AFTER_SPACE.search(t) else t.split(" ") for t in texts]
-        used = set(chain.from_iterable(w[1:] for w in cut if w))
-        if new := used.difference(self.known):
-            self._learn(new, used)
-        ids = self.known.__getitem__
-        return [np.array(self._whole(t) if w is None else [*self._whole(w[0]), *chain.from_iterable(map(ids, w[1:]))], np.int64)
-                for t, w in zip(texts, cut)]
-
-
-@lru_cache(maxsize=1)
-def word_cache(path: str) -> WordCache:
-    """One per Python worker; it goes on from task to task."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return WordCache(path)
-
-
 def fill(need: np.ndarray, limits: np.ndarray) -> list[list[tuple[int, int]]]:
     """Sequences as lists of (example, tokens taken) for examples with need[i] = (tokens, segments, loss).
 
-    The last sequence alone may be left unfilled where an example could still be cut. A cut takes
-    loss-bearing tokens in proportion to what is left of the example's, at most one a token.
+    The last sequence alone may be left unfilled where an example could still be cut. The tokens of an
+    example that bear no loss are its first ones.
     """
     left = need.astype(np.float64).copy()
     alive = np.arange(len(left))
@@ -99,21 +50,17 @@ def fill(need: np.ndarray, limits: np.ndarray) -> list[list[tuple[int, int]]]:
                 room -= here[best]
                 open_[best] = False
                 continue
-            # No example fits whole: cut one so that the room is used up.
-            take = int(min(room[0], room[2]))
-            if take < 1 or room[1] < 1 or not open_.any():
+            # No example fits whole: cut the longest one so that the room is used up.
+            if room[1] < 1 or not open_.any():
                 break
-            rest = np.flatnonzero(open_)
-            best = int(rest[here[rest, 0].argmax()])
-            if here[best, 0] <= take:  # it fits in tokens, so loss is what binds
-                take = int(here[best, 0]) - 1
+            best = int(np.where(open_, here[:, 0], -1).argmax())
+            quiet = here[best, 0] - here[best, 2]
+            take = int(min(room[0], room[2] + quiet, here[best, 0] - 1))
             if take < 1:
                 break
-            loss = min(float(take), here[best, 2])
+            cut = np.array([take, 1, max(0.0, take - quiet)])
             row.append((int(alive[best]), take))
-            room -= np.array([take, 1, loss])
-            left[alive[best]] = here[best] - np.array([take, 0, loss])
-            here[best] = left[alive[best]]
+            left[alive[best]] = here[best] - cut * (1, 0, 1)
             break
         if not row:
             raise ValueError("an example does not fit an empty sequence")
@@ -148,7 +95,7 @@ def pack(docs: DataFrame, max_tokens: int = 2048, max_segments: int = 256, max_l
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        part, cache, next_bin = TaskContext.get().partitionId(), word_cache(path), 0
+        part, pairs, next_bin = TaskContext.get().partitionId(), byte_pairs(path), 0
         waiting: list[list] = []  # [doc_id, ids, start, doc_tokens, bears loss]
         rows: list[tuple] = []
 
@@ -190,21 +137,18 @@ def pack(docs: DataFrame, max_tokens: int = 2048, max_segments: int = 256, max_l
             waiting = []
 
         for x in batches:
-            for at in range(0, len(x), 200):
-                some = x.iloc[at: at + 200]
-                texts = ["" if t is None else t for t in some["text"]]
-                for doc_id, ids, loss in zip(some["doc_id"], cache.encode(texts), some["loss"]):
-                    ids = np.append(ids, end_id)
-                    # What bears loss is cut so that no piece goes beyond the loss limit.
-                    most = int(min(limits[0], limits[2])) if loss else max_tokens
-                    for begin in range(0, len(ids), most):
-                        e = [doc_id, ids[begin: begin + most], begin, len(ids), loss]
-                        if len(e[1]) == max_tokens:
-                            emit([(e, max_tokens)], max_tokens)
-                        else:
-                            waiting.append(e)
-                    if len(waiting) >= group:
-                        flush(False)
+            for doc_id, text, loss in zip(x["doc_id"], x["text"], x["loss"]):
+                ids = np.append(pairs.array(text or ""), end_id)
+                # What bears loss is cut so that no piece goes beyond the loss limit.
+                most = int(min(limits[0], limits[2])) if loss else max_tokens
+                for begin in range(0, len(ids), most):
+                    e = [doc_id, ids[begin: begin + most], begin, len(ids), loss]
+                    if len(e[1]) == max_tokens:
+                        emit([(e, max_tokens)], max_tokens)
+                    else:
+                        waiting.append(e)
+                if len(waiting) >= group:
+                    flush(False)
             if rows:
                 yield frame(rows)
                 rows = []
