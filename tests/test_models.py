@@ -14,7 +14,7 @@ from vigil.plans import jobs
 from vigil.sources import fixtures as fx
 from vigil.sources.store import load_model, save_model
 
-COLS = fx.vector_columns()
+COLS = [f"x{i}" for i in range(64)]
 
 
 @pytest.fixture(scope="module")

@@ -68,14 +68,11 @@ ROWS_PER_FIT_PARTITION = 50_000
 
 
 def fit_input(df: DataFrame, cols: Sequence[str], n_parts: int | None = None) -> DataFrame:
-    """Assembled vectors, checkpointed, in a partition count fixed by the row count (MLlib's
-    result for a seed depends on the partitioning, so it must not drift with AQE)."""
+    """Assembled vectors, checkpointed, in a partition count fixed by the row count alone (MLlib's
+    result for a seed depends on the partitioning, so it must drift neither with AQE nor with the
+    cluster)."""
     if n_parts is None:
-        spark = df.sparkSession
-        cap = max(spark.sparkContext.defaultParallelism,
-                  int(spark.conf.get("spark.sql.shuffle.partitions")))
-        rows = df.count()
-        n_parts = max(1, min(cap, -(-rows // ROWS_PER_FIT_PARTITION)))
+        n_parts = max(1, -(-df.count() // ROWS_PER_FIT_PARTITION))
     return stable(_assemble(df, cols).repartition(n_parts))
 
 
@@ -108,11 +105,12 @@ def fit_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, ma
 def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42,
                          batch_size: int = 4096, max_iter: int = 300, tol: float = 0.0,
                          key: str | None = None) -> tuple[CentroidModel, float]:
-    """Mini-batch k-means. Rows are hashed once into ``n_batches`` slices, written to the
-    shared checkpoint folder partitioned by slice, so each step reads one slice by partition
-    pruning (never a scan of all rows). A step assigns its slice and moves each centre
-    toward the slice mean with per-centre learning rate 1 / (points seen so far).
-    Initial centres: MLlib k-means|| on the first slice."""
+    """Mini-batch k-means. Rows are hashed into slices of about ``batch_size`` rows, however many
+    rows there are; the ``max_iter`` slices that the steps use are written once to the shared
+    checkpoint folder, partitioned by slice, so each step reads one slice by partition pruning
+    (never a scan of all rows). A step assigns its slice and moves each centre toward the slice
+    mean with per-centre learning rate 1 / (points seen so far); with fewer slices than steps they
+    come round again. Initial centres: MLlib k-means|| on the first three slices."""
     import uuid
 
     from vigil.session import ensure_checkpoint_dir
@@ -122,12 +120,12 @@ def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: in
     n = train.count()
     if n == 0:
         raise ValueError("no train rows")
-    n_batches = max(1, min(max_iter, -(-n // batch_size)))
+    n_batches = max(1, -(-n // batch_size))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/minibatch-{uuid.uuid4().hex[:12]}"
-    (train.select(*cols, F.pmod(hashed, F.lit(n_batches)).cast("int").alias("_b"))
+    (train.select(*cols, F.pmod(hashed, F.lit(n_batches)).alias("_b")).filter(F.col("_b") < max(max_iter, 3))
      .repartition("_b").write.partitionBy("_b").parquet(path))
     slices = spark.read.parquet(path)
-    model0, _ = fit_kmeans(slices.filter(F.col("_b") == 0), cols, k, seed=seed, max_iter=20, n_init=1)
+    model0, _ = fit_kmeans(slices.filter(F.col("_b") < 3), cols, k, seed=seed, max_iter=20, n_init=1)
     centres = [list(c) for c in model0.centres]
     counts = [0] * k
     for step in range(max_iter):
@@ -145,7 +143,7 @@ def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: in
         if tol and shift < tol:
             break
     model = CentroidModel(tuple(cols), tuple(tuple(c) for c in centres), kind="minibatch")
-    return model, inertia(slices, model)
+    return model, inertia(train, model)
 
 
 def fit_gmm(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, max_iter: int = 200,

@@ -425,7 +425,7 @@ VEC_K, VEC_STEPS = 4, 4
 
 def vec_model(spark, sf):
     v = fx.vectors(spark, sf)
-    cols = fx.vector_columns()
+    cols = fx.vector_columns(v)
     init = lowest_key_centres(v, cols, "vec_id", VEC_K)
     model, costs = kmeans_fixed_init(v, cols, init, VEC_STEPS)
     return v, cols, model, costs
@@ -464,7 +464,7 @@ def q_inertia(spark, sf):
 @query("silhouette_sample")
 def q_silhouette(spark, sf):
     v = fx.vectors(spark, sf)
-    cols = fx.vector_columns()
+    cols = fx.vector_columns(v)
     sample = hash_sample(v, "vec_id", SILHOUETTE_SAMPLE, 42)
     return r6(_one_row(spark, {"silhouette": silhouette(sample, cols, "label", "vec_id")}, "silhouette double"))
 
@@ -496,7 +496,7 @@ def label_mixture(v: DataFrame, cols, label: str = "label", ridge: float = 1e-6)
 @query("gmm_score")
 def q_gmm_score(spark, sf):
     v = fx.vectors(spark, sf)
-    model = label_mixture(v, fx.vector_columns())
+    model = label_mixture(v, fx.vector_columns(v))
     return r6(add_score(v, model).select("vec_id", "anomaly_score"))
 
 
@@ -505,7 +505,7 @@ def q_gmm_score_batches(spark, sf):
     """Same mixture, scored on Arrow batches (the path used when K·d² is too large for codegen)."""
     from vigil.operators.score import _score_batches
     v = fx.vectors(spark, sf)
-    model = label_mixture(v, fx.vector_columns())
+    model = label_mixture(v, fx.vector_columns(v))
     return r6(_score_batches(v, model, "anomaly_score", None).select("vec_id", "anomaly_score"))
 
 
@@ -514,43 +514,43 @@ def q_gmm_score_batches(spark, sf):
 @query("kmeans")
 def q_kmeans(spark, sf):
     v = fx.vectors(spark, sf)
-    model, _ = fit_kmeans(v, fx.vector_columns(), 4, seed=42, max_iter=50, n_init=2)
+    model, _ = fit_kmeans(v, fx.vector_columns(v), 4, seed=42, max_iter=50, n_init=2)
     return assign_cluster(v, model).select("vec_id", "cluster")
 
 
 @query("minibatch_kmeans")
 def q_minibatch(spark, sf):
     v = fx.vectors(spark, sf)
-    model, _ = fit_minibatch_kmeans(v, fx.vector_columns(), 4, seed=42, batch_size=256, max_iter=10)
+    model, _ = fit_minibatch_kmeans(v, fx.vector_columns(v), 4, seed=42, batch_size=256, max_iter=10)
     return assign_cluster(v, model).select("vec_id", "cluster")
 
 
 @query("gmm")
 def q_gmm(spark, sf):
     v = fx.vectors(spark, sf)
-    model, _ = fit_gmm(v, fx.vector_columns(4), 3, seed=42, max_iter=30, n_init=1)
+    model, _ = fit_gmm(v, fx.vector_columns(v), 3, seed=42, max_iter=30, n_init=1)
     return r6(add_score(v, model, cluster_col="cluster").select("vec_id", "cluster", "anomaly_score"))
 
 
 @query("pca")
 def q_pca(spark, sf):
     v = fx.vectors(spark, sf)
-    proj = fit_pca(v, fx.vector_columns(), 3)
+    proj = fit_pca(v, fx.vector_columns(v), 3)
     return r6(proj.transform(v, keep=["vec_id"]))
 
 
 @query("elbow_table")
 def q_elbow(spark, sf):
     v = fx.vectors(spark, sf)
-    _, res = select_k(v, fx.vector_columns(), "vec_id", (2, 3, 4),
-                      fit=lambda d, c, k: fit_kmeans(d, c, k, seed=42, max_iter=30, n_init=1))
+    _, res = select_k(v, fx.vector_columns(v), "vec_id", PipelineConfig().k_range,
+                      fit=lambda d, c, k: fit_kmeans(d, c, k, seed=42, n_init=1))
     return r6(elbow_table(spark, res))
 
 
 @query("gmm_bic")
 def q_gmm_bic(spark, sf):
     v = fx.vectors(spark, sf)
-    cols = fx.vector_columns(4)
+    cols = fx.vector_columns(v)
     rows = []
     for k in (2, 3):
         model, _ = fit_gmm(v, cols, k, seed=42, max_iter=30, n_init=1)
@@ -795,8 +795,8 @@ def q_fit_threshold(spark, sf):
 def q_select_k(spark, sf):
     """K search with the sampled Euclidean silhouette: best K and the table (rows-only)."""
     v = fx.vectors(spark, sf)
-    best, res = select_k(v, fx.vector_columns(), "vec_id", (2, 3, 4, 5),
-                         fit=lambda d, c, k: fit_kmeans(d, c, k, seed=42, max_iter=30, n_init=1))
+    best, res = select_k(v, fx.vector_columns(v), "vec_id", PipelineConfig().k_range,
+                         fit=lambda d, c, k: fit_kmeans(d, c, k, seed=42, n_init=1))
     return r6(elbow_table(spark, res).withColumn("best", (F.col("k") == best).cast("int")))
 
 

@@ -5,7 +5,7 @@ same definition as SQL text (valid in Spark SQL and DuckDB) lives in ``vigil.ora
 
 * F1 ``telemetry_events``   — events → 3 sensors with gaps, regime, load, labels
 * F2 ``telemetry_lineitem`` — lineitem → 4 sensors, long series, ties in time
-* F3 ``vectors``            — embeddings → x0..x7 doubles + label
+* F3 ``vectors``            — embeddings → x0..x63 doubles (the data's width) + label
 * F4 ``scored``             — F1 with a rounded score and a prediction (evaluation input)
 """
 
@@ -97,15 +97,17 @@ def telemetry_lineitem(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     )
 
 
-def vectors(spark: SparkSession, sf_dir: str, dims: int = 8) -> DataFrame:
-    """the first ``dims`` embedding components as double columns x0..x{dims-1}."""
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """all embedding components as double columns x0, x1, …; the width is the data's."""
     emb = table(spark, sf_dir, "embeddings")
+    dims = emb.agg(F.max(F.size("embedding"))).first()[0] or 0
     return emb.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}")
                                   for i in range(dims)], "label")
 
 
-def vector_columns(dims: int = 8) -> list[str]:
-    return [f"x{i}" for i in range(dims)]
+def vector_columns(v: DataFrame) -> list[str]:
+    """The component columns of a vectors table."""
+    return [c for c in v.columns if c[0] == "x" and c[1:].isdigit()]
 
 
 def scored(spark: SparkSession, sf_dir: str, rounded: bool = True) -> DataFrame:

@@ -323,11 +323,12 @@ SQL["threshold_per_regime"] = grouped_pred_sql(f"WITH e AS ({E_RAW})", "e", "reg
 SQL["threshold_per_cluster"] = grouped_pred_sql(_SC.rstrip(), "scored", "cluster")
 
 # --- clustering on F3 ------------------------------------------------------------------
-VCOLS = [f"x{i}" for i in range(8)]
+VDIMS = 64  # width of the embeddings table
+VCOLS = [f"x{i}" for i in range(VDIMS)]
 
 
 def vec_ctes(k: int = 4, steps: int = 4) -> tuple[list[str], str]:
-    ctes = [f"v AS ({o.f3_sql(8)})",
+    ctes = [f"v AS ({o.f3_sql(VDIMS)})",
             f"pts AS (SELECT vec_id AS _rid, {', '.join(VCOLS)} FROM v)",
             "centres0 AS (SELECT CAST(row_number() OVER (ORDER BY _rid) - 1 AS INTEGER) AS cid, "
             + ", ".join(f"{c} AS c_{c}" for c in VCOLS) + f" FROM (SELECT * FROM pts ORDER BY _rid LIMIT {k}) z)"]
@@ -356,7 +357,7 @@ SELECT {o.r6('sum(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / great
 FROM ab"""
 
 
-SQL["silhouette_sample"] = silhouette_sql(f"WITH lv AS ({o.f3_sql(8)})", "label")
+SQL["silhouette_sample"] = silhouette_sql(f"WITH lv AS ({o.f3_sql(VDIMS)})", "label")
 SQL["silhouette_kmeans"] = silhouette_sql(
     _VW.rstrip() + ", lv AS (SELECT v.*, near.cid AS cluster FROM v JOIN near ON v.vec_id = near._rid)", "cluster")
 SQL["davies_bouldin"] = _VW + f""", s AS (SELECT cid, avg(sqrt(d2)) AS s FROM near GROUP BY cid),
@@ -370,7 +371,7 @@ def gmm_label_sql() -> str:
     params = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) + 1e-6 AS v_{c}" for c in VCOLS)
     lp = (" - 0.5 * (" + " + ".join(f"ln(p.v_{c})" for c in VCOLS) + f" + {len(VCOLS)} * ln(2 * pi()))"
           + " - 0.5 * (" + " + ".join(f"(v.{c} - p.m_{c}) * (v.{c} - p.m_{c}) / p.v_{c}" for c in VCOLS) + ")")
-    return f"""WITH v AS ({o.f3_sql(8)}),
+    return f"""WITH v AS ({o.f3_sql(VDIMS)}),
 p AS (SELECT label, count(*) * 1.0 / (SELECT count(*) FROM v) AS w, {params} FROM v GROUP BY label),
 lp AS (SELECT v.vec_id, ln(p.w){lp} AS lp FROM v, p),
 mx AS (SELECT vec_id, max(lp) AS m FROM lp GROUP BY vec_id)
