@@ -170,3 +170,28 @@ def test_histogram_constant_scores(spark):
     assert len(h) == 80 and h["count"].sum() == 10
     counts, edges = np.histogram(np.full(10, 2.0), bins=80)
     assert list(h.sort_values("bin")["count"]) == list(counts)
+
+
+def _score_rows(spark, rows):
+    return spark.createDataFrame(rows, "s double, pos long, neg long, pos_cum long, neg_cum long, pos_all long, neg_all long")
+
+
+def test_auc_beyond_the_range_of_a_long(spark, monkeypatch):
+    """P * N is about 1.6e19 here; half the positives lie above all negatives, half below."""
+    n = 4_000_000_000
+    table = _score_rows(spark, [(3.0, n // 2, 0, n // 2, 0, n, n), (2.0, 0, n, n // 2, n, n, n), (1.0, n // 2, 0, n, n, n, n)])
+    monkeypatch.setattr(ev, "score_table", lambda *a, **k: table)
+    row = ev.rank_metrics(table).first()
+    assert abs(row["roc_auc"] - 0.5) < 1e-12
+
+
+def test_evaluation_plans_have_no_nested_loops(spark):
+    df = spark.range(200).selectExpr("CAST(id % 2 AS INT) AS anomaly_label", "CAST(id % 3 = 0 AS INT) AS anomaly_pred",
+                                     "CAST(id % 17 AS DOUBLE) AS anomaly_score", "CAST(id % 5 = 0 AS INT) AS fault_code_true",
+                                     "IF(id % 4 = 0, NULL, id % 4) AS g")
+    for keys in ([], ["g"]):
+        for out in (ev.rank_metrics(df, keys=keys), ev.evaluate(df, keys=keys), ev.pr_curve(df, keys=keys), ev.score_histogram(df, keys=keys)):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "NestedLoop" not in plan and "Cartesian" not in plan
+        assert ev.evaluate(df, keys=keys).count() == (4 if keys else 1)     # the null group is one of them
+    assert ev.best_threshold(df).count() == 1

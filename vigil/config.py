@@ -35,7 +35,6 @@ THRESHOLD_PERCENTILE = 99.0
 ROLLING_WINDOW = 15
 FILL_LIMIT = 5
 SILHOUETTE_SAMPLE = 5000
-FEATURE_SUFFIXES = ("_roll_mean", "_roll_std", "_diff", "_zscore")
 
 
 @dataclass(frozen=True)
@@ -90,7 +89,8 @@ LINEITEM_SPEC = TelemetrySpec(
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    """Parameters of the train / score jobs (defaults = the reference's)."""
+    """Parameters of the train / score jobs. Defaults are the reference's but for the k-means
+    budget, which is explained below."""
 
     random_state: int = RANDOM_STATE
     train_days: int = TRAIN_DAYS

@@ -21,11 +21,6 @@ def sq_dist(cols: Sequence[str], centre: Sequence[float]) -> Column:
     return _sum([(F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(cols, centre)])
 
 
-def sq_dist_cols(cols: Sequence[str], other: Sequence[str]) -> Column:
-    """Squared Euclidean distance between two sets of columns of the same row."""
-    return _sum([(F.col(a) - F.col(b)) * (F.col(a) - F.col(b)) for a, b in zip(cols, other)])
-
-
 def nearest(cols: Sequence[str], centres: Sequence[Sequence[float]]) -> Column:
     """struct(d2, cluster) of the nearest centre; ties go to the lowest cluster id."""
     cands = [F.struct(sq_dist(cols, c).alias("d2"), F.lit(k).alias("cluster")) for k, c in enumerate(centres)]

@@ -265,6 +265,11 @@ def assign_np(X: np.ndarray, model) -> np.ndarray:
     return model.log_density_np(X)[1]
 
 
+def sample_points(df: DataFrame, cols: Sequence[str], key: str, n: int, seed: int = 42) -> np.ndarray:
+    """The bounded silhouette sample (at most ``n`` rows) as a NumPy matrix."""
+    return hash_sample(df, key, n, seed).select(*cols).toPandas().to_numpy(dtype=float)
+
+
 @dataclass
 class KResult:
     k: int
@@ -275,16 +280,17 @@ class KResult:
 
 def select_k(train: DataFrame, cols: Sequence[str], key: str, k_range: Sequence[int],
              fit: Callable[[DataFrame, Sequence[str], int], tuple] | None = None,
-             sample_size: int = 5000, seed: int = 42) -> tuple[int, list[KResult]]:
-    """Fit each K, score it by the sampled Euclidean silhouette; best = first maximum."""
+             sample_size: int = 5000, seed: int = 42, is_stable: bool = False) -> tuple[int, list[KResult]]:
+    """Fit each K, score it by the sampled Euclidean silhouette; best = first maximum.
+    ``is_stable``: ``train`` already reads a materialised copy, so none is made here."""
     from concurrent.futures import ThreadPoolExecutor
 
-    base = stable(train.select(key, *cols))
+    base = train.select(key, *cols)
+    base = base if is_stable else stable(base)
     if fit is None:
         vec = fit_input(base, cols)
         fit = (lambda d, c, k: fit_kmeans(d, c, k, seed=seed, vec=vec))
-    # bounded sample (≤ sample_size rows) collected once; labels per K come from NumPy
-    X = hash_sample(base, key, sample_size, seed).select(*cols).toPandas().to_numpy(dtype=float)
+    X = sample_points(base, cols, key, sample_size, seed)
     # The fits are independent jobs: submit them concurrently so small fits share the cores
     # (on a cluster they interleave under the fair scheduler).
     with ThreadPoolExecutor(max_workers=max(1, min(len(k_range), 8))) as pool:

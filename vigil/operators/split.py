@@ -39,7 +39,8 @@ def cutoff_of(df: DataFrame, spec: TelemetrySpec, train_days: int = TRAIN_DAYS)
 
 def with_split(df: DataFrame, spec: TelemetrySpec, cutoff) -> DataFrame:
     cut = ts_lit(df, spec.ts, cutoff)
-    return df.withColumn(SPLIT, F.when(F.col(spec.ts) < cut, "train").otherwise("test"))
+    # a row without a time is in neither split (null)
+    return df.withColumn(SPLIT, F.when(F.col(spec.ts) < cut, "train").when(F.col(spec.ts) >= cut, "test"))
 
 
 def time_split(df: DataFrame, spec: TelemetrySpec, train_days: int = TRAIN_DAYS):

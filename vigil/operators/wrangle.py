@@ -23,10 +23,6 @@ def _cols(df: DataFrame, spec: TelemetrySpec, columns: Sequence[str] | None) ->
     return [c for c in wanted if c in df.columns]
 
 
-def default_layout(spec: TelemetrySpec) -> SeriesLayout:
-    return SeriesLayout((spec.asset,), spec.order, False)
-
-
 def nan_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing is null from here on: NaN read from files becomes null."""
     present = set(columns)

@@ -23,6 +23,7 @@ from vigil.operators.scale import Projection, Scaler, fit_pca, fit_scaler
 from vigil.operators.score import (PRED, SCORE, CentroidModel, MixtureModel, add_score, fit_threshold,
                                    threshold_predict)
 from vigil.operators.split import SPLIT, cutoff_of, with_split
+from vigil.plans.layout import join_small
 from vigil.session import checkpointed
 
 
@@ -110,7 +111,10 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
         projection = fit_pca(space.filter(is_train), cols, config.pca_n_components)
         space = space.select("*", *projection.exprs())
         mcols = projection.output_columns
-    pts = checkpointed(space.filter(is_train).select(key, *mcols))
+    # A projection of the one feature copy; only the step-by-step Lloyd reads a copy of its own.
+    pts = space.filter(is_train).select(key, *mcols)
+    if config.model == "lloyd":
+        pts = checkpointed(pts)
 
     fit = _fitter(config, key, cl.fit_input(pts, mcols) if config.model == "kmeans" else None)
     k_results = []
@@ -120,13 +124,18 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
         best_k = config.k_default
     else:
         best_k, k_results = cl.select_k(pts, mcols, key, config.k_range, fit=fit,
-                                        sample_size=config.silhouette_sample, seed=config.random_state)
+                                        sample_size=config.silhouette_sample, seed=config.random_state,
+                                        is_stable=True)
     chosen = next((r for r in k_results if r.k == best_k), None)
     if chosen is not None:      # same seed and partitioning: a refit would return this model
         clusterer, cost = chosen.model, chosen.inertia
     else:
         clusterer, cost = fit(pts, mcols, best_k)
-    sil = chosen.silhouette if chosen is not None else None
+    if chosen is not None:
+        sil = chosen.silhouette
+    else:
+        X = cl.sample_points(pts, mcols, key, config.silhouette_sample, config.random_state)
+        sil = cl.silhouette_scores(df.sparkSession, X, {best_k: cl.assign_np(X, clusterer)})[best_k] if len(X) else None
 
     scored = add_score(space, clusterer, cluster_col="cluster")
     threshold = fit_threshold(scored.filter(is_train), config.threshold_percentile,
@@ -144,14 +153,17 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
         from vigil.sources.store import save_model, write_metrics
         spark = df.sparkSession
         save_model(spark, model, f"{out_dir}/model")
+        # One row per split, with or without labels: its rows, flags, and the run's parameters.
+        counts = scored.filter(F.col(SPLIT).isNotNull()).groupBy(SPLIT).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(PRED)).cast("long").alias("n_flagged"))
+        run = counts.select(
+            F.lit(best_k).alias("best_k"), F.lit(sil).cast("double").alias("silhouette"),
+            F.lit(report.inertia).cast("double").alias("inertia"), F.lit(threshold).alias("threshold"),
+            F.lit(config.threshold_percentile).alias("threshold_percentile"),
+            F.lit(str(cut)).alias("cutoff"), "n_rows", "n_flagged", SPLIT)
         if metrics is not None:
-            run = metrics.select(
-                F.lit(best_k).alias("best_k"), F.lit(sil).cast("double").alias("silhouette"),
-                F.lit(report.inertia).cast("double").alias("inertia"), F.lit(threshold).alias("threshold"),
-                F.lit(config.threshold_percentile).alias("threshold_percentile"),
-                F.lit(str(cut)).alias("cutoff"),
-                (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n_rows"), "*")
-            write_metrics(run, f"{out_dir}/metrics")
+            run = join_small(run, metrics, SPLIT, 3, "left")
+        write_metrics(run, f"{out_dir}/metrics")
     return report
 
 

@@ -107,6 +107,8 @@ def hot_keys(df: DataFrame, asset: str, max_series_rows: int) -> tuple[DataFrame
     at most rows / max_series_rows entries, so it is a bounded broadcast side."""
     hot = (df.groupBy(asset).agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > max_series_rows).select(asset))
+    if hot.isEmpty():                        # the usual case: one aggregate, nothing written
+        return hot, 0
     hot = checkpointed(hot)
     return hot, hot.count()
 

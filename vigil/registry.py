@@ -20,7 +20,7 @@ from vigil.operators import evaluate as ev
 from vigil.operators import features as fe
 from vigil.operators import profile as pr
 from vigil.operators import wrangle as wr
-from vigil.config import REFERENCE_SPEC, SILHOUETTE_SAMPLE, PipelineConfig
+from vigil.config import REFERENCE_SPEC, PipelineConfig
 from vigil.functions.vector import nearest
 from vigil.operators.cluster import (davies_bouldin, elbow_table, fit_gmm, fit_kmeans, fit_minibatch_kmeans,
                                      gmm_information, hash_sample, kmeans_fixed_init, lowest_key_centres,
@@ -465,14 +465,14 @@ def q_inertia(spark, sf):
 def q_silhouette(spark, sf):
     v = fx.vectors(spark, sf)
     cols = fx.vector_columns(v)
-    sample = hash_sample(v, "vec_id", SILHOUETTE_SAMPLE, 42)
+    sample = hash_sample(v, "vec_id", PipelineConfig().silhouette_sample, 42)
     return r6(_one_row(spark, {"silhouette": silhouette(sample, cols, "label", "vec_id")}, "silhouette double"))
 
 
 @query("silhouette_kmeans")
 def q_silhouette_kmeans(spark, sf):
     v, cols, model, _ = vec_model(spark, sf)
-    sample = assign_cluster(hash_sample(v, "vec_id", SILHOUETTE_SAMPLE, 42), model)
+    sample = assign_cluster(hash_sample(v, "vec_id", PipelineConfig().silhouette_sample, 42), model)
     return r6(_one_row(spark, {"silhouette": silhouette(sample, cols, "cluster", "vec_id")}, "silhouette double"))
 
 
@@ -760,7 +760,7 @@ def q_lookahead_check(spark, sf):
     """Causal features of rows up to t are identical whether or not later rows exist:
     (rows compared, rows that differ) with t = the 60th-percentile timestamp."""
     f1 = fx.telemetry_events(spark, sf)
-    t = f1.select(F.percentile(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.6).alias("t")).first()["t"]
+    t = percentiles(f1.select(F.unix_micros(F.col("timestamp").cast("timestamp")).alias("us")), "us", [0.6])[0]
     cut = F.unix_micros(F.col("timestamp").cast("timestamp")) <= F.lit(int(t))
     names = fe.derived_names(EV.sensors)
     full = fe.wrangle_and_features(f1, EV, causal=True).filter(cut).select("event_id", *names)

@@ -110,16 +110,6 @@ def vector_columns(v: DataFrame) -> list[str]:
     return [c for c in v.columns if c[0] == "x" and c[1:].isdigit()]
 
 
-def scored(spark: SparkSession, sf_dir: str, rounded: bool = True) -> DataFrame:
-    """F1 with ``anomaly_score`` (rounded s1) and ``anomaly_pred`` = s1 >= 150."""
-    f1 = telemetry_events(spark, sf_dir)
-    s = F.coalesce(F.col("s1"), F.lit(0.0))
-    score = F.round(s, 0) if rounded else s
-    return f1.select("event_id", "asset_id", "timestamp", score.alias("anomaly_score"),
-                     "anomaly_label", "fault_code_true",
-                     F.when(s >= 150, 1).otherwise(0).alias("anomaly_pred"))
-
-
 def telemetry_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the reference's 19-column layout derived from ``events`` by fixed rules —
     16 assets (event_id mod 16), 8 sensors and 3 numeric context columns built from the
