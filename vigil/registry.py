@@ -619,12 +619,16 @@ def q_asset_median_impute(spark, sf):
 
 @query("ensemble_vote")
 def q_ensemble_vote(spark, sf):
-    """k-means distance flag OR a per-regime threshold flag of the same scores."""
-    scored = events_scored(spark, sf)
-    thr = grouped_threshold(scored.filter(F.col(SPLIT) == "train"), ["regime"], 99.0)
-    both = predict_grouped(scored, thr, ["regime"], pred_col="pred_regime")
-    voted = dr.ensemble_vote(both, ["anomaly_pred", "pred_regime"], rule="or", out="pred_vote")
-    return r6(voted.select("event_id", "anomaly_pred", "pred_regime", "pred_vote"))
+    """k-means distance flag OR the flag of a mixture with one diagonal component per regime, both
+    at the 99th percentile of their train scores."""
+    _, cols = events_model_input(spark, sf)
+    scored = stable(events_scored(spark, sf))        # read four times below
+    mixture = label_mixture(scored.filter(F.col(SPLIT) == "train"), cols, "regime")
+    both = add_score(scored, mixture, "mixture_score")
+    cut = fit_threshold(both.filter(F.col(SPLIT) == "train"), 99.0, "mixture_score")
+    both = threshold_predict(both, cut, "mixture_score", "pred_mixture")
+    voted = dr.ensemble_vote(both, ["anomaly_pred", "pred_mixture"], rule="or", out="pred_vote")
+    return r6(voted.select("event_id", "anomaly_pred", "mixture_score", "pred_mixture", "pred_vote"))
 
 
 # ---------------------------------------------------------------------------

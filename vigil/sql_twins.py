@@ -466,11 +466,25 @@ SQL["standardize"] = out(o.scaled_sql(o.split_sql(o.events_features_sql(), EV, 2
 SQL["fit_threshold"] = (_SC + "SELECT split, CAST(sum(anomaly_pred) AS BIGINT) AS n_pred, count(*) AS n_rows, "
                         f"{o.r6('max(t)', 'threshold')} FROM scored, thr GROUP BY split")
 SQL["model_source"] = _flagship()
-SQL["ensemble_vote"] = (_SC.rstrip() + """, th AS (SELECT regime, quantile_cont(anomaly_score, 0.99) AS threshold
-  FROM scored WHERE split = 'train' GROUP BY regime),
-v AS (SELECT s.event_id, s.anomaly_pred, coalesce(CAST(s.anomaly_score >= th.threshold AS INTEGER), 0) AS pred_regime
-  FROM scored s LEFT JOIN th USING (regime))
-SELECT event_id, anomaly_pred, pred_regime, CAST(anomaly_pred + pred_regime > 0 AS INTEGER) AS pred_vote FROM v""")
+
+
+def vote_sql() -> str:
+    cols = o.feature_list(EV)
+    params = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) + 1e-6 AS v_{c}" for c in cols)
+    lp = (" - 0.5 * (" + " + ".join(f"ln(p.v_{c})" for c in cols) + f" + {len(cols)} * ln(2 * pi()))"
+          + " - 0.5 * (" + " + ".join(f"(a.{c} - p.m_{c}) * (a.{c} - p.m_{c}) / p.v_{c}" for c in cols) + ")")
+    return _SC.rstrip() + f""", mp AS (SELECT regime AS g, count(*) * 1.0 / (SELECT count(*) FROM allpts WHERE split = 'train') AS w, {params}
+  FROM allpts WHERE split = 'train' GROUP BY regime),
+lp AS (SELECT a.event_id, a.split, ln(p.w){lp} AS lp FROM allpts a, mp p),
+mx AS (SELECT event_id, split, max(lp) AS m FROM lp GROUP BY event_id, split),
+ms AS (SELECT lp.event_id, lp.split, -(mx.m + ln(sum(exp(lp.lp - mx.m)))) AS s FROM lp JOIN mx USING (event_id) GROUP BY lp.event_id, lp.split, mx.m),
+mt AS (SELECT quantile_cont(s, 0.99) AS t FROM ms WHERE split = 'train')
+SELECT sc.event_id, sc.anomaly_pred, {o.r6('ms.s', 'mixture_score')}, CAST(ms.s >= mt.t AS INTEGER) AS pred_mixture,
+       CAST(sc.anomaly_pred = 1 OR ms.s >= mt.t AS INTEGER) AS pred_vote
+FROM scored sc JOIN ms USING (event_id), mt"""
+
+
+SQL["ensemble_vote"] = vote_sql()
 SQL["model_sink"] = (_SC + " UNION ALL ".join(
     f"SELECT cid, CAST({i} AS INTEGER) AS idx, {o.r6('c_' + c, 'value')} FROM centres5"
     for i, c in enumerate(o.feature_list(EV))))
