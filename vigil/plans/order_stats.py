@@ -48,8 +48,9 @@ def grouped_percentiles(df: DataFrame, value: str, ps: Sequence[float], keys: Se
         F.max("_x.h").alias("_h"),
         F.max(F.when((low >= F.col("_first")) & (low <= F.col("_last")), F.col("_v"))).alias("_vlo"),
         F.max(F.when((low + 1 >= F.col("_first")) & (low + 1 <= F.col("_last")), F.col("_v"))).alias("_vhi"),
-    ).select(*keys, "p", (F.col("_vlo") + (F.col("_h") - F.floor("_h"))
-                          * (F.coalesce(F.col("_vhi"), F.col("_vlo")) - F.col("_vlo"))).alias("percentile"))
+    ).select(*keys, "p", F.when(F.col("_vhi").isNull() | (F.col("_vhi") == F.col("_vlo")) | (F.floor("_h") == F.col("_h")), F.col("_vlo"))
+             .otherwise((F.floor("_h") + 1 - F.col("_h")) * F.col("_vlo") + (F.col("_h") - F.floor("_h")) * F.col("_vhi"))
+             .alias("percentile"))
 
 
 def percentiles(df: DataFrame, value: str, ps: Sequence[float], approx: bool = False) -> list[float]:
