@@ -158,13 +158,22 @@ def small_model():
     path = public_tokenizers.path("byte_bpe_50k.json")
     vocab = sorted({w.encode() for r in corpus() for w in words((r[1] or "").translate(UPPER))})
     pairs = Counter()
-    for w, ids in zip(vocab, lm_scoring.subwords(path, vocab)):
-        s = [lm_scoring.EDGE, *ids, lm_scoring.EDGE]
+    for w in vocab:
+        s = [lm_scoring.EDGE, *lm_scoring.byte_pairs(path).encode(" " + w.decode()), lm_scoring.EDGE]
         pairs.update(zip(s, s[1:]))
     pairs[lm_scoring.EDGE, lm_scoring.END] = pairs[lm_scoring.END, lm_scoring.EDGE] = 5
     return lm_scoring.build(pd.DataFrame([(a, b, n) for (a, b), n in pairs.items()], columns=["left", "right", "n"]), path)
 
 
+def test_subwords_of_many_words_equal_one_by_one():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = [w.encode() for w in ("a", "the", "straße", "x" * 300, "12,5", "\U0001F600", "it's", "<|endoftext|>", "'s", "--", "ÄÖ", "#")]
+    for vocab in (plain, plain + ["a\u00a0b\u3000".encode(), b"z\x1cq\x85"]):
+        flat, size = lm_scoring.subwords(path, vocab)
+        parts = np.split(flat, np.cumsum(size)[:-1])
+        assert [p.tolist() for p in parts] == [lm_scoring.byte_pairs(path).encode(" " + w.decode("utf-8", "replace"), False) for w in vocab]
+
+
 def slow_class_scores(m, before, target):
     """Each position by itself: its block and the block before it are what it may see, up to itself."""
     w = m.weights
@@ -219,11 +228,9 @@ def test_gradients_equal_finite_differences():
 def test_inside_probabilities_sum_to_one():
     m = small_model()
     for left in (lm_scoring.EDGE, 262, 1169):
-        total = Counter()
-        for i in range(lm_scoring.SYMBOLS):
-            c = m.class_list[i]
-            total[c] += (m.pairs.get(left * lm_scoring.SYMBOLS + i, 0.0) + m.inside[i]) / (m.pair_class.get(left * lm_scoring.CLASSES + c, 0.0) + lm_scoring.KAPPA)
-        assert all(abs(v - 1) < 1e-6 for v in total.values())
+        ids = np.arange(lm_scoring.SYMBOLS)
+        total = np.bincount(m.classes, weights=np.exp(m.log_inside(np.full(len(ids), left), ids)))
+        assert np.allclose(total[np.unique(m.classes)], 1)
 
 
 @pytest.mark.parametrize("known", [200_000, 5])
@@ -246,11 +253,14 @@ def test_training_helps_and_empty_tables(spark):
     r = random.Random(5)
     texts = [[w.encode() for w in sentence(r, 60).split()] for _ in range(40)]
     s = lm_scoring.Scorer(m)
-    before = s.score(texts, {}).sum()
-    s.learn({w for t in texts for w in t})
-    pairs = [lm_scoring._sequences(m, s.sequence(t)) for t in texts]
+    rows = s.rows(texts)
+    before = s.score(rows).sum()
+    pairs = [lm_scoring._sequences(m, s.sequence(t)) for t in rows]
     m.weights = lm_scoring.local_steps(m, m.weights, [p[0] for p in pairs], [p[1] for p in pairs])
-    assert s.score(texts, {}).sum() > before
+    assert s.score(rows).sum() > before
+    assert [len(r) for r in rows] == [len(t) + 1 for t in texts]
+    few = lm_scoring.Scorer(m, most=10)  # a cache too small for two texts gives the same scores
+    assert np.allclose(s.score(rows[:5]), [few.score(few.rows([t]))[0] for t in texts[:5]])
     assert lm_scoring.score_texts(empty(spark)).count() == 0
     nothing = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     alone = lm_scoring.score_texts(nothing, F.lit(True)).first()

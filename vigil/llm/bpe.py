@@ -36,6 +36,9 @@ class BytePairs:
         merges = [m.split(" ") if isinstance(m, str) else m for m in file["model"]["merges"]]
         made = [vocabulary[a + b] for a, b in merges]
         self.special = sorted(added)
+        # Which ids stand for bytes that start with a space.
+        self.after_space = np.zeros(max([*vocabulary.values(), *(t["id"] for t in file["added_tokens"])]) + 1, bool)
+        self.after_space[[i for t, i in vocabulary.items() if letters[t[0]] == 32]] = True
         self.fast = None
         if made == sorted(made) and file["pre_tokenizer"].get("use_regex") and not file["pre_tokenizer"].get("add_prefix_space"):
             ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items()}

@@ -17,11 +17,11 @@ least a block of context where the text has one. Windows go through the attentio
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
-from math import log
 
 import numpy as np
 import pandas as pd
@@ -41,6 +41,7 @@ SYMBOLS = 50257
 END = 50256
 EDGE = SYMBOLS  # stands before a word's first id and after its last
 KAPPA = 8.0
+OTHER_SPACE = re.compile(r"\s|[\x1c-\x1f\x85]")
 UNIGRAM = 0.25
 
 
@@ -49,10 +50,23 @@ def words_of(text: bytes | None) -> list[bytes]:
     return [] if text is None else bytes(text).lower().split()
 
 
-def subwords(path: str, words: list[bytes]) -> list[list[int]]:
-    """Subword ids of each word as it stands after a space; special tokens' strings are ordinary text."""
-    encode = byte_pairs(path).encode
-    return [encode(" " + w.decode("utf-8", "replace"), False) for w in words]
+def subwords(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Subword ids of the words, each as it stands after a space, one after the other; and how many each has.
+
+    The words are encoded as one text: no id runs over a space, and only a word's first id starts with
+    one. Words with other white space inside could shift that, so they are encoded alone.
+    """
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    pairs = byte_pairs(path)
+    texts = [w.decode("utf-8", "replace") for w in words]
+    odd = [i for i, t in enumerate(texts) if OTHER_SPACE.search(t)]
+    if odd:
+        ids = [pairs.encode(" " + t, False) for t in texts]
+        return np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids])
+    flat = pairs.array(" " + " ".join(texts), False)
+    starts = np.flatnonzero(pairs.after_space[flat])
+    return flat, np.diff(starts, append=len(flat))
 
 
 @dataclass
@@ -62,24 +76,26 @@ class Model:
     path: str
     classes: np.ndarray  # symbol -> class
     inputs: np.ndarray  # symbol -> input symbol
-    inside: list[float]  # KAPPA * P(id | class)
-    pairs: dict[int, float]  # left * SYMBOLS + id -> count
-    pair_class: dict[int, float]  # left * CLASSES + class -> count
+    inside: np.ndarray  # KAPPA * P(id | class)
+    pairs: tuple[np.ndarray, np.ndarray]  # sorted left * SYMBOLS + id, and counts
+    pair_class: tuple[np.ndarray, np.ndarray]  # sorted left * CLASSES + class, and counts
     bigram: np.ndarray  # input symbol -> class logits
     features: np.ndarray  # input symbol -> DIM
     weights: dict[str, np.ndarray] = field(default_factory=dict)
 
-    def __post_init__(self) -> None:
-        self.class_list = self.classes.tolist()
+    def log_inside(self, left: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """log P(id | its class, the symbol before it in the word), natural logarithm."""
+        c = self.classes[ids]
+        return np.log((counted(self.pairs, left * SYMBOLS + ids) + self.inside[ids]) / (counted(self.pair_class, left * CLASSES + c) + KAPPA))
+
 
-    def word(self, ids: list[int]) -> float:
-        """log P(ids | their classes), natural logarithm."""
-        total, left = 0.0, EDGE
-        for i in ids:
-            c = self.class_list[i]
-            total += log((self.pairs.get(left * SYMBOLS + i, 0.0) + self.inside[i]) / (self.pair_class.get(left * CLASSES + c, 0.0) + KAPPA))
-            left = i
-        return total
+def counted(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """The counts of keys in a (sorted keys, counts) table; 0 where there is none."""
+    known, n = table
+    if not len(known):
+        return np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, n[at], 0.0)
 
 
 def start_weights(seed: int = 11) -> dict[str, np.ndarray]:
@@ -127,35 +143,38 @@ def _attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, r: np.ndarray, there: n
     return a, a @ v
 
 
-def class_scores(model: Model, before: list[np.ndarray], target: list[np.ndarray], batch: int = 512) -> list[np.ndarray]:
+def class_scores(model: Model, before: list[np.ndarray], target: list[np.ndarray], batch: int = 128) -> list[np.ndarray]:
     """log P(class of each target | the inputs up to the one before it), natural logarithm, per sequence."""
     w = model.weights
     x, starts = blocks(before)
     y, _ = blocks(target)
+    real, x = x >= 0, np.maximum(x, 0)
     second = np.flatnonzero(~starts)
     # One layer: queries, keys and values are tables over the input symbols.
     qt = model.features @ (w["q"] * np.float32(DIM ** -0.5))
-    kt, vt = model.features @ w["k"], model.features @ w["v"]
+    kvt = np.concatenate((model.features @ w["k"], model.features @ w["v"]), axis=1)
     prior = np.exp(np.minimum(w["r"][_NEAR], 30)) * (_DISTANCE >= 0)
     first_logits = model.bigram + w["b"]
     parts = [np.zeros(0)]
     for at in range(0, len(second), batch):
         i = second[at: at + batch]
-        ids = np.concatenate((x[i - 1], x[i]), axis=1)
-        real = ids[:, BLOCK:] >= 0  # padding at the end lies ahead of every query that counts
-        ids = np.maximum(ids, 0)
-        a = qt[ids[:, BLOCK:]] @ kt[ids].transpose(0, 2, 1)
+        lo = i[0] - 1  # every block of the batch, and the one before it, is looked up once
+        kv = np.take(kvt, x[lo: i[-1] + 1], axis=0)
+        kv = np.concatenate((kv[i - 1 - lo], kv[i - lo]), axis=1)
+        here, counts = x[i], real[i]  # padding at the end lies ahead of every query that counts
+        a = np.take(qt, here, axis=0) @ kv[..., :DIM].transpose(0, 2, 1)
         np.minimum(a, np.float32(40), out=a)
         np.exp(a, out=a)
         a *= prior
         a[starts[i - 1], :, :BLOCK] = 0
-        h = a @ vt[ids]
+        h = a @ kv[..., DIM:]
         h /= a.sum(axis=2)[..., None]
-        logits = np.clip(h[real] @ w["u"], -40, 40)
-        logits += first_logits[ids[:, BLOCK:][real]]
-        gold = logits[np.arange(len(logits)), y[i][real]]
+        logits = h[counts] @ w["u"]
+        np.minimum(logits, np.float32(40), out=logits)
+        logits += np.take(first_logits, here[counts], axis=0)
+        gold = logits[np.arange(len(logits)), y[i][counts]]
         np.exp(logits, out=logits)
-        parts.append(gold - np.log(logits.sum(axis=1)))
+        parts.append(gold - np.log(logits.sum(axis=1) + np.float32(1e-30)))
     return np.split(np.concatenate(parts).astype(np.float64), np.cumsum([len(s) for s in before])[:-1])
 
 
@@ -216,48 +235,78 @@ def _sequences(model: Model, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Scorer:
-    """Scores texts in a task; keeps the ids and the constant part of the words it has seen."""
-
-    def __init__(self, model: Model, most: int = 300_000) -> None:
-        self.model, self.most = model, most
-        self.ids: dict[bytes, list[int]] = {}
-        self.const: dict[bytes, float] = {}
-        self.end = model.word([END])
+    """Scores texts in a task. What is known of each distinct word lies in arrays; a text becomes row numbers."""
+
+    def __init__(self, model: Model, base_of: dict[bytes, float] | None = None, most: int = 300_000) -> None:
+        self.model, self.base_of, self.most = model, base_of or {}, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.row: dict[bytes, int] = {}
+        self.flat = np.zeros(0, np.int64)
+        self.start, self.size, self.hash = (np.zeros(0, np.int64) for _ in range(3))
+        self.inside, self.base = np.zeros(0), np.zeros(0)
+        self._add([b""], np.array([END]), np.array([1]))
+
+    def _add(self, words: list[bytes], flat: np.ndarray, size: np.ndarray) -> None:
+        start = np.cumsum(size) - size
+        left = np.concatenate(([EDGE], flat[:-1]))
+        left[start] = EDGE
+        self.row.update(zip(words, range(len(self.size), len(self.size) + len(words))))
+        self.inside = np.concatenate((self.inside, np.add.reduceat(self.model.log_inside(left, flat), start)))
+        self.base = np.concatenate((self.base, np.fromiter((self.base_of.get(w, np.nan) for w in words), np.float64, len(words))))
+        self.hash = np.concatenate((self.hash, np.fromiter(map(digest, words), np.uint64, len(words)).view(np.int64)))
+        self.start = np.concatenate((self.start, start + len(self.flat)))
+        self.size = np.concatenate((self.size, size))
+        self.flat = np.concatenate((self.flat, flat))
 
     @classmethod
-    def of(cls, model: Model) -> Scorer:
+    def of(cls, model: Model, base_of: dict[bytes, float] | None = None) -> Scorer:
         """One for the model's life in a worker, so that its words stay known from task to task."""
-        return model.__dict__.setdefault("scorer", cls(model))
-
-    def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self.ids)
-        if len(self.ids) + len(new) > self.most:
-            self.ids.clear()
-            self.const.clear()
+        return model.__dict__.setdefault("scorer", cls(model, base_of))
+
+    def rows(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """Row numbers of each text's words and, last, of its end."""
+        words = set(chain.from_iterable(texts))
+        new = words.difference(self.row)
+        if len(self.row) + len(new) > self.most:
+            self._clear()
             new = words
-        todo = list(new)
-        for w, ids in zip(todo, subwords(self.model.path, todo)):
-            self.ids[w] = ids
-            self.const[w] = self.model.word(ids)
+        if new:
+            todo = list(new)
+            self._add(todo, *subwords(self.model.path, todo))
+        return [np.fromiter(chain(map(self.row.__getitem__, t), (0,)), np.int64, len(t) + 1) for t in texts]
 
-    def sequence(self, words: list[bytes]) -> np.ndarray:
-        return np.array([*chain.from_iterable(map(self.ids.__getitem__, words)), END], np.int64)
+    def sequence(self, rows: np.ndarray) -> np.ndarray:
+        """Subword ids of the rows, one after the other."""
+        size = self.size[rows]
+        ends = np.cumsum(size)
+        return self.flat[np.arange(ends[-1]) + np.repeat(self.start[rows] - ends + size, size)]
 
-    def score(self, texts: list[list[bytes]], base_of: dict[bytes, float]) -> np.ndarray:
-        """log10 P of each text, given as words; ``base_of`` has log10 unigram probabilities of known words.
+    def score(self, rows: list[np.ndarray]) -> np.ndarray:
+        """log10 P of each text, given as rows.
 
         A word's probability is the share UNIGRAM of its unigram's and the rest of its path's through its subwords.
         """
-        self.learn(set(chain.from_iterable(texts)))
-        pairs = [_sequences(self.model, self.sequence(w)) for w in texts]
-        out = []
-        for words, by_id in zip(texts, class_scores(self.model, [p[0] for p in pairs], [p[1] for p in pairs])):
-            sizes = np.fromiter((len(self.ids[w]) for w in words), np.int64, len(words))
-            starts = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
-            path = np.add.reduceat(by_id, starts) + np.fromiter(chain(map(self.const.__getitem__, words), (self.end,)), np.float64, len(words) + 1)
-            base = np.fromiter((base_of.get(w, -400.0) for w in chain(words, (b"",))), np.float64, len(words) + 1) * np.log(10)
-            out.append(np.logaddexp(path + np.log(1 - UNIGRAM), base + np.log(UNIGRAM)).sum() / np.log(10))
-        return np.array(out)
+        pairs = [_sequences(self.model, self.sequence(r)) for r in rows]
+        by_id = np.concatenate(class_scores(self.model, [p[0] for p in pairs], [p[1] for p in pairs]))
+        every = np.concatenate(rows)
+        size = self.size[every]
+        path = np.add.reduceat(by_id, np.cumsum(size) - size) + self.inside[every]
+        base = np.nan_to_num(self.base[every], nan=-400.0) * np.log(10)
+        word = np.logaddexp(path + np.log(1 - UNIGRAM), base + np.log(UNIGRAM))
+        return np.add.reduceat(word, np.cumsum([0] + [len(r) for r in rows[:-1]])) / np.log(10)
+
+    def unigrams(self, rows: np.ndarray) -> tuple[int, float, np.ndarray, np.ndarray]:
+        """(known words, their base score, hashes of the other words, how often each stands here)."""
+        base = self.base[rows]
+        there = ~np.isnan(base)
+        rare, n = np.unique(rows[~there], return_counts=True)
+        return int(there.sum()), float(base[there].sum()), self.hash[rare], n
+
+
+def digest(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, 42)
 
 
 def word_counts(training: DataFrame, text_col: str = "text") -> DataFrame:
@@ -284,19 +333,22 @@ def pair_counts(counts: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            lefts, rights, ns = [], [], []
             words, n = [bytes(w) for w in b["word"]], b["n"].to_numpy(np.int64)
-            ids = subwords(path, words)
-            for w, i, k in zip(words, ids, n.tolist()):
-                s = [EDGE, *i, EDGE] if w else [EDGE, END, EDGE]
-                lefts += s[:-1]
-                rights += s[1:]
-                ns += [k] * (len(s) - 1)
-            if not lefts:
+            if not words:
                 continue
-            key, at = np.unique(np.array(lefts, np.int64) * (SYMBOLS + 1) + np.array(rights, np.int64), return_inverse=True)
-            yield pd.DataFrame({"left": key // (SYMBOLS + 1), "right": key % (SYMBOLS + 1),
-                                "n": np.bincount(at, weights=np.array(ns, float)).astype(np.int64)})
+            flat, size = subwords(path, [w for w in words if w])
+            if b"" in words:  # the end token is a word of one symbol
+                k = words.index(b"")
+                flat, size, n = np.append(flat, END), np.append(size, 1), np.append(np.delete(n, k), n[k])
+            start = np.cumsum(size) - size
+            left = np.concatenate(([EDGE], flat[:-1]))
+            left[start] = EDGE
+            by_word = np.repeat(n, size)
+            # Each id with the symbol before it, and each word's last id with its edge.
+            key = np.concatenate((left * (SYMBOLS + 1) + flat, flat[start + size - 1] * (SYMBOLS + 1) + EDGE))
+            key, at = np.unique(key, return_inverse=True)
+            total = np.bincount(at, weights=np.concatenate((by_word, n)).astype(float)).astype(np.int64)
+            yield pd.DataFrame({"left": key // (SYMBOLS + 1), "right": key % (SYMBOLS + 1), "n": total})
 
     return counts.mapInPandas(run, "left long, right long, n long").groupBy("left", "right").agg(F.sum("n").alias("n"))
 
@@ -319,14 +371,16 @@ def build(pairs: pd.DataFrame, path: str, seed: int = 5) -> Model:
     seen = seen[seen != END]
     classes = np.full(SYMBOLS, CLASSES - 1, np.int64)  # never seen
     classes[END] = CLASSES - 2
-    profile = np.zeros((SYMBOLS + 1, 256))
+    # How often each symbol has each of the 127 most frequent symbols, or another, before and after it.
+    profile = np.zeros((SYMBOLS + 1, 256), np.float32)
     for a, b, base in ((right, left, 0), (left, right, 128)):
         weight = np.bincount(b, weights=n, minlength=SYMBOLS + 1)
         column = np.full(SYMBOLS + 1, 127)
         column[np.argsort(-weight, kind="stable")[:127]] = np.arange(127)
-        np.add.at(profile, (a, base + column[b]), n)
-    sums = np.maximum(np.concatenate([profile[:, :128].sum(1, keepdims=True).repeat(128, 1), profile[:, 128:].sum(1, keepdims=True).repeat(128, 1)], 1), 1)
-    profile = np.sqrt(profile / sums)
+        np.add.at(profile, (a, base + column[b]), n.astype(np.float32))
+        half = profile[:, base: base + 128]
+        half /= np.maximum(half.sum(axis=1, keepdims=True), 1)
+    np.sqrt(profile, out=profile)
     if len(seen):
         x, weight = profile[seen], np.sqrt(total[seen])
         r = np.random.default_rng(seed)
@@ -339,7 +393,7 @@ def build(pairs: pd.DataFrame, path: str, seed: int = 5) -> Model:
                     centers[c] = np.average(x[near == c], axis=0, weights=weight[near == c])
         classes[seen] = ((centers ** 2).sum(1)[None] - 2 * x @ centers.T).argmin(1)
     smoothed = total + 0.05
-    inside = (KAPPA * smoothed / np.bincount(classes, weights=smoothed, minlength=CLASSES)[classes]).tolist()
+    inside = (KAPPA * smoothed / np.bincount(classes, weights=smoothed, minlength=CLASSES)[classes])
     inputs = classes.copy()
     frequent = seen[np.argsort(-total[seen], kind="stable")][: INPUTS - CLASSES]
     inputs[frequent] = CLASSES + np.arange(len(frequent))
@@ -357,18 +411,17 @@ def build(pairs: pd.DataFrame, path: str, seed: int = 5) -> Model:
     bigram = np.log(after / after.sum(1, keepdims=True)).astype(np.float32)
     f = np.zeros((INPUTS, 256))
     mass = np.bincount(inputs, weights=total, minlength=INPUTS)
-    np.add.at(f, inputs, profile[:SYMBOLS] * total[:, None])
+    np.add.at(f, inputs[seen], profile[seen] * total[seen, None])
     f /= np.maximum(mass, 1)[:, None]
     f -= np.average(f, axis=0, weights=mass + 1e-9)
     _, s, vt = np.linalg.svd(f * np.sqrt(mass / max(mass.sum(), 1))[:, None], full_matrices=False)
     features = f @ vt[:DIM].T / np.maximum(s[:DIM], 1e-3)
     features = np.clip(features, -4, 4).astype(np.float32)
-    in_word = own & (n > 0)
-    key = left[in_word] * SYMBOLS + right[in_word]
-    by_class: Counter = Counter()
-    for a, k in zip((left[in_word] * CLASSES + classes[right[in_word]]).tolist(), n[in_word].tolist()):
-        by_class[a] += k
-    return Model(path, classes, inputs, inside, dict(zip(key.tolist(), n[in_word].astype(float).tolist())), dict(by_class), bigram, features, start_weights())
+    by_class, at = np.unique(left[own] * CLASSES + classes[right[own]], return_inverse=True)
+    key = left[own] * SYMBOLS + right[own]
+    order = np.argsort(key)
+    return Model(path, classes, inputs, inside, (key[order], n[own][order].astype(float)),
+                 (by_class, np.bincount(at, weights=n[own], minlength=len(by_class))), bigram, features, start_weights())
 
 
 def train(model: Model, training: DataFrame, share: float = 0.02, least_rows: int = 2000, rounds: int = 3, shard_rows: int = 500,
@@ -394,10 +447,8 @@ def train(model: Model, training: DataFrame, share: float = 0.02, least_rows: in
             m = sent.value
             scorer, before, target = Scorer.of(m), [], []
             for b in batches:
-                for t in b["text"]:
-                    words = words_of(t)
-                    scorer.learn(set(words))
-                    x, y = _sequences(m, scorer.sequence(words))
+                for rows in scorer.rows([words_of(t) for t in b["text"]]):
+                    x, y = _sequences(m, scorer.sequence(rows))
                     before.append(x)
                     target.append(y)
             if before:
@@ -440,7 +491,7 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                       F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("n"))), F.lit(0)).alias("ends")).first()
     total, floor = int(sums["n"]), float(np.log10(sums["n"] + 0.5 * (sums["v"] + 1)))
-    model = train(build(above(pair_counts(counts, path), max_pairs).toPandas(), path), training)
+    model = train(build(above(checkpointed(pair_counts(counts, path)), max_pairs).toPandas(), path), training)
     top = above(counts, known_words).toPandas()
     known = {bytes(w): float(np.log10(c + 0.5)) - floor for w, c in zip(top["word"], top["n"])}
     end_known, end_base = int(sums["ends"] > 0), float(np.log10(sums["ends"] + 0.5)) - floor
@@ -449,25 +500,15 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, base_of = sent.value
-        scorer = Scorer.of(m)
+        scorer = Scorer.of(m, base_of)
         for b in batches:
             for at in range(0, len(b), 64):
                 some = b.iloc[at: at + 64]
-                texts = [words_of(t) for t in some["text"]]
-                out = []
-                for words in texts:
-                    n, base, rare = end_known, end_base, []
-                    for w, k in Counter(words).items():
-                        if (lp := base_of.get(w)) is None:
-                            h = xxhash.xxh64_intdigest(w, 42)
-                            rare.append((h - (1 << 64) if h >> 63 else h, k))
-                        else:
-                            n += k
-                            base += k * lp
-                    out.append((n, base, rare))
-                yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "held_out": some["held_out"].to_numpy(), "n_tokens": [len(w) + 1 for w in texts],
-                                    "n_known": [o[0] for o in out], "base": [o[1] for o in out], "score": scorer.score(texts, base_of),
-                                    "rare": [[{"h": h, "k": k} for h, k in o[2]] for o in out]})
+                texts = scorer.rows([words_of(t) for t in some["text"]])
+                out = [scorer.unigrams(r) for r in texts]
+                yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "held_out": some["held_out"].to_numpy(), "n_tokens": [len(r) for r in texts],
+                                    "n_known": [o[0] - 1 + end_known for o in out], "base": [o[1] for o in out], "score": scorer.score(texts),
+                                    "rare": [[{"h": h, "k": k} for h, k in zip(o[2].tolist(), o[3].tolist())] for o in out]})
 
     scored = checkpointed(rows.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"), "held_out")
                           .mapInPandas(run, SCORED).withColumn("row", F.monotonically_increasing_id()))
