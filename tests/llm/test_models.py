@@ -265,3 +265,10 @@ def test_training_helps_and_empty_tables(spark):
     nothing = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     alone = lm_scoring.score_texts(nothing, F.lit(True)).first()
     assert alone["train_tokens"] == 0 and alone["n_known"] == 0 and alone["n_tokens"] == 3
+
+
+def test_lm_score_does_not_depend_on_the_words_sent_to_tasks(spark):
+    docs = frame(spark, [(i, *r[1:]) for i, r in enumerate(corpus(n=25))])
+    many, few = (dict(lm_scoring.score_texts(docs, fold("doc_id", 5, 1), known_words=k).select("doc_id", "score").collect())
+                 for k in (200_000, 5))
+    assert set(many) == set(few) and all(np.isclose(many[d], few[d], rtol=1e-6) for d in many)

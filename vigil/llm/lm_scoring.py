@@ -284,7 +284,13 @@ class Scorer:
         return self.flat[np.arange(ends[-1]) + np.repeat(self.start[rows] - ends + size, size)]
 
     def score(self, rows: list[np.ndarray]) -> np.ndarray:
-        """log10 P of each text, given as rows.
+        """log10 P of each text, given as rows, if no word beyond base_of was counted."""
+        score, rare = self.known_score(rows)
+        return score + np.array([(p + np.log(1 - UNIGRAM)).sum() / np.log(10) for _, p in rare])
+
+    def known_score(self, rows: list[np.ndarray]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """log10 P of each text's words whose unigram is known, and of each text's other words, one by one,
+        (hashes, log P of the paths): their unigrams are yet to be mixed in.
 
         A word's probability is the share UNIGRAM of its unigram's and the rest of its path's through its subwords.
         """
@@ -293,16 +299,19 @@ class Scorer:
         every = np.concatenate(rows)
         size = self.size[every]
         path = np.add.reduceat(by_id, np.cumsum(size) - size) + self.inside[every]
-        base = np.nan_to_num(self.base[every], nan=-400.0) * np.log(10)
-        word = np.logaddexp(path + np.log(1 - UNIGRAM), base + np.log(UNIGRAM))
-        return np.add.reduceat(word, np.cumsum([0] + [len(r) for r in rows[:-1]])) / np.log(10)
-
-    def unigrams(self, rows: np.ndarray) -> tuple[int, float, np.ndarray, np.ndarray]:
-        """(known words, their base score, hashes of the other words, how often each stands here)."""
+        base = self.base[every]
+        rare = np.isnan(base)
+        word = np.where(rare, 0.0, np.logaddexp(path + np.log(1 - UNIGRAM), np.where(rare, 0.0, base) * np.log(10) + np.log(UNIGRAM)))
+        first = np.cumsum([0] + [len(r) for r in rows[:-1]])
+        cuts = np.cumsum(np.add.reduceat(rare, first, dtype=np.int64))[:-1]
+        return (np.add.reduceat(word, first) / np.log(10),
+                list(zip(np.split(self.hash[every[rare]], cuts), np.split(path[rare], cuts))))
+
+    def unigrams(self, rows: np.ndarray) -> tuple[int, float]:
+        """(known words, their base score)."""
         base = self.base[rows]
         there = ~np.isnan(base)
-        rare, n = np.unique(rows[~there], return_counts=True)
-        return int(there.sum()), float(base[there].sum()), self.hash[rare], n
+        return int(there.sum()), float(base[there].sum())
 
 
 def digest(word: bytes) -> int:
@@ -467,7 +476,7 @@ def train(model: Model, training: DataFrame, share: float = 0.02, least_rows: in
     return model
 
 
-SCORED = "doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<h:long,k:int>>"
+SCORED = "doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, paths array<double>"
 
 
 def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
@@ -476,7 +485,8 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
 
     base_score is a unigram score with counts from all training rows. The counts of about ``known_words``
     frequent words go to every task; a document's other words meet theirs in a shuffle, as 64-bit hashes (two
-    of 10^7 words share one with a chance of 3 in a million), one row per word and document.
+    of 10^7 words share one with a chance of 3 in a million), with the log-probability of each one's path, so
+    that every counted word's unigram is in the score whatever ``known_words`` is.
 
     Defined cases: a null or empty text is the end token alone; null ids are not held out unless the
     column says so; without training rows the counts are 0 and all classes keep their start weights;
@@ -506,16 +516,20 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
                 some = b.iloc[at: at + 64]
                 texts = scorer.rows([words_of(t) for t in some["text"]])
                 out = [scorer.unigrams(r) for r in texts]
+                score, others = scorer.known_score(texts)
                 yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "held_out": some["held_out"].to_numpy(), "n_tokens": [len(r) for r in texts],
-                                    "n_known": [o[0] - 1 + end_known for o in out], "base": [o[1] for o in out], "score": scorer.score(texts),
-                                    "rare": [[{"h": h, "k": k} for h, k in zip(o[2].tolist(), o[3].tolist())] for o in out]})
+                                    "n_known": [o[0] - 1 + end_known for o in out], "base": [o[1] for o in out], "score": score,
+                                    "rare": [h for h, _ in others], "paths": [p for _, p in others]})
 
     scored = checkpointed(rows.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"), "held_out")
                           .mapInPandas(run, SCORED).withColumn("row", F.monotonically_increasing_id()))
-    rare = scored.select("row", F.explode("rare").alias("x")).select("row", "x.h", "x.k")
+    rare = scored.select("row", F.explode(F.arrays_zip(F.col("rare").alias("h"), F.col("paths").alias("p"))).alias("x")).select("row", "x.h", "x.p")
+    base = F.log10(F.coalesce(F.col("n"), F.lit(0)) + 0.5) - floor
+    path, unigram = F.col("p") + float(np.log(1 - UNIGRAM)), base * float(np.log(10)) + float(np.log(UNIGRAM))
+    mixed = F.when(F.col("n").isNull(), path).otherwise(F.greatest(path, unigram) + F.log1p(F.exp(-F.abs(path - unigram))))
     found = (rare.join(counts.select(F.xxhash64("word").alias("h"), "n"), "h", "left")
-             .groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("more"),
-                                 F.sum(F.col("k") * (F.log10(F.coalesce(F.col("n"), F.lit(0)) + 0.5) - floor)).alias("rest")))
-    return (scored.drop("rare").join(found, "row", "left")
+             .groupBy("row").agg(F.count("n").alias("more"), F.sum(base).alias("rest"), (F.sum(mixed) / float(np.log(10))).alias("words")))
+    return (scored.drop("rare", "paths").join(found, "row", "left")
             .select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-                    F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score"))
+                    F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
+                    (F.col("score") + F.coalesce("words", F.lit(0.0))).alias("score")))
