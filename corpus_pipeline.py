@@ -37,10 +37,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
-    found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"), window=13, slop=0)
-    dirty = found.filter("contaminated").select("doc_id").distinct()
-    return docs.join(dirty.withColumnRenamed("doc_id", "_dirty"), F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")
+    """Documents that are not contaminated by the benchmark, row by row: ids may be null or repeat.
+
+    A row's key is a 128-bit hash of its id and text; rows with equal keys are contaminated alike.
+    """
+    key = F.concat_ws(":", F.xxhash64("doc_id", "text"), F.xxhash64(F.lit(1), "text", "doc_id"))
+    keyed = docs.select(key.alias("doc_id"), "text")
+    found = decontaminate.contamination(keyed, read(spark, sf_dir, "benchmark"), window=13, slop=0)
+    dirty = found.filter("contaminated").select(F.col("doc_id").alias("_dirty")).distinct()
+    return docs.join(dirty, key == F.col("_dirty"), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,3 +87,10 @@ def test_stages_take_empty_tables_and_odd_columns(spark):
                                  "doc_id long, text string, n_lines int")
     assert corpus_pipeline.lines(spark, some, SF).count() == 5
     assert sorted(map(str, rows(corpus_pipeline.near_duplicates(spark, some, SF)))) == sorted(map(str, [(1, "one two three"), (None, None), (2, "other words here"), (None, "x y z")]))
+
+
+def test_decontamination_stage_removes_rows_not_ids(spark):
+    dirty = spark.read.parquet(f"{SF}/benchmark.parquet").filter(F.size(F.split("text", " ")) >= 13).first()["text"]
+    some = spark.createDataFrame([(None, dirty), (None, "clean text"), (7, dirty), (7, "other clean text"), (7, dirty), (8, None), (None, None)], "doc_id long, text string")
+    got = rows(corpus_pipeline.decontaminated(spark, some, SF))
+    assert sorted(map(str, got)) == sorted(map(str, [(None, "clean text"), (7, "other clean text"), (8, None), (None, None)]))
