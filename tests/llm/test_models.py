@@ -141,6 +141,14 @@ def test_secret_scan_matches_brute_force(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_value_copied_through_one_hot_source_is_an_example(spark):
+    copied, owned = "Example0" * 4, "Live7Key" * 2 + "Zq9Zx3Rt"
+    rows = [(i, f"use {copied} here" if i < 300 else f"use {owned} here" if i < 310 else "none", "en", "hot" if i % 2 else None, 1, *EXTRA) for i in range(400)]
+    by = {x["doc_id"]: x["spans"] for x in secret_scan.scan(frame(spark, rows)).collect()}
+    assert all(not by[i] for i in range(300))
+    assert all(by[i][0]["verdict"] == "live" and by[i][0]["n_owners"] == 2 and by[i][0]["n_repos"] == 10 for i in range(300, 310))
+
+
 def test_secret_query_digest(spark, tmp_path):
     from vigil.llm.registry import QUERIES
     frame(spark, secret_rows()).write.parquet(str(tmp_path / "documents.parquet"))

@@ -2,8 +2,8 @@
 
 One pass finds the spans: the three base kinds, and ``opaque`` candidates (long mixed tokens outside
 them). The candidates' hashes are then aggregated over the whole corpus by distinct repositories and
-distinct owners. A value that many owners hold is a copied example; a value that few owners hold and
-that looks random is a live credential. Only live opaque candidates are added to the spans. What moves
+distinct owners. A value that many owners hold, or many repositories for the size of its owners, is a copied
+example; a value that few hold and that looks random is a live credential. Only live opaque candidates are added to the spans. What moves
 between tasks is one narrow row per candidate, never text.
 """
 
@@ -91,12 +91,13 @@ def find(docs: DataFrame, min_entropy: float = 3.0, id_col: str = "doc_id", text
                        F.col(text_col).cast("binary").alias("text")).mapInPandas(run, FOUND)
 
 
-def scan(docs: DataFrame, max_owners: int = 2, min_entropy: float = 3.0, id_col: str = "doc_id", text_col: str = "text",
+def scan(docs: DataFrame, max_owners: int = 2, max_repos: int = 20, min_entropy: float = 3.0, id_col: str = "doc_id", text_col: str = "text",
          repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, and ``spans``, an array of
     (at, kind, start, end, hash, n_repos, n_owners, verdict) in order of start, then kind.
 
-    The verdict is ``example`` for a value held by more than ``max_owners`` owners, else ``live`` if it
+    The verdict is ``example`` for a value held by more than ``max_owners`` owners, or by more repositories than
+    ``max_repos`` and the square root of all repositories its owners have, added; else ``live`` if it
     looks random (``min_entropy`` bits a byte), else ``weak``. Base spans stay whatever their verdict;
     opaque ones stay if live.
 
@@ -110,10 +111,18 @@ def scan(docs: DataFrame, max_owners: int = 2, min_entropy: float = 3.0, id_col:
     each = rows.select("row", "owner", "repo", F.explode("found").alias("f")).select("row", "owner", "repo", "f.*")
     # A value that one owner holds in a third of all rows becomes one row per (hash, owner, repo) and task first.
     named = each.select("hash", F.coalesce("owner", F.lit("\x00")).alias("owner"), F.coalesce("repo", F.lit("\x00")).alias("repo"))
-    owners = named.select("hash", "owner").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"))
+    holders = named.select("hash", "owner").distinct()
+    owners = holders.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"))
     repos = named.select("hash", "repo").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n_repos"))
     known = checkpointed(owners.join(repos, "hash"))
-    verdict = F.when(F.col("n_owners") > max_owners, "example").when(F.col("random"), "live").otherwise("weak")
+    # Only values that are wide for the smallest owner need the size of theirs.
+    held = (rows.select(F.coalesce("owner", F.lit("\x00")).alias("owner"), F.coalesce("repo", F.lit("\x00")).alias("repo")).distinct()
+            .groupBy("owner").agg(F.count(F.lit(1)).alias("held")))
+    wide = known.filter((F.col("n_repos") > max_repos) & (F.col("n_owners") <= max_owners)).select("hash")
+    sizes = holders.join(wide, "hash").join(held, "owner").groupBy("hash").agg(F.sum("held").alias("held"))
+    known = checkpointed(known.join(sizes, "hash", "left"))
+    copied = F.col("n_repos") > max_repos + F.sqrt(F.coalesce("held", F.lit(0)))
+    verdict = F.when((F.col("n_owners") > max_owners) | copied, "example").when(F.col("random"), "live").otherwise("weak")
     judged = (each.drop("owner", "repo").join(known, "hash").withColumn("verdict", verdict)
               .filter((F.col("kind") != "opaque") | (F.col("verdict") == "live")))
     one = F.struct("at", "kind", "start", "end", "hash", "n_repos", "n_owners", "verdict")
