@@ -160,3 +160,11 @@ def test_reference_layout_end_to_end(spark):
     assert isinstance(rep2.model.clusterer, MixtureModel) and not rep2.model.clusterer.native()
     out = jobs.detect_anomalies(df, rep2.model).toPandas()
     assert len(out) == df.count() and np.isfinite(out["anomaly_score"]).all()
+
+
+def test_minibatch_learns_from_all_slices(spark):
+    # Far more rows than max_iter x batch_size: the centres are the means of what all rows were assigned to.
+    rows = spark.range(20_000).selectExpr("id", "double(id % 2) * 10 + rand(3) AS x")
+    model, _ = cl.fit_minibatch_kmeans(rows, ["x"], 2, batch_size=50, max_iter=1, key="id")
+    want = [r["m"] for r in rows.groupBy((F.col("x") > 5).alias("k")).agg(F.avg("x").alias("m")).orderBy("k").collect()]
+    assert sorted(c[0] for c in model.centres) == pytest.approx(want, abs=1e-9)

@@ -105,43 +105,77 @@ def fit_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, ma
 def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42,
                          batch_size: int = 4096, max_iter: int = 300, tol: float = 0.0,
                          key: str | None = None) -> tuple[CentroidModel, float]:
-    """Mini-batch k-means. Rows are hashed into slices of about ``batch_size`` rows, however many
-    rows there are; the ``max_iter`` slices that the steps use are written once to the shared
-    checkpoint folder, partitioned by slice, so each step reads one slice by partition pruning
-    (never a scan of all rows). A step assigns its slice and moves each centre toward the slice
-    mean with per-centre learning rate 1 / (points seen so far); with fewer slices than steps they
-    come round again. Initial centres: MLlib k-means|| on the first three slices."""
-    import uuid
-
-    from vigil.session import ensure_checkpoint_dir
+    """Mini-batch k-means over all rows, in at most ``max_iter`` passes. Rows are hashed into slices of about
+    ``batch_size`` rows, however many rows there are, and written once to the shared checkpoint folder, the
+    slices dealt to partitions whose number depends on the rows only. A pass is one Spark job: each task
+    takes its slices one after the other, assigns each and moves each centre toward the slice mean with
+    per-centre learning rate 1 / (points seen so far); the tasks' sums are then added up. It ends early when
+    centres move less than ``tol`` or ten passes have not lowered the cost. Initial centres: MLlib
+    k-means|| on the first three slices."""
+    import pandas as pd
 
-    spark = train.sparkSession
+    cols = list(cols)
     hashed = F.xxhash64(*([F.col(key)] if key else [F.col(c) for c in cols]), F.lit(seed))
     n = train.count()
     if n == 0:
         raise ValueError("no train rows")
     n_batches = max(1, -(-n // batch_size))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/minibatch-{uuid.uuid4().hex[:12]}"
-    (train.select(*cols, F.pmod(hashed, F.lit(n_batches)).alias("_b")).filter(F.col("_b") < max(max_iter, 3))
-     .repartition("_b").write.partitionBy("_b").parquet(path))
-    slices = spark.read.parquet(path)
+    n_parts = max(1, -(-n // ROWS_PER_FIT_PARTITION))
+    slices = stable(train.select(*[F.col(c).cast("double").alias(c) for c in cols], F.pmod(hashed, F.lit(n_batches)).alias("_b"))
+                    .repartition(n_parts, "_b").sortWithinPartitions("_b"))
     model0, _ = fit_kmeans(slices.filter(F.col("_b") < 3), cols, k, seed=seed, max_iter=20, n_init=1)
-    centres = [list(c) for c in model0.centres]
-    counts = [0] * k
-    for step in range(max_iter):
-        batch = slices.filter(F.col("_b") == step % n_batches)
-        near = nearest(cols, centres)
-        rows = (batch.select(near.getField("cluster").alias("_c"), *cols).groupBy("_c")
-                .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in cols]).collect())
-        shift = 0.0
-        for r in rows:
-            c, m = int(r["_c"]), int(r["_n"])
-            counts[c] += m
-            old = centres[c]
-            centres[c] = [o + (float(r[f]) - m * o) / counts[c] for o, f in zip(old, cols)]
-            shift += sum((a - b) ** 2 for a, b in zip(old, centres[c]))
-        if tol and shift < tol:
+    centres = np.array(model0.centres)
+    counts = np.zeros(len(centres))
+    names = [f"s{i}" for i in range(len(cols))]
+
+    def one_pass(centres: np.ndarray, counts: np.ndarray):
+        def run(batches):
+            c, seen = centres.copy(), counts.copy()
+            sums, cost, held = np.zeros_like(c), np.zeros(len(c)), []
+
+            def step(x: np.ndarray) -> None:
+                d2 = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+                near = d2.argmin(axis=1)
+                m = np.bincount(near, minlength=len(c))
+                s = np.zeros_like(c)
+                np.add.at(s, near, x)
+                seen[:] += m
+                hit = m > 0
+                c[hit] += (s - m[:, None] * c)[hit] / seen[hit, None]
+                sums[:] += s
+                cost[:] += np.bincount(near, weights=d2.min(axis=1), minlength=len(c))
+
+            for pdf in batches:  # a slice may run over the end of a batch
+                held = [pd.concat([*held, pdf])]
+                ids = held[0]["_b"].to_numpy()
+                cuts = np.flatnonzero(np.diff(ids)) + 1
+                if len(cuts):
+                    x = held[0][cols].to_numpy(dtype=float)
+                    for part in np.split(x[: cuts[-1]], cuts[:-1]):
+                        step(part)
+                    held = [held[0].iloc[cuts[-1]:]]
+            if held:
+                step(held[0][cols].to_numpy(dtype=float))
+                yield pd.DataFrame({"c": np.arange(len(c)), "n": seen - counts, "cost": cost, **dict(zip(names, sums.T))})
+
+        schema = "c int, n double, cost double, " + ", ".join(f"{s} double" for s in names)
+        got = slices.mapInPandas(run, schema)
+        return got.groupBy("c").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(s).alias(s) for s in names]).collect()
+
+    best, stale = math.inf, 0
+    for _ in range(max_iter):
+        old, cost = centres.copy(), 0.0
+        for r in one_pass(centres, counts):
+            i, m = int(r["c"]), float(r["n"])
+            cost += float(r["cost"])
+            if m:
+                total = np.array([r[s] for s in names])
+                centres[i] = (counts[i] * centres[i] + total) / (counts[i] + m)
+                counts[i] += m
+        best, stale = (cost, 0) if cost < best else (best, stale + 1)
+        if stale >= 10 or tol and ((centres - old) ** 2).sum() < tol:
             break
+    centres = centres.tolist()
     model = CentroidModel(tuple(cols), tuple(tuple(c) for c in centres), kind="minibatch")
     return model, inertia(train, model)
 
