@@ -280,3 +280,9 @@ def test_lm_score_does_not_depend_on_the_words_sent_to_tasks(spark):
     many, few = (dict(lm_scoring.score_texts(docs, fold("doc_id", 5, 1), known_words=k).select("doc_id", "score").collect())
                  for k in (200_000, 5))
     assert set(many) == set(few) and all(np.isclose(many[d], few[d], rtol=1e-6) for d in many)
+
+
+def test_training_reads_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "local_steps", lambda m, w, before, target, **_: {**w, "b": np.full_like(w["b"], len(before))})
+    docs = spark.range(6000).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    assert set(lm_scoring.train(small_model(), docs, rounds=1, shard_rows=10_000).weights["b"].tolist()) == {6000.0}

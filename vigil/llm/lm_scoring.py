@@ -3,8 +3,8 @@
 What the corpus gives: word counts over all training rows (a Spark aggregation), and from them, again
 by Spark, counts of neighbouring subword ids inside words. The counts make the classes of subwords, the
 bigram logits of each class and the distribution of ids inside a class. Causal attention then
-corrects the class logits from the context; its weights are trained by local steps on shards of a
-fixed share of the training rows, averaged by Spark after each round.
+corrects the class logits from the context; its weights are trained by local steps on shards of all
+training rows, averaged by Spark after each round.
 
     P(id | context) = P(class | attention over the window) * P(id | class, id before it in the word)
 
@@ -433,20 +433,16 @@ def build(pairs: pd.DataFrame, path: str, seed: int = 5) -> Model:
                  (by_class, np.bincount(at, weights=n[own], minlength=len(by_class))), bigram, features, start_weights())
 
 
-def train(model: Model, training: DataFrame, share: float = 0.02, least_rows: int = 2000, rounds: int = 3, shard_rows: int = 500,
+def train(model: Model, training: DataFrame, rounds: int = 3, shard_rows: int = 500,
           id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Local steps and averaging, ``rounds`` times, each over its own part of the chosen rows.
+    """Local steps and averaging, ``rounds`` times, each over its own part of the rows; every row is in one.
 
-    A fixed share of the rows is chosen by a hash, so the sample grows with the input (at least about
-    ``least_rows``). A round's rows are dealt to shards of about ``shard_rows``; every shard starts from the same
-    weights and Spark averages what they come to, weight by weight.
+    A round's rows are dealt to shards of about ``shard_rows``; every shard starts from the same weights and
+    Spark averages what they come to, weight by weight.
     """
-    rows = training.count()
-    share = min(1.0, max(share, least_rows / max(rows, 1)))
-    spot = F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_000))
-    chosen = checkpointed(training.filter(spot < int(1e6 * share)).select(
-        F.col(text_col).cast("binary").alias("text"), F.pmod(F.xxhash64(F.lit(3), id_col, text_col), F.lit(rounds)).alias("round")))
-    shards = max(1, int(rows * share / rounds / shard_rows))
+    dealt = training.select(F.col(text_col).cast("binary").alias("text"),
+                            F.pmod(F.xxhash64(F.lit(3), id_col, text_col), F.lit(rounds)).alias("round"))
+    shards = max(1, int(training.count() / rounds / shard_rows))
     sc = training.sparkSession.sparkContext
     names = sorted(model.weights)
     for r in range(rounds):
@@ -464,7 +460,7 @@ def train(model: Model, training: DataFrame, share: float = 0.02, least_rows: in
                 w = local_steps(m, m.weights, before, target, rate=0.02 / (1 + r), seed=r)
                 yield pd.DataFrame({"i": [0], "n": [float(sum(map(len, before)))], "w": [np.concatenate([w[k].ravel() for k in names]).astype(float)]})
 
-        part = chosen.filter(F.col("round") == r).select("text").repartition(shards)
+        part = dealt.filter(F.col("round") == r).select("text").repartition(shards)
         got = (part.mapInPandas(run, "i long, n double, w array<double>").select("n", F.posexplode("w").alias("k", "w"))
                .groupBy("k").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).collect())  # one row per weight
         if got:
