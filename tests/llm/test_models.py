@@ -286,3 +286,12 @@ def test_training_reads_all_rows(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "local_steps", lambda m, w, before, target, **_: {**w, "b": np.full_like(w["b"], len(before))})
     docs = spark.range(6000).selectExpr("id AS doc_id", "concat('word ', id) AS text")
     assert set(lm_scoring.train(small_model(), docs, rounds=1, shard_rows=10_000).weights["b"].tolist()) == {6000.0}
+
+
+def test_lm_score_uses_all_neighbour_pairs(spark, monkeypatch):
+    docs = frame(spark, [(i, *r[1:]) for i, r in enumerate(corpus(n=25))])
+    scores = lambda: dict(lm_scoring.score_texts(docs, fold("doc_id", 5, 1)).select("doc_id", "score").collect())
+    whole, above = scores(), lm_scoring.above
+    monkeypatch.setattr(lm_scoring, "above", lambda counted, most: above(counted, 5))  # cuts what it is given
+    cut = scores()
+    assert all(np.isclose(whole[d], cut[d], rtol=1e-4) for d in whole)

@@ -71,7 +71,7 @@ def subwords(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """Everything that scoring needs; some MB, whatever the corpus."""
+    """Everything that scoring needs; 16 bytes for each different pair of neighbours, and some MB."""
 
     path: str
     classes: np.ndarray  # symbol -> class
@@ -476,7 +476,7 @@ SCORED = "doc_id string, held_out boolean, n_tokens long, n_known long, base dou
 
 
 def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
-                known_words: int = 200_000, max_pairs: int = 500_000, **how) -> DataFrame:
+                known_words: int = 200_000, **how) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (see the module).
 
     base_score is a unigram score with counts from all training rows. The counts of about ``known_words``
@@ -497,12 +497,12 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                       F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("n"))), F.lit(0)).alias("ends")).first()
     total, floor = int(sums["n"]), float(np.log10(sums["n"] + 0.5 * (sums["v"] + 1)))
-    model = train(build(above(checkpointed(pair_counts(counts, path)), max_pairs).toPandas(), path), training)
+    model = train(build(pair_counts(counts, path).toArrow().to_pandas(), path), training)  # all pairs: a sparse part of SYMBOLS x SYMBOLS
     top = above(counts, known_words).toPandas()
     known = {bytes(w): float(np.log10(c + 0.5)) - floor for w, c in zip(top["word"], top["n"])}
     end_known, end_base = int(sums["ends"] > 0), float(np.log10(sums["ends"] + 0.5)) - floor
     known[b""] = end_base
-    sent = docs.sparkSession.sparkContext.broadcast((model, known))  # bounded by the model's size and known_words
+    sent = docs.sparkSession.sparkContext.broadcast((model, known))  # the model's pairs and known_words
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, base_of = sent.value
