@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontaminate, language_id, line_dedup, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, sharding, simhash
+from vigil.llm import (collocations, decontaminate, filter_audit, language_id, line_dedup, lm_scoring, packing, quality_classifier, quality_rules,
+                       secret_scan, sharding, simhash, topk_search)
 from vigil.llm.common import fold, read, text_or_empty
 from vigil.llm.twins import SQL  # noqa: F401
 
@@ -79,6 +80,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), max_tokens=2048)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), max_words=3, min_count=10, top=2000, inside=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -90,4 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_secret_scans": op9_secret_scans,
     "op10_packing": op10_packing,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_topk_search": op12_topk_search,
+    "op13_collocations": op13_collocations,
 }
