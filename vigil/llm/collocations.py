@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from vigil.llm.common import LOWER, UPPER, checkpointed
 
 CUT = b"\xff"  # between pieces: no byte of UTF-8
-TASK_SUFFIXES = 1_500_000
-TASK_WORDS = 8_000_000  # words whose suffixes a task counts together
+TASK_SUFFIXES = 1_000_000
+TASK_WORDS = 2_000_000  # words whose suffixes a task counts together
 _BYTES = bytearray(range(256))
 for _c in b".,;:!?\n\x0b\x0c\r":
     _BYTES[_c] = CUT[0]
@@ -147,7 +147,7 @@ def suffixes(docs: DataFrame, hot: dict[str, set[bytes]], max_words: int) -> Dat
         for b in batches:
             for lang, text in zip(b["lang"].to_pylist(), b["text"]):
                 words = tokens(text.as_py())
-                held.setdefault(lang, []).append(np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, len(words)))
+                held.setdefault(lang, []).append(np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int32, len(words)))
                 n += len(words)
                 if n >= TASK_WORDS:
                     yield from out()
@@ -161,8 +161,8 @@ def _grouped(lang: str, ids: np.ndarray, names: pa.Array, is_hot: np.ndarray, ma
     at = np.flatnonzero(ids)
     if not len(at):
         return
-    padded = np.concatenate((ids, np.zeros(max_words, np.int64)))
-    key, there = ids[at], np.ones(len(at), bool)
+    padded = np.concatenate((ids, np.zeros(max_words, np.int32)))
+    key, there = ids[at].astype(np.int64), np.ones(len(at), bool)
     for d in range(1, max_words):
         there &= padded[at + d] > 0
         if int(key.max()) >= (1 << 62) // len(names):
