@@ -29,7 +29,7 @@ from vigil.llm.common import checkpointed
 NO_ID = np.iinfo(np.int64).max  # sorts null ids last
 BLOCK = 2048
 SPAN = 32_768  # candidates whose lists a task holds at once
-DEPTHS = (4, 32)
+FIRST_DEPTH = 4  # then four times as deep each time
 FOUND = "query long, query_id long, row long, vec_id long, score long"
 
 
@@ -97,9 +97,10 @@ def search(block: Block, q: np.ndarray, own_row: int, best: Best) -> int:
     used = np.flatnonzero(q != 0)
     high = used[q[used] > 0]
     low = used[q[used] < 0]
-    for t in (*DEPTHS, n):
+    t = FIRST_DEPTH
+    while True:
         new = ~seen
-        if 2 * t * len(used) < n:
+        if len(used) and 2 * t * len(used) < n:
             touched = np.zeros(n, bool)
             touched[block.order[high, n - t:]] = True
             touched[block.order[low, :t]] = True
@@ -112,6 +113,7 @@ def search(block: Block, q: np.ndarray, own_row: int, best: Best) -> int:
         # An unread vector with the kth score could have a smaller id, so equality goes on.
         if t == n or best.kth is not None and block.threshold(q, t) < best.kth:
             break
+        t *= 4
     return int(seen.sum())
 
 
