@@ -1,30 +1,38 @@
 """LM scoring: a causal self-attention model over subword ids, trained in numpy, scored by Spark.
 
-What the corpus gives: word counts over all training rows (a Spark aggregation), and from them, again
-by Spark, counts of neighbouring subword ids inside words. The counts make the classes of subwords, the
-bigram logits of each class and the distribution of ids inside a class. Causal attention then
-corrects the class logits from the context; its weights are trained by local steps on shards of all
-training rows, averaged by Spark after each round.
+The model is a distribution over the words that may come next, and over the end of the text:
 
-    P(id | context) = P(class | attention over the window) * P(id | class, id before it in the word)
+    P(word | context) = P(class | context) * P(word | class)
 
-A word's path through its subwords is mixed with its unigram probability from the corpus-wide counts.
+A class is a group of subword ids that start words; the end of a text is a class of its own. P(class |
+context) is a softmax over causal self-attention: each word before is a position whose vector is the mean of
+its subword ids' vectors, in windows of two blocks. P(word | class) is what all training rows say,
 
-A text is scored in windows of two blocks, each overlapping the next by one: a window's queries are
-its second block, its keys both blocks up to the query, so each id is scored exactly once, with at
-least a block of context where the text has one. Windows go through the attention in batches.
+    (count(word) - discount)+ / count(class)  +  discount * words(class) / count(class) * P(spelling | class),
+
+where the spelling goes from subword id to subword id and to the word's end. Each factor adds up to one over
+its outcomes, so the probabilities of all next words and the end do: a text's score is a log-probability.
+
+Spark gathers, over all training rows, the word counts, how often each subword id stands in a word before
+each id that starts one, and from the counted words the neighbours inside words. The driver receives only sums of fixed
+shape (by symbol, class and input symbol), never the word or pair tables. The attention weights are trained
+by local steps on all training rows, each in one round, and averaged by Spark after each round.
+
+A text is scored in windows of two blocks that overlap by one: a window's queries are its second block, its
+keys both blocks up to the query. Each token is scored exactly once, with at least a block of context
+where the text has one. Windows go through the attention in batches.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -35,14 +43,14 @@ from vigil.llm.common import checkpointed
 
 BLOCK = 16
 DIM = 16
-CLASSES = 64
-INPUTS = 4096  # input symbols: CLASSES for whole classes, the rest for frequent ids
+CLASSES = 64  # of ids that start words; class 0 is the end of the text
+INNER = 256  # classes of ids inside words; one more for the word's end
+INPUTS = 4096  # frequent symbols for themselves, others by their class
+COLUMNS = 128
 SYMBOLS = 50257
 END = 50256
-EDGE = SYMBOLS  # stands before a word's first id and after its last
-KAPPA = 8.0
+SHARDS = 4096  # of one round at most
 OTHER_SPACE = re.compile(r"\s|[\x1c-\x1f\x85]")
-UNIGRAM = 0.25
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -69,33 +77,208 @@ def subwords(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.diff(starts, append=len(flat))
 
 
+def batched(texts: list[bytes | None], most: int = 1_000_000) -> Iterator[list[list[bytes]]]:
+    """The texts' words, in batches of about ``most`` bytes."""
+    held, size = [], 0
+    for t in texts:
+        held.append(words_of(t))
+        size += len(t or b"")
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+class Grown:
+    """An array that rows are added to; room doubles."""
+
+    def __init__(self, kind: type) -> None:
+        self.room, self.n = np.zeros(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        n = self.n + len(values)
+        if n > len(self.room):
+            self.room = np.concatenate((self.room, np.zeros(max(n, 2 * len(self.room)) - len(self.room), self.room.dtype)))
+        self.room[self.n: n] = values
+        self.n = n
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.room[: self.n]
+
+
+class Words:
+    """The distinct words of a task, as row numbers; row 0 is the text's end. Forgotten when there are too many."""
+
+    def __init__(self, path: str, most: int = 300_000) -> None:
+        self.path, self.most = path, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.row: dict[bytes, int] = {b"": 0}
+        self.flat, self.start, self.size = Grown(np.int32), Grown(np.int64), Grown(np.int64)
+        for a, v in ((self.flat, END), (self.start, 0), (self.size, 1)):
+            a.add(np.array([v]))
+
+    def rows(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, int]:
+        """(row numbers of all words, an end after each text; tokens of each text; first row that is new)."""
+        words = set(chain.from_iterable(texts))
+        new = words.difference(self.row)
+        before = len(self.row)
+        if before + len(new) > self.most and before > 1:
+            self.clear()
+            new, before = words, 0
+        if new:
+            todo = list(new)
+            flat, size = subwords(self.path, todo)
+            self.row.update(zip(todo, range(len(self.row), len(self.row) + len(todo))))
+            self.start.add(np.cumsum(size) - size + self.flat.n)
+            self.size.add(size)
+            self.flat.add(flat)
+        n = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        every = np.fromiter(chain.from_iterable(map(self.row.__getitem__, chain(t, (b"",))) for t in texts), np.int32, int(n.sum()))
+        return every, n, before
+
+
+def digest(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, 42)
+
+
+# --- what the corpus gives ---
+
+GATHERED = "word binary, a int, b int, n long"
+
+
+def gathered(training: DataFrame, path: str) -> DataFrame:
+    """(word, a, b, n) over all rows of ``training``, a column text as binary: counts of words (``""`` is the end;
+    a, b null), and how often the subword id ``a`` stands in the word, or start, before the id ``b`` that
+    starts a word, or END (word null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words(path)
+        counts, pairs = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        pair_n = np.zeros(0, np.int64)
+        nothing = lambda n, kind: pa.nulls(n, kind)
+
+        def out() -> Iterator[pa.RecordBatch]:
+            some = np.flatnonzero(counts)
+            words = list(known.row)
+            yield pa.RecordBatch.from_arrays([pa.array([words[i] for i in some], pa.binary()), nothing(len(some), pa.int32()),
+                                              nothing(len(some), pa.int32()), pa.array(counts[some])], names=["word", "a", "b", "n"])
+            yield pa.RecordBatch.from_arrays([nothing(len(pairs), pa.binary()), pa.array((pairs // SYMBOLS).astype(np.int32)),
+                                              pa.array((pairs % SYMBOLS).astype(np.int32)), pa.array(pair_n)], names=["word", "a", "b", "n"])
+
+        for b in batches:
+            for texts in batched(b["text"].to_pylist()):
+                if len(known.row) + sum(map(len, texts)) > known.most:  # the next could make it forget
+                    yield from out()
+                    known.clear()
+                    counts, pairs, pair_n = (np.zeros(0, np.int64) for _ in range(3))
+                every, n, _ = known.rows(texts)
+                counts = np.concatenate((counts, np.zeros(len(known.row) - len(counts), np.int64))) + np.bincount(every, minlength=len(known.row))
+                # The word before each token; the end's row stands before the first.
+                before = np.empty_like(every)
+                before[1:], before[0] = every[:-1], 0
+                first = known.flat.all[known.start.all]
+                names, code = np.unique(first, return_inverse=True)
+                size = known.size.all[before]
+                ends = np.cumsum(size)
+                left = known.flat.all[np.arange(ends[-1]) + np.repeat(known.start.all[before] - ends + size, size)]
+                key = left.astype(np.int64) * len(names) + np.repeat(code[every], size)
+                key, m = np.unique(key, return_counts=True)
+                key = key // len(names) * SYMBOLS + names[key % len(names)]
+                pairs, at = np.unique(np.concatenate((pairs, key)), return_inverse=True)
+                pair_n = np.bincount(at, weights=np.concatenate((pair_n, m)), minlength=len(pairs)).astype(np.int64)
+        yield from out()
+
+    return training.mapInArrow(run, GATHERED).groupBy("word", "a", "b").agg(F.sum("n").alias("n"))
+
+
+TYPES = "kind int, a int, b int, n long"
+
+
+def spelled(counts: DataFrame, path: str) -> DataFrame:
+    """(kind, a, b, n) over the counted words, each once: kind 0, id ``b`` follows ``a`` inside words, SYMBOLS is a word's end; kind 1,
+    words, 2, their counts, 3 and 4, words counted once and twice, by first id ``a``. The end of the text is a word of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words, n = b["word"].to_pylist(), b["n"].to_numpy()
+            if not words:
+                continue
+            flat, size = subwords(path, [w for w in words if w])
+            n = np.append(n[[bool(w) for w in words]], n[[not w for w in words]])
+            ends = len(n) - len(size)
+            flat, size = np.append(flat, np.full(ends, END)), np.append(size, np.ones(ends, np.int64))
+            start = np.cumsum(size) - size
+            right = np.append(flat[1:], SYMBOLS)
+            right[start + size - 1] = SYMBOLS
+            key, m = np.unique(flat * (SYMBOLS + 1) + right, return_counts=True)
+            out = [(np.zeros(len(key)), key // (SYMBOLS + 1), key % (SYMBOLS + 1), m)]
+            first = flat[start]
+            for kind, weight in ((1, np.ones(len(n))), (2, n), (3, n == 1), (4, n == 2)):
+                total = np.bincount(first, weights=weight, minlength=SYMBOLS)
+                some = np.flatnonzero(total)
+                out.append((np.full(len(some), kind), some, np.zeros(len(some)), total[some]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in zip(zip(*out), (np.int32, np.int32, np.int32, np.int64))],
+                                             names=["kind", "a", "b", "n"])
+
+    return counts.select("word", "n").mapInArrow(run, TYPES).groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+
+
+def reduced(pairs: DataFrame, left: np.ndarray, right: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """Sums of n by (left[a], right[b]) as a matrix of ``shape``, which bounds what is collected; -1 is left out."""
+    to = lambda which, x: F.pandas_udf(lambda s: pd.Series(x[s.to_numpy()]), "int")(which)
+    rows = (pairs.select(to(F.col("a"), left.astype(np.int32)).alias("i"), to(F.col("b"), right.astype(np.int32)).alias("j"), "n")
+            .filter("i >= 0 AND j >= 0").groupBy("i", "j").agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros(shape)
+    out[rows["i"].to_numpy(), rows["j"].to_numpy()] = rows["n"].to_numpy()
+    return out
+
+
+# --- the model ---
+
 @dataclass
 class Model:
-    """Everything that scoring needs; 16 bytes for each different pair of neighbours, and some MB."""
+    """Everything that scoring needs, of a size that does not grow with the corpus: about 10 MB."""
 
     path: str
-    classes: np.ndarray  # symbol -> class
-    inputs: np.ndarray  # symbol -> input symbol
-    inside: np.ndarray  # KAPPA * P(id | class)
-    pairs: tuple[np.ndarray, np.ndarray]  # sorted left * SYMBOLS + id, and counts
-    pair_class: tuple[np.ndarray, np.ndarray]  # sorted left * CLASSES + class, and counts
-    bigram: np.ndarray  # input symbol -> class logits
-    features: np.ndarray  # input symbol -> DIM
+    classes: np.ndarray  # id that starts words, or END -> class; -1 for others
+    inputs: np.ndarray  # the same -> row of bigram
+    bigram: np.ndarray  # -> class logits after a word that starts so
+    features: np.ndarray  # id -> DIM
+    first: np.ndarray  # log P(id | its class)
+    left: np.ndarray  # id -> row of follow
+    inner: np.ndarray  # id inside words -> inner class, SYMBOLS -> INNER; -1 for others
+    follow: np.ndarray  # log P(inner class | row)
+    within: np.ndarray  # log P(id | its inner class); 0 for the word's end
+    tokens: np.ndarray  # counted words by class
+    words: np.ndarray  # distinct ones
+    discount: float
     weights: dict[str, np.ndarray] = field(default_factory=dict)
 
-    def log_inside(self, left: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """log P(id | its class, the symbol before it in the word), natural logarithm."""
-        c = self.classes[ids]
-        return np.log((counted(self.pairs, left * SYMBOLS + ids) + self.inside[ids]) / (counted(self.pair_class, left * CLASSES + c) + KAPPA))
+    def spelling(self, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """log P(spelling | class) of words: their first ids in their classes, what follows, and their ends."""
+        if not len(size):
+            return np.zeros(0)
+        start = np.cumsum(size) - size
+        right = np.append(flat[1:], SYMBOLS)
+        right[start + size - 1] = SYMBOLS
+        step = self.follow[self.left[flat], self.inner[right]] + self.within[right]
+        return np.where(flat[start] == END, 0.0, self.first[flat[start]] + np.add.reduceat(step, start))
 
+    def unseen(self, classes: np.ndarray) -> np.ndarray:
+        """log of the share of each class that goes by spelling."""
+        n = self.tokens[classes]
+        return np.where(n > 0, np.log(self.discount * np.maximum(self.words[classes], 1e-300) / np.maximum(n, 1)), 0.0)
 
-def counted(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-    """The counts of keys in a (sorted keys, counts) table; 0 where there is none."""
-    known, n = table
-    if not len(known):
-        return np.zeros(len(keys))
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, n[at], 0.0)
+    def in_class(self, spelling: np.ndarray, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """log P(word | class) from log P(spelling | class) and the word's count; the end is certain in its class."""
+        seen = counts > 0
+        by_count = np.log(np.where(seen, counts - self.discount, 1.0)) - np.log(np.maximum(self.tokens[classes], 1))
+        by_spelling = self.unseen(classes) + spelling
+        return np.where(classes == 0, 0.0, np.where(seen, np.logaddexp(by_count, by_spelling), by_spelling))
 
 
 def start_weights(seed: int = 11) -> dict[str, np.ndarray]:
@@ -105,262 +288,305 @@ def start_weights(seed: int = 11) -> dict[str, np.ndarray]:
             "r": np.zeros(2 * BLOCK, np.float32), "b": np.zeros(CLASSES, np.float32)}
 
 
+def _grouped(x: np.ndarray, weight: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
+    """Weighted k-means of rows: the group of each."""
+    if len(x) <= k:
+        return np.arange(len(x))
+    centers = x[np.random.default_rng(seed).choice(len(x), k, replace=False, p=weight / weight.sum())]
+    near = np.zeros(len(x), np.int64)
+    for _ in range(15):
+        near = ((centers ** 2).sum(1)[None] - 2 * x @ centers.T).argmin(1)
+        mass = np.bincount(near, weights=weight, minlength=k)
+        sums = np.zeros_like(centers)
+        np.add.at(sums, near, x * weight[:, None])
+        centers = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1e-9)[:, None], centers).astype(x.dtype)
+    return near
+
+
+def _columns(total: np.ndarray) -> np.ndarray:
+    """The most frequent symbols have columns of their own, the others the last one."""
+    out = np.full(len(total), COLUMNS - 1)
+    out[np.argsort(-total, kind="stable")[: COLUMNS - 1]] = np.arange(COLUMNS - 1)
+    return out
+
+
+def _rates(x: np.ndarray) -> np.ndarray:
+    return np.sqrt(x / np.maximum(x.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+
+
+def _inputs(total: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """Row of each symbol: the first rows are the groups', the others the most frequent symbols' own."""
+    out = group.copy()
+    frequent = np.argsort(-total, kind="stable")[: INPUTS - groups]
+    frequent = frequent[total[frequent] > 0]
+    out[frequent] = groups + np.arange(len(frequent))
+    return out
+
+
+def build(beside: DataFrame, types: DataFrame, path: str) -> Model:
+    """The model with its weights at their start, from ``gathered`` pairs and ``spelled`` words."""
+    symbols, starts = np.arange(SYMBOLS), np.zeros(SYMBOLS, bool)
+    known = byte_pairs(path).after_space[:SYMBOLS]
+    starts[: len(known)] = known
+    starts[END] = True
+    only, every = np.zeros(SYMBOLS + 1, np.int64), np.append(symbols, SYMBOLS)
+    inside = types.filter("kind = 0")
+    of_first = np.stack([reduced(types.filter(F.col("kind") == k), symbols, only, (SYMBOLS, 1))[:, 0] for k in (1, 2, 3, 4)])
+    # Classes of starting ids, by what words start with before and after theirs.
+    before, after = reduced(beside, symbols, only, (SYMBOLS, 1))[:, 0], reduced(beside, only, symbols, (1, SYMBOLS))[0]
+    from_start = np.where(starts, symbols, -1)
+    column = _columns(after)
+    follows = reduced(beside, symbols, column, (SYMBOLS, COLUMNS))
+    precedes = reduced(beside, np.where(starts, _columns(np.where(starts, before, 0)), -1), from_start, (COLUMNS, SYMBOLS)).T
+    seen = np.flatnonzero(starts & (after > 0) & (symbols != END))
+    classes = np.where(starts, CLASSES - 1, -1)
+    classes[END] = 0
+    profile = np.concatenate((_rates(follows), _rates(precedes)), axis=1)
+    if len(seen):
+        classes[seen] = 1 + _grouped(profile[seen], np.sqrt(after[seen]), CLASSES - 2)
+    by_first = lambda x: np.bincount(classes[starts], weights=x[starts], minlength=CLASSES)
+    smoothed = np.where(starts, of_first[0] + 0.05, 0)
+    with np.errstate(divide="ignore"):
+        first = np.log(smoothed / by_first(smoothed)[classes])
+    # Class logits after each starting id, and after each class for the rare ones.
+    inputs = _inputs(np.where(starts, after, 0), np.maximum(classes, 0), CLASSES)
+    counts = np.zeros((INPUTS, CLASSES))
+    for rows in (inputs, classes):
+        counts += reduced(beside, np.where(starts, rows, -1), np.where(starts, classes, -1), (INPUTS, CLASSES))
+    prior = np.bincount(classes[starts], weights=after[starts], minlength=CLASSES) + 0.01
+    counts += 2.0 * prior / prior.sum() + 0.001
+    bigram = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    # Vectors of all ids, by what words start with after theirs.
+    weight = follows.sum(axis=1)
+    f = _rates(follows).astype(float)
+    f[weight == 0] = 0
+    mean = (f * weight[:, None]).sum(axis=0) / max(weight.sum(), 1)
+    f -= mean
+    f *= (weight / (weight + 20))[:, None]  # rare ones near the mean
+    _, s, vt = np.linalg.svd((f * np.sqrt(weight / max(weight.sum(), 1))[:, None]).T @ (f * np.sqrt(weight / max(weight.sum(), 1))[:, None]))
+    features = np.clip(f @ vt[:DIM].T / np.maximum(np.sqrt(s[:DIM]), 1e-3), -4, 4).astype(np.float32)
+    # Inside words: classes of inner ids, and what follows each id.
+    used = reduced(inside, only, every, (1, SYMBOLS + 1))[0]
+    as_left = reduced(inside, symbols, only, (SYMBOLS, 1))[:, 0]
+    column = np.append(_columns(np.where(starts, 0, used[:SYMBOLS])), -1)
+    ends = reduced(inside, symbols, np.append(np.full(SYMBOLS, -1), 0), (SYMBOLS, 1))
+    shape = np.concatenate((_rates(np.concatenate((reduced(inside, symbols, column, (SYMBOLS, COLUMNS)), ends), axis=1)),
+                            _rates(reduced(inside, _columns(as_left), every, (COLUMNS, SYMBOLS + 1)).T[:SYMBOLS])), axis=1)
+    inner = np.where(starts, -1, INNER - 1)
+    there = np.flatnonzero(~starts & (used[:SYMBOLS] > 0))
+    if len(there):
+        inner[there] = _grouped(shape[there], np.sqrt(used[there]), INNER - 1)
+    smoothed = np.where(starts, 0, used[:SYMBOLS] + 0.05)
+    with np.errstate(divide="ignore"):
+        within = np.log(smoothed / np.bincount(inner[~starts], weights=smoothed[~starts], minlength=INNER)[inner])
+    inner, within = np.append(inner, INNER), np.append(within, 0.0)
+    group = np.where(starts, CLASSES + INNER - 1 - np.maximum(classes, 0), np.maximum(inner[:SYMBOLS], 0))
+    left = _inputs(as_left, group, CLASSES + INNER)
+    counts = np.zeros((INPUTS, INNER + 1))
+    for rows in (left, group):
+        counts += reduced(inside, rows, inner, (INPUTS, INNER + 1))
+    total = np.bincount(inner[inner >= 0], weights=used[inner >= 0], minlength=INNER + 1) + 0.5
+    counts += 8.0 * total / total.sum()
+    once, twice = of_first[2].sum(), of_first[3].sum()
+    return Model(path, classes, inputs, bigram, features, first, left, inner, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32),
+                 within, by_first(of_first[1]), by_first(of_first[0]), float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9)), start_weights())
+
+
+# --- attention ---
+
 _DISTANCE = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]  # from query to key; negative lies ahead
-_AHEAD = np.where(_DISTANCE < 0, np.float32(-1e9), np.float32(0))
 _NEAR = np.clip(_DISTANCE, 0, 2 * BLOCK - 1)
+_SEEN = (_DISTANCE >= 0).astype(np.float32)
+
+
+def blocks(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sequences of n positions as blocks of BLOCK places, each sequence after one empty block: (place of each position,
+    which blocks are the empty ones, places)."""
+    count = -(-n // BLOCK) + 1
+    first = np.cumsum(count) - count
+    place = np.arange(n.sum()) + np.repeat((first + 1) * BLOCK - (np.cumsum(n) - n), n)
+    empty = np.zeros(int(count.sum()), bool)
+    empty[first] = True
+    return place, empty, int(count.sum()) * BLOCK
+
 
+def word_vectors(model: Model, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The mean vector of each word's subword ids."""
+    if not len(size):
+        return np.zeros((0, DIM), np.float32)
+    return np.add.reduceat(model.features[flat], start - start[0], axis=0) / size[:, None].astype(np.float32)
 
-def blocks(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All sequences as blocks of BLOCK ids, each after one empty block; -1 pads. And which blocks are empty starts."""
-    parts, first, n = [], [], 0
-    for s in sequences:
-        k = -(-len(s) // BLOCK)
-        padded = np.full((k + 1) * BLOCK, -1, np.int64)
-        padded[BLOCK: BLOCK + len(s)] = s
-        parts.append(padded)
-        first.append(n)
-        n += k + 1
-    flat = np.concatenate(parts).reshape(-1, BLOCK) if parts else np.zeros((0, BLOCK), np.int64)
-    starts = np.zeros(len(flat), bool)
-    starts[first] = True
-    return flat, starts
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=-1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
-    return x
-
-
-def _attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, r: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Masked attention of a batch: (weights, output) for queries (n, BLOCK, DIM) over keys (n, 2 BLOCK, DIM)."""
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(DIM ** -0.5)
-    s += (r[_NEAR] + _AHEAD)[None]
-    s += np.where(there, np.float32(0), np.float32(-1e9))[:, None, :]
-    a = _softmax(s)
-    return a, a @ v
-
-
-def class_scores(model: Model, before: list[np.ndarray], target: list[np.ndarray], batch: int = 128) -> list[np.ndarray]:
-    """log P(class of each target | the inputs up to the one before it), natural logarithm, per sequence."""
+
+def class_scores(model: Model, vectors: np.ndarray, inputs: np.ndarray, target: np.ndarray, n: np.ndarray, batch: int = 256) -> np.ndarray:
+    """log P(class of each token | the words before it in its text), natural logarithm.
+
+    ``vectors`` and ``inputs`` are those of the word before each token, ``target`` its class, for texts of ``n`` tokens.
+    """
     w = model.weights
-    x, starts = blocks(before)
-    y, _ = blocks(target)
-    real, x = x >= 0, np.maximum(x, 0)
-    second = np.flatnonzero(~starts)
-    # One layer: queries, keys and values are tables over the input symbols.
-    qt = model.features @ (w["q"] * np.float32(DIM ** -0.5))
-    kvt = np.concatenate((model.features @ w["k"], model.features @ w["v"]), axis=1)
-    prior = np.exp(np.minimum(w["r"][_NEAR], 30)) * (_DISTANCE >= 0)
-    first_logits = model.bigram + w["b"]
-    parts = [np.zeros(0)]
-    for at in range(0, len(second), batch):
-        i = second[at: at + batch]
-        lo = i[0] - 1  # every block of the batch, and the one before it, is looked up once
-        kv = np.take(kvt, x[lo: i[-1] + 1], axis=0)
-        kv = np.concatenate((kv[i - 1 - lo], kv[i - lo]), axis=1)
-        here, counts = x[i], real[i]  # padding at the end lies ahead of every query that counts
-        a = np.take(qt, here, axis=0) @ kv[..., :DIM].transpose(0, 2, 1)
+    place, empty, places = blocks(n)
+    q, kv = np.zeros((places, DIM), np.float32), np.zeros((places, 2 * DIM), np.float32)
+    q[place] = vectors @ (w["q"] * np.float32(DIM ** -0.5))
+    kv[place] = vectors @ np.concatenate((w["k"], w["v"]), axis=1)
+    step = kv.strides[0]
+    windows = np.lib.stride_tricks.as_strided(kv, (max(places // BLOCK - 1, 0), 2 * BLOCK, 2 * DIM), (BLOCK * step, step, kv.strides[1]), writeable=False)
+    prior = np.exp(np.minimum(w["r"][_NEAR], 30)) * _SEEN
+    logits = np.empty((places, DIM), np.float32)
+    for at in range(0, len(windows), batch):
+        kv_ = windows[at: at + batch]
+        i = np.arange(at + 1, at + 1 + len(kv_))
+        a = q[(at + 1) * BLOCK: (at + 1 + len(kv_)) * BLOCK].reshape(-1, BLOCK, DIM) @ kv_[..., :DIM].transpose(0, 2, 1)
         np.minimum(a, np.float32(40), out=a)
         np.exp(a, out=a)
         a *= prior
-        a[starts[i - 1], :, :BLOCK] = 0
-        h = a @ kv[..., DIM:]
+        a[empty[i - 1], :, :BLOCK] = 0
+        h = a @ kv_[..., DIM:]
         h /= a.sum(axis=2)[..., None]
-        logits = h[counts] @ w["u"]
-        np.minimum(logits, np.float32(40), out=logits)
-        logits += np.take(first_logits, here[counts], axis=0)
-        gold = logits[np.arange(len(logits)), y[i][counts]]
-        np.exp(logits, out=logits)
-        parts.append(gold - np.log(logits.sum(axis=1) + np.float32(1e-30)))
-    return np.split(np.concatenate(parts).astype(np.float64), np.cumsum([len(s) for s in before])[:-1])
-
-
-def gradients(model: Model, w: dict[str, np.ndarray], ids: np.ndarray, there: np.ndarray, c: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss of a batch of windows and its gradient by weight."""
-    e = model.features[ids]
+        logits[(at + 1) * BLOCK: (at + 1 + len(kv_)) * BLOCK] = h.reshape(-1, DIM)
+    out = np.empty(len(place))
+    first = model.bigram + w["b"]
+    for at in range(0, len(place), batch * BLOCK):
+        some = slice(at, at + batch * BLOCK)
+        z = logits[place[some]] @ w["u"]
+        z += np.take(first, inputs[some], axis=0)
+        gold = z[np.arange(len(z)), target[some]]
+        np.minimum(z, np.float32(60), out=z)
+        np.exp(z, out=z)
+        out[some] = np.minimum(gold, np.float32(60)) - np.log(z.sum(axis=1) + np.float32(1e-30))
+    return out
+
+
+def gradients(model: Model, w: dict[str, np.ndarray], e: np.ndarray, inputs: np.ndarray, c: np.ndarray, alone: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean loss of a batch of windows and its gradient by weight.
+
+    ``e`` (n, 2 BLOCK, DIM) are word vectors, ``inputs`` and ``c`` (n, BLOCK) the input rows and target classes of the
+    second block, c = -1 where there is no position; ``alone`` says whose first block is empty.
+    """
+    scale = e.dtype.type(DIM ** -0.5)
     eq = e[:, BLOCK:]
     q, k, v = eq @ w["q"], e @ w["k"], e @ w["v"]
-    a, h = _attend(q, k, v, w["r"], there)
-    real = there[:, BLOCK:]
+    a = q @ k.transpose(0, 2, 1)
+    a *= scale
+    a += w["r"][_NEAR]
+    np.minimum(a, 40, out=a)
+    np.exp(a, out=a)
+    a *= _SEEN
+    a[alone, :, :BLOCK] = 0
+    a /= a.sum(axis=2, keepdims=True)
+    h = a @ v
+    real = c.ravel() >= 0
     n = max(int(real.sum()), 1)
-    p = h @ w["u"] + model.bigram[ids[:, BLOCK:]] + w["b"]
-    p = _softmax(p)
-    picked = np.take_along_axis(p, np.maximum(c, 0)[..., None], 2)[..., 0]
-    loss = float(-np.log(picked[real] + 1e-30).sum() / n)
-    d = p
-    np.put_along_axis(d, np.maximum(c, 0)[..., None], (picked - 1)[..., None], 2)
-    d *= (real[..., None] / np.float32(n))
-    g = {"u": h.reshape(-1, DIM).T @ d.reshape(-1, CLASSES), "b": d.sum(axis=(0, 1))}
-    dh = d @ w["u"].T
+    p = h.reshape(-1, DIM) @ w["u"]
+    p += np.take(model.bigram + w["b"], inputs.ravel(), axis=0)
+    p -= p.max(axis=1, keepdims=True)
+    np.exp(p, out=p)
+    p /= p.sum(axis=1, keepdims=True)
+    at = (np.arange(len(p)), np.maximum(c.ravel(), 0))
+    gold = p[at]
+    loss = float(-np.log(gold[real] + 1e-30).sum() / n)
+    p[at] = gold - 1
+    p *= (real / e.dtype.type(n))[:, None].astype(e.dtype)
+    g = {"u": h.reshape(-1, DIM).T @ p, "b": p.sum(axis=0)}
+    dh = (p @ w["u"].T).reshape(h.shape)
     da = dh @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ dh
-    ds = a * (da - (da * a).sum(axis=-1, keepdims=True))
-    g["r"] = np.bincount(_NEAR.ravel(), weights=(ds.sum(axis=0) * (_DISTANCE >= 0)).ravel(), minlength=2 * BLOCK).astype(np.float32)
-    ds = ds * np.float32(DIM ** -0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+    da -= (dh * h).sum(axis=2, keepdims=True)
+    da *= a
+    g["r"] = np.bincount(_NEAR.ravel(), weights=da.sum(axis=0).ravel() * (_DISTANCE >= 0).ravel(), minlength=2 * BLOCK).astype(e.dtype)
+    da *= scale
+    dq, dk = da @ k, da.transpose(0, 2, 1) @ q
     flat = e.reshape(-1, DIM)
     g["q"] = eq.reshape(-1, DIM).T @ dq.reshape(-1, DIM)
     g["k"], g["v"] = flat.T @ dk.reshape(-1, DIM), flat.T @ dv.reshape(-1, DIM)
     return loss, g
 
 
-def local_steps(model: Model, w: dict[str, np.ndarray], before: list[np.ndarray], target: list[np.ndarray], batch: int = 64,
-                rate: float = 0.01, seed: int = 0) -> dict[str, np.ndarray]:
-    """One pass of Adam over a shard's windows, from the weights given."""
-    x, starts = blocks(before)
-    y, _ = blocks(target)
-    order = np.random.default_rng(seed).permutation(np.flatnonzero(~starts))
-    w = {k: v.copy() for k, v in w.items()}
-    m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    for t, at in enumerate(range(0, len(order), batch), 1):
-        i = order[at: at + batch]
-        ids = np.concatenate((x[i - 1], x[i]), axis=1)
-        _, g = gradients(model, w, np.maximum(ids, 0), ids >= 0, y[i])
-        for k in w:
-            m1[k] = 0.9 * m1[k] + 0.1 * g[k]
-            m2[k] = 0.99 * m2[k] + 0.01 * g[k] ** 2
-            w[k] = (w[k] - rate * (m1[k] / (1 - 0.9 ** t)) / (np.sqrt(m2[k] / (1 - 0.99 ** t)) + 1e-6)).astype(np.float32)
-    return w
-
-
-def _sequences(model: Model, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(inputs, classes): the input symbol before each id, and the id's class. A text starts after END."""
-    before = np.empty(len(ids), np.int64)
-    before[0] = model.inputs[END]
-    before[1:] = model.inputs[ids[:-1]]
-    return before, model.classes[ids]
-
-
-class Scorer:
-    """Scores texts in a task. What is known of each distinct word lies in arrays; a text becomes row numbers."""
-
-    def __init__(self, model: Model, base_of: dict[bytes, float] | None = None, most: int = 300_000) -> None:
-        self.model, self.base_of, self.most = model, base_of or {}, most
-        self._clear()
-
-    def _clear(self) -> None:
-        self.row: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.int64)
-        self.start, self.size, self.hash = (np.zeros(0, np.int64) for _ in range(3))
-        self.inside, self.base = np.zeros(0), np.zeros(0)
-        self._add([b""], np.array([END]), np.array([1]))
-
-    def _add(self, words: list[bytes], flat: np.ndarray, size: np.ndarray) -> None:
-        start = np.cumsum(size) - size
-        left = np.concatenate(([EDGE], flat[:-1]))
-        left[start] = EDGE
-        self.row.update(zip(words, range(len(self.size), len(self.size) + len(words))))
-        self.inside = np.concatenate((self.inside, np.add.reduceat(self.model.log_inside(left, flat), start)))
-        self.base = np.concatenate((self.base, np.fromiter((self.base_of.get(w, np.nan) for w in words), np.float64, len(words))))
-        self.hash = np.concatenate((self.hash, np.fromiter(map(digest, words), np.uint64, len(words)).view(np.int64)))
-        self.start = np.concatenate((self.start, start + len(self.flat)))
-        self.size = np.concatenate((self.size, size))
-        self.flat = np.concatenate((self.flat, flat))
-
-    @classmethod
-    def of(cls, model: Model, base_of: dict[bytes, float] | None = None) -> Scorer:
-        """One for the model's life in a worker, so that its words stay known from task to task."""
-        return model.__dict__.setdefault("scorer", cls(model, base_of))
-
-    def rows(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """Row numbers of each text's words and, last, of its end."""
-        words = set(chain.from_iterable(texts))
-        new = words.difference(self.row)
-        if len(self.row) + len(new) > self.most:
-            self._clear()
-            new = words
-        if new:
-            todo = list(new)
-            self._add(todo, *subwords(self.model.path, todo))
-        return [np.fromiter(chain(map(self.row.__getitem__, t), (0,)), np.int64, len(t) + 1) for t in texts]
-
-    def sequence(self, rows: np.ndarray) -> np.ndarray:
-        """Subword ids of the rows, one after the other."""
-        size = self.size[rows]
-        ends = np.cumsum(size)
-        return self.flat[np.arange(ends[-1]) + np.repeat(self.start[rows] - ends + size, size)]
-
-    def score(self, rows: list[np.ndarray]) -> np.ndarray:
-        """log10 P of each text, given as rows, if no word beyond base_of was counted."""
-        score, rare = self.known_score(rows)
-        return score + np.array([(p + np.log(1 - UNIGRAM)).sum() / np.log(10) for _, p in rare])
-
-    def known_score(self, rows: list[np.ndarray]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """log10 P of each text's words whose unigram is known, and of each text's other words, one by one,
-        (hashes, log P of the paths): their unigrams are yet to be mixed in.
-
-        A word's probability is the share UNIGRAM of its unigram's and the rest of its path's through its subwords.
-        """
-        pairs = [_sequences(self.model, self.sequence(r)) for r in rows]
-        by_id = np.concatenate(class_scores(self.model, [p[0] for p in pairs], [p[1] for p in pairs]))
-        every = np.concatenate(rows)
-        size = self.size[every]
-        path = np.add.reduceat(by_id, np.cumsum(size) - size) + self.inside[every]
-        base = self.base[every]
-        rare = np.isnan(base)
-        word = np.where(rare, 0.0, np.logaddexp(path + np.log(1 - UNIGRAM), np.where(rare, 0.0, base) * np.log(10) + np.log(UNIGRAM)))
-        first = np.cumsum([0] + [len(r) for r in rows[:-1]])
-        cuts = np.cumsum(np.add.reduceat(rare, first, dtype=np.int64))[:-1]
-        return (np.add.reduceat(word, first) / np.log(10),
-                list(zip(np.split(self.hash[every[rare]], cuts), np.split(path[rare], cuts))))
-
-    def unigrams(self, rows: np.ndarray) -> tuple[int, float]:
-        """(known words, their base score)."""
-        base = self.base[rows]
-        there = ~np.isnan(base)
-        return int(there.sum()), float(base[there].sum())
-
-
-def digest(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, 42)
-
-
-def word_counts(training: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n) over all rows of ``training``; ``""`` is the end token."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
-        for b in batches:
-            for t in b["text"]:
-                held.update(words_of(t))
-                held[b""] += 1
-                if len(held) > 300_000:
-                    yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-                    held = Counter()
-        if held:
-            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-
-    return (training.select(F.col(text_col).cast("binary").alias("text")).mapInPandas(run, "word binary, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")))
+class Steps:
+    """Adam over batches of windows as they come, from the weights given."""
+
+    def __init__(self, model: Model, rate: float, batch: int = 128, seed: int = 0) -> None:
+        self.model, self.rate, self.batch, self.t = model, rate, batch, 0
+        self.draw = np.random.default_rng(seed)
+        self.names = sorted(model.weights)
+        self.flat = np.concatenate([model.weights[k].ravel() for k in self.names])
+        self.w, at = {}, 0
+        for k in self.names:
+            size = model.weights[k].size
+            self.w[k] = self.flat[at: at + size].reshape(model.weights[k].shape)
+            at += size
+        self.m1, self.m2 = np.zeros_like(self.flat), np.zeros_like(self.flat)
+
+    def take(self, vectors: np.ndarray, inputs: np.ndarray, target: np.ndarray, n: np.ndarray) -> None:
+        """One pass over the windows of these texts (see ``class_scores``), in random order."""
+        place, empty, places = blocks(n)
+        x, i, c = np.zeros((places, DIM), np.float32), np.zeros(places, np.int64), np.full(places, -1)
+        x[place], i[place], c[place] = vectors, inputs, target
+        x, i, c = x.reshape(-1, BLOCK, DIM), i.reshape(-1, BLOCK), c.reshape(-1, BLOCK)
+        order = self.draw.permutation(np.flatnonzero(~empty))
+        for at in range(0, len(order), self.batch):
+            o = order[at: at + self.batch]
+            _, g = gradients(self.model, self.w, np.concatenate((x[o - 1], x[o]), axis=1), i[o], c[o], empty[o - 1])
+            flat = np.concatenate([g[k].ravel() for k in self.names])
+            self.t += 1
+            self.m1 += 0.1 * (flat - self.m1)
+            self.m2 += 0.01 * (flat ** 2 - self.m2)
+            self.flat -= (self.rate / (1 - 0.9 ** self.t)) * self.m1 / (np.sqrt(self.m2 / (1 - 0.99 ** self.t)) + 1e-6)
+
+
+def positions(model: Model, known: Words, vectors: np.ndarray, every: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vectors and input rows of the word before each token, class of the token); a text's end stands before its first word."""
+    before = np.empty_like(every)
+    before[1:], before[0] = every[:-1], 0
+    first = known.flat.all[known.start.all]
+    return vectors[before], model.inputs[first][before], model.classes[first][every]
+
+
+def train(model: Model, training: DataFrame, rounds: int = 2, shards: int = SHARDS) -> Model:
+    """Local steps and averaging, ``rounds`` times, each over its own part of the rows of ``training``, a column
+    text as binary; every row is in one.
+
+    A task takes the rows that it reads batch by batch, at most ``shards`` tasks a round; every task starts
+    from the same weights and Spark averages what they come to, by positions seen.
+    """
+    dealt = training.withColumn("round", F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(rounds)))
+    sc = training.sparkSession.sparkContext
+    for r in range(rounds):
+        sent = sc.broadcast(model)
 
+        def run(batches: Iterator[pa.RecordBatch], r: int = r) -> Iterator[pa.RecordBatch]:
+            m = sent.value
+            known, steps, seen = Words(m.path), Steps(m, 0.02 / (1 + r), seed=r), 0
+            vectors = np.zeros((0, DIM), np.float32)
+            for b in batches:
+                for texts in batched(b["text"].to_pylist()):
+                    every, n, new = known.rows(texts)
+                    vectors = _with_new(m, known, vectors, new)
+                    steps.take(*positions(m, known, vectors, every, n), n)
+                    seen += len(every)
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(steps.flat))), pa.array(steps.flat.astype(float) * seen),
+                                                  pa.array(np.full(len(steps.flat), float(seen)))], names=["k", "w", "n"])
+
+        got = (dealt.filter(F.col("round") == r).select("text").coalesce(shards).mapInArrow(run, "k long, w double, n double")
+               .groupBy("k").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow())  # one row per weight
+        if got.num_rows:
+            flat = got.sort_by("k")["w"].to_numpy().astype(np.float32)
+            for k in sorted(model.weights):
+                size = model.weights[k].size
+                model.weights[k], flat = flat[:size].reshape(model.weights[k].shape), flat[size:]
+        sent.unpersist()
+    return model
 
-def pair_counts(counts: DataFrame, path: str) -> DataFrame:
-    """(left, right, n): neighbouring symbols inside words, EDGE at both ends, over the counted words."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            words, n = [bytes(w) for w in b["word"]], b["n"].to_numpy(np.int64)
-            if not words:
-                continue
-            flat, size = subwords(path, [w for w in words if w])
-            if b"" in words:  # the end token is a word of one symbol
-                k = words.index(b"")
-                flat, size, n = np.append(flat, END), np.append(size, 1), np.append(np.delete(n, k), n[k])
-            start = np.cumsum(size) - size
-            left = np.concatenate(([EDGE], flat[:-1]))
-            left[start] = EDGE
-            by_word = np.repeat(n, size)
-            # Each id with the symbol before it, and each word's last id with its edge.
-            key = np.concatenate((left * (SYMBOLS + 1) + flat, flat[start + size - 1] * (SYMBOLS + 1) + EDGE))
-            key, at = np.unique(key, return_inverse=True)
-            total = np.bincount(at, weights=np.concatenate((by_word, n)).astype(float)).astype(np.int64)
-            yield pd.DataFrame({"left": key // (SYMBOLS + 1), "right": key % (SYMBOLS + 1), "n": total})
+def _with_new(model: Model, known: Words, vectors: np.ndarray, new: int) -> np.ndarray:
+    """The vectors of all known words, those from row ``new`` on made now; rows 0 and the cleared ones anew."""
+    done = min(new, len(vectors)) if new else 0
+    start, size, flat = known.start.all[done:], known.size.all[done:], known.flat.all
+    if not len(size):
+        return vectors[:done]
+    return np.concatenate((vectors[:done], word_vectors(model, flat[start[0]:], start, size)))
 
-    return counts.mapInPandas(run, "left long, right long, n long").groupBy("left", "right").agg(F.sum("n").alias("n"))
 
+# --- scores ---
 
 def above(counted: DataFrame, most: int) -> DataFrame:
     """The most frequent rows, about ``most`` of them and never many more: those over a quantile of n."""
@@ -371,161 +597,105 @@ def above(counted: DataFrame, most: int) -> DataFrame:
     return counted.filter(F.col("n") > cut)
 
 
-def build(pairs: pd.DataFrame, path: str, seed: int = 5) -> Model:
-    """Classes, bigram logits and features from neighbour counts; weights at their start."""
-    left, right, n = (pairs[c].to_numpy(np.int64) for c in ("left", "right", "n"))
-    own = right < SYMBOLS
-    total = np.bincount(right[own], weights=n[own], minlength=SYMBOLS)
-    seen = np.flatnonzero(total)
-    seen = seen[seen != END]
-    classes = np.full(SYMBOLS, CLASSES - 1, np.int64)  # never seen
-    classes[END] = CLASSES - 2
-    # How often each symbol has each of the 127 most frequent symbols, or another, before and after it.
-    profile = np.zeros((SYMBOLS + 1, 256), np.float32)
-    for a, b, base in ((right, left, 0), (left, right, 128)):
-        weight = np.bincount(b, weights=n, minlength=SYMBOLS + 1)
-        column = np.full(SYMBOLS + 1, 127)
-        column[np.argsort(-weight, kind="stable")[:127]] = np.arange(127)
-        np.add.at(profile, (a, base + column[b]), n.astype(np.float32))
-        half = profile[:, base: base + 128]
-        half /= np.maximum(half.sum(axis=1, keepdims=True), 1)
-    np.sqrt(profile, out=profile)
-    if len(seen):
-        x, weight = profile[seen], np.sqrt(total[seen])
-        r = np.random.default_rng(seed)
-        k = min(CLASSES - 2, len(seen))
-        centers = x[r.choice(len(seen), k, replace=False, p=weight / weight.sum())]
-        for _ in range(15):
-            near = ((centers ** 2).sum(1)[None] - 2 * x @ centers.T).argmin(1)
-            for c in range(k):
-                if (near == c).any():
-                    centers[c] = np.average(x[near == c], axis=0, weights=weight[near == c])
-        classes[seen] = ((centers ** 2).sum(1)[None] - 2 * x @ centers.T).argmin(1)
-    smoothed = total + 0.05
-    inside = (KAPPA * smoothed / np.bincount(classes, weights=smoothed, minlength=CLASSES)[classes])
-    inputs = classes.copy()
-    frequent = seen[np.argsort(-total[seen], kind="stable")][: INPUTS - CLASSES]
-    inputs[frequent] = CLASSES + np.arange(len(frequent))
-    # Class counts after each input symbol; after a word's end comes what starts words.
-    start = np.bincount(classes[right[own & (left == EDGE)]], weights=n[own & (left == EDGE)], minlength=CLASSES) + 0.01
-    start /= start.sum()
-    after = np.zeros((INPUTS, CLASSES))
-    within = own & (left < SYMBOLS)
-    for symbol in (inputs, classes):  # as itself, and as any of its class
-        np.add.at(after, (symbol[left[within]], classes[right[within]]), n[within])
-        ends = (right == EDGE) & (left < SYMBOLS)
-        mass = np.bincount(symbol[left[ends]], weights=n[ends], minlength=INPUTS)
-        after += mass[:, None] * start[None]
-    after += 0.5 * start[None] + 0.001
-    bigram = np.log(after / after.sum(1, keepdims=True)).astype(np.float32)
-    f = np.zeros((INPUTS, 256))
-    mass = np.bincount(inputs, weights=total, minlength=INPUTS)
-    np.add.at(f, inputs[seen], profile[seen] * total[seen, None])
-    f /= np.maximum(mass, 1)[:, None]
-    f -= np.average(f, axis=0, weights=mass + 1e-9)
-    _, s, vt = np.linalg.svd(f * np.sqrt(mass / max(mass.sum(), 1))[:, None], full_matrices=False)
-    features = f @ vt[:DIM].T / np.maximum(s[:DIM], 1e-3)
-    features = np.clip(features, -4, 4).astype(np.float32)
-    by_class, at = np.unique(left[own] * CLASSES + classes[right[own]], return_inverse=True)
-    key = left[own] * SYMBOLS + right[own]
-    order = np.argsort(key)
-    return Model(path, classes, inputs, inside, (key[order], n[own][order].astype(float)),
-                 (by_class, np.bincount(at, weights=n[own], minlength=len(by_class))), bigram, features, start_weights())
-
-
-def train(model: Model, training: DataFrame, rounds: int = 3, shard_rows: int = 500,
-          id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Local steps and averaging, ``rounds`` times, each over its own part of the rows; every row is in one.
-
-    A round's rows are dealt to shards of about ``shard_rows``; every shard starts from the same weights and
-    Spark averages what they come to, weight by weight.
-    """
-    dealt = training.select(F.col(text_col).cast("binary").alias("text"),
-                            F.pmod(F.xxhash64(F.lit(3), id_col, text_col), F.lit(rounds)).alias("round"))
-    shards = max(1, int(training.count() / rounds / shard_rows))
-    sc = training.sparkSession.sparkContext
-    names = sorted(model.weights)
-    for r in range(rounds):
-        sent = sc.broadcast(model)
+@dataclass
+class Learned:
+    model: Model
+    counts: DataFrame  # word, n; "" is the end
+    total: int
+    distinct: int
+    known: dict[bytes, int]  # counts of the frequent words
 
-        def run(batches: Iterator[pd.DataFrame], r: int = r) -> Iterator[pd.DataFrame]:
-            m = sent.value
-            scorer, before, target = Scorer.of(m), [], []
-            for b in batches:
-                for rows in scorer.rows([words_of(t) for t in b["text"]]):
-                    x, y = _sequences(m, scorer.sequence(rows))
-                    before.append(x)
-                    target.append(y)
-            if before:
-                w = local_steps(m, m.weights, before, target, rate=0.02 / (1 + r), seed=r)
-                yield pd.DataFrame({"i": [0], "n": [float(sum(map(len, before)))], "w": [np.concatenate([w[k].ravel() for k in names]).astype(float)]})
-
-        part = dealt.filter(F.col("round") == r).select("text").repartition(shards)
-        got = (part.mapInPandas(run, "i long, n double, w array<double>").select("n", F.posexplode("w").alias("k", "w"))
-               .groupBy("k").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).collect())  # one row per weight
-        if got:
-            flat = np.array([x["w"] for x in sorted(got)], np.float32)
-            for k in names:
-                size = model.weights[k].size
-                model.weights[k], flat = flat[:size].reshape(model.weights[k].shape), flat[size:]
-        sent.unpersist()
-    return model
+    @property
+    def floor(self) -> float:
+        return float(np.log10(self.total + 0.5 * (self.distinct + 1)))
 
 
-SCORED = "doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, paths array<double>"
+def learn(training: DataFrame, path: str, known_words: int = 200_000) -> Learned:
+    """Counts, model and trained weights from all rows of ``training``, a column text as binary."""
+    both = checkpointed(gathered(training, path))
+    counts, beside = both.filter("word IS NOT NULL").select("word", "n"), both.filter("word IS NULL").select("a", "b", "n")
+    sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    model = train(build(beside, checkpointed(spelled(counts, path)), path), training)
+    top = above(counts, known_words).toArrow()
+    return Learned(model, counts, int(sums["n"]), int(sums["v"]), dict(zip(top["word"].to_pylist(), top["n"].to_pylist())))
+
+
+SCORED = ("doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, "
+          "rare array<long>, spelled array<double>, total array<double>")
+
+
+def score_learned(rows: DataFrame, learned: Learned) -> DataFrame:
+    """Rows (doc_id, held_out, text as binary) with n_tokens, n_known, base_score and score."""
+    kind, floor, discount = rows.schema["doc_id"].dataType, learned.floor, learned.model.discount
+    sent = rows.sparkSession.sparkContext.broadcast((learned.model, learned.known))  # of fixed size, and known_words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, counted = sent.value
+        known = Words(model.path)
+        vectors, n_word, hashes, inside, spelling = np.zeros((0, DIM), np.float32), Grown(np.int64), Grown(np.int64), Grown(float), Grown(float)
+        for b in batches:
+            ids, held, at = b["doc_id"], b["held_out"], 0
+            for texts in batched(b["text"].to_pylist()):
+                every, n, new = known.rows(texts)
+                if not new:
+                    n_word, hashes, inside, spelling = Grown(np.int64), Grown(np.int64), Grown(float), Grown(float)
+                vectors = _with_new(model, known, vectors, new)
+                if n_word.n < len(known.row):  # what there is to know of the new words
+                    words = list(known.row)[n_word.n:]
+                    start, size, flat = known.start.all[n_word.n:], known.size.all[n_word.n:], known.flat.all
+                    spell = model.spelling(flat[start[0]:], size)
+                    c = np.fromiter((counted.get(w, -1) for w in words), np.int64, len(words))
+                    cls = model.classes[flat[start]]
+                    spelling.add(model.unseen(cls) + spell)
+                    inside.add(model.in_class(spell, cls, c))
+                    n_word.add(c)
+                    hashes.add(np.fromiter(map(digest, words), np.uint64, len(words)).view(np.int64))
+                x, i, cls = positions(model, known, vectors, every, n)
+                token = class_scores(model, x, i, cls, n)
+                c = n_word.all[every]
+                rare = (c < 0) & (every > 0)
+                token += np.where(rare, 0.0, inside.all[every])
+                base = np.where(c >= 0, np.log10(np.maximum(c, 0) + 0.5) - floor, 0.0)
+                base[(c < 0) & (every == 0)] = np.log10(0.5) - floor  # no end was counted
+                first = np.cumsum(n) - n
+                lists = np.append(0, np.cumsum(np.add.reduceat(rare, first, dtype=np.int64)))
+                some = every[rare]
+                column = lambda x: pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(x))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(at, len(n)), held.slice(at, len(n)), pa.array(n), pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),
+                     pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(token, first) / np.log(10)), column(hashes.all[some]),
+                     column(spelling.all[some]), column(np.log(np.maximum(model.tokens[cls[rare]], 1)))], names=[c.split()[0] for c in SCORED.split(", ")])
+                at += len(n)
+
+    scored = checkpointed(rows.select(F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
+                          .mapInArrow(run, SCORED).withColumn("row", F.monotonically_increasing_id()))
+    zipped = F.arrays_zip(F.col("rare").alias("h"), F.col("spelled").alias("p"), F.col("total").alias("t"))
+    rare = scored.select("row", F.explode(zipped).alias("x")).select("row", "x.h", "x.p", "x.t")
+    base = F.log10(F.coalesce(F.col("n"), F.lit(0)) + 0.5) - floor
+    by_count = F.log(F.col("n") - discount) - F.col("t")
+    word = F.when(F.col("n").isNull(), F.col("p")).otherwise(F.greatest(by_count, "p") + F.log1p(F.exp(-F.abs(by_count - F.col("p")))))
+    found = (rare.join(learned.counts.select(F.xxhash64("word").alias("h"), "n"), "h", "left")
+             .groupBy("row").agg(F.count("n").alias("more"), F.sum(base).alias("rest"), (F.sum(word) / float(np.log(10))).alias("words")))
+    return (scored.drop("rare", "spelled", "total").join(found, "row", "left")
+            .select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
+                    F.lit(learned.total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
+                    (F.col("score") + F.coalesce("words", F.lit(0.0))).alias("score")))
 
 
 def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
-                known_words: int = 200_000, **how) -> DataFrame:
+                known_words: int = 200_000) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (see the module).
 
     base_score is a unigram score with counts from all training rows. The counts of about ``known_words``
     frequent words go to every task; a document's other words meet theirs in a shuffle, as 64-bit hashes (two
-    of 10^7 words share one with a chance of 3 in a million), with the log-probability of each one's path, so
-    that every counted word's unigram is in the score whatever ``known_words`` is.
+    of 10^7 words share one with a chance of 3 in a million), with the log-probability of each one's spelling, so
+    that every counted word's count is in both scores whatever ``known_words`` is.
 
     Defined cases: a null or empty text is the end token alone; null ids are not held out unless the
-    column says so; without training rows the counts are 0 and all classes keep their start weights;
+    column says so; without training rows the counts are 0, a class goes by spelling alone and the weights stay at their start;
     repeated rows are scored each; an empty table gives an empty one; other columns are not read.
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
-    kind = docs.schema[id_col].dataType
     held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out"))
-    training = rows.filter(~F.col("held_out"))
-    counts = checkpointed(word_counts(training))
-    sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-                      F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("n"))), F.lit(0)).alias("ends")).first()
-    total, floor = int(sums["n"]), float(np.log10(sums["n"] + 0.5 * (sums["v"] + 1)))
-    model = train(build(pair_counts(counts, path).toArrow().to_pandas(), path), training)  # all pairs: a sparse part of SYMBOLS x SYMBOLS
-    top = above(counts, known_words).toPandas()
-    known = {bytes(w): float(np.log10(c + 0.5)) - floor for w, c in zip(top["word"], top["n"])}
-    end_known, end_base = int(sums["ends"] > 0), float(np.log10(sums["ends"] + 0.5)) - floor
-    known[b""] = end_base
-    sent = docs.sparkSession.sparkContext.broadcast((model, known))  # the model's pairs and known_words
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, base_of = sent.value
-        scorer = Scorer.of(m, base_of)
-        for b in batches:
-            for at in range(0, len(b), 64):
-                some = b.iloc[at: at + 64]
-                texts = scorer.rows([words_of(t) for t in some["text"]])
-                out = [scorer.unigrams(r) for r in texts]
-                score, others = scorer.known_score(texts)
-                yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "held_out": some["held_out"].to_numpy(), "n_tokens": [len(r) for r in texts],
-                                    "n_known": [o[0] - 1 + end_known for o in out], "base": [o[1] for o in out], "score": score,
-                                    "rare": [h for h, _ in others], "paths": [p for _, p in others]})
-
-    scored = checkpointed(rows.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"), "held_out")
-                          .mapInPandas(run, SCORED).withColumn("row", F.monotonically_increasing_id()))
-    rare = scored.select("row", F.explode(F.arrays_zip(F.col("rare").alias("h"), F.col("paths").alias("p"))).alias("x")).select("row", "x.h", "x.p")
-    base = F.log10(F.coalesce(F.col("n"), F.lit(0)) + 0.5) - floor
-    path, unigram = F.col("p") + float(np.log(1 - UNIGRAM)), base * float(np.log(10)) + float(np.log(UNIGRAM))
-    mixed = F.when(F.col("n").isNull(), path).otherwise(F.greatest(path, unigram) + F.log1p(F.exp(-F.abs(path - unigram))))
-    found = (rare.join(counts.select(F.xxhash64("word").alias("h"), "n"), "h", "left")
-             .groupBy("row").agg(F.count("n").alias("more"), F.sum(base).alias("rest"), (F.sum(mixed) / float(np.log(10))).alias("words")))
-    return (scored.drop("rare", "paths").join(found, "row", "left")
-            .select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-                    F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
-                    (F.col("score") + F.coalesce("words", F.lit(0.0))).alias("score")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), held.alias("held_out"))
+    return score_learned(rows, learn(rows.filter(~F.col("held_out")).select("text"), path, known_words))
