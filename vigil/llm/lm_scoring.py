@@ -26,6 +26,7 @@ where the text has one. Windows go through the attention in batches.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
@@ -33,6 +34,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -50,7 +52,7 @@ COLUMNS = 128
 SYMBOLS = 50257
 END = 50256
 SHARDS = 4096  # of one round at most
-OTHER_SPACE = re.compile(r"\s|[\x1c-\x1f\x85]")
+OTHER_SPACE = re.compile(r"[^\S ]|[\x1c-\x1f\x85]")
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -67,132 +69,148 @@ def subwords(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     pairs = byte_pairs(path)
+    text = b" ".join(words).decode("utf-8", "replace")
+    if not OTHER_SPACE.search(text):
+        flat = pairs.array(" " + text, False)
+        return flat, np.diff(np.flatnonzero(pairs.after_space[flat]), append=len(flat))
     texts = [w.decode("utf-8", "replace") for w in words]
-    odd = [i for i, t in enumerate(texts) if OTHER_SPACE.search(t)]
-    if odd:
-        ids = [pairs.encode(" " + t, False) for t in texts]
-        return np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids])
-    flat = pairs.array(" " + " ".join(texts), False)
-    starts = np.flatnonzero(pairs.after_space[flat])
-    return flat, np.diff(starts, append=len(flat))
-
-
-def batched(texts: list[bytes | None], most: int = 1_000_000) -> Iterator[list[list[bytes]]]:
-    """The texts' words, in batches of about ``most`` bytes."""
-    held, size = [], 0
-    for t in texts:
-        held.append(words_of(t))
-        size += len(t or b"")
-        if size >= most:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
-class Grown:
-    """An array that rows are added to; room doubles."""
-
-    def __init__(self, kind: type) -> None:
-        self.room, self.n = np.zeros(1024, kind), 0
-
-    def add(self, values: np.ndarray) -> None:
-        n = self.n + len(values)
-        if n > len(self.room):
-            self.room = np.concatenate((self.room, np.zeros(max(n, 2 * len(self.room)) - len(self.room), self.room.dtype)))
-        self.room[self.n: n] = values
-        self.n = n
-
-    @property
-    def all(self) -> np.ndarray:
-        return self.room[: self.n]
-
-
-class Words:
-    """The distinct words of a task, as row numbers; row 0 is the text's end. Forgotten when there are too many."""
-
-    def __init__(self, path: str, most: int = 300_000) -> None:
-        self.path, self.most = path, most
-        self.clear()
-
-    def clear(self) -> None:
-        self.row: dict[bytes, int] = {b"": 0}
-        self.flat, self.start, self.size = Grown(np.int32), Grown(np.int64), Grown(np.int64)
-        for a, v in ((self.flat, END), (self.start, 0), (self.size, 1)):
-            a.add(np.array([v]))
-
-    def rows(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, int]:
-        """(row numbers of all words, an end after each text; tokens of each text; first row that is new)."""
-        words = set(chain.from_iterable(texts))
-        new = words.difference(self.row)
-        before = len(self.row)
-        if before + len(new) > self.most and before > 1:
-            self.clear()
-            new, before = words, 0
-        if new:
-            todo = list(new)
-            flat, size = subwords(self.path, todo)
-            self.row.update(zip(todo, range(len(self.row), len(self.row) + len(todo))))
-            self.start.add(np.cumsum(size) - size + self.flat.n)
-            self.size.add(size)
-            self.flat.add(flat)
-        n = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        every = np.fromiter(chain.from_iterable(map(self.row.__getitem__, chain(t, (b"",))) for t in texts), np.int32, int(n.sum()))
-        return every, n, before
+    odd = np.array([bool(OTHER_SPACE.search(t)) for t in texts])
+    flat, size = subwords(path, [w for w, o in zip(words, odd) if not o])
+    parts = iter(np.split(flat, np.cumsum(size)[:-1]))
+    ids = [pairs.array(" " + t, False) if o else next(parts) for t, o in zip(texts, odd)]
+    return np.concatenate(ids), np.array([len(x) for x in ids])
 
 
 def digest(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 42)
 
 
+@dataclass
+class Batch:
+    """Some texts: their distinct words as subword ids, word 0 being the end, and their tokens as numbers of these."""
+
+    words: list[bytes]
+    flat: np.ndarray  # subword ids of the words, one after the other
+    size: np.ndarray  # ids of each word
+    every: np.ndarray  # all tokens: the words of each text, and its end
+    n: np.ndarray  # tokens of each text
+
+    @property
+    def start(self) -> np.ndarray:
+        return np.cumsum(self.size) - self.size
+
+    @property
+    def first(self) -> np.ndarray:
+        """First id of each word."""
+        return self.flat[self.start]
+
+    def before(self) -> np.ndarray:
+        """The word before each token; a text's end stands before its first."""
+        out = np.zeros_like(self.every)
+        out[1:] = self.every[:-1]
+        return out
+
+    def some(self, texts: np.ndarray) -> Batch:
+        """The texts that ``texts`` marks."""
+        return Batch(self.words, self.flat, self.size, self.every[np.repeat(texts, self.n)], self.n[texts])
+
+
+def batch_of(path: str, texts: list[list[bytes]]) -> Batch:
+    words = [b"", *set(chain.from_iterable(texts))]
+    number = dict(zip(words, range(len(words))))
+    n = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    end = (b"",)
+    tokens = chain.from_iterable(chain.from_iterable((t, end) for t in texts))
+    every = np.fromiter(map(number.__getitem__, tokens), np.int32, int(n.sum()))
+    flat, size = subwords(path, words[1:])
+    return Batch(words, np.append(END, flat), np.append(1, size), every, n)
+
+
+ENCODED = "ids array<string>, held array<boolean>, words binary, flat binary, size binary, every binary, n array<long>"
+
+
+def encoded(rows: DataFrame, path: str, most: int = 2_000_000) -> DataFrame:
+    """Rows (doc_id as a string, held_out, text as binary) as batches of about ``most`` bytes of text: tokenized once, for all that follows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, held = b["doc_id"], b["held_out"]
+            size = np.cumsum(pc.fill_null(pc.binary_length(b["text"]), 0).to_numpy())
+            cuts = np.append(np.flatnonzero(np.diff(size // most, append=-1)), b.num_rows - 1)
+            first = 0
+            for last in np.unique(cuts) + 1:
+                x = batch_of(path, [words_of(t) for t in b["text"].slice(first, last - first).to_pylist()])
+                lists = pa.array([0, last - first], pa.int32())
+                binary = lambda a, kind: pa.array([a.astype(kind).tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(lists, ids.slice(first, last - first)), pa.ListArray.from_arrays(lists, held.slice(first, last - first)),
+                     pa.array([b" ".join(x.words)], pa.binary()), binary(x.flat, np.uint16), binary(x.size, np.int32), binary(x.every, np.int32),
+                     pa.ListArray.from_arrays(lists, pa.array(x.n))], names=[c.split()[0] for c in ENCODED.split(", ")])
+                first = last
+
+    return rows.select("doc_id", "held_out", "text").mapInArrow(run, ENCODED)
+
+
+def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, Batch]]:
+    """(ids, held, batch) of each encoded row."""
+    for b in batches:
+        for i in range(b.num_rows):
+            get = lambda name, kind: np.frombuffer(b[name][i].as_buffer(), kind)
+            yield b["ids"][i].values, b["held"][i].values, Batch(
+                b["words"][i].as_py().split(b" "), get("flat", np.uint16).astype(np.int64), get("size", np.int32).astype(np.int64),
+                get("every", np.int32), b["n"][i].values.to_numpy())
+
+
 # --- what the corpus gives ---
 
 GATHERED = "word binary, a int, b int, n long"
 
 
-def gathered(training: DataFrame, path: str) -> DataFrame:
-    """(word, a, b, n) over all rows of ``training``, a column text as binary: counts of words (``""`` is the end;
-    a, b null), and how often the subword id ``a`` stands in the word, or start, before the id ``b`` that
-    starts a word, or END (word null)."""
+def gathered(batches: DataFrame) -> DataFrame:
+    """(word, a, b, n) over all training texts of ``encoded`` batches: counts of words (``""`` is the end; a, b null), and how
+    often the subword id ``a`` stands in the word, or start, before the id ``b`` that starts a word, or END (word null)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(path)
-        counts, pairs = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pair_n = np.zeros(0, np.int64)
-        nothing = lambda n, kind: pa.nulls(n, kind)
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, pairs = Counter(), []
 
         def out() -> Iterator[pa.RecordBatch]:
-            some = np.flatnonzero(counts)
-            words = list(known.row)
-            yield pa.RecordBatch.from_arrays([pa.array([words[i] for i in some], pa.binary()), nothing(len(some), pa.int32()),
-                                              nothing(len(some), pa.int32()), pa.array(counts[some])], names=["word", "a", "b", "n"])
-            yield pa.RecordBatch.from_arrays([nothing(len(pairs), pa.binary()), pa.array((pairs // SYMBOLS).astype(np.int32)),
-                                              pa.array((pairs % SYMBOLS).astype(np.int32)), pa.array(pair_n)], names=["word", "a", "b", "n"])
-
-        for b in batches:
-            for texts in batched(b["text"].to_pylist()):
-                if len(known.row) + sum(map(len, texts)) > known.most:  # the next could make it forget
-                    yield from out()
-                    known.clear()
-                    counts, pairs, pair_n = (np.zeros(0, np.int64) for _ in range(3))
-                every, n, _ = known.rows(texts)
-                counts = np.concatenate((counts, np.zeros(len(known.row) - len(counts), np.int64))) + np.bincount(every, minlength=len(known.row))
-                # The word before each token; the end's row stands before the first.
-                before = np.empty_like(every)
-                before[1:], before[0] = every[:-1], 0
-                first = known.flat.all[known.start.all]
-                names, code = np.unique(first, return_inverse=True)
-                size = known.size.all[before]
-                ends = np.cumsum(size)
-                left = known.flat.all[np.arange(ends[-1]) + np.repeat(known.start.all[before] - ends + size, size)]
-                key = left.astype(np.int64) * len(names) + np.repeat(code[every], size)
+            n = len(held)
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
+                                              pa.array(list(held.values()), pa.int64())], names=["word", "a", "b", "n"])
+            key, at = np.unique(np.concatenate([k for k, _ in pairs]), return_inverse=True)
+            total = np.bincount(at, weights=np.concatenate([m for _, m in pairs])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(key), pa.binary()), pa.array((key // SYMBOLS).astype(np.int32)),
+                                              pa.array((key % SYMBOLS).astype(np.int32)), pa.array(total)], names=["word", "a", "b", "n"])
+            held.clear()
+            pairs.clear()
+
+        for _, held_out, x in decoded(rows):
+            x = x.some(~held_out.to_numpy(zero_copy_only=False))
+            if not len(x.n):
+                continue
+            n = np.bincount(x.every, minlength=len(x.words))
+            there = np.flatnonzero(n)
+            held.update(dict(zip(map(x.words.__getitem__, there), n[there].tolist())))
+            ids, code = np.unique(x.flat, return_inverse=True)
+            firsts, first = np.unique(x.first, return_inverse=True)
+            before = x.before()
+            size = x.size[before]
+            ends = np.cumsum(size)
+            left = code[np.arange(ends[-1]) + np.repeat(x.start[before] - ends + size, size)]
+            key = left * len(firsts) + np.repeat(first[x.every], size)
+            if len(ids) * len(firsts) < 8_000_000:
+                m = np.bincount(key, minlength=len(ids) * len(firsts))
+                key = np.flatnonzero(m)
+                m = m[key]
+            else:
                 key, m = np.unique(key, return_counts=True)
-                key = key // len(names) * SYMBOLS + names[key % len(names)]
-                pairs, at = np.unique(np.concatenate((pairs, key)), return_inverse=True)
-                pair_n = np.bincount(at, weights=np.concatenate((pair_n, m)), minlength=len(pairs)).astype(np.int64)
-        yield from out()
+            pairs.append((ids[key // len(firsts)] * SYMBOLS + firsts[key % len(firsts)], m))
+            if len(held) > 300_000 or len(pairs) > 20:
+                yield from out()
+        if pairs:
+            yield from out()
 
-    return training.mapInArrow(run, GATHERED).groupBy("word", "a", "b").agg(F.sum("n").alias("n"))
+    return batches.mapInArrow(run, GATHERED).groupBy("word", "a", "b").agg(F.sum("n").alias("n"))
 
 
 TYPES = "kind int, a int, b int, n long"
@@ -410,49 +428,50 @@ def blocks(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     return place, empty, int(count.sum()) * BLOCK
 
 
-def word_vectors(model: Model, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The mean vector of each word's subword ids."""
-    if not len(size):
-        return np.zeros((0, DIM), np.float32)
-    return np.add.reduceat(model.features[flat], start - start[0], axis=0) / size[:, None].astype(np.float32)
+def word_vectors(model: Model, x: Batch) -> np.ndarray:
+    """The mean vector of each word's subword ids; a last row of zeros stands for no word."""
+    means = np.add.reduceat(model.features[x.flat], x.start, axis=0) / x.size[:, None].astype(np.float32)
+    return np.concatenate((means, np.zeros((1, DIM), np.float32)))
 
 
-def class_scores(model: Model, vectors: np.ndarray, inputs: np.ndarray, target: np.ndarray, n: np.ndarray, batch: int = 256) -> np.ndarray:
+def class_scores(model: Model, vectors: np.ndarray, inputs: np.ndarray, before: np.ndarray, target: np.ndarray, n: np.ndarray, batch: int = 256) -> np.ndarray:
     """log P(class of each token | the words before it in its text), natural logarithm.
 
-    ``vectors`` and ``inputs`` are those of the word before each token, ``target`` its class, for texts of ``n`` tokens.
+    ``before`` numbers the word before each token, ``vectors`` (with a last row for none) and ``inputs`` are by word,
+    ``target`` is the class of each token, for texts of ``n`` tokens. Memory beside these goes by ``batch`` windows.
     """
     w = model.weights
     place, empty, places = blocks(n)
-    q, kv = np.zeros((places, DIM), np.float32), np.zeros((places, 2 * DIM), np.float32)
-    q[place] = vectors @ (w["q"] * np.float32(DIM ** -0.5))
-    kv[place] = vectors @ np.concatenate((w["k"], w["v"]), axis=1)
-    step = kv.strides[0]
-    windows = np.lib.stride_tricks.as_strided(kv, (max(places // BLOCK - 1, 0), 2 * BLOCK, 2 * DIM), (BLOCK * step, step, kv.strides[1]), writeable=False)
+    words, goal = np.full(places, -1, np.int32), np.zeros(places, np.int32)
+    words[place], goal[place] = before, target
+    kvw = np.concatenate((w["k"], w["v"]), axis=1)
+    qw = w["q"] * np.float32(DIM ** -0.5)
     prior = np.exp(np.minimum(w["r"][_NEAR], 30)) * _SEEN
-    logits = np.empty((places, DIM), np.float32)
-    for at in range(0, len(windows), batch):
-        kv_ = windows[at: at + batch]
-        i = np.arange(at + 1, at + 1 + len(kv_))
-        a = q[(at + 1) * BLOCK: (at + 1 + len(kv_)) * BLOCK].reshape(-1, BLOCK, DIM) @ kv_[..., :DIM].transpose(0, 2, 1)
+    first, ones = model.bigram + w["b"], np.ones(CLASSES, np.float32)
+    out = np.zeros(places)
+    for at in range(0, places // BLOCK - 1, batch):
+        m = min(batch, places // BLOCK - 1 - at)
+        some = words[at * BLOCK: (at + m + 1) * BLOCK]
+        e = vectors[some]
+        kv = np.ones((len(some), 2 * DIM + 1), np.float32)  # the last column adds up the weights
+        np.matmul(e, kvw, out=kv[:, : 2 * DIM])
+        step, item = kv.strides
+        kv = np.lib.stride_tricks.as_strided(kv, (m, 2 * BLOCK, 2 * DIM + 1), (BLOCK * step, step, item), writeable=False)
+        a = (e[BLOCK:] @ qw).reshape(m, BLOCK, DIM) @ kv[..., :DIM].transpose(0, 2, 1)
         np.minimum(a, np.float32(40), out=a)
         np.exp(a, out=a)
         a *= prior
-        a[empty[i - 1], :, :BLOCK] = 0
-        h = a @ kv_[..., DIM:]
-        h /= a.sum(axis=2)[..., None]
-        logits[(at + 1) * BLOCK: (at + 1 + len(kv_)) * BLOCK] = h.reshape(-1, DIM)
-    out = np.empty(len(place))
-    first = model.bigram + w["b"]
-    for at in range(0, len(place), batch * BLOCK):
-        some = slice(at, at + batch * BLOCK)
-        z = logits[place[some]] @ w["u"]
-        z += np.take(first, inputs[some], axis=0)
-        gold = z[np.arange(len(z)), target[some]]
+        a[empty[at: at + m], :, :BLOCK] = 0
+        h = a @ kv[..., DIM:]
+        h = (h[..., :DIM] / h[..., DIM:]).reshape(-1, DIM)
+        z = h @ w["u"]
+        z += np.take(first, inputs[some[BLOCK:]], axis=0)
         np.minimum(z, np.float32(60), out=z)
+        here = slice((at + 1) * BLOCK, (at + 1 + m) * BLOCK)
+        gold = z[np.arange(len(z)), goal[here]]
         np.exp(z, out=z)
-        out[some] = np.minimum(gold, np.float32(60)) - np.log(z.sum(axis=1) + np.float32(1e-30))
-    return out
+        out[here] = gold - np.log(z @ ones + np.float32(1e-30))
+    return out[place]
 
 
 def gradients(model: Model, w: dict[str, np.ndarray], e: np.ndarray, inputs: np.ndarray, c: np.ndarray, alone: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -471,25 +490,25 @@ def gradients(model: Model, w: dict[str, np.ndarray], e: np.ndarray, inputs: np.
     np.exp(a, out=a)
     a *= _SEEN
     a[alone, :, :BLOCK] = 0
-    a /= a.sum(axis=2, keepdims=True)
+    a /= (a @ np.ones((2 * BLOCK, 1), e.dtype))
     h = a @ v
     real = c.ravel() >= 0
     n = max(int(real.sum()), 1)
     p = h.reshape(-1, DIM) @ w["u"]
     p += np.take(model.bigram + w["b"], inputs.ravel(), axis=0)
-    p -= p.max(axis=1, keepdims=True)
+    np.minimum(p, 60, out=p)
     np.exp(p, out=p)
-    p /= p.sum(axis=1, keepdims=True)
+    p /= p @ np.ones((CLASSES, 1), e.dtype)
     at = (np.arange(len(p)), np.maximum(c.ravel(), 0))
     gold = p[at]
     loss = float(-np.log(gold[real] + 1e-30).sum() / n)
     p[at] = gold - 1
     p *= (real / e.dtype.type(n))[:, None].astype(e.dtype)
-    g = {"u": h.reshape(-1, DIM).T @ p, "b": p.sum(axis=0)}
+    g = {"u": h.reshape(-1, DIM).T @ p, "b": np.ones(len(p), e.dtype) @ p}
     dh = (p @ w["u"].T).reshape(h.shape)
     da = dh @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ dh
-    da -= (dh * h).sum(axis=2, keepdims=True)
+    da -= np.einsum("nbd,nbd->nb", dh, h)[..., None]
     da *= a
     g["r"] = np.bincount(_NEAR.ravel(), weights=da.sum(axis=0).ravel() * (_DISTANCE >= 0).ravel(), minlength=2 * BLOCK).astype(e.dtype)
     da *= scale
@@ -515,16 +534,16 @@ class Steps:
             at += size
         self.m1, self.m2 = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
-    def take(self, vectors: np.ndarray, inputs: np.ndarray, target: np.ndarray, n: np.ndarray) -> None:
+    def take(self, vectors: np.ndarray, inputs: np.ndarray, before: np.ndarray, target: np.ndarray, n: np.ndarray) -> None:
         """One pass over the windows of these texts (see ``class_scores``), in random order."""
         place, empty, places = blocks(n)
-        x, i, c = np.zeros((places, DIM), np.float32), np.zeros(places, np.int64), np.full(places, -1)
-        x[place], i[place], c[place] = vectors, inputs, target
-        x, i, c = x.reshape(-1, BLOCK, DIM), i.reshape(-1, BLOCK), c.reshape(-1, BLOCK)
+        x, c = np.full(places, -1, np.int32), np.full(places, -1, np.int32)
+        x[place], c[place] = before, target
+        x, c = x.reshape(-1, BLOCK), c.reshape(-1, BLOCK)
         order = self.draw.permutation(np.flatnonzero(~empty))
         for at in range(0, len(order), self.batch):
             o = order[at: at + self.batch]
-            _, g = gradients(self.model, self.w, np.concatenate((x[o - 1], x[o]), axis=1), i[o], c[o], empty[o - 1])
+            _, g = gradients(self.model, self.w, vectors[np.concatenate((x[o - 1], x[o]), axis=1)], inputs[x[o]], c[o], empty[o - 1])
             flat = np.concatenate([g[k].ravel() for k in self.names])
             self.t += 1
             self.m1 += 0.1 * (flat - self.m1)
@@ -532,41 +551,36 @@ class Steps:
             self.flat -= (self.rate / (1 - 0.9 ** self.t)) * self.m1 / (np.sqrt(self.m2 / (1 - 0.99 ** self.t)) + 1e-6)
 
 
-def positions(model: Model, known: Words, vectors: np.ndarray, every: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(vectors and input rows of the word before each token, class of the token); a text's end stands before its first word."""
-    before = np.empty_like(every)
-    before[1:], before[0] = every[:-1], 0
-    first = known.flat.all[known.start.all]
-    return vectors[before], model.inputs[first][before], model.classes[first][every]
+def of_words(model: Model, x: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vector, input row, class) of each word of a batch."""
+    return word_vectors(model, x), model.inputs[x.first], model.classes[x.first]
 
 
-def train(model: Model, training: DataFrame, rounds: int = 2, shards: int = SHARDS) -> Model:
-    """Local steps and averaging, ``rounds`` times, each over its own part of the rows of ``training``, a column
-    text as binary; every row is in one.
+def train(model: Model, batches: DataFrame, rounds: int = 2, shards: int = SHARDS) -> Model:
+    """Local steps and averaging, ``rounds`` times, each over its own part of the training texts; every text is in one.
 
-    A task takes the rows that it reads batch by batch, at most ``shards`` tasks a round; every task starts
-    from the same weights and Spark averages what they come to, by positions seen.
+    A task takes the ``encoded`` batches that it reads one by one, at most ``shards`` tasks a round; every
+    task starts from the same weights and Spark averages what they come to, by tokens seen.
     """
-    dealt = training.withColumn("round", F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(rounds)))
-    sc = training.sparkSession.sparkContext
+    sc = batches.sparkSession.sparkContext
     for r in range(rounds):
         sent = sc.broadcast(model)
 
-        def run(batches: Iterator[pa.RecordBatch], r: int = r) -> Iterator[pa.RecordBatch]:
+        def run(rows: Iterator[pa.RecordBatch], r: int = r) -> Iterator[pa.RecordBatch]:
             m = sent.value
-            known, steps, seen = Words(m.path), Steps(m, 0.02 / (1 + r), seed=r), 0
-            vectors = np.zeros((0, DIM), np.float32)
-            for b in batches:
-                for texts in batched(b["text"].to_pylist()):
-                    every, n, new = known.rows(texts)
-                    vectors = _with_new(m, known, vectors, new)
-                    steps.take(*positions(m, known, vectors, every, n), n)
-                    seen += len(every)
+            steps, seen = Steps(m, 0.02 / (1 + r), seed=r), 0
+            for _, held_out, x in decoded(rows):
+                mine = ~held_out.to_numpy(zero_copy_only=False) & (np.arange(len(x.n)) % rounds == r)
+                if mine.any():
+                    vectors, inputs, classes = of_words(m, x)
+                    x = x.some(mine)
+                    steps.take(vectors, inputs, x.before(), classes[x.every], x.n)
+                    seen += len(x.every)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(steps.flat))), pa.array(steps.flat.astype(float) * seen),
                                                   pa.array(np.full(len(steps.flat), float(seen)))], names=["k", "w", "n"])
 
-        got = (dealt.filter(F.col("round") == r).select("text").coalesce(shards).mapInArrow(run, "k long, w double, n double")
+        got = (batches.coalesce(shards).mapInArrow(run, "k long, w double, n double")
                .groupBy("k").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow())  # one row per weight
         if got.num_rows:
             flat = got.sort_by("k")["w"].to_numpy().astype(np.float32)
@@ -577,15 +591,6 @@ def train(model: Model, training: DataFrame, rounds: int = 2, shards: int = SHAR
     return model
 
 
-def _with_new(model: Model, known: Words, vectors: np.ndarray, new: int) -> np.ndarray:
-    """The vectors of all known words, those from row ``new`` on made now; rows 0 and the cleared ones anew."""
-    done = min(new, len(vectors)) if new else 0
-    start, size, flat = known.start.all[done:], known.size.all[done:], known.flat.all
-    if not len(size):
-        return vectors[:done]
-    return np.concatenate((vectors[:done], word_vectors(model, flat[start[0]:], start, size)))
-
-
 # --- scores ---
 
 def above(counted: DataFrame, most: int) -> DataFrame:
@@ -610,12 +615,12 @@ class Learned:
         return float(np.log10(self.total + 0.5 * (self.distinct + 1)))
 
 
-def learn(training: DataFrame, path: str, known_words: int = 200_000) -> Learned:
-    """Counts, model and trained weights from all rows of ``training``, a column text as binary."""
-    both = checkpointed(gathered(training, path))
+def learn(batches: DataFrame, path: str, known_words: int = 200_000) -> Learned:
+    """Counts, model and trained weights from all training texts of ``encoded`` batches."""
+    both = checkpointed(gathered(batches))
     counts, beside = both.filter("word IS NOT NULL").select("word", "n"), both.filter("word IS NULL").select("a", "b", "n")
     sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    model = train(build(beside, checkpointed(spelled(counts, path)), path), training)
+    model = train(build(beside, checkpointed(spelled(counts, path)), path), batches)
     top = above(counts, known_words).toArrow()
     return Learned(model, counts, int(sums["n"]), int(sums["v"]), dict(zip(top["word"].to_pylist(), top["n"].to_pylist())))
 
@@ -624,51 +629,35 @@ SCORED = ("doc_id string, held_out boolean, n_tokens long, n_known long, base do
           "rare array<long>, spelled array<double>, total array<double>")
 
 
-def score_learned(rows: DataFrame, learned: Learned) -> DataFrame:
-    """Rows (doc_id, held_out, text as binary) with n_tokens, n_known, base_score and score."""
-    kind, floor, discount = rows.schema["doc_id"].dataType, learned.floor, learned.model.discount
-    sent = rows.sparkSession.sparkContext.broadcast((learned.model, learned.known))  # of fixed size, and known_words
+def score_learned(batches: DataFrame, learned: Learned) -> DataFrame:
+    """``encoded`` batches as rows (doc_id as a string, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
+    floor, discount = learned.floor, learned.model.discount
+    sent = batches.sparkSession.sparkContext.broadcast((learned.model, learned.known))  # of fixed size, and known_words
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, counted = sent.value
-        known = Words(model.path)
-        vectors, n_word, hashes, inside, spelling = np.zeros((0, DIM), np.float32), Grown(np.int64), Grown(np.int64), Grown(float), Grown(float)
-        for b in batches:
-            ids, held, at = b["doc_id"], b["held_out"], 0
-            for texts in batched(b["text"].to_pylist()):
-                every, n, new = known.rows(texts)
-                if not new:
-                    n_word, hashes, inside, spelling = Grown(np.int64), Grown(np.int64), Grown(float), Grown(float)
-                vectors = _with_new(model, known, vectors, new)
-                if n_word.n < len(known.row):  # what there is to know of the new words
-                    words = list(known.row)[n_word.n:]
-                    start, size, flat = known.start.all[n_word.n:], known.size.all[n_word.n:], known.flat.all
-                    spell = model.spelling(flat[start[0]:], size)
-                    c = np.fromiter((counted.get(w, -1) for w in words), np.int64, len(words))
-                    cls = model.classes[flat[start]]
-                    spelling.add(model.unseen(cls) + spell)
-                    inside.add(model.in_class(spell, cls, c))
-                    n_word.add(c)
-                    hashes.add(np.fromiter(map(digest, words), np.uint64, len(words)).view(np.int64))
-                x, i, cls = positions(model, known, vectors, every, n)
-                token = class_scores(model, x, i, cls, n)
-                c = n_word.all[every]
-                rare = (c < 0) & (every > 0)
-                token += np.where(rare, 0.0, inside.all[every])
-                base = np.where(c >= 0, np.log10(np.maximum(c, 0) + 0.5) - floor, 0.0)
-                base[(c < 0) & (every == 0)] = np.log10(0.5) - floor  # no end was counted
-                first = np.cumsum(n) - n
-                lists = np.append(0, np.cumsum(np.add.reduceat(rare, first, dtype=np.int64)))
-                some = every[rare]
-                column = lambda x: pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(x))
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, len(n)), held.slice(at, len(n)), pa.array(n), pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),
-                     pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(token, first) / np.log(10)), column(hashes.all[some]),
-                     column(spelling.all[some]), column(np.log(np.maximum(model.tokens[cls[rare]], 1)))], names=[c.split()[0] for c in SCORED.split(", ")])
-                at += len(n)
-
-    scored = checkpointed(rows.select(F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
-                          .mapInArrow(run, SCORED).withColumn("row", F.monotonically_increasing_id()))
+        for ids, held, x in decoded(rows):
+            vectors, inputs, classes = of_words(model, x)
+            count = np.fromiter((counted.get(w, -1) for w in x.words), np.int64, len(x.words))
+            spelling = model.spelling(x.flat, x.size)
+            rare = count < 0
+            rare[0] = False
+            inside = np.where(rare, 0.0, model.in_class(spelling, classes, count))
+            base = np.where(rare, 0.0, np.log10(np.maximum(count, 0) + 0.5) - floor)
+            first = np.cumsum(x.n) - x.n
+            total = lambda by_word: np.add.reduceat(by_word[x.every], first)
+            score = np.add.reduceat(class_scores(model, vectors, inputs, x.before(), classes[x.every], x.n), first) + total(inside)
+            some = x.every[rare[x.every]]
+            lists = pa.array(np.append(0, np.cumsum(total(rare.astype(np.int64)))), pa.int32())
+            column = lambda by_word: pa.ListArray.from_arrays(lists, pa.array(by_word[some]))
+            hashes = np.zeros(len(x.words), np.int64)
+            hashes[rare] = np.fromiter((digest(x.words[i]) for i in np.flatnonzero(rare)), np.uint64, int(rare.sum())).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [ids, held, pa.array(x.n), pa.array(total((count > 0).astype(np.int64))), pa.array(total(base)), pa.array(score / np.log(10)),
+                 column(hashes), column(model.unseen(classes) + spelling), column(np.log(np.maximum(model.tokens[classes], 1)))],
+                names=[c.split()[0] for c in SCORED.split(", ")])
+
+    scored = checkpointed(batches.mapInArrow(run, SCORED).withColumn("row", F.monotonically_increasing_id()))
     zipped = F.arrays_zip(F.col("rare").alias("h"), F.col("spelled").alias("p"), F.col("total").alias("t"))
     rare = scored.select("row", F.explode(zipped).alias("x")).select("row", "x.h", "x.p", "x.t")
     base = F.log10(F.coalesce(F.col("n"), F.lit(0)) + 0.5) - floor
@@ -677,7 +666,7 @@ def score_learned(rows: DataFrame, learned: Learned) -> DataFrame:
     found = (rare.join(learned.counts.select(F.xxhash64("word").alias("h"), "n"), "h", "left")
              .groupBy("row").agg(F.count("n").alias("more"), F.sum(base).alias("rest"), (F.sum(word) / float(np.log(10))).alias("words")))
     return (scored.drop("rare", "spelled", "total").join(found, "row", "left")
-            .select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
+            .select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
                     F.lit(learned.total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
                     (F.col("score") + F.coalesce("words", F.lit(0.0))).alias("score")))
 
@@ -697,5 +686,6 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), held.alias("held_out"))
-    return score_learned(rows, learn(rows.filter(~F.col("held_out")).select("text"), path, known_words))
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), held.alias("held_out"))
+    batches = checkpointed(encoded(rows, path))
+    return score_learned(batches, learn(batches, path, known_words)).withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
