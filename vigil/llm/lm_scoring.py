@@ -26,10 +26,10 @@ where the text has one. Windows go through the attention in batches.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, compress, count
 
 import numpy as np
 import pandas as pd
@@ -37,6 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,7 +90,7 @@ def digest(word: bytes) -> int:
 class Batch:
     """Some texts: their distinct words as subword ids, word 0 being the end, and their tokens as numbers of these."""
 
-    words: list[bytes]
+    words: list[bytes] | pa.Scalar  # or joined by spaces
     flat: np.ndarray  # subword ids of the words, one after the other
     size: np.ndarray  # ids of each word
     every: np.ndarray  # all tokens: the words of each text, and its end
@@ -116,20 +117,20 @@ class Batch:
 
 
 def batch_of(path: str, texts: list[list[bytes]]) -> Batch:
-    words = [b"", *set(chain.from_iterable(texts))]
-    number = dict(zip(words, range(len(words))))
+    number: defaultdict = defaultdict(count().__next__)  # in the order of coming; the end comes first
     n = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     end = (b"",)
-    tokens = chain.from_iterable(chain.from_iterable((t, end) for t in texts))
-    every = np.fromiter(map(number.__getitem__, tokens), np.int32, int(n.sum()))
+    tokens = chain(end, chain.from_iterable(chain.from_iterable((t, end) for t in texts)))
+    every = np.fromiter(map(number.__getitem__, tokens), np.int32, int(n.sum()) + 1)[1:]
+    words = list(number)
     flat, size = subwords(path, words[1:])
     return Batch(words, np.append(END, flat), np.append(1, size), every, n)
 
 
-ENCODED = "ids array<string>, held array<boolean>, words binary, flat binary, size binary, every binary, n array<long>"
+ENCODED = "ids array<string>, held array<boolean>, words binary, flat binary, every binary, n array<long>"
 
 
-def encoded(rows: DataFrame, path: str, most: int = 2_000_000) -> DataFrame:
+def encoded(rows: DataFrame, path: str, most: int = 4_000_000) -> DataFrame:
     """Rows (doc_id as a string, held_out, text as binary) as batches of about ``most`` bytes of text: tokenized once, for all that follows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,32 +142,39 @@ def encoded(rows: DataFrame, path: str, most: int = 2_000_000) -> DataFrame:
             for last in np.unique(cuts) + 1:
                 x = batch_of(path, [words_of(t) for t in b["text"].slice(first, last - first).to_pylist()])
                 lists = pa.array([0, last - first], pa.int32())
-                binary = lambda a, kind: pa.array([a.astype(kind).tobytes()], pa.binary())
+                width = 3 if len(x.words) < 1 << 24 else 4  # bytes of a word's number
+                every = np.ascontiguousarray(x.every).view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [pa.ListArray.from_arrays(lists, ids.slice(first, last - first)), pa.ListArray.from_arrays(lists, held.slice(first, last - first)),
-                     pa.array([b" ".join(x.words)], pa.binary()), binary(x.flat, np.uint16), binary(x.size, np.int32), binary(x.every, np.int32),
+                     pa.array([b" ".join(x.words)], pa.binary()), pa.array([x.flat.astype(np.uint16).tobytes()], pa.binary()), pa.array([every], pa.binary()),
                      pa.ListArray.from_arrays(lists, pa.array(x.n))], names=[c.split()[0] for c in ENCODED.split(", ")])
                 first = last
 
     return rows.select("doc_id", "held_out", "text").mapInArrow(run, ENCODED)
 
 
-def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, Batch]]:
-    """(ids, held, batch) of each encoded row."""
+def decoded(batches: Iterator[pa.RecordBatch], path: str, mine: Callable[[int], bool] = lambda i: True) -> Iterator[tuple[pa.Array, pa.Array, Batch]]:
+    """(ids, held, batch) of each encoded row whose number in the task ``mine`` accepts; ``words`` are left to be split."""
+    at = -1
+    begins = byte_pairs(path).after_space
     for b in batches:
         for i in range(b.num_rows):
-            get = lambda name, kind: np.frombuffer(b[name][i].as_buffer(), kind)
-            yield b["ids"][i].values, b["held"][i].values, Batch(
-                b["words"][i].as_py().split(b" "), get("flat", np.uint16).astype(np.int64), get("size", np.int32).astype(np.int64),
-                get("every", np.int32), b["n"][i].values.to_numpy())
-
+            at += 1
+            if not mine(at):
+                continue
+            flat = np.frombuffer(b["flat"][i].as_buffer(), np.uint16).astype(np.int64)
+            n = b["n"][i].values.to_numpy()
+            raw = np.frombuffer(b["every"][i].as_buffer(), np.uint8).reshape(int(n.sum()), -1)
+            every = np.zeros((len(raw), 4), np.uint8)
+            every[:, : raw.shape[1]] = raw
+            size = np.diff(np.flatnonzero(begins[flat] | (flat == END)), append=len(flat))
+            yield b["ids"][i].values, b["held"][i].values, Batch(b["words"][i], flat, size, every.view(np.int32).ravel(), n)
 
-# --- what the corpus gives ---
 
 GATHERED = "word binary, a int, b int, n long"
 
 
-def gathered(batches: DataFrame) -> DataFrame:
+def gathered(batches: DataFrame, path: str) -> DataFrame:
     """(word, a, b, n) over all training texts of ``encoded`` batches: counts of words (``""`` is the end; a, b null), and how
     often the subword id ``a`` stands in the word, or start, before the id ``b`` that starts a word, or END (word null)."""
 
@@ -184,13 +192,12 @@ def gathered(batches: DataFrame) -> DataFrame:
             held.clear()
             pairs.clear()
 
-        for _, held_out, x in decoded(rows):
+        for _, held_out, x in decoded(rows, path):
             x = x.some(~held_out.to_numpy(zero_copy_only=False))
             if not len(x.n):
                 continue
-            n = np.bincount(x.every, minlength=len(x.words))
-            there = np.flatnonzero(n)
-            held.update(dict(zip(map(x.words.__getitem__, there), n[there].tolist())))
+            n = np.bincount(x.every, minlength=len(x.size)).tolist()
+            held.update({w: c for w, c in zip(x.words.as_py().split(b" "), n) if c})
             ids, code = np.unique(x.flat, return_inverse=True)
             firsts, first = np.unique(x.first, return_inverse=True)
             before = x.before()
@@ -557,7 +564,7 @@ def of_words(model: Model, x: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def train(model: Model, batches: DataFrame, rounds: int = 2, shards: int = SHARDS) -> Model:
-    """Local steps and averaging, ``rounds`` times, each over its own part of the training texts; every text is in one.
+    """Local steps and averaging, ``rounds`` times, each over its own part of the batches; every training text is in one.
 
     A task takes the ``encoded`` batches that it reads one by one, at most ``shards`` tasks a round; every
     task starts from the same weights and Spark averages what they come to, by tokens seen.
@@ -569,11 +576,12 @@ def train(model: Model, batches: DataFrame, rounds: int = 2, shards: int = SHARD
         def run(rows: Iterator[pa.RecordBatch], r: int = r) -> Iterator[pa.RecordBatch]:
             m = sent.value
             steps, seen = Steps(m, 0.02 / (1 + r), seed=r), 0
-            for _, held_out, x in decoded(rows):
-                mine = ~held_out.to_numpy(zero_copy_only=False) & (np.arange(len(x.n)) % rounds == r)
-                if mine.any():
+            part = TaskContext.get().partitionId()
+            for _, held_out, x in decoded(rows, m.path, lambda i: (i + part) % rounds == r):
+                training = ~held_out.to_numpy(zero_copy_only=False)
+                if training.any():
                     vectors, inputs, classes = of_words(m, x)
-                    x = x.some(mine)
+                    x = x.some(training)
                     steps.take(vectors, inputs, x.before(), classes[x.every], x.n)
                     seen += len(x.every)
             if seen:
@@ -617,8 +625,8 @@ class Learned:
 
 def learn(batches: DataFrame, path: str, known_words: int = 200_000) -> Learned:
     """Counts, model and trained weights from all training texts of ``encoded`` batches."""
-    both = checkpointed(gathered(batches))
-    counts, beside = both.filter("word IS NOT NULL").select("word", "n"), both.filter("word IS NULL").select("a", "b", "n")
+    both = checkpointed(gathered(batches, path))
+    counts, beside = both.filter("word IS NOT NULL").select("word", "n"), checkpointed(both.filter("word IS NULL").select("a", "b", "n"))
     sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     model = train(build(beside, checkpointed(spelled(counts, path)), path), batches)
     top = above(counts, known_words).toArrow()
@@ -636,9 +644,10 @@ def score_learned(batches: DataFrame, learned: Learned) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, counted = sent.value
-        for ids, held, x in decoded(rows):
+        for ids, held, x in decoded(rows, model.path):
+            words = x.words.as_py().split(b" ")
             vectors, inputs, classes = of_words(model, x)
-            count = np.fromiter((counted.get(w, -1) for w in x.words), np.int64, len(x.words))
+            count = np.fromiter((counted.get(w, -1) for w in words), np.int64, len(words))
             spelling = model.spelling(x.flat, x.size)
             rare = count < 0
             rare[0] = False
@@ -650,8 +659,8 @@ def score_learned(batches: DataFrame, learned: Learned) -> DataFrame:
             some = x.every[rare[x.every]]
             lists = pa.array(np.append(0, np.cumsum(total(rare.astype(np.int64)))), pa.int32())
             column = lambda by_word: pa.ListArray.from_arrays(lists, pa.array(by_word[some]))
-            hashes = np.zeros(len(x.words), np.int64)
-            hashes[rare] = np.fromiter((digest(x.words[i]) for i in np.flatnonzero(rare)), np.uint64, int(rare.sum())).view(np.int64)
+            hashes = np.zeros(len(words), np.int64)
+            hashes[rare] = np.fromiter(map(digest, compress(words, rare)), np.uint64, int(rare.sum())).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [ids, held, pa.array(x.n), pa.array(total((count > 0).astype(np.int64))), pa.array(total(base)), pa.array(score / np.log(10)),
                  column(hashes), column(model.unseen(classes) + spelling), column(np.log(np.maximum(model.tokens[classes], 1)))],
