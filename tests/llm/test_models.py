@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
@@ -161,84 +162,169 @@ def test_secret_query_digest(spark, tmp_path):
 
 # Language model
 
-def small_model():
-    import pandas as pd
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    vocab = sorted({w.encode() for r in corpus() for w in words((r[1] or "").translate(UPPER))})
-    pairs = Counter()
-    for w in vocab:
-        s = [lm_scoring.EDGE, *lm_scoring.byte_pairs(path).encode(" " + w.decode()), lm_scoring.EDGE]
-        pairs.update(zip(s, s[1:]))
-    pairs[lm_scoring.EDGE, lm_scoring.END] = pairs[lm_scoring.END, lm_scoring.EDGE] = 5
-    return lm_scoring.build(pd.DataFrame([(a, b, n) for (a, b), n in pairs.items()], columns=["left", "right", "n"]), path)
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def learned(spark, rows, held_out=None):
+    """(encoded batches, what is learnt from them), from (doc_id, text, ...) rows."""
+    docs = frame(spark, rows).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"),
+                                     F.lit(False).alias("held_out") if held_out is None else held_out.alias("held_out"))
+    batches = lm_scoring.checkpointed(lm_scoring.encoded(docs, PATH, most=20_000))
+    return batches, lm_scoring.learn(batches, PATH)
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return learned(spark, corpus(n=60))
+
+
+def with_weights(m, seed=2):
+    r = np.random.default_rng(seed)
+    return replace(m, weights={k: (v + 0.3 * r.standard_normal(v.shape)).astype(np.float32) for k, v in m.weights.items()})
 
 
 def test_subwords_of_many_words_equal_one_by_one():
-    path = public_tokenizers.path("byte_bpe_50k.json")
     plain = [w.encode() for w in ("a", "the", "straße", "x" * 300, "12,5", "\U0001F600", "it's", "<|endoftext|>", "'s", "--", "ÄÖ", "#")]
-    for vocab in (plain, plain + ["a\u00a0b\u3000".encode(), b"z\x1cq\x85"]):
-        flat, size = lm_scoring.subwords(path, vocab)
+    odd = ["a\u00a0b\u3000".encode(), b"z\x1cq\x85", "\u2028".encode()]
+    for vocab in (plain, plain + odd, odd, [odd[0], *plain]):
+        flat, size = lm_scoring.subwords(PATH, vocab)
         parts = np.split(flat, np.cumsum(size)[:-1])
-        assert [p.tolist() for p in parts] == [lm_scoring.byte_pairs(path).encode(" " + w.decode("utf-8", "replace"), False) for w in vocab]
+        assert [p.tolist() for p in parts] == [lm_scoring.byte_pairs(PATH).encode(" " + w.decode("utf-8", "replace"), False) for w in vocab]
 
 
-def slow_class_scores(m, before, target):
-    """Each position by itself: its block and the block before it are what it may see, up to itself."""
+def test_encoded_batches_hold_all_texts(spark):
+    rows = corpus(n=25)
+    docs = frame(spark, rows).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"), F.lit(False).alias("held_out"))
+    got = []
+    for most in (1, 3000, 10 ** 9):
+        kept = lm_scoring.encoded(docs, PATH, most=most).toArrow().to_batches()
+        got.append([])
+        for ids, _, x in lm_scoring.decoded(kept, PATH):
+            words_ = x.words.as_py().split(b" ")
+            assert [lm_scoring.byte_pairs(PATH).encode(" " + w.decode("utf-8", "replace"), False) for w in words_[1:]] == [
+                p.tolist() for p in np.split(x.flat, x.start[1:])][1:]
+            got[-1] += list(zip(ids.to_pylist(), (tuple(words_[i] for i in t) for t in np.split(x.every, np.cumsum(x.n)[:-1]))))
+    want = sorted(((str(r[0]) if r[0] is not None else None, (*(r[1] or "").translate(UPPER).encode().split(), b"")) for r in rows), key=str)
+    assert all(sorted(g, key=str) == want for g in got)
+
+
+def slow_class_scores(m, vectors, inputs, before, target):
+    """Each token by itself: its block and the block before it are what it may see, up to itself."""
     w = m.weights
     out = []
-    for t, (s, c) in enumerate(zip(before, target)):
+    for t, c in enumerate(target):
         lo = max(0, (t // lm_scoring.BLOCK - 1) * lm_scoring.BLOCK)
-        keys = m.features[before[lo:t + 1]]
-        q = m.features[s] @ w["q"]
-        a = keys @ w["k"] @ q / np.sqrt(lm_scoring.DIM) + w["r"][t - np.arange(lo, t + 1)]
+        keys = vectors[before[lo:t + 1]]
+        a = keys @ w["k"] @ (vectors[before[t]] @ w["q"]) / np.sqrt(lm_scoring.DIM) + w["r"][t - np.arange(lo, t + 1)]
         a = np.exp(a - a.max())
-        h = (a / a.sum()) @ (keys @ w["v"])
-        z = h @ w["u"] + m.bigram[s] + w["b"]
+        z = (a / a.sum()) @ (keys @ w["v"]) @ w["u"] + m.bigram[inputs[before[t]]] + w["b"]
         out.append(z[c] - z.max() - np.log(np.exp(z - z.max()).sum()))
     return np.array(out)
 
 
-def test_windows_score_each_token_once_with_masked_attention():
-    m = small_model()
+def test_windows_score_each_token_once_with_masked_attention(small):
+    m = with_weights(small[1].model)
     r = np.random.default_rng(2)
-    for k in m.weights:
-        m.weights[k] = (m.weights[k] + 0.3 * r.standard_normal(m.weights[k].shape)).astype(np.float32)
-    sequences = [r.integers(0, lm_scoring.INPUTS, n) for n in (1, 15, 16, 17, 32, 33, 100, 2)]
-    targets = [r.integers(0, lm_scoring.CLASSES, len(s)) for s in sequences]
-    for batch in (3, 512):
-        got = lm_scoring.class_scores(m, sequences, targets, batch=batch)
-        for g, s, t in zip(got, sequences, targets):
-            assert np.allclose(g, slow_class_scores(m, s, t), atol=2e-3)
-
-
-def test_gradients_equal_finite_differences():
-    m = small_model()
+    vectors = np.concatenate((r.standard_normal((50, lm_scoring.DIM)), np.zeros((1, lm_scoring.DIM)))).astype(np.float32)
+    inputs = r.integers(0, lm_scoring.INPUTS, 50)
+    n = np.array([1, 15, 16, 17, 32, 33, 100, 2])
+    before, target = r.integers(0, 50, n.sum()), r.choice(np.unique(m.classes[m.classes >= 0]), n.sum())
+    for batch in (1, 3, 512):
+        got = lm_scoring.class_scores(m, vectors, inputs, before, target, n, batch=batch)
+        want = [slow_class_scores(m, vectors, inputs, b, t) for b, t in zip(np.split(before, np.cumsum(n)[:-1]), np.split(target, np.cumsum(n)[:-1]))]
+        assert np.allclose(got, np.concatenate(want), atol=2e-3)
+
+
+def test_gradients_equal_finite_differences(small):
+    m = small[1].model
     r = np.random.default_rng(3)
-    m.features = m.features.astype(np.float64)
-    m.bigram = m.bigram.astype(np.float64)
+    m = replace(m, bigram=m.bigram.astype(np.float64))
     w = {k: v.astype(np.float64) + 0.2 * r.standard_normal(v.shape) for k, v in m.weights.items()}
-    ids = r.integers(0, 200, (3, 2 * lm_scoring.BLOCK))
-    there = np.ones(ids.shape, bool)
-    there[0, : lm_scoring.BLOCK] = False
-    there[2, -5:] = False
-    c = r.integers(0, lm_scoring.CLASSES, (3, lm_scoring.BLOCK))
-    _, g = lm_scoring.gradients(m, w, ids, there, c)
+    e = r.standard_normal((3, 2 * lm_scoring.BLOCK, lm_scoring.DIM))
+    inputs, c = r.integers(0, 200, (3, lm_scoring.BLOCK)), r.choice(np.unique(m.classes[m.classes >= 0]), (3, lm_scoring.BLOCK))
+    c[2, -5:] = -1
+    alone = np.array([True, False, False])
+    e[0, : lm_scoring.BLOCK] = 0
+    _, g = lm_scoring.gradients(m, w, e, inputs, c, alone)
     for k in w:
         for _ in range(4):
             at = tuple(r.integers(0, n) for n in w[k].shape)
             up, down = ({**w, k: w[k].copy()} for _ in range(2))
             up[k][at] += 1e-4
             down[k][at] -= 1e-4
-            slope = (lm_scoring.gradients(m, up, ids, there, c)[0] - lm_scoring.gradients(m, down, ids, there, c)[0]) / 2e-4
+            slope = (lm_scoring.gradients(m, up, e, inputs, c, alone)[0] - lm_scoring.gradients(m, down, e, inputs, c, alone)[0]) / 2e-4
             assert abs(slope - g[k][at]) < 1e-4 + 0.02 * abs(slope), (k, at)
 
 
-def test_inside_probabilities_sum_to_one():
-    m = small_model()
-    for left in (lm_scoring.EDGE, 262, 1169):
-        ids = np.arange(lm_scoring.SYMBOLS)
-        total = np.bincount(m.classes, weights=np.exp(m.log_inside(np.full(len(ids), left), ids)))
-        assert np.allclose(total[np.unique(m.classes)], 1)
+def test_all_next_words_add_up_to_one(spark, small):
+    """Classes given the context, words given their class by count and by spelling, spellings step by step."""
+    m, counts = small[1].model, {bytes(r["word"]): r["n"] for r in small[1].counts.collect()}
+    starts = np.flatnonzero(m.classes >= 0)
+    in_class = np.bincount(m.classes[starts], weights=np.exp(m.first[starts]), minlength=lm_scoring.CLASSES)
+    assert np.allclose(in_class[np.unique(m.classes[starts])], 1)
+    # From every symbol, one of the inner ids or the word's end follows.
+    inner = np.flatnonzero(m.inner >= 0)
+    within = np.bincount(m.inner[inner], weights=np.exp(m.within[inner]), minlength=lm_scoring.INNER + 1)
+    step = np.exp(m.follow.astype(float)) * within[None]
+    assert np.allclose(step[np.unique(m.left)].sum(axis=1), 1, atol=1e-6)
+    known = sorted(w for w in counts if w)
+    flat, size = lm_scoring.subwords(PATH, known)
+    spelling, classes = m.spelling(flat, size), m.classes[flat[np.cumsum(size) - size]]
+    n = np.array([counts[w] for w in known])
+    for weights in (lm_scoring.start_weights(), m.weights, with_weights(m).weights):
+        now = replace(m, weights=weights)
+        x = lm_scoring.batch_of(PATH, [known[:20]])
+        vectors, inputs, _ = lm_scoring.of_words(now, x)
+        before = x.before()[:20]
+        by_class = np.array([lm_scoring.class_scores(now, vectors, inputs, before, np.append(np.zeros(19, int), c), np.array([20]))[-1]
+                             for c in range(lm_scoring.CLASSES)])
+        words_ = np.exp(by_class[classes] + m.in_class(spelling, classes, n)).sum() + np.exp(by_class[0])
+        # All words that were not counted go by spelling: what the counted ones leave of it.
+        left = 1 - np.bincount(classes, weights=np.exp(spelling), minlength=lm_scoring.CLASSES)
+        there = np.unique(m.classes[starts])[1:]
+        unseen = (np.exp(by_class + m.unseen(np.arange(lm_scoring.CLASSES))) * left)[there].sum()
+        assert abs(words_ + unseen - 1) < 1e-6
+
+
+def slow_score(model, counts, text):
+    """log10 P of a text, word by word."""
+    words_ = [*(text or "").translate(UPPER).encode().split(), b""]
+    ids = [[lm_scoring.END]] + [lm_scoring.byte_pairs(PATH).encode(" " + w.decode("utf-8", "replace"), False) if w else [lm_scoring.END] for w in words_]
+    vectors = np.stack([model.features[i].mean(axis=0) for i in ids])
+    inputs, target = np.array([model.inputs[i[0]] for i in ids]), [model.classes[i[0]] for i in ids[1:]]
+    total = slow_class_scores(model, vectors, inputs, np.arange(len(words_)), target).sum()
+    for w, i, c in zip(words_, ids[1:], target):
+        if w:
+            p = model.first[i[0]] + sum(model.follow[model.left[a], model.inner[b]] + model.within[b] for a, b in zip(i, [*i[1:], lm_scoring.SYMBOLS]))
+            share = model.discount * model.words[c] / model.tokens[c] if model.tokens[c] else 1.0
+            by_count = np.log((counts[w] - model.discount) / model.tokens[c]) if w in counts else -np.inf
+            total += np.logaddexp(by_count, np.log(share) + p)
+    return total / np.log(10)
+
+
+def test_lm_scores_equal_word_by_word(spark):
+    rows = corpus(4, 30)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    batches, known = learned(spark, rows, held)
+    counts = {bytes(r["word"]): r["n"] for r in known.counts.collect()}
+    texts = {}
+    for r in rows:
+        texts.setdefault(str(r[0]) if r[0] is not None else None, set()).add(r[1])
+    known.model = with_weights(known.model)
+    for x in lm_scoring.score_learned(batches, known).collect():
+        slow = [slow_score(known.model, counts, t) for t in texts[x["doc_id"]]]
+        assert any(np.isclose(x["score"], s, rtol=1e-4, atol=1e-3) for s in slow), x
+
+
+def test_sums_at_the_driver_count_all_pairs(small):
+    """Inner steps and class logits hold what plain counting over the words gives."""
+    m, counts = small[1].model, {bytes(r["word"]): r["n"] for r in small[1].counts.collect()}
+    n = Counter()
+    for w, c in counts.items():
+        ids = lm_scoring.byte_pairs(PATH).encode(" " + w.decode("utf-8", "replace"), False) if w else [lm_scoring.END]
+        n[m.classes[ids[0]], "words"] += 1
+        n[m.classes[ids[0]], "tokens"] += c
+    assert all(m.words[c] == n[c, "words"] and m.tokens[c] == n[c, "tokens"] for c in range(lm_scoring.CLASSES))
 
 
 @pytest.mark.parametrize("known", [200_000, 5])
@@ -256,23 +342,20 @@ def test_lm_base_scores_match_brute_force(spark, known):
     assert all(x["score"] < 0 for x in got)
 
 
-def test_training_helps_and_empty_tables(spark):
-    m = small_model()
+def test_training_helps_and_empty_tables(spark, small):
+    m = small[1].model
+    m = replace(m, weights=lm_scoring.start_weights())
     r = random.Random(5)
-    texts = [[w.encode() for w in sentence(r, 60).split()] for _ in range(40)]
-    s = lm_scoring.Scorer(m)
-    rows = s.rows(texts)
-    before = s.score(rows).sum()
-    pairs = [lm_scoring._sequences(m, s.sequence(t)) for t in rows]
-    m.weights = lm_scoring.local_steps(m, m.weights, [p[0] for p in pairs], [p[1] for p in pairs])
-    assert s.score(rows).sum() > before
-    assert [len(r) for r in rows] == [len(t) + 1 for t in texts]
-    few = lm_scoring.Scorer(m, most=10)  # a cache too small for two texts gives the same scores
-    assert np.allclose(s.score(rows[:5]), [few.score(few.rows([t]))[0] for t in texts[:5]])
+    x = lm_scoring.batch_of(PATH, [[w.encode() for w in sentence(r, 60).split()] for _ in range(40)])
+    vectors, inputs, classes = lm_scoring.of_words(m, x)
+    score = lambda m: lm_scoring.class_scores(m, vectors, inputs, x.before(), classes[x.every], x.n).sum()
+    steps = lm_scoring.Steps(m, 0.02, batch=16)
+    steps.take(vectors, inputs, x.before(), classes[x.every], x.n)
+    assert score(replace(m, weights=steps.w)) > score(m)
     assert lm_scoring.score_texts(empty(spark)).count() == 0
     nothing = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     alone = lm_scoring.score_texts(nothing, F.lit(True)).first()
-    assert alone["train_tokens"] == 0 and alone["n_known"] == 0 and alone["n_tokens"] == 3
+    assert alone["train_tokens"] == 0 and alone["n_known"] == 0 and alone["n_tokens"] == 3 and alone["score"] < 0
 
 
 def test_lm_score_does_not_depend_on_the_words_sent_to_tasks(spark):
@@ -282,16 +365,20 @@ def test_lm_score_does_not_depend_on_the_words_sent_to_tasks(spark):
     assert set(many) == set(few) and all(np.isclose(many[d], few[d], rtol=1e-6) for d in many)
 
 
-def test_training_reads_all_rows(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "local_steps", lambda m, w, before, target, **_: {**w, "b": np.full_like(w["b"], len(before))})
-    docs = spark.range(6000).selectExpr("id AS doc_id", "concat('word ', id) AS text")
-    assert set(lm_scoring.train(small_model(), docs, rounds=1, shard_rows=10_000).weights["b"].tolist()) == {6000.0}
+def test_training_reads_all_rows(spark, small, monkeypatch):
+    class CountedSteps:
+        def __init__(self, model, rate, seed):
+            self.flat = np.zeros(sum(w.size for w in model.weights.values()))
 
+        def take(self, vectors, inputs, before, target, n):
+            self.flat += len(n)
 
-def test_lm_score_uses_all_neighbour_pairs(spark, monkeypatch):
-    docs = frame(spark, [(i, *r[1:]) for i, r in enumerate(corpus(n=25))])
-    scores = lambda: dict(lm_scoring.score_texts(docs, fold("doc_id", 5, 1)).select("doc_id", "score").collect())
-    whole, above = scores(), lm_scoring.above
-    monkeypatch.setattr(lm_scoring, "above", lambda counted, most: above(counted, 5))  # cuts what it is given
-    cut = scores()
-    assert all(np.isclose(whole[d], cut[d], rtol=1e-4) for d in whole)
+    monkeypatch.setattr(lm_scoring, "Steps", CountedSteps)
+    rows = spark.range(0, 6000, 1, 1).selectExpr("cast(id AS string) AS doc_id", "id % 3 = 0 AS held_out", "cast(concat('word ', id) AS binary) AS text")
+    batches = lm_scoring.encoded(rows, PATH)
+    model = lm_scoring.train(replace(small[1].model, weights=lm_scoring.start_weights()), batches, rounds=1)
+    assert set(model.weights["b"].tolist()) == {4000.0}
+    few = lm_scoring.encoded(rows, PATH, most=3000)  # of several batches each belongs to one round
+    seen = [lm_scoring.train(replace(small[1].model, weights=lm_scoring.start_weights()), few.mapInArrow(
+        lambda b, r=r: (x for i, x in enumerate(y.slice(j, 1) for y in b for j in range(y.num_rows)) if i % 2 == r), few.schema), rounds=1).weights["b"][0] for r in (0, 1)]
+    assert sum(seen) == 4000 and min(seen) > 1500

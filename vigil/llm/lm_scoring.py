@@ -212,7 +212,7 @@ def gathered(batches: DataFrame, path: str) -> DataFrame:
             else:
                 key, m = np.unique(key, return_counts=True)
             pairs.append((ids[key // len(firsts)] * SYMBOLS + firsts[key % len(firsts)], m))
-            if len(held) > 300_000 or len(pairs) > 20:
+            if len(held) > 500_000 or len(pairs) > 20:
                 yield from out()
         if pairs:
             yield from out()
@@ -378,9 +378,10 @@ def build(beside: DataFrame, types: DataFrame, path: str) -> Model:
     counts = np.zeros((INPUTS, CLASSES))
     for rows in (inputs, classes):
         counts += reduced(beside, np.where(starts, rows, -1), np.where(starts, classes, -1), (INPUTS, CLASSES))
-    prior = np.bincount(classes[starts], weights=after[starts], minlength=CLASSES) + 0.01
-    counts += 2.0 * prior / prior.sum() + 0.001
-    bigram = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    there = np.bincount(classes[starts], minlength=CLASSES) > 0  # classes without an id are never next
+    prior = (np.bincount(classes[starts], weights=after[starts], minlength=CLASSES) + 0.01) * there
+    counts += (2.0 * prior / prior.sum() + 0.001) * there
+    bigram = np.where(there, np.log(np.maximum(counts, 1e-9) / counts.sum(axis=1, keepdims=True)), -1e4).astype(np.float32)
     # Vectors of all ids, by what words start with after theirs.
     weight = follows.sum(axis=1)
     f = _rates(follows).astype(float)
@@ -410,11 +411,13 @@ def build(beside: DataFrame, types: DataFrame, path: str) -> Model:
     counts = np.zeros((INPUTS, INNER + 1))
     for rows in (left, group):
         counts += reduced(inside, rows, inner, (INPUTS, INNER + 1))
-    total = np.bincount(inner[inner >= 0], weights=used[inner >= 0], minlength=INNER + 1) + 0.5
+    total = np.bincount(inner[inner >= 0], weights=used[inner >= 0] + 0.05, minlength=INNER + 1)  # nothing for classes without an id
     counts += 8.0 * total / total.sum()
     once, twice = of_first[2].sum(), of_first[3].sum()
-    return Model(path, classes, inputs, bigram, features, first, left, inner, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32),
-                 within, by_first(of_first[1]), by_first(of_first[0]), float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9)), start_weights())
+    with np.errstate(divide="ignore"):
+        follow = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    return Model(path, classes, inputs, bigram, features, first, left, inner, follow, within,
+                 by_first(of_first[1]), by_first(of_first[0]), float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9)), start_weights())
 
 
 # --- attention ---
@@ -626,11 +629,12 @@ class Learned:
 def learn(batches: DataFrame, path: str, known_words: int = 200_000) -> Learned:
     """Counts, model and trained weights from all training texts of ``encoded`` batches."""
     both = checkpointed(gathered(batches, path))
-    counts, beside = both.filter("word IS NOT NULL").select("word", "n"), checkpointed(both.filter("word IS NULL").select("a", "b", "n"))
-    sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    model = train(build(beside, checkpointed(spelled(counts, path)), path), batches)
+    counts, beside = both.filter("word IS NOT NULL").select("word", "n"), checkpointed(both.filter("word IS NULL").select("a", "b", "n").coalesce(16))
+    sums = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                      F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("n"))), F.lit(0)).alias("ends")).first()
+    model = train(build(beside, checkpointed(spelled(counts, path).coalesce(16)), path), batches)
     top = above(counts, known_words).toArrow()
-    return Learned(model, counts, int(sums["n"]), int(sums["v"]), dict(zip(top["word"].to_pylist(), top["n"].to_pylist())))
+    return Learned(model, counts, int(sums["n"]), int(sums["v"]), {**dict(zip(top["word"].to_pylist(), top["n"].to_pylist())), b"": int(sums["ends"])})
 
 
 SCORED = ("doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, "
@@ -652,7 +656,7 @@ def score_learned(batches: DataFrame, learned: Learned) -> DataFrame:
             rare = count < 0
             rare[0] = False
             inside = np.where(rare, 0.0, model.in_class(spelling, classes, count))
-            base = np.where(rare, 0.0, np.log10(np.maximum(count, 0) + 0.5) - floor)
+            base = np.where(rare, 0.0, np.log10(np.where(rare, 0, count) + 0.5) - floor)
             first = np.cumsum(x.n) - x.n
             total = lambda by_word: np.add.reduceat(by_word[x.every], first)
             score = np.add.reduceat(class_scores(model, vectors, inputs, x.before(), classes[x.every], x.n), first) + total(inside)
