@@ -9,16 +9,18 @@ lost executor re-reads that table instead of recomputing the feature windows.
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 from typing import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.vector import nearest
 from vigil.operators.score import CentroidModel, MixtureModel
-from vigil.session import checkpointed
+from vigil.session import checkpointed, ensure_checkpoint_dir
 
 
 def stable(df: DataFrame) -> DataFrame:
@@ -102,39 +104,63 @@ def fit_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, ma
     return CentroidModel(tuple(cols), centres), best[1]
 
 
-def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42,
-                         batch_size: int = 4096, max_iter: int = 300, tol: float = 0.0,
-                         key: str | None = None) -> tuple[CentroidModel, float]:
-    """Mini-batch k-means over all rows, in at most ``max_iter`` passes. Rows are hashed into slices of about
-    ``batch_size`` rows, however many rows there are, and written once to the shared checkpoint folder, the
-    slices dealt to partitions whose number depends on the rows only. A pass is one Spark job: each task
-    takes its slices one after the other, assigns each and moves each centre toward the slice mean with
-    per-centre learning rate 1 / (points seen so far); the tasks' sums are then added up. It ends early when
-    centres move less than ``tol`` or ten passes have not lowered the cost. Initial centres: MLlib
-    k-means|| on the first three slices."""
-    import pandas as pd
+@dataclass(frozen=True)
+class Slices:
+    """Rows hashed into slices of about ``batch_size``, written once below the shared checkpoint folder by round:
+    a round's folder is all that its Spark job reads."""
+
+    path: str
+    rounds: int
+    n: int
+    cols: tuple[str, ...]
+
+    def round(self, spark, r: int) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/_r={r % self.rounds}").sortWithinPartitions("_b")
+
 
-    cols = list(cols)
+def minibatch_slices(train: DataFrame, cols: Sequence[str], seed: int = 42, batch_size: int = 4096, key: str | None = None,
+                     rounds: int = 10) -> Slices:
+    """Slices for ``fit_minibatch_kmeans``, the same for every K. A slice is never split between tasks."""
     hashed = F.xxhash64(*([F.col(key)] if key else [F.col(c) for c in cols]), F.lit(seed))
     n = train.count()
     if n == 0:
         raise ValueError("no train rows")
     n_batches = max(1, -(-n // batch_size))
-    n_parts = max(1, -(-n // ROWS_PER_FIT_PARTITION))
-    slices = stable(train.select(*[F.col(c).cast("double").alias(c) for c in cols], F.pmod(hashed, F.lit(n_batches)).alias("_b"))
-                    .repartition(n_parts, "_b").sortWithinPartitions("_b"))
-    model0, _ = fit_kmeans(slices.filter(F.col("_b") < 3), cols, k, seed=seed, max_iter=20, n_init=1)
+    rounds = min(rounds, n_batches)
+    n_parts = max(1, -(-n // (rounds * ROWS_PER_FIT_PARTITION)))
+    path = f"{ensure_checkpoint_dir(train.sparkSession).rstrip('/')}/slices-{uuid.uuid4().hex[:12]}"
+    (train.select(*[F.col(c).cast("double").alias(c) for c in cols], F.pmod(hashed, F.lit(n_batches)).alias("_b"))
+     .withColumn("_r", F.pmod("_b", F.lit(rounds))).withColumn("_p", F.pmod(F.floor(F.col("_b") / rounds), F.lit(n_parts)))
+     .repartition(rounds * n_parts, "_r", "_p").sortWithinPartitions("_r", "_p", "_b").drop("_p").write.partitionBy("_r").parquet(path))
+    return Slices(path, rounds, n, tuple(cols))
+
+
+def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42,
+                         batch_size: int = 4096, max_iter: int = 300, patience: int = 10,
+                         key: str | None = None, slices: Slices | None = None,
+                         report: dict | None = None) -> tuple[CentroidModel, float]:
+    """Mini-batch k-means over all rows in rounds, at most ``max_iter`` passes over them.
+
+    A round is one Spark job over a tenth of the slices (all, if there are fewer than ten): each task takes its
+    slices one after the other, assigns each and moves each centre toward the slice mean with per-centre learning
+    rate 1 / (points seen so far); the tasks' sums are then added up. The mean cost of the rounds is
+    smoothed by the share of rows that a round holds, and the fit ends when ``patience`` rounds have not lowered
+    it, which is inside the second pass as a rule. Initial centres: MLlib k-means|| on the first round.
+    ``report`` receives the rounds and passes used."""
+    cols, spark = list(cols), train.sparkSession
+    slices = slices or minibatch_slices(train, cols, seed, batch_size, key)
+    model0, _ = fit_kmeans(slices.round(spark, 0), cols, k, seed=seed, max_iter=20, n_init=1)
     centres = np.array(model0.centres)
     counts = np.zeros(len(centres))
-    names = [f"s{i}" for i in range(len(cols))]
+    width = len(cols) + 2
 
-    def one_pass(centres: np.ndarray, counts: np.ndarray):
+    def one_round(part: DataFrame, centres: np.ndarray, counts: np.ndarray) -> np.ndarray:
         def run(batches):
             c, seen = centres.copy(), counts.copy()
-            sums, cost, held = np.zeros_like(c), np.zeros(len(c)), []
+            sums, held = np.zeros((len(c), width)), []
 
             def step(x: np.ndarray) -> None:
-                d2 = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+                d2 = (x * x).sum(axis=1)[:, None] + (c * c).sum(axis=1)[None] - 2 * x @ c.T
                 near = d2.argmin(axis=1)
                 m = np.bincount(near, minlength=len(c))
                 s = np.zeros_like(c)
@@ -142,59 +168,65 @@ def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: in
                 seen[:] += m
                 hit = m > 0
                 c[hit] += (s - m[:, None] * c)[hit] / seen[hit, None]
-                sums[:] += s
-                cost[:] += np.bincount(near, weights=d2.min(axis=1), minlength=len(c))
+                sums[:, 0] += m
+                sums[:, 1] += np.bincount(near, weights=np.maximum(d2.min(axis=1), 0), minlength=len(c))
+                sums[:, 2:] += s
 
-            for pdf in batches:  # a slice may run over the end of a batch
-                held = [pd.concat([*held, pdf])]
+            for b in batches:  # a slice may run over the end of a batch
+                held = [pa.Table.from_batches([*(t for h in held for t in h.to_batches()), b]).combine_chunks()]
                 ids = held[0]["_b"].to_numpy()
                 cuts = np.flatnonzero(np.diff(ids)) + 1
                 if len(cuts):
-                    x = held[0][cols].to_numpy(dtype=float)
-                    for part in np.split(x[: cuts[-1]], cuts[:-1]):
-                        step(part)
-                    held = [held[0].iloc[cuts[-1]:]]
-            if held:
-                step(held[0][cols].to_numpy(dtype=float))
-                yield pd.DataFrame({"c": np.arange(len(c)), "n": seen - counts, "cost": cost, **dict(zip(names, sums.T))})
-
-        schema = "c int, n double, cost double, " + ", ".join(f"{s} double" for s in names)
-        got = slices.mapInPandas(run, schema)
-        return got.groupBy("c").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(s).alias(s) for s in names]).collect()
-
-    best, stale = math.inf, 0
-    for _ in range(max_iter):
-        old, cost = centres.copy(), 0.0
-        for r in one_pass(centres, counts):
-            i, m = int(r["c"]), float(r["n"])
-            cost += float(r["cost"])
-            if m:
-                total = np.array([r[s] for s in names])
-                centres[i] = (counts[i] * centres[i] + total) / (counts[i] + m)
-                counts[i] += m
-        best, stale = (cost, 0) if cost < best else (best, stale + 1)
-        if stale >= 10 or tol and ((centres - old) ** 2).sum() < tol:
+                    x = np.column_stack([held[0][n].to_numpy() for n in cols])
+                    for one in np.split(x[: cuts[-1]], cuts[:-1]):
+                        step(one)
+                    held = [held[0].slice(cuts[-1])]
+            if held and held[0].num_rows:
+                step(np.column_stack([held[0][n].to_numpy() for n in cols]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size)), pa.array(sums.ravel())], names=["i", "v"])
+
+        got = part.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+        out = np.zeros(len(centres) * width)
+        out[got["i"].to_numpy()] = got["v"].to_numpy()
+        return out.reshape(len(centres), width)
+
+    smooth, best, stale, rounds = None, math.inf, 0, 0
+    for r in range(max_iter * slices.rounds):
+        got = one_round(slices.round(spark, r), centres, counts)
+        m = got[:, 0]
+        hit = m > 0
+        centres[hit] = (counts[hit, None] * centres[hit] + got[hit, 2:]) / (counts + m)[hit, None]
+        counts += m
+        rounds = r + 1
+        if not m.sum():
+            continue
+        cost, alpha = got[:, 1].sum() / m.sum(), min(1.0, 2.0 * m.sum() / (slices.n + 1))
+        smooth = cost if smooth is None else smooth * (1 - alpha) + cost * alpha
+        best, stale = (smooth, 0) if smooth < best else (best, stale + 1)
+        if stale >= patience:
             break
-    centres = centres.tolist()
-    model = CentroidModel(tuple(cols), tuple(tuple(c) for c in centres), kind="minibatch")
+    if report is not None:
+        report.update(rounds=rounds, passes=rounds / slices.rounds)
+    model = CentroidModel(tuple(cols), tuple(tuple(c) for c in centres.tolist()), kind="minibatch")
     return model, inertia(train, model)
 
 
 def fit_gmm(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, max_iter: int = 200,
-            n_init: int = 3, tol: float = 1e-3) -> tuple[MixtureModel, float]:
-    """Full-covariance mixture (MLlib EM) over ``n_init`` seeds; keeps the highest
-    log-likelihood recomputed from our own log-density (MLlib floors small densities)."""
-    from pyspark.ml.clustering import GaussianMixture
-
-    vec = fit_input(train, cols)
+            n_init: int = 3, tol: float = 1e-3, vec: DataFrame | None = None,
+            is_stable: bool = False) -> tuple[MixtureModel, float]:
+    """Full-covariance mixture by expectation-maximisation (see ``vigil.operators.mixture``) over ``n_init`` k-means
+    starts; keeps the highest log-likelihood. ``tol`` is its gain a row under which a start ends. ``is_stable``:
+    ``train`` reads a materialised copy already; ``vec`` is the k-means input, shared between fits."""
+    from vigil.operators.mixture import from_centres, gmm_fixed_init
+
+    points = train.select(*cols)
+    points = points if is_stable else stable(points)
+    vec = vec if vec is not None else fit_input(points, cols)
     best = None
     for i in range(n_init):
-        m = GaussianMixture(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)
-        g = m.gaussiansDF.collect()
-        model = MixtureModel(tuple(cols), tuple(float(w) for w in m.weights),
-                             tuple(tuple(float(v) for v in r["mean"]) for r in g),
-                             tuple(tuple(tuple(float(v) for v in row) for row in r["cov"].toArray()) for r in g))
-        ll = log_likelihood(train, model)
+        centres, _ = fit_kmeans(points, cols, k, seed=seed + i, max_iter=50, n_init=1, vec=vec)
+        model, _ = gmm_fixed_init(points, from_centres(points, centres), max_iter, tol)
+        ll = log_likelihood(points, model)
         if best is None or ll > best[1]:
             best = (model, ll)
     return best

@@ -10,9 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.plans.sums import array_sums
+
 
 @dataclass(frozen=True)
 class Scaler:
@@ -80,23 +83,57 @@ class Projection:
         return df.select(*keep, *self.exprs())
 
 
+def co_moments(df: DataFrame, columns: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """(rows, means, population covariance) in one pass over the rows, as sums about the first row's values."""
+    d = len(columns)
+    first = df.select(*[F.col(c).cast("double") for c in columns]).first()
+    if first is None:
+        raise ValueError("no rows")
+    shift = np.array([v or 0.0 for v in first])
+    upper = np.triu_indices(d)
+
+    def add(x: np.ndarray) -> np.ndarray:
+        y = x - shift
+        return np.concatenate(([len(y)], y.sum(axis=0), (y.T @ y)[upper]))
+
+    total = array_sums(df, columns, add, 1 + d + len(upper[0]))
+    n, s1 = total[0], total[1: 1 + d] / total[0]
+    cov = np.zeros((d, d))
+    cov[upper] = total[1 + d:] / n
+    cov = cov + np.triu(cov, 1).T - np.outer(s1, s1)
+    return int(n), s1 + shift, cov
+
+
+def subspace_iteration(cov: np.ndarray, start: np.ndarray, steps: int) -> np.ndarray:
+    """Orthonormal rows after ``steps`` multiplications of the rows of ``start`` by ``cov``, each followed by Gram-Schmidt."""
+    q = np.asarray(start, float)
+    for _ in range(steps):
+        y = q @ cov
+        q = np.zeros_like(y)
+        for j, v in enumerate(y):
+            v = v - (q[:j] @ v) @ q[:j]
+            q[j] = v / np.linalg.norm(v)
+    return q
+
+
+def _projection(columns: Sequence[str], mean: np.ndarray, cov: np.ndarray, comps: np.ndarray) -> Projection:
+    explained = np.einsum("ij,jk,ik->i", comps, cov, comps) / max(float(np.trace(cov)), 1e-300)
+    return Projection(tuple(columns), tuple(mean.tolist()), tuple(map(tuple, comps.tolist())), tuple(explained.tolist()))
+
+
+def pca_fixed_steps(train: DataFrame, columns: Sequence[str], start: Sequence[Sequence[float]], steps: int) -> Projection:
+    """``steps`` of subspace iteration from the given rows; the same result for the same rows, whatever their layout."""
+    _, mean, cov = co_moments(train, columns)
+    return _projection(columns, mean, cov, subspace_iteration(cov, np.asarray(start, float), steps))
+
+
 def fit_pca(train: DataFrame, columns: Sequence[str], k: int) -> Projection:
-    """Principal components of the (centred) train rows.
-
-    The d × d covariance is one distributed aggregate (``pyspark.ml.stat`` style
-    Gramian via ``RowMatrix`` inside ``pyspark.ml.feature.PCA``); the eigen-decomposition is
-    model-sized. Signs are fixed (largest |loading| positive) so refits are comparable.
-    """
-    from pyspark.ml.feature import PCA, VectorAssembler
-    import numpy as np
-
-    mean = [float(v or 0.0) for v in train.agg(*[F.avg(c) for c in columns]).first()]
-    centred = train.select(*[(F.col(c) - F.lit(m)).alias(c) for c, m in zip(columns, mean)])
-    vec = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(centred).select("_v")
-    model = PCA(k=k, inputCol="_v", outputCol="_p").fit(vec)
-    comps = np.array(model.pc.toArray()).T          # k × d
+    """Principal components of the (centred) train rows, from one pass of co-moments; the decomposition is
+    model-sized. Signs are fixed (largest |loading| positive) so refits are comparable."""
+    _, mean, cov = co_moments(train, columns)
+    values, vectors = np.linalg.eigh(cov)
+    comps = vectors[:, np.argsort(-values, kind="stable")[:k]].T
     for j in range(comps.shape[0]):
         if comps[j, np.argmax(np.abs(comps[j]))] < 0:
             comps[j] = -comps[j]
-    return Projection(tuple(columns), tuple(mean), tuple(tuple(map(float, r)) for r in comps),
-                      tuple(float(v) for v in model.explainedVariance.toArray()))
+    return _projection(columns, mean, cov, comps)

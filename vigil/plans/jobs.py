@@ -116,7 +116,8 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
     if config.model == "lloyd":
         pts = checkpointed(pts)
 
-    fit = _fitter(config, key, cl.fit_input(pts, mcols) if config.model == "kmeans" else None)
+    fit = _fitter(config, key, cl.fit_input(pts, mcols) if config.model in ("kmeans", "gmm") else None,
+                  cl.minibatch_slices(pts, mcols, config.random_state) if config.model == "minibatch" else None)
     k_results = []
     if config.kmeans_n_clusters is not None:
         best_k = config.kmeans_n_clusters
@@ -167,17 +168,18 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
     return report
 
 
-def _fitter(config: PipelineConfig, key: str, vec: DataFrame | None = None):
-    """Fit function (train rows, columns, K) → (model, cost); ``vec`` = shared MLlib input."""
+def _fitter(config: PipelineConfig, key: str, vec: DataFrame | None = None, slices: cl.Slices | None = None):
+    """Fit function (train rows, columns, K) → (model, cost); ``vec`` = shared MLlib input, ``slices`` = shared
+    mini-batch slices: one copy of the features, whatever the number of K."""
     seed = config.random_state
     if config.model == "kmeans":
         return lambda d, c, k: cl.fit_kmeans(d, c, k, seed=seed, max_iter=config.kmeans_max_iter,
                                              n_init=config.kmeans_n_init, vec=vec)
     if config.model == "minibatch":
-        return lambda d, c, k: cl.fit_minibatch_kmeans(d, c, k, seed=seed)
+        return lambda d, c, k: cl.fit_minibatch_kmeans(d, c, k, seed=seed, slices=slices)
     if config.model == "gmm":
         return lambda d, c, k: cl.fit_gmm(d, c, k, seed=seed, max_iter=config.gmm_max_iter,
-                                          n_init=config.gmm_n_init)
+                                          n_init=config.gmm_n_init, vec=vec, is_stable=True)
     if config.model == "lloyd":
         steps = int(config.extra.get("lloyd_steps", 5))
 

@@ -22,11 +22,11 @@ from vigil.operators import profile as pr
 from vigil.operators import wrangle as wr
 from vigil.config import REFERENCE_SPEC, PipelineConfig
 from vigil.functions.vector import nearest
-from vigil.operators.cluster import (davies_bouldin, elbow_table, fit_gmm, fit_kmeans, fit_minibatch_kmeans,
+from vigil.operators.cluster import (davies_bouldin, elbow_table, fit_gmm, fit_input, fit_kmeans, fit_minibatch_kmeans,
                                      gmm_information, hash_sample, kmeans_fixed_init, lowest_key_centres,
                                      select_k, silhouette, stable)
-from vigil.operators.scale import fit_pca
-from vigil.operators.scale import fit_scaler
+from vigil.operators.mixture import gmm_fixed_init
+from vigil.operators.scale import fit_pca, fit_scaler, pca_fixed_steps
 from vigil.operators.score import (MixtureModel, add_score, assign_cluster, fit_threshold, grouped_threshold, only_anomalies,
                                    predict_grouped, score_summary, threshold_3sigma, threshold_predict)
 from vigil.operators.split import SPLIT, cutoff_of, split_summary, temporal_folds, with_split
@@ -514,24 +514,55 @@ def q_gmm_score_batches(spark, sf):
 @query("kmeans")
 def q_kmeans(spark, sf):
     v = fx.vectors(spark, sf)
-    model, _ = fit_kmeans(v, fx.vector_columns(v), 4, seed=42, max_iter=50, n_init=2)
+    model, _ = fit_kmeans(v, fx.vector_columns(v), 4, seed=42, max_iter=500, n_init=10)
     return assign_cluster(v, model).select("vec_id", "cluster")
 
 
 @query("minibatch_kmeans")
 def q_minibatch(spark, sf):
     v = fx.vectors(spark, sf)
-    model, _ = fit_minibatch_kmeans(v, fx.vector_columns(v), 4, seed=42, batch_size=256, max_iter=10)
+    model, _ = fit_minibatch_kmeans(v, fx.vector_columns(v), 4, seed=42, batch_size=256)
     return assign_cluster(v, model).select("vec_id", "cluster")
 
 
 @query("gmm")
 def q_gmm(spark, sf):
     v = fx.vectors(spark, sf)
-    model, _ = fit_gmm(v, fx.vector_columns(v), 3, seed=42, max_iter=30, n_init=1)
+    model, _ = fit_gmm(v, fx.vector_columns(v), 3, seed=42)
     return r6(add_score(v, model, cluster_col="cluster").select("vec_id", "cluster", "anomaly_score"))
 
 
+GMM_DIMS, GMM_K, GMM_STEPS = 2, 3, 4
+
+
+@query("gmm_fixed_init")
+def q_gmm_fixed_init(spark, sf):
+    """EM steps on two embedding components, from the lowest-id rows and unit covariances."""
+    v = fx.vectors(spark, sf)
+    cols = fx.vector_columns(v)[:GMM_DIMS]
+    unit = tuple(tuple(float(i == j) for j in range(GMM_DIMS)) for i in range(GMM_DIMS))
+    init = lowest_key_centres(v, cols, "vec_id", GMM_K)
+    start = MixtureModel(tuple(cols), (1.0 / GMM_K,) * GMM_K, tuple(map(tuple, init)), (unit,) * GMM_K)
+    model, history = gmm_fixed_init(stable(v.select(*cols)), start, GMM_STEPS)
+    rows = [(k, model.weights[k], *model.means[k], *(model.covs[k][i][j] for i in range(GMM_DIMS) for j in range(i, GMM_DIMS)), history[-1])
+            for k in range(GMM_K)]
+    return r6(spark.createDataFrame(rows, "cid int, weight double, mean0 double, mean1 double, cov00 double, cov01 double, cov11 double, "
+                                          "log_likelihood double"))
+
+
+PCA_DIMS, PCA_STEPS = 4, 6
+
+
+@query("pca_fixed_steps")
+def q_pca_fixed_steps(spark, sf):
+    """Subspace iteration on four embedding components, from the first two axes; loadings and explained shares."""
+    v = fx.vectors(spark, sf)
+    cols = fx.vector_columns(v)[:PCA_DIMS]
+    proj = pca_fixed_steps(v, cols, [[1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]], PCA_STEPS)
+    rows = [(j, *c, proj.explained_variance_ratio[j]) for j, c in enumerate(proj.components)]
+    return r6(spark.createDataFrame(rows, "component int, " + ", ".join(f"{c} double" for c in cols) + ", explained double"))
+
+
 @query("pca")
 def q_pca(spark, sf):
     v = fx.vectors(spark, sf)
@@ -552,9 +583,11 @@ def q_gmm_bic(spark, sf):
     v = fx.vectors(spark, sf)
     cols = fx.vector_columns(v)
     rows = []
-    for k in (2, 3):
-        model, _ = fit_gmm(v, cols, k, seed=42, max_iter=30, n_init=1)
-        info = gmm_information(v.select(*cols), model)
+    points = stable(v.select(*cols))
+    vec = fit_input(points, cols)
+    for k in PipelineConfig().k_range:
+        model, _ = fit_gmm(points, cols, k, seed=42, vec=vec, is_stable=True)
+        info = gmm_information(points, model)
         rows.append((k, info["log_likelihood"], info["n_params"], info["bic"], info["aic"]))
     return r6(spark.createDataFrame(rows, "k int, log_likelihood double, n_params int, bic double, aic double"))
 

@@ -346,6 +346,56 @@ SQL["nearest_centroid_score"] = _VW + f"SELECT _rid AS vec_id, {o.r6('sqrt(d2)',
 SQL["inertia"] = _VW + f"SELECT {o.r6('sum(d2)', 'inertia')} FROM near"
 
 
+def gmm_em_sql(k: int = 3, steps: int = 4, ridge: float = 1e-6) -> str:
+    """EM on (x0, x1) from the k lowest-id rows, equal weights and unit covariances."""
+    ctes = ["p AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)",
+            f"m0 AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cid, 1.0 / {k} AS w, x AS mx, y AS my, "
+            f"CAST(1.0 AS DOUBLE) AS cxx, CAST(0.0 AS DOUBLE) AS cxy, CAST(1.0 AS DOUBLE) AS cyy "
+            f"FROM (SELECT * FROM p ORDER BY vec_id LIMIT {k}) z)"]
+    for t in range(steps):
+        ctes += [
+            f"f{t} AS (SELECT *, cxx + {ridge} AS a, cyy + {ridge} AS c, (cxx + {ridge}) * (cyy + {ridge}) - cxy * cxy AS det FROM m{t})",
+            f"l{t} AS (SELECT vec_id, x, y, cid, ln(w) - ln(2 * pi()) - 0.5 * ln(det) - 0.5 * (c * (x - mx) * (x - mx) "
+            f"- 2 * cxy * (x - mx) * (y - my) + a * (y - my) * (y - my)) / det AS l FROM p, f{t})",
+            f"t{t} AS (SELECT vec_id, top + ln(sum(exp(l - top))) AS total FROM (SELECT vec_id, l, max(l) OVER (PARTITION BY vec_id) AS top "
+            f"FROM l{t}) q GROUP BY vec_id, top)",
+            f"r{t} AS (SELECT l.*, exp(l.l - t.total) AS r FROM l{t} l JOIN t{t} t USING (vec_id))",
+            f"n{t} AS (SELECT cid, sum(r) AS n, sum(r * x) / sum(r) AS mx, sum(r * y) / sum(r) AS my FROM r{t} GROUP BY cid)",
+            f"m{t + 1} AS (SELECT n.cid, any_value(n.n) / (SELECT sum(n) FROM n{t}) AS w, any_value(n.mx) AS mx, any_value(n.my) AS my, "
+            f"sum(r * (x - n.mx) * (x - n.mx)) / sum(r) AS cxx, sum(r * (x - n.mx) * (y - n.my)) / sum(r) AS cxy, "
+            f"sum(r * (y - n.my) * (y - n.my)) / sum(r) AS cyy FROM r{t} r JOIN n{t} n USING (cid) GROUP BY n.cid)"]
+    pairs = (("w", "weight"), ("mx", "mean0"), ("my", "mean1"), ("cxx", "cov00"), ("cxy", "cov01"), ("cyy", "cov11"))
+    return ("WITH " + ",\n".join(ctes) + f"\nSELECT cid, {', '.join(o.r6(a, b) for a, b in pairs)}, "
+            f"round((SELECT sum(total) FROM t{steps - 1}), 6) + 0.0 AS log_likelihood FROM m{steps}")
+
+
+SQL["gmm_fixed_init"] = gmm_em_sql()
+
+
+def pca_sql(d: int = 4, steps: int = 6) -> str:
+    """Two rows of subspace iteration on the covariance of x0 .. x(d-1), from the first two axes."""
+    xs = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(d))
+    c = lambda i, j: f"c{min(i, j)}{max(i, j)}"
+    cov = ", ".join(f"covar_pop(x{i}, x{j}) AS {c(i, j)}" for i in range(d) for j in range(i, d))
+    q = "SELECT *, " + ", ".join(f"CAST({float(i == j)} AS DOUBLE) AS {n}{i}" for n, j in (("a", 0), ("b", 1)) for i in range(d)) + " FROM cov"
+    keep = ", ".join(c(i, j) for i in range(d) for j in range(i, d))
+    dot = lambda u, v: " + ".join(f"{u}{i} * {v}{i}" for i in range(d))
+    for _ in range(steps):
+        y = ", ".join("(" + " + ".join(f"{n}{j} * {c(i, j)}" for j in range(d)) + f") AS y{n}{i}" for n in "ab" for i in range(d))
+        q = f"SELECT {keep}, {y} FROM ({q}) s"
+        q = f"SELECT *, {', '.join(f'ya{i} / sqrt({dot('ya', 'ya')}) AS a{i}' for i in range(d))} FROM ({q}) s"
+        q = f"SELECT *, {', '.join(f'yb{i} - ({dot('a', 'yb')}) * a{i} AS z{i}' for i in range(d))} FROM ({q}) s"
+        q = f"SELECT {keep}, {', '.join(f'a{i}' for i in range(d))}, {', '.join(f'z{i} / sqrt({dot('z', 'z')}) AS b{i}' for i in range(d))} FROM ({q}) s"
+    trace = " + ".join(c(i, i) for i in range(d))
+    form = lambda n: " + ".join(f"{n}{i} * {n}{j} * {c(i, j)}" for i in range(d) for j in range(d))
+    row = lambda k, n: (f"SELECT CAST({k} AS INTEGER) AS component, {', '.join(o.r6(f'{n}{i}', f'x{i}') for i in range(d))}, "
+                        f"{o.r6(f'({form(n)}) / ({trace})', 'explained')} FROM fin")
+    return f"WITH v AS (SELECT {xs} FROM embeddings), cov AS (SELECT {cov} FROM v), fin AS ({q})\n{row(0, 'a')} UNION ALL {row(1, 'b')}"
+
+
+SQL["pca_fixed_steps"] = pca_sql()
+
+
 def silhouette_sql(label_cte: str, label_col: str) -> str:
     dist = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in VCOLS)
     return f"""{label_cte},
