@@ -136,7 +136,7 @@ def minibatch_slices(train: DataFrame, cols: Sequence[str], seed: int = 42, batc
 
 
 def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42,
-                         batch_size: int = 4096, max_iter: int = 300, patience: int = 10,
+                         batch_size: int = 4096, max_iter: int = 300, patience: int = 10, tol: float = 1e-3,
                          key: str | None = None, slices: Slices | None = None,
                          report: dict | None = None) -> tuple[CentroidModel, float]:
     """Mini-batch k-means over all rows in rounds, at most ``max_iter`` passes over them.
@@ -145,7 +145,7 @@ def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: in
     slices one after the other, assigns each and moves each centre toward the slice mean with per-centre learning
     rate 1 / (points seen so far); the tasks' sums are then added up. The mean cost of the rounds is
     smoothed by the share of rows that a round holds, and the fit ends when ``patience`` rounds have not lowered
-    it, which is inside the second pass as a rule. Initial centres: MLlib k-means|| on the first round.
+    it by the share ``tol``, which is inside the second or third pass as a rule. Initial centres: MLlib k-means|| on the first round.
     ``report`` receives the rounds and passes used."""
     cols, spark = list(cols), train.sparkSession
     slices = slices or minibatch_slices(train, cols, seed, batch_size, key)
@@ -202,7 +202,7 @@ def fit_minibatch_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: in
             continue
         cost, alpha = got[:, 1].sum() / m.sum(), min(1.0, 2.0 * m.sum() / (slices.n + 1))
         smooth = cost if smooth is None else smooth * (1 - alpha) + cost * alpha
-        best, stale = (smooth, 0) if smooth < best else (best, stale + 1)
+        best, stale = (smooth, 0) if smooth < best * (1 - tol) else (best, stale + 1)
         if stale >= patience:
             break
     if report is not None:

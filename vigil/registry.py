@@ -8,6 +8,7 @@ types fixed so that results compare cell for cell with the DuckDB twins in
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,15 +28,17 @@ from vigil.operators.cluster import (davies_bouldin, elbow_table, fit_gmm, fit_i
                                      select_k, silhouette, stable)
 from vigil.operators.mixture import gmm_fixed_init
 from vigil.operators.scale import fit_pca, fit_scaler, pca_fixed_steps
-from vigil.operators.score import (MixtureModel, add_score, assign_cluster, fit_threshold, grouped_threshold, only_anomalies,
+from vigil.operators.score import (CentroidModel, MixtureModel, add_score, assign_cluster, fit_threshold, grouped_threshold, only_anomalies,
                                    predict_grouped, score_summary, threshold_3sigma, threshold_predict)
 from vigil.operators.split import SPLIT, cutoff_of, split_summary, temporal_folds, with_split
 from vigil.plans.order_stats import grouped_percentiles, percentiles
-from vigil.plans import jobs
+from vigil.plans import jobs, sketches
+from vigil.plans.incremental import open_rows, score_period
 from vigil.sources import fixtures as fx
-from vigil.sources.store import load_model, write_scored
+from vigil.sources.store import load_model, version_path, write_scored
 from vigil.sources.telemetry import read_telemetry, write_telemetry_csv
 from vigil.streaming import replay, stream_anomaly_rate, stream_score
+from vigil.streaming.kmeans import read_centres, stream_kmeans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -727,6 +730,60 @@ def q_scored_tables(spark, sf):
     return r6(back.select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
 
 
+@query("scored_tables_incremental")
+def q_scored_tables_incremental(spark, sf):
+    """Scored rows written day group by day group, one of them twice; every other day stays."""
+    f1 = fx.telemetry_events(spark, sf)
+    rep = jobs.train(f1, EV, JOB_CONFIG, key="event_id")
+    rows = stable(rep.scored.select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
+    out = scratch_path(spark, "scored")
+    for part in (0, 1, 2, 1):
+        write_scored(rows.filter(F.dayofyear("timestamp") % 3 == part), out, "timestamp")
+    return r6(spark.read.parquet(out).select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
+
+
+@query("detect_anomalies_incremental")
+def q_detect_incremental(spark, sf):
+    """F1 scored week by week from the tail-state table; equals the job over the whole table."""
+    f1 = fx.telemetry_events(spark, sf)
+    model = jobs.train(f1, EV, JOB_CONFIG, key="event_id").model
+    src, state, out = (scratch_path(spark, n) for n in ("periods", "tail-state", "scored-runs"))
+    week = F.date_format(F.date_trunc("week", "timestamp"), "'w'yyyyMMdd")
+    f1.withColumn("week", week).write.partitionBy("week").parquet(src)
+    table = spark.read.parquet(src)
+    for r in sorted(table.select("week").distinct().collect()):
+        score_period(table, "week", r["week"], model, state, out)
+    done = spark.read.parquet(out).select(*f1.columns, "anomaly_score", "anomaly_pred")
+    scored = done.unionByName(open_rows(spark, model, state))
+    return r6(with_split(scored, EV, cutoff_of(f1, EV, EV_TRAIN_DAYS)).select(
+        "event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
+
+
+@query("threshold_sketch")
+def q_threshold_sketch(spark, sf):
+    """p99 from daily sketches, over all days, the last ten, and by asset: rows behind each, and whether every threshold's rank
+    in the scores lies within the sketches' bound."""
+    scored = stable(events_scored(spark, sf).select("asset_id", "timestamp", "anomaly_score"))
+    path = scratch_path(spark, "sketches")
+    sketches.write_sketches(scored, path, "timestamp", ["asset_id"])
+    last = scored.agg(F.max(F.to_date(F.col("timestamp").cast("timestamp")))).first()[0]
+    first = last - dt.timedelta(days=9)
+    day = F.to_date(F.col("timestamp").cast("timestamp"))
+    out = None
+    for scope, keys, rows, since in (("all", [], scored, None), ("last_ten_days", [], scored.filter(day >= F.lit(first)), str(first)),
+                                     ("by_asset", ["asset_id"], scored, None)):
+        t = sketches.sketch_thresholds(spark, path, 99.0, keys, since, str(last))
+        below, upto = (F.avg(c.cast("double")) for c in (F.col("anomaly_score") < F.col("threshold"), F.col("anomaly_score") <= F.col("threshold")))
+        joined = rows.join(t.drop("n"), keys) if keys else rows.withColumn("threshold", F.lit(t.first()["threshold"]))
+        ranks = joined.groupBy(*keys).agg(below.alias("lo"), upto.alias("hi"), F.count(F.lit(1)).alias("rows"))
+        error = 2 * sketches.rank_error()  # a bound that no run exceeds but by rare chance
+        one = ranks.agg(F.count(F.lit(1)).alias("n_groups"), F.sum("rows").alias("n_rows"),
+                        F.bool_and((F.col("lo") - error <= 0.99) & (F.col("hi") + error >= 0.99)).alias("within_bound"))
+        one = one.select(F.lit(scope).alias("scope"), "n_groups", "n_rows", "within_bound")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("telemetry_csv")
 def q_telemetry_csv(spark, sf):
     """F1 written as CSV and read back through the typed telemetry reader (by column name)."""
@@ -760,6 +817,26 @@ def q_stream_score(spark, sf):
     return r6(out.select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
 
 
+@query("stream_kmeans")
+def q_stream_kmeans(spark, sf):
+    """Online k-means over the embeddings in three micro-batches, from the lowest-id rows."""
+    v = fx.vectors(spark, sf)
+    cols = fx.vector_columns(v)
+    start = CentroidModel(tuple(cols), tuple(map(tuple, lowest_key_centres(v, cols, "vec_id", VEC_K))))
+    src, state = scratch_path(spark, "kmeans-src"), scratch_path(spark, "kmeans-state")
+    v.limit(0).write.parquet(src)
+    q = stream_kmeans(spark.readStream.schema(v.schema).parquet(src), start, state, state + "-ckpt")
+    try:
+        for part in range(3):
+            v.filter(F.col("vec_id") % 3 == part).write.mode("append").parquet(src)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    model, seen = read_centres(spark, state, cols)
+    return r6(spark.createDataFrame([(i, n, *c) for i, (n, c) in enumerate(zip(seen, model.centres))],
+                                    "cid int, n long, " + ", ".join(f"{c} double" for c in cols)))
+
+
 @query("stream_anomaly_rate")
 def q_stream_anomaly_rate(spark, sf):
     """Hourly anomaly rate per asset over the evaluation rows replayed as a stream. A window is
@@ -843,7 +920,7 @@ def q_model_sink(spark, sf):
     f1 = fx.telemetry_events(spark, sf)
     out = scratch_path(spark, "model")
     jobs.train(f1, EV, JOB_CONFIG, key="event_id", out_dir=out)
-    return r6(spark.read.parquet(f"{out}/model/centres"))
+    return r6(spark.read.parquet(f"{version_path(spark, f'{out}/model')}/centres"))
 
 
 QUERIES["model_source"] = q_detect_job

@@ -494,6 +494,29 @@ SQL["asset_median_impute"] = out(
 
 # --- jobs, sources, sinks --------------------------------------------------------------
 SQL["detect_anomalies_job"] = _flagship()
+SQL["detect_anomalies_incremental"] = _flagship()
+SQL["scored_tables_incremental"] = _flagship()
+SQL["threshold_sketch"] = """
+WITH e AS (SELECT user_id AS asset_id, CAST(ts AS DATE) AS d FROM events)
+SELECT 'all' AS scope, CAST(1 AS BIGINT) AS n_groups, count(*) AS n_rows, true AS within_bound FROM e
+UNION ALL SELECT 'last_ten_days', CAST(1 AS BIGINT), count(*), true FROM e WHERE d > (SELECT max(d) FROM e) - INTERVAL 10 DAY
+UNION ALL SELECT 'by_asset', count(DISTINCT asset_id), count(*), true FROM e"""
+
+
+def stream_kmeans_sql(k: int = 4, batches: int = 3) -> str:
+    ctes = [f"v AS ({o.f3_sql(VDIMS)})", f"pts AS (SELECT vec_id AS _rid, {', '.join(VCOLS)} FROM v)",
+            "c0 AS (SELECT CAST(row_number() OVER (ORDER BY _rid) - 1 AS INTEGER) AS cid, CAST(0 AS BIGINT) AS n, "
+            + ", ".join(f"{c} AS c_{c}" for c in VCOLS) + f" FROM (SELECT * FROM pts ORDER BY _rid LIMIT {k}) z)"]
+    for t in range(batches):
+        ctes += [f"b{t} AS (SELECT * FROM pts WHERE _rid % {batches} = {t})", f"near{t} AS ({o.nearest_sql(f'b{t}', f'c{t}', VCOLS)})",
+                 f"s{t} AS (SELECT cid, count(*) AS m, {', '.join(f'sum({c}) AS s_{c}' for c in VCOLS)} FROM near{t} JOIN b{t} USING (_rid) GROUP BY cid)",
+                 f"c{t + 1} AS (SELECT c.cid, c.n + coalesce(s.m, 0) AS n, "
+                 + ", ".join(f"CASE WHEN s.m IS NULL THEN c.c_{c} ELSE (c.n * c.c_{c} + s.s_{c}) / (c.n + s.m) END AS c_{c}" for c in VCOLS)
+                 + f" FROM c{t} c LEFT JOIN s{t} s USING (cid))"]
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT cid, n, {', '.join(o.r6('c_' + c, c) for c in VCOLS)} FROM c{batches}"
+
+
+SQL["stream_kmeans"] = stream_kmeans_sql()
 SQL["only_anomalies_job"] = ("WITH " + ",\n".join(scored_ctes()) + "\nSELECT event_id, asset_id, timestamp, "
                              "round(anomaly_score, 6) + 0.0 AS anomaly_score, anomaly_pred FROM scored WHERE anomaly_pred = 1")
 SQL["scored_tables"] = _flagship()
