@@ -96,6 +96,49 @@ def test_language_id_held_out_accuracy(spark):
     assert np.mean([x["lang"] == x["lang_pred"] for x in got]) > 0.98
 
 
+def test_language_sample_at_any_number_of_rows():
+    for n in (10, 20_000, 10 ** 6, 10 ** 11, 10 ** 15):
+        rows_of = {"en": n, "de": n // 3 + 1, "xx": 3}
+        bounds = language_id.hash_bounds(rows_of, 900)
+        taken = {lang: rows_of[lang] * b / (2 ** 63 - 1) for lang, b in bounds.items()}
+        assert sum(taken.values()) <= 900.001 and round(taken["xx"]) == 3
+        assert all(round(taken[lang]) >= min(rows_of[lang], 299) for lang in rows_of)
+
+
+def test_rare_languages_are_learnt(spark):
+    r = random.Random(2)
+    rows = [(i, sentence(r, 30), "en") for i in range(600)] + [(1000 + i, "öö " + " ".join(r.choice(["üüß", "äöx", "ßßa"]) for _ in range(20)), "qq") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x["doc_id"]: x["lang_pred"] for x in language_id.identify(docs, train_rows=50, min_count=1).collect()}
+    assert all(got[1000 + i] == "qq" for i in range(4)) and sum(v == "en" for v in got.values()) == 600
+
+
+def test_language_decisions_equal_exact_counts(spark):
+    """With filters too large to clash, a text's language is the one with most of its n-grams."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.select("doc_id", "text", "lang").collect()]
+    counts: dict = {}
+    for i, t, lang in rows:
+        if lang and t and zlib.crc32(str(i).encode()) % 3 != 1:
+            counts.setdefault(lang, Counter()).update(language_id.grams(t).tolist())
+    counts = {lang: {g: n for g, n in c.items() if n >= 3} for lang, c in counts.items()}
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+    top = Counter()
+    for lang, c in counts.items():
+        for g, n in c.items():
+            top[g] = max(top[g], n / total[lang])
+    members = {lang: {g for g, n in c.items() if n / total[lang] >= 0.3 * top[g]} for lang, c in counts.items()}
+    got = {x["doc_id"]: x for x in language_id.identify(docs, fold("doc_id", 3, 1), capacity=10 ** 6, slots=1 << 26).collect()}
+    differ = 0
+    for i, t, _ in rows:
+        h = language_id.grams(t).tolist()
+        n = {lang: sum(g in m for g in h) for lang, m in members.items()}
+        if h and got[i]["lang_pred"] != max(sorted(n), key=lambda k: n[k]):
+            differ += 1
+            assert sorted(n.values())[-1] - sorted(n.values())[-2] <= 2  # a tie within the correction for chance hits
+    assert differ <= len(rows) // 200
+
+
 # Secret scan
 
 ASSIGN = re.compile(r"(?:" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token", "api_?key"))

@@ -94,3 +94,30 @@ def test_decontamination_stage_removes_rows_not_ids(spark):
     some = spark.createDataFrame([(None, dirty), (None, "clean text"), (7, dirty), (7, "other clean text"), (7, dirty), (8, None), (None, None)], "doc_id long, text string")
     got = rows(corpus_pipeline.decontaminated(spark, some, SF))
     assert sorted(map(str, got)) == sorted(map(str, [(None, "clean text"), (7, "other clean text"), (8, None), (None, None)]))
+
+
+CLASHING = ("doc_id long, text string, n_lines string, n_dropped int, _dirty boolean, dirty int, key string, row long, rest int, _row int, x array<int>, "
+            "held_out string, fp long, root string, _rest int, _id int, `a b.c` double, n_chars int")
+
+
+def test_every_stage_keeps_columns_of_any_name(spark):
+    long = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, None if i == 4 else f"{long} number {i} {'abcdefgh'[i] * 9}\nand so on with line {i}", f"a{i}", i, i % 2 == 0, i + 1, f"k{i}", 10 * i, -i, i, [i],
+                                   f"h{i}", i, f"r{i}", i, i, i / 2, 7) for i in range(8)], CLASHING)
+    before = {r["doc_id"]: r.asDict() for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.dtypes == docs.dtypes, name
+        got = out.collect()
+        assert got, name
+        for r in got:
+            own = dict(before[r["doc_id"]])
+            if name == "line_dedup":
+                own |= {"text": own["text"] or "", "n_chars": len(own["text"] or "")}
+            assert r.asDict() == own, name
+
+
+def test_quality_stage_without_labels_of_both_kinds(spark, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None), (2, "")], "doc_id long, text string")
+    assert sorted(map(str, rows(corpus_pipeline.quality(spark, docs, str(tmp_path))))) == sorted(map(str, rows(docs)))

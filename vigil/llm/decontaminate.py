@@ -225,7 +225,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, slop:
         raise ValueError(f"window + slop must not exceed {GAP}")
     kind = docs.schema[id_col].dataType
     index = build_index(docs, id_col=id_col, text_col=text_col)
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).cast("binary").alias("text"))
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).cast("binary").alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
     found = None

@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import checkpointed
@@ -105,13 +105,15 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", i
           capacity: int = 60_000, share: float = 0.3, min_count: int = 3, slots: int = 1 << 20) -> Filters:
     """Filters from about ``train_rows`` labelled rows, chosen by a hash of id and text (all if there are fewer).
 
+    Every language has an equal share of them, or all its rows where it has fewer, however many rows the others have.
     At most ``capacity`` n-grams per language reach the driver; the counts they are chosen by are
     sums over all chosen rows, made by Spark.
     """
-    n = labelled.count()
+    rows_of = {r["lang"]: r["n"] for r in labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     some = labelled
-    if n > train_rows:
-        some = labelled.filter(F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_000)) < int(1e6 * train_rows / n))
+    if sum(rows_of.values()) > train_rows:
+        bounds = F.create_map(*[x for lang, b in hash_bounds(rows_of, train_rows).items() for x in (F.lit(lang), F.lit(b).cast("long"))])
+        some = labelled.filter(F.shiftrightunsigned(F.xxhash64(id_col, text_col), 1) <= F.element_at(bounds, F.col(lang_col)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -136,11 +138,20 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", i
     rated = counted.withColumn("rate", rate)
     top = rated.groupBy("g").agg(F.max("rate").alias("top"))
     fit = rated.join(top, "g").filter(F.col("rate") >= share * F.col("top"))
-    members = {}
-    for lang in totals:
-        mine = fit.filter(F.col("lang") == lang).orderBy(F.desc("n"), "g").limit(capacity).select("g").toPandas()["g"]
-        members[lang] = mine.to_numpy(np.int64).view(np.uint64)
-    return Filters(members, slots)
+    # The n-grams of a bounded sample: a language's are few enough for one group.
+    ranked = fit.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "g"))).filter(F.col("rank") <= capacity)
+    best = ranked.select("lang", "rank", "g").toPandas().sort_values(["lang", "rank"])
+    return Filters({lang: x["g"].to_numpy(np.int64).view(np.uint64) for lang, x in best.groupby("lang")}, slots)
+
+
+def hash_bounds(rows_of: dict[str, int], most: int) -> dict[str, int]:
+    """The largest 63-bit hash of a row to take, by language: shares of ``most`` as equal as the numbers of rows allow."""
+    left, bounds = most, {}
+    for i, (lang, n) in enumerate(sorted(rows_of.items(), key=lambda x: (x[1], x[0]))):
+        share = min(n, left // (len(rows_of) - i))
+        bounds[lang] = share * (2 ** 63 - 1) // n
+        left -= share
+    return bounds
 
 
 def identify(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:

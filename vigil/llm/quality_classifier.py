@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import checkpointed
+from vigil.llm.common import carried, checkpointed, unpacked
 
 _CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "symbol": b"#*$%&<>@^~{}[]\\_=+/", "bar": b"|",
             "stop": b".?", "mark": b",;:", "bang": b"!", "line": b"\n", "wide": bytes(range(128, 256))}
@@ -134,9 +134,14 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, id
     """The model fitted to the labelled rows that are not held out, and the vectors (doc_id, held_out, x) of all rows."""
     held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
     at = checkpointed(docs.select(F.col(id_col).alias("doc_id"), held.alias("held_out"), _vector_column(text_col).alias("x")))
+    return fit(checkpointed(_labelled(at, labels, label_id_col, label_col))), at
+
+
+def _labelled(at: DataFrame, labels: DataFrame, label_id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """(x, y) of the rows that are labelled and not held out."""
     one = (labels.select(F.col(label_id_col).alias("doc_id"), F.col(label_col).alias("y")).filter("y IS NOT NULL")
            .groupBy("doc_id").agg(F.min("y").alias("y")))
-    return fit(checkpointed(at.filter(~F.col("held_out")).join(one, "doc_id").select("x", "y"))), at
+    return at.filter(~F.col("held_out")).select("doc_id", "x").join(one, "doc_id").select("x", "y")
 
 
 def score_of(model: Discriminant | None, x: Column) -> Column:
@@ -160,6 +165,16 @@ def accepted(docs: DataFrame, model: Discriminant | None, threshold: float = 0.3
     return docs.filter(F.pandas_udf(run, "double")(F.col(text_col).cast("binary")) >= threshold)
 
 
+def accept(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, threshold: float = 0.3, id_col: str = "doc_id",
+           text_col: str = "text", **names) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches ``threshold``, under the model learnt from the labelled rows that are
+    not held out. Rows and their vectors are written once, so that texts are read once for learning and scoring; no text is shuffled."""
+    held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
+    rows = checkpointed(docs.select(F.col(id_col).alias("doc_id"), held.alias("held_out"), _vector_column(text_col).alias("x"), carried(docs, []).alias("_row")))
+    model = fit(checkpointed(_labelled(rows, labels, **names)))
+    return rows.filter(score_of(model, F.col("x")) >= threshold).select(*unpacked(rows, "_row", docs.columns, {}))
+
+
 def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, threshold: float = 0.3, **names) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 

@@ -48,10 +48,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select(
-        "doc_id", "text")
-    measured = docs.select("doc_id", F.col("text").alias("_whole"),
-                           (F.octet_length(text_or_empty()) + 16).cast("long").alias("size"),
+    measured = read(spark, sf_dir, "documents").select(
+                           "doc_id", (F.octet_length(text_or_empty()) + 16).cast("long").alias("size"),
                            F.crc32(text_or_empty()).alias("text_crc32"))
     # Only id, size and checksum travel: the hash of the checksum orders rows of equal ids.
     narrow = measured.select("doc_id", F.col("text_crc32").cast("string").alias("text"), "size", "text_crc32")

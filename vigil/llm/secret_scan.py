@@ -63,8 +63,12 @@ def spans(text: bytes) -> list[tuple[str, int, int, bytes]]:
             mixed = re.search(rb"[0-9]", v) and re.search(rb"[A-Za-z]", v)
             if mixed and all(m.end() <= a or m.start() >= b for a, b in base):
                 found.append((m.start(), 3, m.end(), v))
-    at = lambda i: len(text[:i].decode("utf-8", "replace"))
-    return [(KINDS[k], at(a), at(b), v) for a, k, b, v in sorted(found)]
+    # Code points before each offset, counted once from one to the next.
+    at, n, last = {}, 0, 0
+    for i in sorted({i for a, _, b, _ in found for i in (a, b)}):
+        n += len(text[last:i].decode("utf-8", "replace"))
+        at[i], last = n, i
+    return [(KINDS[k], at[a], at[b], v) for a, k, b, v in sorted(found)]
 
 
 FOUND = ("doc_id string, owner string, repo string, n_assign long, n_access long, n_hex long, "
