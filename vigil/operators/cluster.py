@@ -93,6 +93,10 @@ def fit_kmeans(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, ma
     """
     from pyspark.ml.clustering import KMeans
 
+    if k == 1:  # the mean; MLlib asks for two clusters or more
+        centre = tuple(float(v or 0.0) for v in train.agg(*[F.avg(c) for c in cols]).first())
+        model = CentroidModel(tuple(cols), (centre,))
+        return model, inertia(train, model)
     vec = vec if vec is not None else fit_input(train, cols, n_parts)
     best = None
     for i in range(n_init):
