@@ -48,6 +48,35 @@ def test_decision_list_finds_planted_conjunction(spark):
     assert "reject if" in str(rules)
 
 
+def test_decision_list_finds_a_rare_class_beside_a_common_one(spark):
+    """A band that holds 2 % of the rows, and a tail with a fifth of them."""
+    r = random.Random(5)
+    rows = []
+    for i in range(3000):
+        a, b = r.random(), r.random()
+        rows.append((i, a, b, r.random(), 0.50 < a <= 0.52 or b > 0.8))
+    table = spark.createDataFrame(rows, "doc_id long, a double, b double, c double, bad boolean")
+    rules = quality_rules.learn(table, names=("a", "b", "c"))
+    judged = table.withColumn("rule", rules.fired()).select("a", "b", "bad", (F.col("rule") > 0).alias("out")).collect()
+    rare = [x for x in judged if 0.50 < x["a"] <= 0.52 and x["b"] <= 0.8]
+    assert len(rules.rules) >= 2 and sum(x["out"] for x in rare) >= 0.7 * len(rare), str(rules)
+    assert sum(x["out"] and not x["bad"] for x in judged) <= 30, str(rules)
+
+
+def test_learning_goes_on_after_a_rule_fails(spark, monkeypatch):
+    """The best first test is refused by the pruning rows (here: whatever they say of it); the next one is tried."""
+    r = random.Random(6)
+    rows = [(i, r.random(), r.random(), 0.0) for i in range(900)]
+    grown = {x["doc_id"] for x in spark.createDataFrame(rows, "doc_id long, a double, b double, c double")
+             .filter(F.pmod(F.xxhash64("doc_id"), F.lit(3)) != 0).select("doc_id").collect()}
+    # c tells the classes apart in the growing rows alone; a does nearly as well in all.
+    rows = [(i, a, b, float(a > 0.6) if i in grown else r.random(), a > 0.6 and b < 0.97) for i, a, b, _ in rows]
+    table = spark.createDataFrame(rows, "doc_id long, a double, b double, c double, bad boolean")
+    names = ("c", "a")  # of equal gains the first counts
+    assert quality_rules.learn(table, names=names, max_tests=1, retries=0).rules == ()
+    assert any(t.feature == "a" for rule in quality_rules.learn(table, names=names, max_tests=1).rules for t in rule)
+
+
 @pytest.mark.parametrize("labels", [[], [(0, 1, 0), (1, 1, 0)], [(None, 0, 0), (5, None, 1)]])
 def test_judge_without_two_classes_keeps_by_base_rules_only(spark, labels):
     rows = corpus(n=8)

@@ -130,26 +130,30 @@ def _gain(p0: float, n0: float, p1: float, n1: float) -> float:
 
 
 def learn(labelled: DataFrame, bad_col: str = "bad", key_col: str = "doc_id", names: tuple[str, ...] = FEATURES, bins: int = 32,
-          max_rules: int = 10, max_tests: int = 4, min_precision: float = 0.8, min_cover: int = 5) -> DecisionList:
+          max_rules: int = 32, max_tests: int = 4, min_precision: float = 0.8, min_cover: int = 5, retries: int = 4) -> DecisionList:
     """A decision list for the rows where ``bad_col`` is true, from all rows of ``labelled``.
 
-    Two thirds of the rows (by hash of the key) grow rules, one third prunes them. Learning ends when
-    no rule covers ``min_cover`` target rows with ``min_precision`` on the pruning rows. Without rows
+    Two thirds of the rows (by hash of the key) grow rules, one third prunes them. For each rule the thresholds are
+    taken anew from the rows that no rule covers yet: the ``bins - 1`` quantiles of all of them and those of the target rows among
+    them, so that a rare kind of target row has thresholds of its own. A rule must cover ``min_cover``
+    target rows with ``min_precision`` on the pruning rows; if it does not, up to ``retries`` more are grown whose first
+    tests are on other features or sides before learning ends. A list has at most ``max_rules`` rules of at most ``max_tests`` tests. Without rows
     of both classes the list is empty and rejects nothing.
     """
     if not labelled.columns or labelled.isEmpty():
         return DecisionList(())
     shares = F.array(*[F.lit(k / bins) for k in range(1, bins)])
-    found = labelled.agg(*[F.percentile_approx(f, shares, F.lit(2000)).alias(f) for f in names]).first()
-    cuts = {f: sorted({float(x) for x in found[f] or ()}) for f in names}
+    left = checkpointed(labelled.select(F.col(bad_col).alias("bad"), (F.pmod(F.xxhash64(key_col), F.lit(3)) != 0).alias("grow"),
+                                        *[F.col(f).cast("double").alias(f) for f in names]))
 
-    def bin_of(f: str) -> Column:
-        """How many of the feature's cuts lie below its value."""
-        value = F.col(f)
-        return F.size(F.filter(F.array(*map(F.lit, cuts[f])), lambda c: c < value)) if cuts[f] else F.lit(0)
+    def cuts_of(rows: DataFrame) -> dict[str, list[float]]:
+        found = rows.agg(*[F.percentile_approx(which, shares, F.lit(2000)).alias(f"{at}_{f}") for f in names
+                           for at, which in (("all", F.col(f)), ("bad", F.when(F.col("bad"), F.col(f))))]).first()
+        return {f: sorted({float(x) for at in ("all", "bad") for x in found[f"{at}_{f}"] or ()}) for f in names}
 
-    left = checkpointed(labelled.select(F.col(bad_col).alias("bad"), (F.pmod(F.xxhash64(key_col), F.lit(3)) != 0).alias("grow"),
-                                        *[bin_of(f).cast("short").alias(f) for f in names]))
+    def bin_of(f: str, cuts: list[float]) -> Column:
+        """How many of the feature's cuts lie below its value."""
+        return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(f))) if cuts else F.lit(0)
 
     def binned(rule: list[tuple[str, bool, int]]) -> Column:
         out = F.lit(True)
@@ -157,13 +161,13 @@ def learn(labelled: DataFrame, bad_col: str = "bad", key_col: str = "doc_id", na
             out = out & ((F.col(f) <= k) if below else (F.col(f) > k))
         return out
 
-    def grow() -> list[tuple[str, bool, int]]:
+    def grow(rows: DataFrame, cuts: dict[str, list[float]], banned: set) -> list[tuple[str, bool, int]]:
         rule: list[tuple[str, bool, int]] = []
         while len(rule) < max_tests:
-            inside = left.filter(F.col("grow") & binned(rule))
+            inside = rows.filter(F.col("grow") & binned(rule))
             each = inside.select("bad", F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("k")) for f in names])).alias("x"))
             counts: dict[str, dict[int, list[int]]] = {f: {} for f in names}
-            for f, k, p, n in each.groupBy("x.f", "x.k").agg(F.count_if("bad"), F.count_if(~F.col("bad"))).collect():  # names x bins rows
+            for f, k, p, n in each.groupBy("x.f", "x.k").agg(F.count_if("bad"), F.count_if(~F.col("bad"))).collect():  # names x 2 bins rows
                 counts[f][k] = [p, n]
             p0 = sum(p for p, _ in counts[names[0]].values())
             n0 = sum(n for _, n in counts[names[0]].values())
@@ -175,7 +179,7 @@ def learn(labelled: DataFrame, bad_col: str = "bad", key_col: str = "doc_id", na
                 for k in range(len(cuts[f])):
                     p, n = p + counts[f].get(k, [0, 0])[0], n + counts[f].get(k, [0, 0])[1]
                     for below, p1, n1 in ((True, p, n), (False, p0 - p, n0 - n)):
-                        if p1 >= min_cover and (g := _gain(p0, n0, p1, n1)) > best[0] + 1e-9:
+                        if p1 >= min_cover and (rule or (f, below) not in banned) and (g := _gain(p0, n0, p1, n1)) > best[0] + 1e-9:
                             best = (g, (f, below, k))
             if best[1] is None:
                 break
@@ -183,17 +187,26 @@ def learn(labelled: DataFrame, bad_col: str = "bad", key_col: str = "doc_id", na
         return rule
 
     rules: list[Rule] = []
-    while len(rules) < max_rules and (rule := grow()):
-        heads = [rule[:k] for k in range(1, len(rule) + 1)]
-        got = left.filter(~F.col("grow")).agg(*[x for h in heads for x in (
-            F.count_if(binned(h) & F.col("bad")), F.count_if(binned(h) & ~F.col("bad")))]).first()
-        worth = [(p - n) / (p + n) if p + n else -1.0 for p, n in zip(got[::2], got[1::2])]
-        k = max(range(len(heads)), key=lambda i: (worth[i], -i))
-        p, n = got[2 * k], got[2 * k + 1]
-        if p < min_cover or p < min_precision * (p + n):
+    while len(rules) < max_rules:
+        cuts = cuts_of(left)
+        rows = checkpointed(left.select("bad", "grow", *[bin_of(f, cuts[f]).cast("short").alias(f) for f in names]))
+        banned: set = set()
+        accepted = None
+        while accepted is None and len(banned) <= retries and (rule := grow(rows, cuts, banned)):
+            heads = [rule[:k] for k in range(1, len(rule) + 1)]
+            got = rows.filter(~F.col("grow")).agg(*[x for h in heads for x in (
+                F.count_if(binned(h) & F.col("bad")), F.count_if(binned(h) & ~F.col("bad")))]).first()
+            worth = [(p - n) / (p + n) if p + n else -1.0 for p, n in zip(got[::2], got[1::2])]
+            k = max(range(len(heads)), key=lambda i: (worth[i], -i))
+            p, n = got[2 * k], got[2 * k + 1]
+            if p >= min_cover and p >= min_precision * (p + n):
+                accepted = [Test(f, below, cuts[f][b]) for f, below, b in heads[k]]
+            else:
+                banned.add(rule[0][:2])
+        if accepted is None:
             break
-        rules.append(tuple(Test(f, below, cuts[f][b]) for f, below, b in heads[k]))
-        left = left.filter(~binned(heads[k]))
+        rules.append(tuple(accepted))
+        left = left.filter(~_all(tuple(accepted)))
     return DecisionList(tuple(rules))
 
 
