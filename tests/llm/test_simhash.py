@@ -115,3 +115,57 @@ def test_components_of_a_long_path(spark):
     edges = [(order[i], order[i + 1]) for i in range(59)] + [(100, 101), (101, 100)]
     got = {x["v"]: x["root"] for x in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert {got[v] for v in range(1, 60)} == {0} and got[101] == 100
+
+
+def linked(edges, nodes):
+    """Components of ``nodes`` by union of edges, as a set of frozensets."""
+    parent = {f: f for f in nodes}
+
+    def top(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        parent[top(u)] = top(v)
+    groups = defaultdict(set)
+    for f in nodes:
+        groups[top(f)].add(f)
+    return {frozenset(g) for g in groups.values()}
+
+
+def test_finer_masks_cover_every_close_pair():
+    r = random.Random(5)
+    for mask in simhash.masks(5, 4) + simhash.finer(simhash.masks(6, 4)[3], 4):
+        for _ in range(100):
+            a, free = r.getrandbits(64), [b for b in range(64) if not mask >> b & 1]
+            b = a ^ sum(1 << x for x in r.sample(free, r.randint(0, 4)))
+            assert any((a ^ b) & m == 0 for m in simhash.finer(mask, 4))
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_links_of_crowded_buckets_equal_brute_force(spark, dense):
+    """Classes that share their low 13 bits: spread over the other bits, or all within six bits of one point."""
+    r = random.Random(11)
+    centre = r.getrandbits(64)
+    fps = {centre}
+    while len(fps) < 700:
+        base = centre if dense else r.getrandbits(51) << 13 | centre & 0x1FFF
+        fps.add(base)
+        fps.add(base ^ sum(1 << b for b in r.sample(range(13, 64), r.randint(1, 6))))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    table = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(3)
+    got = [(x["u"] % (1 << 64), x["v"] % (1 << 64)) for x in simhash.links(table, 4, 5, bucket_rows=20).collect()]
+    every = sorted(fps)
+    close = [(a, b) for i, a in enumerate(every) for b in every[i + 1:] if bin(a ^ b).count("1") <= 4]
+    assert linked(got, fps) == linked(close, fps)
+
+
+def test_crowded_bucket_moves_few_rows(spark):
+    r = random.Random(12)
+    fps = {r.getrandbits(50) << 13 | 5 for _ in range(20000)}
+    table = spark.createDataFrame([(f,) for f in fps], "fp long").repartition(3)
+    groups = simhash.dealt(table, 4, 5, 2000).groupBy("t", "key", "i", "j").count()
+    rows, most = groups.selectExpr("sum(count)", "max(count)").first()
+    assert rows < 20 * len(fps) and most <= 2000
