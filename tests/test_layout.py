@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from vigil.config import EVENTS_SPEC, LINEITEM_SPEC
-from vigil.operators.features import wrangle_and_features
+from vigil.operators.features import TIE, total_order, wrangle_and_features
 from vigil.plans.layout import POS, positional_index, running_totals
 from vigil.plans.order_stats import grouped_percentiles
 from vigil.sources import fixtures as fx
@@ -39,6 +39,23 @@ def test_chunked_lineitem_ties_in_time(spark):
     assert np.allclose(a[num].to_numpy(float), b[num].to_numpy(float), atol=1e-9, equal_nan=True)
 
 
+def test_ties_in_time_without_a_tiebreak(spark):
+    """A spec without a tiebreak orders ties by their contents: any partitioning and layout gives the same rows."""
+    rng = np.random.default_rng(3)
+    rows = [(f"a{i % 3}", i // 9, int(x), float(y), i) for i, (x, y) in enumerate(zip(rng.integers(0, 50, 900), rng.normal(size=900)))]
+    spec = LINEITEM_SPEC.with_(ts="ts", tiebreak=(), sensors=("x", "y"))
+    table = spark.createDataFrame(rows, "asset_id string, ts int, x int, y double, nr int")
+    got = []
+    for parts, chunks in ((1, False), (7, False), (5, True)):
+        df, ordered = total_order(table.orderBy(F.rand(parts)).repartition(parts), spec)
+        assert ordered.order == ("ts", TIE)
+        got.append(_frame(wrangle_and_features(df, ordered, force_chunks=chunks, chunk_rows=40), "nr"))
+    num = got[0].select_dtypes("number").columns
+    for other in got[1:]:
+        assert np.allclose(got[0][num].to_numpy(float), other[num].to_numpy(float), atol=1e-9, equal_nan=True)
+    assert total_order(table, LINEITEM_SPEC) == (table, LINEITEM_SPEC)
+
+
 def test_hot_key_detection_switches_layout(spark):
     f1 = fx.telemetry_events(spark, SF_SMALL)
     auto = wrangle_and_features(f1, EVENTS_SPEC, max_series_rows=10, chunk_rows=40)

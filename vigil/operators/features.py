@@ -72,6 +72,21 @@ def diff_only(df: DataFrame, spec: TelemetrySpec, **plan_kw) -> DataFrame:
     return apply_series(df, spec.asset, spec.order, 1, 0, build, **plan_kw)
 
 
+TIE = "_vg_tie"
+
+
+def total_order(df: DataFrame, spec: TelemetrySpec) -> tuple[DataFrame, TelemetrySpec]:
+    """``df`` and ``spec`` with a tiebreak: a hash of the row's input values where the spec names none.
+
+    Two rows of one asset at one time then come in the same order under any partitioning, chunked or not. Rows that are equal in
+    every sensor, context and id column stay interchangeable. Labels are not read.
+    """
+    if spec.tiebreak:
+        return df, spec
+    cols = [c for c in (*spec.fill_columns, spec.regime, *spec.ids) if c and c in df.columns]
+    return df.withColumn(TIE, F.xxhash64(*cols) if cols else F.lit(0).cast("long")), spec.with_(tiebreak=(TIE,))
+
+
 def wrangle_and_features(df: DataFrame, spec: TelemetrySpec, window: int = ROLLING_WINDOW,
                          limit: int = FILL_LIMIT, causal: bool = False, add_diff: bool = True,
                          add_zscore: bool = True, **plan_kw) -> DataFrame:

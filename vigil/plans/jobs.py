@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from vigil.config import DEFAULT_CONFIG, PipelineConfig, TelemetrySpec
 from vigil.operators import cluster as cl
 from vigil.operators.evaluate import evaluate
-from vigil.operators.features import select_features, wrangle_and_features
+from vigil.operators.features import TIE, select_features, total_order, wrangle_and_features
 from vigil.operators.scale import Projection, Scaler, fit_pca, fit_scaler
 from vigil.operators.score import (PRED, SCORE, CentroidModel, MixtureModel, add_score, fit_threshold,
                                    threshold_predict)
@@ -58,9 +58,9 @@ def detect_anomalies(df: DataFrame, model: DetectorModel, return_only_anomalies:
                      **plan_kw) -> DataFrame:
     """Input columns unchanged (fills are internal) plus ``anomaly_score`` and ``anomaly_pred``.
     Labels, if present, are carried but never read."""
-    spec = model.spec
+    ordered, spec = total_order(df, model.spec)
     fill = [c for c in spec.fill_columns if c in df.columns]
-    keep = df.select("*", *[F.col(c).alias(f"_o_{c}") for c in fill])
+    keep = ordered.select("*", *[F.col(c).alias(f"_o_{c}") for c in fill])
     feats = featurize(keep, spec, model.config, **plan_kw)
     scored = threshold_predict(add_score(model.model_space(feats), model.clusterer), model.threshold)
     out = scored.select(*[F.col(f"_o_{c}").alias(c) if c in fill else F.col(c) for c in df.columns], SCORE, PRED)
@@ -87,7 +87,7 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
     K precedence: ``config.kmeans_n_clusters`` > ``quick`` (``k_default``) > silhouette search.
     ``expect`` checks the input contract (rows / columns / assets) first and raises on a mismatch.
     ``key`` names a unique row key (sampling, lowest-key init); by default the
-    ``(asset, ts, tiebreak...)`` struct.
+    ``(asset, ts, tiebreak...)`` struct. Without a tiebreak in ``spec`` a hash of the input values is one.
     ``config.model``: ``kmeans`` (MLlib k-means||, best of n_init), ``minibatch``, ``gmm``,
     or ``lloyd`` (Lloyd steps from the K lowest-``key`` train rows; deterministic).
     """
@@ -95,11 +95,12 @@ def train(df: DataFrame, spec: TelemetrySpec, config: PipelineConfig = DEFAULT_C
         from vigil.operators.profile import assert_contract, input_contract
         assert_contract(input_contract(df, spec, expect.get("rows"), expect.get("cols"), expect.get("assets")))
     cut = cutoff_of(df, spec, config.train_days)
-    feats = with_split(featurize(df, spec, config, **plan_kw), spec, cut)
+    rows, ordered = total_order(df, spec)
+    feats = with_split(featurize(rows, ordered, config, **plan_kw), spec, cut)
     if key is None:            # unique row key by the total-order contract: (asset, ts, tiebreak...)
         key = "_vg_key"
-        feats = feats.withColumn(key, F.struct(spec.asset, *spec.order))
-    feats = checkpointed(feats)
+        feats = feats.withColumn(key, F.struct(spec.asset, *ordered.order))
+    feats = checkpointed(feats.drop(TIE))
     cols = select_features(feats.columns, spec, config.include_context, config.add_diff, config.add_zscore,
                            config.include_missing_flags)
     is_train = F.col(SPLIT) == "train"

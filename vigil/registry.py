@@ -721,10 +721,15 @@ def q_train_pipeline(spark, sf):
 
 @query("metrics_sink")
 def q_metrics_sink(spark, sf):
+    """Metrics of the deterministic train job, written and read back. The silhouette of the sampled rows is held against its range only."""
     f1 = fx.telemetry_events(spark, sf)
     out = scratch_path(spark, "run")
     jobs.train(f1, EV, JOB_CONFIG, key="event_id", out_dir=out)
-    return spark.read.json(f"{out}/metrics")
+    ratios = ["precision", "recall", "f1", "roc_auc", "pr_auc", "fault_code_recall", "inertia", "threshold", "threshold_percentile"]
+    counts = ["n_anomalies_predicted", "n_anomalies_true", "tn", "fp", "fn", "tp", "best_k", "n_rows", "n_flagged"]
+    sink = spark.read.json(f"{out}/metrics")
+    return r6(sink.select("split", F.col("cutoff").cast("timestamp_ntz").alias("cutoff"), *[F.col(c).cast("double").alias(c) for c in ratios],
+                          *[F.col(c).cast("long").alias(c) for c in counts], F.col("silhouette").between(-1.0, 1.0).alias("silhouette_in_range")))
 
 
 @query("scored_tables")

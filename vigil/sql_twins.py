@@ -561,6 +561,11 @@ SQL["standardize"] = out(o.scaled_sql(o.split_sql(o.events_features_sql(), EV, 2
 SQL["fit_threshold"] = (_SC + "SELECT split, CAST(sum(anomaly_pred) AS BIGINT) AS n_pred, count(*) AS n_rows, "
                         f"{o.r6('max(t)', 'threshold')} FROM scored, thr GROUP BY split")
 SQL["model_source"] = _flagship()
+SQL["metrics_sink"] = _SC + f"""SELECT m.*, CAST(3 AS BIGINT) AS best_k, {o.r6('(SELECT max(t) FROM thr)', 'threshold')},
+  CAST(99.0 AS DOUBLE) AS threshold_percentile, {o.r6("(SELECT sum(anomaly_score * anomaly_score) FROM scored WHERE split = 'train')", 'inertia')},
+  (SELECT CAST(min(timestamp) AS TIMESTAMP) + INTERVAL 21 DAY FROM scored) AS cutoff, c.n_rows, c.n_flagged, true AS silhouette_in_range
+FROM ({evaluate_sql('SELECT * FROM scored', ['split'])}) m
+JOIN (SELECT split, count(*) AS n_rows, CAST(sum(anomaly_pred) AS BIGINT) AS n_flagged FROM scored GROUP BY split) c USING (split)"""
 
 
 def vote_sql() -> str:
