@@ -101,3 +101,27 @@ def test_minibatch_stops_inside_few_passes_and_shares_slices(spark, points):
     assert one.k == 1
     with pytest.raises(ValueError):
         cl.fit_minibatch_kmeans(df.limit(0), COLS, 2)
+
+
+def test_all_starts_of_a_mixture_take_their_steps_in_one_pass(points, monkeypatch):
+    x, df = points
+    passes = []
+    monkeypatch.setattr(mx, "array_sums", lambda *a: passes.append(1) or array_sums(*a))
+    model, ll = cl.fit_gmm(df, COLS, 2, n_init=3, max_iter=4, tol=0.0)
+    assert len(passes) == 1 + 4 + 1       # hard starts, steps, likelihoods
+    many = cl.fit_gmms(df, COLS, [2, 3], n_init=3, max_iter=4, tol=0.0)
+    assert len(passes) == 2 * (1 + 4 + 1)
+    assert np.isclose(many[0][1], ll) and np.allclose(many[0][0].means, model.means)
+    alone = [mx.gmm_fixed_init(df, mx.from_centres(df, cl.fit_kmeans(df, COLS, 3, seed=42 + i, max_iter=50, n_init=1)[0]), 4)[0] for i in range(3)]
+    assert np.isclose(many[1][1], max(cl.log_likelihood(df, m) for m in alone))
+
+
+def test_starts_of_a_mixture_stop_one_by_one(points):
+    _, df = points
+    unit = (tuple(map(tuple, np.eye(3))),) * 2
+    starts = [MixtureModel(tuple(COLS), (0.5, 0.5), means, unit) for means in (((0.0, 0.0, 0.0), (4.0, 4.0, 1.0)), ((1.0, 1.5, 0.0), (1.5, 1.0, 1.0)))]
+    together = mx.gmms_fixed_init(df, starts, 50, 1e-3)
+    for start, (model, history) in zip(starts, together):
+        alone, past = mx.gmm_fixed_init(df, start, 50, 1e-3)
+        assert len(past) == len(history) and np.allclose(past, history) and np.allclose(model.means, alone.means)
+    assert len({len(h) for _, h in together}) == 2

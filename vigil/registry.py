@@ -23,7 +23,7 @@ from vigil.operators import profile as pr
 from vigil.operators import wrangle as wr
 from vigil.config import REFERENCE_SPEC, PipelineConfig
 from vigil.functions.vector import nearest
-from vigil.operators.cluster import (davies_bouldin, elbow_table, fit_gmm, fit_input, fit_kmeans, fit_minibatch_kmeans,
+from vigil.operators.cluster import (concurrently, davies_bouldin, elbow_table, em_points, fit_gmm, fit_gmms, fit_input, fit_kmeans, fit_minibatch_kmeans,
                                      gmm_information, hash_sample, kmeans_fixed_init, lowest_key_centres,
                                      select_k, silhouette, stable)
 from vigil.operators.mixture import gmm_fixed_init
@@ -588,11 +588,9 @@ def q_gmm_bic(spark, sf):
     v = fx.vectors(spark, sf)
     cols = fx.vector_columns(v)
     rows = []
-    points = stable(v.select(*cols))
-    vec = fit_input(points, cols)
-    for k in PipelineConfig().k_range:
-        model, _ = fit_gmm(points, cols, k, seed=42, vec=vec, is_stable=True)
-        info = gmm_information(points, model)
+    points, ks = em_points(v, cols), PipelineConfig().k_range
+    fits = fit_gmms(points, cols, ks, seed=42, vec=fit_input(v, cols), is_stable=True)
+    for k, info in zip(ks, concurrently(lambda fit: gmm_information(points, fit[0]), fits)):
         rows.append((k, info["log_likelihood"], info["n_params"], info["bic"], info["aic"]))
     return r6(spark.createDataFrame(rows, "k int, log_likelihood double, n_params int, bic double, aic double"))
 
