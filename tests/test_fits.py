@@ -125,3 +125,15 @@ def test_starts_of_a_mixture_stop_one_by_one(points):
         alone, past = mx.gmm_fixed_init(df, start, 50, 1e-3)
         assert len(past) == len(history) and np.allclose(past, history) and np.allclose(model.means, alone.means)
     assert len({len(h) for _, h in together}) == 2
+
+
+def test_starts_of_kmeans_run_side_by_side(points, monkeypatch):
+    from threading import Barrier
+
+    from pyspark.ml.clustering import KMeans
+    _, df = points
+    vec, fit, both = cl.fit_input(df, COLS), KMeans.fit, Barrier(2, timeout=30)
+    alone = [cl.fit_kmeans(df, COLS, 3, seed=42 + i, n_init=1, vec=vec) for i in range(2)]
+    monkeypatch.setattr(KMeans, "fit", lambda self, d: both.wait() is not None and fit(self, d))
+    model, cost = cl.fit_kmeans(df, COLS, 3, n_init=2, vec=vec)
+    assert (model, cost) == min(alone, key=lambda r: r[1])
