@@ -157,3 +157,15 @@ def test_one_asset_with_a_third_of_all_rows(spark):
     hot = skewed.filter(F.col("asset_id") == 0)
     idx = positional_index(hot, ["asset_id"], ["timestamp", "rn"], n_parts=8)
     assert idx.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+
+
+def test_a_few_long_series_are_spread_over_many_tasks(spark):
+    """Sixteen assets may hold a whole table: a task gets a piece of a series that takes it seconds."""
+    from vigil.config import PipelineConfig
+    from vigil.plans.layout import CHUNK, plan_series
+    rows = spark.range(300_000).select((F.col("id") % 300_000 >= 10).cast("int").alias("asset_id"), F.col("id").alias("timestamp"))
+    (short, plain), (long, layout) = plan_series(rows, "asset_id", ["timestamp"], 24, 5)
+    assert short.count() == 10 and not plain.chunked and layout.chunked
+    assert long.select(CHUNK).distinct().count() == 3
+    assert long.filter("_vg_home").count() == 299_990
+    assert PipelineConfig().max_series_rows < 300_000
