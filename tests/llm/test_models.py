@@ -9,6 +9,7 @@ from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,6 +236,24 @@ def test_subwords_of_many_words_equal_one_by_one():
         assert [p.tolist() for p in parts] == [lm_scoring.byte_pairs(PATH).encode(" " + w.decode("utf-8", "replace"), False) for w in vocab]
 
 
+def test_arrow_splits_the_words_that_the_word_rule_gives():
+    every = b"".join(b"xA" + bytes([b]) for b in range(256))
+    texts = [None, b"", b" ", every, b"\t a\x0b B\r\n", b"\xff\xfe Q", "Ä\u00a0B c\u3000".encode(), None]
+    for some in (pa.array(texts, pa.binary()), pa.array(texts, pa.binary()).slice(2, 4), pa.nulls(2, pa.binary()), pa.array([], pa.binary())):
+        words, n = lm_scoring.split_words(some)
+        want = [lm_scoring.words_of(t) for t in some.to_pylist()]
+        assert words.to_pylist() == [w for t in want for w in t] and n.tolist() == [len(t) for t in want]
+
+
+def test_word_vectors_are_means_of_any_number_of_ids(small):
+    m = small[1].model
+    long = "".join(map(chr, range(0x4e00, 0x4e40)))
+    x = lm_scoring.batch_of(PATH, [[w.encode() for w in ("a", "straße", "zq" * 9, long, "12,5", "#")], [], [(long + "q").encode()]])
+    assert x.size.max() > 2 * lm_scoring.SHORT and (x.size[1:] > 1).any() and (x.size <= lm_scoring.SHORT).any()
+    want = [m.features[ids].astype(float).mean(axis=0) for ids in np.split(x.flat, x.start[1:])]
+    assert np.allclose(lm_scoring.word_vectors(m, x), [*want, np.zeros(lm_scoring.DIM)], rtol=1e-5, atol=1e-5)
+
+
 def test_encoded_batches_hold_all_texts(spark):
     rows = corpus(n=25)
     docs = frame(spark, rows).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"), F.lit(False).alias("held_out"))

@@ -25,11 +25,10 @@ where the text has one. Windows go through the attention in batches.
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain, compress, count
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -53,7 +52,8 @@ COLUMNS = 128
 SYMBOLS = 50257
 END = 50256
 SHARDS = 4096  # of one round at most
-OTHER_SPACE = re.compile(r"[^\S ]|[\x1c-\x1f\x85]")
+SHORT = 16  # ids of a word that are added up by their place in it
+OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c != " " and c.isspace()]  # all there is
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -61,6 +61,23 @@ def words_of(text: bytes | None) -> list[bytes]:
     return [] if text is None else bytes(text).lower().split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of binary texts (see ``words_of``), one after the other, and how many each text has, split by Arrow byte by byte."""
+    texts = pc.fill_null(texts.cast(pa.binary()), b"")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words, n = lists.flatten().view(pa.binary()), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    real = pc.binary_length(words).to_numpy() > 0  # white space at an end leaves an empty word there
+    if not real.all():
+        n -= np.bincount(np.repeat(np.arange(len(n)), n)[~real], minlength=len(n))
+        words = words.filter(pa.array(real))
+    return words, n
+
+
+def odd_spaced(text: str) -> bool:
+    """Whether there is other white space in a text than spaces."""
+    return any(c in text for c in OTHER_SPACE)
+
+
 def subwords(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Subword ids of the words, each as it stands after a space, one after the other; and how many each has.
 
@@ -71,11 +88,11 @@ def subwords(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     pairs = byte_pairs(path)
     text = b" ".join(words).decode("utf-8", "replace")
-    if not OTHER_SPACE.search(text):
+    if not odd_spaced(text):
         flat = pairs.array(" " + text, False)
         return flat, np.diff(np.flatnonzero(pairs.after_space[flat]), append=len(flat))
     texts = [w.decode("utf-8", "replace") for w in words]
-    odd = np.array([bool(OTHER_SPACE.search(t)) for t in texts])
+    odd = np.array([odd_spaced(t) for t in texts])
     flat, size = subwords(path, [w for w, o in zip(words, odd) if not o])
     parts = iter(np.split(flat, np.cumsum(size)[:-1]))
     ids = [pairs.array(" " + t, False) if o else next(parts) for t, o in zip(texts, odd)]
@@ -117,14 +134,20 @@ class Batch:
 
 
 def batch_of(path: str, texts: list[list[bytes]]) -> Batch:
-    number: defaultdict = defaultdict(count().__next__)  # in the order of coming; the end comes first
-    n = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    end = (b"",)
-    tokens = chain(end, chain.from_iterable(chain.from_iterable((t, end) for t in texts)))
-    every = np.fromiter(map(number.__getitem__, tokens), np.int32, int(n.sum()) + 1)[1:]
-    words = list(number)
-    flat, size = subwords(path, words[1:])
-    return Batch(words, np.append(END, flat), np.append(1, size), every, n)
+    return numbered(path, pa.array(list(chain.from_iterable(texts)), pa.binary()), np.fromiter(map(len, texts), np.int64, len(texts)))
+
+
+def numbered(path: str, words: pa.Array, n: np.ndarray) -> Batch:
+    """The batch of texts of ``n`` words each, which stand one after the other in ``words``."""
+    found = words.dictionary_encode()  # in the order of coming; the end comes first
+    n = n + 1
+    every = np.zeros(int(n.sum()), np.int32)
+    inside = np.ones(len(every), bool)
+    inside[np.cumsum(n) - 1] = False
+    every[inside] = found.indices.to_numpy() + 1
+    distinct = found.dictionary.to_pylist()
+    flat, size = subwords(path, distinct)
+    return Batch([b"", *distinct], np.append(END, flat), np.append(1, size), every, n)
 
 
 ENCODED = "ids array<string>, held array<boolean>, words binary, flat binary, every binary, n array<long>"
@@ -140,7 +163,7 @@ def encoded(rows: DataFrame, path: str, most: int = 4_000_000) -> DataFrame:
             cuts = np.append(np.flatnonzero(np.diff(size // most, append=-1)), b.num_rows - 1)
             first = 0
             for last in np.unique(cuts) + 1:
-                x = batch_of(path, [words_of(t) for t in b["text"].slice(first, last - first).to_pylist()])
+                x = numbered(path, *split_words(b["text"].slice(first, last - first)))
                 lists = pa.array([0, last - first], pa.int32())
                 width = 3 if len(x.words) < 1 << 24 else 4  # bytes of a word's number
                 every = np.ascontiguousarray(x.every).view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
@@ -171,6 +194,13 @@ def decoded(batches: Iterator[pa.RecordBatch], path: str, mine: Callable[[int],
             yield b["ids"][i].values, b["held"][i].values, Batch(b["words"][i], flat, size, every.view(np.int32).ravel(), n)
 
 
+def ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids in order, and the place of each id among them."""
+    there = np.zeros(SYMBOLS, bool)
+    there[ids] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[ids]
+
+
 GATHERED = "word binary, a int, b int, n long"
 
 
@@ -198,8 +228,8 @@ def gathered(batches: DataFrame, path: str) -> DataFrame:
                 continue
             n = np.bincount(x.every, minlength=len(x.size)).tolist()
             held.update({w: c for w, c in zip(x.words.as_py().split(b" "), n) if c})
-            ids, code = np.unique(x.flat, return_inverse=True)
-            firsts, first = np.unique(x.first, return_inverse=True)
+            ids, code = ranked(x.flat)
+            firsts, first = ranked(x.first)
             before = x.before()
             size = x.size[before]
             ends = np.cumsum(size)
@@ -440,8 +470,22 @@ def blocks(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 def word_vectors(model: Model, x: Batch) -> np.ndarray:
     """The mean vector of each word's subword ids; a last row of zeros stands for no word."""
-    means = np.add.reduceat(model.features[x.flat], x.start, axis=0) / x.size[:, None].astype(np.float32)
-    return np.concatenate((means, np.zeros((1, DIM), np.float32)))
+    out = np.zeros((len(x.size) + 1, DIM), np.float32)
+    order = np.argsort(-x.size, kind="stable")  # longest first: those that have a next id are always the first few
+    start, size = x.start[order], x.size[order]
+    sums = np.take(model.features, x.flat[start], axis=0)
+    at_least = lambda k: int(np.searchsorted(-size, -k, side="right"))
+    long = at_least(SHORT + 1)
+    for k in range(1, SHORT):
+        more = at_least(k + 1)
+        sums[long:more] += np.take(model.features, x.flat[start[long:more] + k], axis=0)
+    if long:
+        ends = np.cumsum(size[:long])
+        first = ends - size[:long]
+        ids = x.flat[np.arange(ends[-1]) + np.repeat(start[:long] - first, size[:long])]
+        sums[:long] = np.add.reduceat(model.features[ids], first, axis=0)
+    out[order] = sums / size[:, None].astype(np.float32)
+    return out
 
 
 def class_scores(model: Model, vectors: np.ndarray, inputs: np.ndarray, before: np.ndarray, target: np.ndarray, n: np.ndarray, batch: int = 256) -> np.ndarray:
@@ -462,7 +506,7 @@ def class_scores(model: Model, vectors: np.ndarray, inputs: np.ndarray, before:
     for at in range(0, places // BLOCK - 1, batch):
         m = min(batch, places // BLOCK - 1 - at)
         some = words[at * BLOCK: (at + m + 1) * BLOCK]
-        e = vectors[some]
+        e = np.take(vectors, some, axis=0)
         kv = np.ones((len(some), 2 * DIM + 1), np.float32)  # the last column adds up the weights
         np.matmul(e, kvw, out=kv[:, : 2 * DIM])
         step, item = kv.strides
@@ -491,41 +535,42 @@ def gradients(model: Model, w: dict[str, np.ndarray], e: np.ndarray, inputs: np.
     second block, c = -1 where there is no position; ``alone`` says whose first block is empty.
     """
     scale = e.dtype.type(DIM ** -0.5)
-    eq = e[:, BLOCK:]
-    q, k, v = eq @ w["q"], e @ w["k"], e @ w["v"]
+    flat, eq = e.reshape(-1, DIM), e[:, BLOCK:].reshape(-1, DIM)
+    q = (eq @ (w["q"] * scale)).reshape(-1, BLOCK, DIM)
+    kv = (flat @ np.concatenate((w["k"], w["v"]), axis=1)).reshape(-1, 2 * BLOCK, 2 * DIM)
+    k, v = kv[..., :DIM], kv[..., DIM:]
     a = q @ k.transpose(0, 2, 1)
-    a *= scale
     a += w["r"][_NEAR]
     np.minimum(a, 40, out=a)
     np.exp(a, out=a)
     a *= _SEEN
     a[alone, :, :BLOCK] = 0
-    a /= (a @ np.ones((2 * BLOCK, 1), e.dtype))
-    h = a @ v
-    real = c.ravel() >= 0
-    n = max(int(real.sum()), 1)
-    p = h.reshape(-1, DIM) @ w["u"]
-    p += np.take(model.bigram + w["b"], inputs.ravel(), axis=0)
+    a /= a.reshape(-1, 2 * BLOCK).dot(np.ones(2 * BLOCK, e.dtype)).reshape(-1, BLOCK, 1)
+    h = (a @ v).reshape(-1, DIM)
+    goal = c.ravel()
+    real = (goal >= 0).astype(e.dtype)
+    n = max(np.count_nonzero(real), 1)
+    p = np.take(model.bigram, inputs.ravel(), axis=0)  # of the rows asked for only: the table is far larger than a batch
+    p = h @ w["u"] + p
+    p += w["b"]
     np.minimum(p, 60, out=p)
     np.exp(p, out=p)
-    p /= p @ np.ones((CLASSES, 1), e.dtype)
-    at = (np.arange(len(p)), np.maximum(c.ravel(), 0))
-    gold = p[at]
-    loss = float(-np.log(gold[real] + 1e-30).sum() / n)
-    p[at] = gold - 1
-    p *= (real / e.dtype.type(n))[:, None].astype(e.dtype)
-    g = {"u": h.reshape(-1, DIM).T @ p, "b": np.ones(len(p), e.dtype) @ p}
-    dh = (p @ w["u"].T).reshape(h.shape)
-    da = dh @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dh
-    da -= np.einsum("nbd,nbd->nb", dh, h)[..., None]
+    total = p.dot(np.ones(CLASSES, e.dtype))
+    at = (np.arange(len(p)), np.maximum(goal, 0))
+    loss = float(-(np.log(p[at] / total + 1e-30) * real).sum() / n)
+    real /= n
+    p *= (real / total)[:, None]
+    p[at] -= real
+    g = {"u": h.T @ p, "b": np.ones(len(p), e.dtype) @ p}
+    dh = p @ w["u"].T
+    da = dh.reshape(-1, BLOCK, DIM) @ v.transpose(0, 2, 1)
+    da -= (dh * h).dot(np.ones(DIM, e.dtype)).reshape(-1, BLOCK, 1)
     da *= a
     g["r"] = np.bincount(_NEAR.ravel(), weights=da.sum(axis=0).ravel() * (_DISTANCE >= 0).ravel(), minlength=2 * BLOCK).astype(e.dtype)
-    da *= scale
-    dq, dk = da @ k, da.transpose(0, 2, 1) @ q
-    flat = e.reshape(-1, DIM)
-    g["q"] = eq.reshape(-1, DIM).T @ dq.reshape(-1, DIM)
-    g["k"], g["v"] = flat.T @ dk.reshape(-1, DIM), flat.T @ dv.reshape(-1, DIM)
+    g["q"] = eq.T @ (da @ k).reshape(-1, DIM) * scale
+    dkv = np.concatenate((da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh.reshape(-1, BLOCK, DIM)), axis=2)
+    both = flat.T @ dkv.reshape(-1, 2 * DIM)
+    g["k"], g["v"] = both[:, :DIM], both[:, DIM:]
     return loss, g
 
 
@@ -553,7 +598,7 @@ class Steps:
         order = self.draw.permutation(np.flatnonzero(~empty))
         for at in range(0, len(order), self.batch):
             o = order[at: at + self.batch]
-            _, g = gradients(self.model, self.w, vectors[np.concatenate((x[o - 1], x[o]), axis=1)], inputs[x[o]], c[o], empty[o - 1])
+            _, g = gradients(self.model, self.w, np.take(vectors, np.concatenate((x[o - 1], x[o]), axis=1), axis=0), inputs[x[o]], c[o], empty[o - 1])
             flat = np.concatenate([g[k].ravel() for k in self.names])
             self.t += 1
             self.m1 += 0.1 * (flat - self.m1)
