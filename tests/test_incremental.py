@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from vigil.config import EVENTS_SPEC
 from vigil.operators.score import CentroidModel, MixtureModel
-from vigil.plans import jobs, sketches
+from vigil.plans import incremental, jobs, sketches
 from vigil.plans.incremental import open_rows, read_state, score_period
 from vigil.registry import JOB_CONFIG, scratch_path
+from vigil.session import checkpointed
 from vigil.sources import fixtures as fx
 from vigil.sources import store
 from vigil.streaming.kmeans import read_centres, update_centres
@@ -72,6 +73,22 @@ def test_late_rows_stay_and_are_not_scored(spark, trained):
     assert late and {e for e, v in got.items() if v == (None, None)} == late
 
 
+def test_a_later_period_is_written_once(spark, trained, monkeypatch):
+    f1, report = trained
+    rows = f1.filter("asset_id % 5 = 0")
+    written = []
+    monkeypatch.setattr(incremental, "checkpointed", lambda df: written.append(df.columns) or checkpointed(df))
+    table = rows.withColumn("part", F.when(F.dayofyear("timestamp") < 12, "a").otherwise("b"))
+    state, out = replayed(spark, table, report.model, ["a", "b"])
+    assert len(written) == 2  # one copy a period, with marks and scores
+    assert {**cells(spark.read.parquet(out)), **cells(open_rows(spark, report.model, state))} == cells(jobs.detect_anomalies(rows, report.model))
+    # One row as early as the state's last one: late rows are looked for by asset.
+    last = read_state(spark, state).orderBy(F.desc("timestamp"), F.desc("event_id")).limit(1).select(*rows.columns)
+    again = last.withColumn("part", F.lit("c"))
+    score_period(again, "part", "c", report.model, state, out)
+    assert len(written) == 4 and cells(spark.read.parquet(out).filter("run = 'c'")) == {last.first()["event_id"]: (None, None)}
+
+
 def test_a_run_reads_one_partition(spark, trained):
     f1, _ = trained
     path = scratch_path(spark, "t-pruned")

@@ -757,12 +757,12 @@ def q_scored_tables_incremental(spark, sf):
 @query("detect_anomalies_incremental")
 def q_detect_incremental(spark, sf):
     """F1 scored week by week from the tail-state table; equals the job over the whole table."""
-    f1 = fx.telemetry_events(spark, sf)
-    model = jobs.train(f1, EV, JOB_CONFIG, key="event_id").model
     src, state, out = (scratch_path(spark, n) for n in ("periods", "tail-state", "scored-runs"))
     week = F.date_format(F.date_trunc("week", "timestamp"), "'w'yyyyMMdd")
-    f1.withColumn("week", week).write.partitionBy("week").parquet(src)
+    fx.telemetry_events(spark, sf).withColumn("week", week).write.partitionBy("week").parquet(src)
     table = spark.read.parquet(src)
+    f1 = table.drop("week")  # derived once: training reads the written periods, too
+    model = jobs.train(f1, EV, JOB_CONFIG, key="event_id").model
     for r in sorted(table.select("week").distinct().collect()):
         score_period(table, "week", r["week"], model, state, out)
     done = spark.read.parquet(out).select(*f1.columns, "anomaly_score", "anomaly_pred")
